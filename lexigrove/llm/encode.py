@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import base64
-import hashlib
 import os
 import re
 import tempfile
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
@@ -134,8 +134,7 @@ def encode(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark: SparkSession = documents.sparkSession
     words = frequent_words(documents, text_col, lexicon_words)
     folder = tempfile.mkdtemp(prefix="lexicon-")
-    digest = hashlib.sha256("\0".join([vocabulary, *words]).encode()).hexdigest()[:16]
-    name = f"lexicon-{digest}.bin"
+    name = f"lexicon-{uuid.uuid4().hex}.bin"  # Spark takes each name once
     Lexicon.write(words, encoder(vocabulary).encode_ordinary, os.path.join(folder, name))
     spark.sparkContext.addFile(os.path.join(folder, name))
 
