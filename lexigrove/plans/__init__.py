@@ -1,0 +1 @@
+"""Named queries over the tables, with their SQL."""
