@@ -95,7 +95,7 @@ def row_band_join(spark: SparkSession, d: str) -> DataFrame:
 TOUCH = "a.x0 - 6 <= b.x1 AND b.x0 - 6 <= a.x1 AND a.y0 - 6 <= b.y1 AND b.y0 - 6 <= a.y1"
 
 
-@query(sql(N, B, f"""p AS (SELECT a.rid AS a, b.rid AS b FROM b a JOIN b ON a.volume = b.volume AND a.page = b.page AND a.rid <> b.rid WHERE {TOUCH})""", "w AS (SELECT rid AS key, rid AS at FROM b UNION SELECT w.key, p.b FROM w JOIN p ON p.a = w.at)".replace(" at ", " here ").replace("w.at", "w.here").replace("AS at", "AS here"), recursive=True) + "SELECT key, min(here) AS component FROM w GROUP BY 1")
+@query(sql(N, B, f"""p AS (SELECT a.rid AS a, b.rid AS b FROM b a JOIN b ON a.volume = b.volume AND a.page = b.page AND a.rid <> b.rid WHERE {TOUCH})""", "w AS (SELECT rid AS key, rid AS here FROM b UNION SELECT w.key, p.b FROM w JOIN p ON p.a = w.here)", recursive=True) + "SELECT key, min(here) AS component FROM w GROUP BY 1")
 def rect_components(spark: SparkSession, d: str) -> DataFrame:
     """Connected components of boxes that touch within six points."""
     b = boxes(spark, d)

@@ -280,7 +280,7 @@ def resolve_code(spark: SparkSession, d: str) -> DataFrame:
 
 @query(sql(N, E) + """, q AS (SELECT ref_id, split_part(src, '/', 1) AS vol, split_part(src, '/', 2) AS division, upper(regexp_replace(regexp_replace(text, '^Table ', ''), '[-.\\s]', '', 'g')) AS des FROM e WHERE kind = 'cap_ref' AND text LIKE 'Table %'),
 b AS (SELECT split_part(key, '/', 1) AS vol, split_part(key, '/', 2) AS division, upper(regexp_replace(designator, '[-.\\s]', '', 'g')) AS des, min(key) AS key FROM n WHERE node_type = 'table' GROUP BY 1, 2, 3)
-SELECT q.ref_id, arg_min(b.key, (CASE WHEN b.division = q.division THEN 0 ELSE 1 END, b.division DESC IS NULL, b.key)) AS key FROM q LEFT JOIN b ON b.vol = q.vol AND b.des = q.des GROUP BY 1""".replace("b.division DESC IS NULL, ", ""))
+SELECT q.ref_id, arg_min(b.key, (CASE WHEN b.division = q.division THEN 0 ELSE 1 END, b.key)) AS key FROM q LEFT JOIN b ON b.vol = q.vol AND b.des = q.des GROUP BY 1""")
 def resolve_caption(spark: SparkSession, d: str) -> DataFrame:
     """Cited tables by normalised designator, in the own division first."""
     step = lambda c, i: F.split_part(c, F.lit("/"), F.lit(i))
