@@ -61,12 +61,12 @@ def longest_paths(tracks: DataFrame, steps: DataFrame) -> DataFrame:
 
     tracks: (key, weeks); steps: (src, dst), acyclic. Relaxes one edge a round until nothing changes.
     """
+    steps = cut(steps.select("src", "dst"))
     state = cut(tracks.select("key", "weeks", F.col("weeks").alias("total")))
     rounds = state.count()
     for _ in range(rounds):
         best = steps.join(state.select(F.col("key").alias("src"), "total"), "src").groupBy(F.col("dst").alias("key")).agg(F.max("total").alias("before"))
-        new = state.join(best, "key", "left").select("key", "weeks", (F.col("weeks") + F.coalesce("before", F.lit(0))).alias("new"), "total")
-        new = cut(new)
+        new = cut(state.join(best, "key", "left").select("key", "weeks", (F.col("weeks") + F.coalesce("before", F.lit(0))).alias("new"), "total"))
         if new.where("new <> total").isEmpty():
             break
         state = new.select("key", "weeks", F.col("new").alias("total"))

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 
 def gap_clusters(df: DataFrame, by: Sequence[str], value: str, gap: float, tie: str) -> DataFrame:
@@ -32,7 +33,7 @@ def gap_clusters_from_start(df: DataFrame, by: Sequence[str], value: str, gap: f
             clusters.append(n)
         return pdf.assign(cluster=clusters)
 
-    return df.groupBy(*by).applyInPandas(fold, df.schema.add("cluster", "int"))
+    return df.groupBy(*by).applyInPandas(fold, StructType([*df.schema.fields, StructField("cluster", IntegerType())]))
 
 
 def islands(df: DataFrame, by: Sequence[str], value: str, most: int = 1) -> DataFrame:

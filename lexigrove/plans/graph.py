@@ -304,7 +304,7 @@ def dag_successors(spark: SparkSession, d: str) -> DataFrame:
     return _parts(spark, d)[2]
 
 
-@query(sql(N, C, E, PARTS, "w AS (SELECT key, weeks AS total FROM p UNION ALL SELECT st.dst, w.total + p.weeks FROM w JOIN st ON st.src = w.key JOIN p ON p.key = st.dst)", recursive=True) + "SELECT key, max(total) AS weeks FROM w GROUP BY 1")
+@query(sql(N, C, E, PARTS, "w AS (SELECT key, weeks AS total FROM p UNION SELECT st.dst, w.total + p.weeks FROM w JOIN st ON st.src = w.key JOIN p ON p.key = st.dst)", recursive=True) + "SELECT key, max(total) AS weeks FROM w GROUP BY 1")
 def critical_path(spark: SparkSession, d: str) -> DataFrame:
     tracks, _, steps = _parts(spark, d)
     return op.longest_paths(tracks.select("key", "weeks"), steps)

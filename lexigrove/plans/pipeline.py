@@ -163,17 +163,19 @@ def stream_index_maintenance(spark: SparkSession, d: str) -> DataFrame:
     return maintain.current_index(spark, folder)
 
 
-@query("SELECT time_bucket(INTERVAL 1 HOUR, ts AT TIME ZONE 'UTC') AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+@query("SELECT epoch_us(ts) // 3600000000 AS hour, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def stream_windows(spark: SparkSession, d: str) -> DataFrame:
     """Hourly counts of events; as a batch the watermark holds nothing back."""
-    return maintain.windowed_counts(table(spark, d, "events"), "ts", ["event_type"], "1 hour", "2 hours")
+    w = maintain.windowed_counts(table(spark, d, "events"), "ts", ["event_type"], "1 hour", "2 hours")
+    return w.select(F.floor(F.unix_seconds("start") / 3600).alias("hour"), "event_type", "n")
 
 
 @query("""WITH s AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
 k AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM s)
-SELECT user_id, min(ts) AS start, max(ts) AS last, count(*) AS n FROM k GROUP BY user_id, k""")
+SELECT user_id, epoch_us(min(ts)) AS start_us, epoch_us(max(ts)) AS last_us, count(*) AS n FROM k GROUP BY user_id, k""")
 def stream_sessions(spark: SparkSession, d: str) -> DataFrame:
-    return maintain.sessions(table(spark, d, "events"), "user_id", "ts", "30 minutes")
+    s = maintain.sessions(table(spark, d, "events"), "user_id", "ts", "30 minutes")
+    return s.select("user_id", F.unix_micros("start").alias("start_us"), F.unix_micros("last").alias("last_us"), "n")
 
 
 @query("SELECT event_id, user_id, round(sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING), 4) AS total FROM events")

@@ -183,11 +183,11 @@ def links_cap(spark: SparkSession, d: str) -> DataFrame:
     return e.withColumn("k", F.row_number().over(Window.partitionBy("src").orderBy("dst"))).where("k <= 12")
 
 
-@query("SELECT id, rid, loaded_at, deleted_at FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY loaded_at DESC, deleted_at ASC NULLS FIRST, rid) AS rn FROM node) WHERE rn = 1")
+@query("SELECT id, rid, epoch_us(loaded_at) AS loaded_us, epoch_us(deleted_at) AS deleted_us FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY loaded_at DESC, deleted_at ASC NULLS FIRST, rid) AS rn FROM node) WHERE rn = 1")
 def upsert_last(spark: SparkSession, d: str) -> DataFrame:
     """Insert-or-replace: the last state of each id."""
     w = Window.partitionBy("id").orderBy(F.desc("loaded_at"), F.asc_nulls_first("deleted_at"), "rid")
-    return table(spark, d, "node").withColumn("rn", F.row_number().over(w)).where("rn = 1").select("id", "rid", "loaded_at", "deleted_at")
+    return table(spark, d, "node").withColumn("rn", F.row_number().over(w)).where("rn = 1").select("id", "rid", F.unix_micros("loaded_at").alias("loaded_us"), F.unix_micros("deleted_at").alias("deleted_us"))
 
 
 @query(sql(N) + "SELECT number, arg_min(key, rid) AS key FROM n WHERE number IS NOT NULL GROUP BY 1")
@@ -219,7 +219,7 @@ def part_guard(spark: SparkSession, d: str) -> DataFrame:
     return n.where(step(2).isin("a", "b", "c") & (F.split_part("number", F.lit("."), F.lit(1)) != step(3))).select("key", "number")
 
 
-@query(f"SELECT {key_sql('dst')} AS dst, count(*) AS n, min(seen_at) AS first, max(seen_at) AS last FROM (SELECT DISTINCT ref_id, dst, seen_at FROM ref) GROUP BY 1")
+@query(f"SELECT {key_sql('dst')} AS dst, count(*) AS n, epoch_us(min(seen_at)) AS first_us, epoch_us(max(seen_at)) AS last_us FROM (SELECT DISTINCT ref_id, dst, seen_at FROM ref) GROUP BY 1")
 def ref_activity(spark: SparkSession, d: str) -> DataFrame:
     """How often and when each target was cited; a hot target is combined before the shuffle."""
-    return table(spark, d, "ref").select("ref_id", "dst", "seen_at").distinct().groupBy(id_key("dst").alias("dst")).agg(F.count(F.lit(1)).alias("n"), F.min("seen_at").alias("first"), F.max("seen_at").alias("last"))
+    return table(spark, d, "ref").select("ref_id", "dst", "seen_at").distinct().groupBy(id_key("dst").alias("dst")).agg(F.count(F.lit(1)).alias("n"), F.unix_micros(F.min("seen_at")).alias("first_us"), F.unix_micros(F.max("seen_at")).alias("last_us"))

@@ -33,7 +33,8 @@ def current_index(spark: SparkSession, folder: str) -> DataFrame:
 
 def windowed_counts(stream: DataFrame, time: str, keys: list[str], width: str, late: str) -> DataFrame:
     """Counts per event-time window and key; rows later than `late` behind the newest are left out."""
-    return stream.withWatermark(time, late).groupBy(F.window(time, width).alias("w"), *keys).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), *keys, "n")
+    timed = stream.withColumn(time, F.col(time).cast("timestamp"))  # a watermark needs an instant
+    return timed.withWatermark(time, late).groupBy(F.window(time, width).alias("w"), *keys).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), *keys, "n")
 
 
 def run_to_table(spark: SparkSession, result: DataFrame, folder: str) -> DataFrame:
@@ -44,7 +45,7 @@ def run_to_table(spark: SparkSession, result: DataFrame, folder: str) -> DataFra
 
 def sessions(events: DataFrame, key: str, time: str, gap: str) -> DataFrame:
     """(key, start, last, n): sessions of events no further apart than `gap`, in batch or stream."""
-    s = events.groupBy(key, F.session_window(time, gap).alias("w")).agg(F.count("*").alias("n"), F.max(time).alias("last"))
+    s = events.withColumn(time, F.col(time).cast("timestamp")).groupBy(key, F.session_window(time, gap).alias("w")).agg(F.count("*").alias("n"), F.max(time).alias("last"))
     return s.select(key, F.col("w.start").alias("start"), "last", "n")
 
 
