@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import base64
-import os
 import re
-import tempfile
 import uuid
 from collections import Counter
 from collections.abc import Iterator
@@ -19,6 +17,7 @@ from pyspark.sql import functions as F
 
 from lexigrove.llm.flat import MEMO_PIECES, FlatMemo, slices
 from lexigrove.llm.transducer import Transducer
+from lexigrove.session import shared_dir
 
 TOKENIZERS = "/opt/tokenizers"
 #: Words of the lexicon. It is only a short cut: words outside it are merged exactly, so the result doesn't depend on it.
@@ -65,17 +64,17 @@ class Lexicon:
         self.offsets, self.ids = parts["offsets"], parts["ids"]
 
     @classmethod
-    def write(cls, words: list[str], encode, path: str) -> None:
+    def compile(cls, words: list[str], encode) -> bytes:
         ordered = sorted({w.encode() for w in words})
         t = Transducer.build(ordered)
         lists = [encode(w.decode()) for w in ordered]
         offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists], dtype=np.int64)]).astype(np.int64)
         arrays = dict(keys=t.keys, targets=t.targets, outputs=t.outputs, final=t.final, offsets=offsets, ids=np.array(list(chain.from_iterable(lists)), dtype=np.int32))
-        with open(path, "wb") as file:
-            file.write(np.array([len(arrays[n]) for n, _ in cls.FIELDS], dtype=np.int64).tobytes())
-            for name, kind in cls.FIELDS:
-                data = arrays[name].astype(kind).tobytes()
-                file.write(data + b"\0" * (-len(data) % 8))
+        parts = [np.array([len(arrays[n]) for n, _ in cls.FIELDS], dtype=np.int64).tobytes()]
+        for name, kind in cls.FIELDS:
+            data = arrays[name].astype(kind).tobytes()
+            parts.append(data + b"\0" * (-len(data) % 8))
+        return b"".join(parts)
 
 
 def word_memo(lexicon: Lexicon, encode) -> FlatMemo:
@@ -95,6 +94,17 @@ def encode_texts(memo: FlatMemo, texts: list[str | None]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
 
 
+def write_shared(spark: SparkSession, path: str, data: bytes) -> None:
+    """Write bytes to a file in the shared folder, whatever file system that is on."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter = Counter()
 
@@ -125,7 +135,7 @@ def encode(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Scale: two passes over the text, no shuffle of text: the first sends word counts, combined a task, the second
     nothing. What the driver holds is bounded by `lexicon_words`. A lost executor's tasks are simply run again, and
-    the lexicon file reaches new executors from the driver. Memory follows slices of some million characters, except
+    the lexicon stands in the shared folder, from where Spark brings it to new executors. Memory follows slices of some million characters, except
     that one text is encoded at once.
 
     Defined cases: a null and an empty text give an empty list; every row gives one row, repeated rows too; an empty
@@ -133,10 +143,10 @@ def encode(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     spark: SparkSession = documents.sparkSession
     words = frequent_words(documents, text_col, lexicon_words)
-    folder = tempfile.mkdtemp(prefix="lexicon-")
     name = f"lexicon-{uuid.uuid4().hex}.bin"  # Spark takes each name once
-    Lexicon.write(words, encoder(vocabulary).encode_ordinary, os.path.join(folder, name))
-    spark.sparkContext.addFile(os.path.join(folder, name))
+    path = f"{shared_dir(spark)}/{name}"
+    write_shared(spark, path, Lexicon.compile(words, encoder(vocabulary).encode_ordinary))
+    spark.sparkContext.addFile(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if name not in _lexicons:

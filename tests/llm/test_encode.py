@@ -42,7 +42,8 @@ def test_transducer_shares_suffixes():
 def memo_for(tmp_path, words):
     enc = encoder(VOCABULARY)
     path = str(tmp_path / "lexicon.bin")
-    Lexicon.write(words, enc.encode_ordinary, path)
+    with open(path, "wb") as file:
+        file.write(Lexicon.compile(words, enc.encode_ordinary))
     return word_memo(Lexicon(path), enc.encode_ordinary)
 
 
