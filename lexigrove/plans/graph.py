@@ -351,8 +351,7 @@ def resolve_anchor(spark: SparkSession, d: str) -> DataFrame:
     for i, (mine, ok, theirs) in enumerate(tiers, 1):
         one = q.withColumn("m", theirs).join(n.where(ok).withColumn("m", mine).select("m", "key", "volume", "page", "rid"), "m").withColumn("tier", F.lit(i)).drop("m", "k")
         found = one if found is None else found.unionByName(one)
-    first = F.row_number().over(Window.partitionBy("text").orderBy("tier", "volume", "page", "rid"))
-    return found.withColumn("k", first).where("k = 1").select("text", "tier", "key")
+    return found.groupBy("text").agg(F.min(F.struct("tier", "volume", "page", "rid", "key")).alias("m")).select("text", "m.tier", "m.key")
 
 
 LEAVES = """lv AS (SELECT c.ancestor AS article, n.rid, n.designator, n.body, n.modality FROM c JOIN n ON n.key = c.descendant WHERE n.body IS NOT NULL AND c.ancestor IN (SELECT key FROM n WHERE node_type = 'article'))"""
@@ -460,7 +459,7 @@ def bundle_lines(spark: SparkSession, d: str) -> DataFrame:
     return lines.distinct().withColumn("size", (1 + F.floor(F.length("line") / 4)).cast("bigint"))
 
 
-BUDGET = 2_000
+BUDGET = 1_000
 KEPT = f"kept AS (SELECT * FROM (SELECT *, sum(size) OVER (PARTITION BY article ORDER BY priority, ord, line ROWS UNBOUNDED PRECEDING) AS running FROM bl) WHERE running <= {BUDGET} OR priority <= 2)"
 
 
@@ -488,9 +487,8 @@ def bundle_markdown(spark: SparkSession, d: str) -> DataFrame:
 @query(sql(N, C, E, D, BUNDLE, KEPT) + "SELECT b.section, count(*) AS wanted, count(k.article) AS delivered, round(count(k.article) * 1.0 / count(*), 6) AS share FROM bl b LEFT JOIN kept k USING (article, priority, ord, line) GROUP BY 1")
 def bundle_completeness(spark: SparkSession, d: str) -> DataFrame:
     """Per section the share of wanted lines that the budget delivers."""
-    kept = F.col("running").isNotNull()
-    running = F.sum("size").over(Window.partitionBy("article").orderBy("priority", "ord", "line").rowsBetween(Window.unboundedPreceding, 0))
-    lines = bundle_lines(spark, d).withColumn("total", running).withColumn("running", F.when((F.col("total") <= BUDGET) | (F.col("priority") <= 2), F.col("total")))
-    return lines.groupBy("section").agg(F.count(F.lit(1)).alias("wanted"), F.count_if(kept).alias("delivered"), F.round(F.count_if(kept) / F.count(F.lit(1)), 6).alias("share"))
+    count = lambda df, name: df.groupBy("section").agg(F.count("*").alias(name))
+    both = count(bundle_lines(spark, d), "wanted").join(count(_kept(spark, d), "delivered"), "section", "left").fillna(0, ["delivered"])
+    return both.withColumn("share", F.round(F.col("delivered") / F.col("wanted"), 6))
 
 

@@ -87,6 +87,18 @@ WITH RECURSIVE n AS (SELECT DISTINCT rid, {_key("id")} AS key, {_key("parent")}
 c AS (SELECT rid, key, 'direct' AS how, 0 AS round FROM n WHERE up IS NOT NULL AND up NOT IN (SELECT key FROM n WHERE key IS NOT NULL)
       UNION SELECT n.rid, n.key, 'inherited', c.round + 1 FROM n JOIN c ON n.up = c.key WHERE c.round < 200)
 SELECT rid, arg_min(how, round) AS how, CAST(min(round) AS INTEGER) AS round FROM c GROUP BY rid""",
+    "p2_report": f"""
+WITH RECURSIVE n AS (SELECT DISTINCT rid, {_key("id")} AS key, {_key("parent")} AS up FROM node),
+c AS (SELECT rid, key, up, 'direct' AS how, 0 AS round FROM n WHERE up IS NOT NULL AND up NOT IN (SELECT key FROM n WHERE key IS NOT NULL)
+      UNION SELECT n.rid, n.key, n.up, 'inherited', c.round + 1 FROM n JOIN c ON n.up = c.key WHERE c.round < 200),
+nd AS (SELECT rid, up, arg_min(how, round) AS how FROM c GROUP BY 1, 2),
+ends AS (SELECT DISTINCT * FROM ({_P2_ENDS})), lives AS ({_P2_LIVES}),
+direct AS (SELECT e.* FROM ends e WHERE NOT EXISTS (SELECT 1 FROM lives a WHERE a.parent = e.parent AND a.key = e.key AND a.loaded_at <= e.seen_at AND (a.deleted_at IS NULL OR a.deleted_at > e.seen_at))),
+below AS (SELECT e.* FROM ends e WHERE e.parent = 'node' AND e.key IN (SELECT key FROM c) AND (e.ref_id, e.field) NOT IN (SELECT ref_id, field FROM direct)),
+f AS (SELECT 'node' AS target_table, NULL AS month, how, 'node' AS tab, rid AS record FROM nd
+      UNION ALL SELECT parent, strftime(seen_at AT TIME ZONE 'UTC', '%Y-%m'), 'direct', 'ref', ref_id FROM direct
+      UNION ALL SELECT parent, strftime(seen_at AT TIME ZONE 'UTC', '%Y-%m'), 'inherited', 'ref', ref_id FROM below)
+SELECT target_table, month, how, count(*) AS ends, count(DISTINCT (tab, record)) AS records FROM f GROUP BY 1, 2, 3""",
     "p4_found": f"""
 WITH RECURSIVE n AS (
   SELECT {_key("id")} AS key, min(id) AS label, min({_key("parent")}) FILTER (WHERE {_key("parent")} IN (SELECT {_key("id")} FROM node)) AS up
