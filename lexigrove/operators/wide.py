@@ -12,7 +12,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Columns of a wide row; a catalog beyond this is refused, since a DataFrame's schema lives on the driver.
@@ -183,8 +183,16 @@ class ColumnBuilder:
         return pa.Array.from_buffers(pa.int64(), n, [bits, pa.py_buffer(full)])
 
 
+@lru_cache(maxsize=100_000)
+def _head_key(text: str | None) -> str | None:
+    return next(iter(head_forms(text)), None)
+
+
 def _builder(attrs: list[tuple[str, str, str | None]]):
-    """Streams sorted (table_id, r, attr index, text) rows into wide batches; an entity may span input batches."""
+    """Streams entities (table_id, r, cells) into wide batches of bounded size.
+
+    cells: (column, row the cell stands in, attribute index, key of the column's head, text).
+    """
     names = ["table_id", "r", *(a for a, _, _ in attrs)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,22 +201,29 @@ def _builder(attrs: list[tuple[str, str, str | None]]):
             return pa.RecordBatch.from_arrays([pa.array(tables, pa.string()), pa.array(rows, pa.int32()), *(c.finish(n) for c in columns)], names=names)
 
         tables, rows, columns = [], [], [ColumnBuilder(k) for _, k, _ in attrs]
-        last, filled = None, set()
         for batch in batches:
-            for t, r, a, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (t, r) != last:
-                    if len(tables) >= 8_192:
-                        yield flush()
-                        tables, rows, columns = [], [], [ColumnBuilder(k) for _, k, _ in attrs]
-                    last, filled = (t, r), set()
-                    tables.append(t)
-                    rows.append(r)
-                if a is None or a in filled:
-                    continue
-                value = parse_value(text, attrs[a][1], attrs[a][2])
-                if value is not None:
-                    columns[a].put(len(tables) - 1, value)
-                    filled.add(a)
+            keys, places = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            bounds, flat = batch.column(2).offsets.to_pylist(), batch.column(2).values
+            parts = [flat.field(i).to_pylist() for i in range(5)]
+            for i, (table_id, r) in enumerate(zip(keys, places, strict=True)):
+                # Of several cells over one place the one that begins lowest holds.
+                cells = {}
+                for cell in sorted(zip(*(x[bounds[i] : bounds[i + 1]] for x in parts), strict=True), key=lambda x: x[:2]):
+                    cells[cell[0]] = cell
+                own = [(key, text) for _, at, _, key, text in cells.values() if at == r and _head_key(text)]
+                if len(own) > 1 and all(key == _head_key(text) for key, text in own):
+                    continue  # the head again
+                filled = set()
+                for _, _, a, _, text in cells.values():
+                    value = None if a is None or a in filled else parse_value(text, attrs[a][1], attrs[a][2])
+                    if value is not None:
+                        columns[a].put(len(tables), value)
+                        filled.add(a)
+                tables.append(table_id)
+                rows.append(r)
+                if len(tables) >= 8_192:
+                    yield flush()
+                    tables, rows, columns = [], [], [ColumnBuilder(k) for _, k, _ in attrs]
         if tables:
             yield flush()
 
@@ -267,27 +282,23 @@ def wide_rows(cells: DataFrame, catalog: DataFrame, block_rows: int = BLOCK_ROWS
             once[t] = (hit or (forms[0] if forms else None), keys.get(hit) if hit else None)
         return pd.DataFrame({"key": [once[t][0] for t in text], "attr": pd.array([once[t][1] for t in text], dtype="Int32")})
 
-    block = F.floor(F.col("r") / block_rows).cast("int")
+    block = lambda c: F.floor(F.col(c) / block_rows).cast("int")
     latest = current_cells(cells)
-    width = latest.groupBy("table_id").agg(F.max(F.col("c") + F.col("colspan")).alias("ncols"), F.min("r").alias("r0"), F.max(F.col("r") + F.col("rowspan")).alias("r1"))
-    blocks = F.explode(F.sequence(F.floor(F.col("r0") / block_rows).cast("int"), F.floor(F.col("r1") / block_rows).cast("int")))
+    # One pass for width and head of each table: the rows per span are few.
+    per_span = latest.groupBy("table_id", "colspan").agg(F.min("r").alias("r0"), F.max(F.col("r") + F.col("rowspan")).alias("r1"), F.max(F.col("c") + F.col("colspan")).alias("reach"))
     # A one-column table has no cell that is as wide as the table and yet a caption.
-    body = latest.withColumn("blk", block).join(width.withColumn("blk", blocks), ["table_id", "blk"]).where("colspan < ncols or ncols = 1")
-    head_row = body.groupBy("table_id").agg(F.min("r").alias("head_r"), F.max("r1").alias("r1"), F.min("r0").alias("r0"))
-    placed = body.select("table_id", "blk", "r", "c", "text", "rowspan").join(head_row.withColumn("blk", blocks).select("table_id", "blk", "head_r"), ["table_id", "blk"])
-    heads = placed.where("r = head_r").select("table_id", "c", head_of("text").alias("h")).select("table_id", "c", F.col("h.key").alias("head_key"), F.col("h.attr").alias("attr"))
-    heads = heads.join(head_row.withColumn("blk", blocks).select("table_id", "blk"), "table_id")
-    spans = F.explode(F.sequence(F.col("r"), F.col("r") + F.col("rowspan") - 1)).alias("row")
-    spread = placed.where("r > head_r").select("table_id", "c", "text", F.col("r").alias("own_r"), spans).withColumnRenamed("row", "r").withColumn("blk", block)
-    spread = spread.groupBy("table_id", "blk", "r", "c").agg(F.max(F.struct("own_r", "text")).alias("s")).select("table_id", "blk", "r", "c", "s.own_r", "s.text")
-    joined = spread.join(heads, ["table_id", "blk", "c"], "left")
-    # A row that prints the head again: each of its own filled cells has the text of its column's head.
-    bare = F.lower(F.regexp_replace(F.coalesce("text", F.lit("")), r"(?U)[^\p{L}\p{N}]+", ""))
-    filled = (F.col("own_r") == F.col("r")) & (bare != "")
-    rows = joined.where(filled).select("table_id", "r", head_of("text").alias("h"), "head_key").groupBy("table_id", "r").agg(F.min(F.coalesce(F.col("h.key") == F.col("head_key"), F.lit(False))).alias("again"), F.count(F.lit(1)).alias("n"))
-    repeats = rows.where("again and n >= 2").select("table_id", "r")
-    entities = joined.join(repeats, ["table_id", "r"], "left_anti").select("table_id", "blk", "r", "attr", "c", "text")
-    ordered = entities.repartition("table_id", "blk").sortWithinPartitions("table_id", "r", "c").select("table_id", "r", "attr", "text")
+    inner = (F.col("colspan") < F.col("ncols")) | (F.col("ncols") == 1)
+    width = per_span.withColumn("ncols", F.max("reach").over(Window.partitionBy("table_id")))
+    found = width.groupBy("table_id", "ncols").agg(F.min(F.when(inner, F.col("r0"))).alias("head_r"), F.max("r1").alias("r1")).where("head_r is not null")
+    head = latest.join(found.select("table_id", "ncols", F.col("head_r").alias("r")), ["table_id", "r"]).where(inner).select("table_id", "c", head_of("text").alias("h"))
+    head = head.groupBy("table_id").agg(F.map_from_entries(F.collect_list(F.struct("c", "h"))).alias("head"))
+    blocks = F.explode(F.sequence(block("head_r"), block("r1")))
+    known = found.join(head, "table_id").select("table_id", "ncols", "head_r", "head", blocks.alias("blk"))
+    spread = latest.select("table_id", "c", "text", "colspan", F.col("r").alias("own_r"), F.explode(F.sequence(F.col("r"), F.col("r") + F.col("rowspan") - 1)).alias("r")).withColumn("blk", block("r"))
+    placed = spread.join(known, ["table_id", "blk"]).where(inner & (F.col("own_r") > F.col("head_r"))).withColumn("h", F.try_element_at("head", F.col("c")))
+    # The join's partitioning by table and block also serves the grouping by entity.
+    entities = placed.groupBy("table_id", "blk", "r").agg(F.collect_list(F.struct("c", "own_r", "h.attr", "h.key", "text")).alias("cells"))
+    ordered = entities.sortWithinPartitions("table_id", "r").select("table_id", "r", "cells")
     schema = ", ".join(["table_id string", "r int", *(f"`{a}` {SPARK_TYPES.get(k, 'string')}" for a, k, *_ in attrs)])
     return ordered.mapInArrow(_builder([(a, k if k in SPARK_TYPES else "text", u) for a, k, u, *_ in attrs]), schema)
 
