@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 MAX_ATTRS = 4_000
 #: Rows of a table that travel together; a long table is spread over many tasks.
 BLOCK_ROWS = 4_096
+#: A longer text states no figure, date or boolean, and a longer head has no note mark or unit to take off.
+LONGEST_FIGURE = 200
 SPARK_TYPES = {"decimal": "decimal(20,2)", "integer": "bigint", "boolean": "boolean", "date": "date", "text": "string"}
 
 # How printed tables write a value.
@@ -68,6 +70,8 @@ def head_keys(label: str | None, unit: str | None) -> set[str]:
 def head_forms(text: str | None) -> list[str]:
     """Keys of a printed head, the best first."""
     plain = folded(text).rstrip(" :")
+    if len(plain) > LONGEST_FIGURE:
+        return [_bare(plain)] if _bare(plain) else []
     cut = without_note(plain).rstrip(" :")
     inner = re.sub(r"\s*[(\[]\s*\d{1,2}\s*[)\]]\s*", " ", cut)
     return list(dict.fromkeys(k for k in (_bare(cut), _bare(inner), _bare(plain)) if k))
@@ -91,7 +95,8 @@ def _number(text: str, integer: bool) -> Decimal | int | None:
     if m := _SIGN.match(text):
         sign, text = (1 if m[1] == "+" else -1), text[m.end() :]
     if integer:
-        return sign * int(re.sub(r"\D", "", text)) if _INTEGER.fullmatch(text) else None
+        digits = re.sub(r"\D", "", text)
+        return sign * int(digits) if _INTEGER.fullmatch(text) and len(digits) <= 18 else None
     if m := _MIXED.fullmatch(text):
         if m[2]:
             value = Decimal(m[1] or 0) + Decimal(FRACTIONS[m[2]])
@@ -130,6 +135,8 @@ def _date(text: str) -> datetime.date | None:
 def parse_value(text: str | None, kind: str, unit: str | None):
     """The typed value that a printed cell states, or None."""
     plain = folded(text)
+    if len(plain) > LONGEST_FIGURE and kind != "text":
+        return None
     if not plain or _DASHES.fullmatch(plain) or plain.lower() in NO_VALUE:
         return None
     if kind == "text":
@@ -263,7 +270,7 @@ def wide_rows(cells: DataFrame, catalog: DataFrame, block_rows: int = BLOCK_ROWS
     the latest loaded_at holds, a null one is the oldest; a cell as wide as the table is a caption or divider; the
     first other row is the head; a row whose filled cells all repeat the head is no entity; a cell with rowspan n
     gives its value to n rows, unless a row has a cell of its own there; of two columns for one attr the leftmost
-    value holds; an entity without any value keeps its row; a text that states no value of its type is null;
+    value holds; an entity without any value keeps its row; a text that states no value of its type, or a number beyond 18 digits, is null;
     an empty table gives no rows; extra columns are ignored.
     """
     attrs = catalog_rows(catalog)

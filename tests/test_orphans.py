@@ -55,3 +55,8 @@ def test_empty_tables(spark):
 def test_report(spark):
     t = tables(spark, [(1, "a", None, T[0], None)], [(1, "a", "x", "code", T[2]), (2, "a", "y", "code", T[2])])
     assert [tuple(r) for r in orphan_report(orphans(t, KEYS)).collect()] == [("node", "2024-01", "direct", 2, 2)]
+
+
+def test_very_long_ids(spark):
+    long = "x/" * 100_000
+    assert set(found(spark, [(1, long, None, T[0], None)], [(1, f" {long.upper()}\n", long + "y", "code", T[2])])) == {("ref", "1", "dst")}

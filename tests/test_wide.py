@@ -87,3 +87,9 @@ def test_long_table_over_many_blocks_and_batches(spark):
 def test_typed_columns(spark):
     kinds = dict(wide_rows(cells(spark, []), catalog(spark)).dtypes)
     assert kinds == {"table_id": "string", "r": "int", "width": "bigint", "load": "decimal(20,2)", "comb": "boolean", "eff": "date", "mat": "string"}
+
+
+def test_very_long_texts(spark):
+    long = "1" * 200_000
+    rows = grid("t", [["Item", "Width", "Mat.", "Load"], ["a", long, "x " * 100_000, " " * 200_000], ["b", "(1)" * 50_000, "y", "- " * 100_000]])
+    assert values(spark, rows) == {("t", 1, "mat", "x " * 99_999 + "x"), ("t", 2, "mat", "y")}
