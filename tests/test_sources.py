@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import pytest
+
 from lexigrove.sources import jsonl, manifest, sinks
+from lexigrove.sources.tables import table
 from lexigrove.streaming import maintain
 from tests.util import rows
 
@@ -52,3 +55,15 @@ def test_stream_windows_equal_batch(spark, data, tmp_path):
     streamed = {tuple(r) for r in got.collect()}
     # In append mode the windows that the watermark hasn't passed stay open.
     assert streamed <= whole and len(streamed) >= len(whole) - 10
+
+
+def test_publish_replaces_a_table(spark, tmp_path):
+    path = str(tmp_path / "t.parquet")
+    assert sinks.publish(spark.range(5), path) == 5
+    assert sinks.publish(spark.read.parquet(path).where("id < 3"), path) == 3
+    assert spark.read.parquet(path).count() == 3 and [p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")] == ["t.parquet"]
+
+
+def test_missing_table_names_its_path(spark, tmp_path):
+    with pytest.raises(FileNotFoundError, match="nothing.parquet"):
+        table(spark, str(tmp_path), "nothing")
