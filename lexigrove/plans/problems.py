@@ -78,7 +78,40 @@ _P2_LIVES = f"""
     SELECT DISTINCT 'node' AS parent, {_key("id")} AS key, loaded_at, deleted_at FROM node
     UNION ALL SELECT DISTINCT 'definition', {_key("id")}, loaded_at, deleted_at FROM definition"""
 
+_SPACES = "[\\s\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200b}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}\\x{feff}]+"
+_NOTES = "( ?[(\\[] ?[0-9]{1,2} ?[)\\]])+$"
+_BARE = "regexp_replace(lower({}), '[^a-z0-9]', '', 'g')"
+_HEAD = _BARE.replace("{}", f"regexp_replace(rtrim(b.t, ' :'), '{_NOTES}', '')")
+_WHOLE = "coalesce(nullif(regexp_extract(t, '^([0-9]*)', 1), ''), '0')"
+_P3 = f"""
+WITH g AS (SELECT table_id, r, c, greatest(coalesce(rowspan, 1), 1) AS rowspan, greatest(coalesce(colspan, 1), 1) AS colspan, trim(regexp_replace(coalesce(text, ''), '{_SPACES}', ' ', 'g')) AS t
+  FROM (SELECT *, row_number() OVER (PARTITION BY table_id, r, c ORDER BY loaded_at DESC NULLS LAST, text DESC NULLS LAST) AS rn FROM cell WHERE table_id IS NOT NULL AND r IS NOT NULL AND c IS NOT NULL) WHERE rn = 1),
+w AS (SELECT table_id, max(c + colspan) AS ncols FROM g GROUP BY 1),
+b AS (SELECT g.* FROM g JOIN w USING (table_id) WHERE colspan < ncols OR ncols = 1),
+h AS (SELECT table_id, min(r) AS head_r FROM b GROUP BY 1),
+k AS (SELECT attr, data_type, unit, unnest([{_BARE.format("label")}, {_BARE.format("label || coalesce(unit, '')")}, {_BARE.format("short_label")}, {_BARE.format("short_label || coalesce(unit, '')")}]) AS key FROM attr_catalog),
+hd AS (SELECT b.table_id, b.c, {_HEAD} AS key FROM b JOIN h ON h.table_id = b.table_id AND h.head_r = b.r),
+ag AS (SELECT b.table_id, b.r FROM b JOIN h USING (table_id) LEFT JOIN hd ON hd.table_id = b.table_id AND hd.c = b.c WHERE b.r > head_r AND {_HEAD} <> '' GROUP BY 1, 2 HAVING count(*) > 1 AND bool_and({_HEAD} IS NOT DISTINCT FROM hd.key)),
+sp AS (SELECT table_id, c, t, r AS own_r, unnest(range(r, r + rowspan)) AS r FROM b JOIN h USING (table_id) WHERE r > head_r),
+ce AS (SELECT table_id, CAST(r AS INTEGER) AS r, c, arg_max(t, own_r) AS t FROM sp GROUP BY 1, 2, 3),
+v AS (SELECT DISTINCT ce.table_id, ce.r, ce.c, k.attr, k.data_type, ce.t AS full_text,
+    regexp_replace(trim(CASE WHEN unit IS NOT NULL AND ends_with(lower(n), lower(unit)) THEN left(n, length(n) - length(unit)) ELSE n END), '{_NOTES}', '') AS u
+  FROM (SELECT *, regexp_replace(t, '{_NOTES}', '') AS n FROM ce) ce JOIN hd ON hd.table_id = ce.table_id AND hd.c = ce.c JOIN k ON k.key = hd.key
+  WHERE (ce.table_id, ce.r) NOT IN (SELECT table_id, r FROM ag) AND NOT regexp_full_match(ce.t, '[-\\s\\x{{2010}}-\\x{{2015}}\\x{{2212}}_.]*') AND lower(ce.t) NOT IN ('n/a', 'n.a.')),
+s AS (SELECT *, CASE WHEN regexp_matches(u, '^[-\\x{{2212}}\\x{{2010}}-\\x{{2015}}] ?[0-9.,½¼¾]') THEN '-' ELSE '' END AS sign, regexp_replace(u, '^[-\\x{{2212}}\\x{{2010}}-\\x{{2015}}] ?', '') AS t FROM v),
+x AS (SELECT table_id, r, c, attr, CASE data_type
+    WHEN 'text' THEN full_text
+    WHEN 'integer' THEN CASE WHEN regexp_full_match(t, '[0-9]{{1,3}}([ ,][0-9]{{3}})+|[0-9]+') THEN CAST(CAST(sign || regexp_replace(t, '[^0-9]', '', 'g') AS BIGINT) AS VARCHAR) END
+    WHEN 'decimal' THEN CASE WHEN regexp_full_match(t, '[0-9]+([.,][0-9]*)?|[.,][0-9]+') THEN CAST(CAST(sign || replace(t, ',', '.') AS DECIMAL(20, 2)) AS VARCHAR)
+      WHEN regexp_full_match(t, '[0-9]* ?[½¼¾]') THEN CAST(CAST(sign || {_WHOLE} || CASE WHEN t LIKE '%½' THEN '.5' WHEN t LIKE '%¼' THEN '.25' ELSE '.75' END AS DECIMAL(20, 2)) AS VARCHAR)
+      WHEN regexp_full_match(t, '([0-9]+ )?[0-9]+ ?[/\\x{{2044}}] ?[1-9][0-9]*') THEN CAST(CAST(CASE WHEN sign = '' THEN 1 ELSE -1 END * (CAST(coalesce(nullif(regexp_extract(t, '^([0-9]+) [0-9]', 1), ''), '0') AS DOUBLE)
+        + CAST(regexp_extract(t, '([0-9]+) ?[/\\x{{2044}}]', 1) AS DOUBLE) / CAST(regexp_extract(t, '([0-9]+)$', 1) AS DOUBLE)) AS DECIMAL(20, 2)) AS VARCHAR) END
+    WHEN 'boolean' THEN CASE WHEN lower(u) IN ('yes', 'y', 'required', 'permitted') THEN 'true' WHEN lower(u) IN ('no', 'n', 'not required', 'not permitted') THEN 'false' END
+    WHEN 'date' THEN CAST(CAST(coalesce(try_strptime(u, '%Y-%m-%d'), try_strptime(u, '%Y/%m/%d'), try_strptime(lower(u), '%d %b. %Y'), try_strptime(lower(u), '%d %B %Y'), try_strptime(lower(u), '%B %d, %Y')) AS DATE) AS VARCHAR) END AS val FROM s)
+SELECT table_id, r, attr, arg_min(val, c) AS val FROM x WHERE val IS NOT NULL GROUP BY 1, 2, 3"""
+
 ORACLE = {
+    "p3_found": _P3,
     "p2_found": f"""
 SELECT DISTINCT e.ref_id, e.field FROM ({_P2_ENDS}) e
 WHERE NOT EXISTS (SELECT 1 FROM ({_P2_LIVES}) a WHERE a.parent = e.parent AND a.key = e.key AND a.loaded_at <= e.seen_at AND (a.deleted_at IS NULL OR a.deleted_at > e.seen_at))""",
