@@ -269,6 +269,20 @@ def bound_tables(spark: SparkSession, d: str) -> DataFrame:
     return by_edge.withColumn("how", F.lit("edge")).unionByName(by_number)
 
 
+OWNED = """ta AS (SELECT key, regexp_replace(number, '[.]$', '') AS number FROM n WHERE node_type = 'table'),
+ow AS (SELECT DISTINCT c.ancestor AS owner, e.dst AS bound FROM c JOIN e ON e.src = c.descendant WHERE e.kind = 'cap_ref' AND e.dst IN (SELECT key FROM ta)),
+owned AS (SELECT owner, bound FROM ow UNION ALL SELECT a.key, t.key FROM n a JOIN ta t ON t.number = a.number AND split_part(t.key, '/', 1) = split_part(a.key, '/', 1) AND split_part(t.key, '/', 2) = split_part(a.key, '/', 2)
+  WHERE a.node_type = 'article' AND a.key NOT IN (SELECT owner FROM ow))"""
+
+
+def owned_tables(spark: SparkSession, d: str) -> DataFrame:
+    """(owner, bound): the tables of every node, not only of articles: those its subtree cites, for an article else the one with its number."""
+    t = nodes(spark, d).where("node_type = 'table'").select(F.col("key").alias("dst"))
+    cites = edges(spark, d).where("kind = 'cap_ref'").join(t, "dst", "left_semi").select(F.col("src").alias("descendant"), F.col("dst").alias("bound"))
+    by_edge = links(spark, d).join(cites, "descendant").select(F.col("ancestor").alias("owner"), "bound").distinct()
+    return by_edge.unionByName(bound_tables(spark, d).where("how = 'number'").select(F.col("article").alias("owner"), "bound"))
+
+
 @query(sql(D, C) + """, x AS (SELECT key, 'v1/' || lower(blob) AS home FROM d WHERE blob IS NOT NULL)
 SELECT key AS ancestor, key AS descendant, 0 AS depth FROM x UNION ALL SELECT c.ancestor, x.key, c.depth + 1 FROM x JOIN c ON c.descendant = x.home""")
 def closure_extend(spark: SparkSession, d: str) -> DataFrame:

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexigrove.functions import text as T
+from lexigrove.functions.ids import trimmed
 from lexigrove.functions.rules import MODALITY, MODALITY_RENDERED, ROLES, first_match, first_match_sql
+from lexigrove.plans.graph import OWNED, owned_tables
 from lexigrove.plans.registry import Registry
-from lexigrove.plans.views import D, E, G, N, cells, definitions, edges, nodes, sql
+from lexigrove.plans.views import C, D, E, G, N, WS, cells, definitions, edges, nodes, sql
 from lexigrove.plans.windows import LINES, lines
 from lexigrove.sources.tables import table
 
@@ -216,6 +218,16 @@ def project_body(spark: SparkSession, d: str) -> DataFrame:
     return nodes(spark, d).where("body is not null").select("key", F.when(long, F.rtrim(F.left("body", F.lit(600)))).otherwise(F.col("body")).alias("body"))
 
 
+@query(sql(N, C, E, OWNED) + f"""SELECT key, CASE WHEN length(s) > 600 AND node_type IN ('article', 'sentence') AND key IN (SELECT owner FROM owned) THEN trim(left(s, 600), {WS}) ELSE s END AS body
+FROM (SELECT key, node_type, trim(body, {WS}) AS s FROM n WHERE body IS NOT NULL)""")
+def project_body_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Bodies, of which only those of an article or sentence that owns a table are cut: its cells stand for the tail."""
+    owners = owned_tables(spark, d).select(F.col("owner").alias("key")).distinct().withColumn("owns", F.lit(True))
+    b = nodes(spark, d).where("body is not null").select("key", "node_type", trimmed("body").alias("s")).join(owners, "key", "left")
+    long = (F.length("s") > 600) & F.col("node_type").isin("article", "sentence") & F.col("owns")
+    return b.select("key", F.when(long, trimmed(F.left("s", F.lit(600)))).otherwise(F.col("s")).alias("body"))
+
+
 @query(sql(N) + "SELECT node_type, CAST(sum(length(body) // 4) AS BIGINT) AS tokens FROM n WHERE body IS NOT NULL GROUP BY 1")
 def token_budget(spark: SparkSession, d: str) -> DataFrame:
     return nodes(spark, d).where("body is not null").groupBy("node_type").agg(F.sum(F.floor(F.length("body") / 4)).alias("tokens"))
