@@ -42,7 +42,8 @@ def neighbors(spark: SparkSession, d: str, anchor: str) -> DataFrame:
 
 
 def what_cites(spark: SparkSession, d: str, anchor: str) -> DataFrame:
-    return graph.what_cites(spark, d).where(F.col("dst") == _key(anchor)).orderBy("src", "kind")
+    """What cites a node or anything in its subtree."""
+    return graph.what_cites_whole(spark, d, _key(anchor)).orderBy("src", "kind")
 
 
 def capabilities(spark: SparkSession, d: str) -> DataFrame:

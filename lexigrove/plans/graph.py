@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexigrove.operators import graph as op
@@ -128,6 +128,17 @@ def what_cites(spark: SparkSession, d: str) -> DataFrame:
     return refs.union(e.where("kind = 'term'").select("dst", "src", F.lit("uses_term"))).distinct()
 
 
+@query(sql(C, E) + """, w AS (SELECT dst, src, CASE WHEN kind = 'term' THEN 'uses_term' ELSE kind END AS kind FROM e WHERE dst IS NOT NULL), p AS (SELECT ancestor, descendant FROM c UNION SELECT dst, dst FROM w)
+SELECT DISTINCT p.ancestor, w.src, w.kind FROM p JOIN w ON w.dst = p.descendant""")
+def what_cites_whole(spark: SparkSession, d: str, anchor: Column | None = None) -> DataFrame:
+    """(ancestor, src, kind): what cites a node or anything in its subtree, for all nodes or one anchor; a target outside of the closure stands for itself."""
+    w = what_cites(spark, d)
+    pairs = links(spark, d).select("ancestor", F.col("descendant").alias("dst")).unionByName(w.select(F.col("dst").alias("ancestor"), "dst")).distinct()
+    if anchor is not None:
+        pairs = pairs.where(F.col("ancestor") == anchor)
+    return pairs.join(w, "dst").select("ancestor", "src", "kind").distinct()
+
+
 @query(sql(N, C) + """SELECT descendant AS key, arg_min(ancestor, (c.depth, ancestor)) AS owner FROM c JOIN n ON n.key = c.ancestor WHERE n.node_type = 'article' GROUP BY 1""")
 def article_of(spark: SparkSession, d: str) -> DataFrame:
     return op.nearest_of_type(links(spark, d), nodes(spark, d), ["article"])

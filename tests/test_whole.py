@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 
+from lexigrove import api
 from lexigrove.plans import graph, texts
 from tests.util import rows
 
@@ -38,3 +39,13 @@ def test_project_body_cuts_only_owners_of_tables(spark, small):
         ref=[{"ref_id": 1, "src": "a/(1)", "dst": "t", "kind": "cap_ref"}],
     )
     assert {r.key: len(r.body) for r in texts.project_body_whole(spark, d).collect()} == {"a/(1)": 599, "a/(2)": 999, "t": 999}
+
+
+def test_what_cites_looks_at_the_subtree(spark, small):
+    d = small(
+        node=[node(1, "a", "article"), node(2, "a/(1)", "sentence", "a"), node(3, "b", "article")],
+        closure=closure(("a", "a", 0), ("a", "a/(1)", 1), ("a/(1)", "a/(1)", 0)),
+        ref=[{"ref_id": i, "src": s, "dst": t, "kind": k} for i, (s, t, k) in enumerate([("b", "a/(1)", "code_ref"), ("b", "a", "code_ref"), ("c", "A/(1) ", "term"), ("b", "z", "note")])],
+    )
+    assert rows(api.what_cites(spark, d, " A").select("src", "kind")) == [("b", "code_ref"), ("c", "uses_term")]
+    assert rows(graph.what_cites_whole(spark, d)) == [("a", "b", "code_ref"), ("a", "c", "uses_term"), ("a/(1)", "b", "code_ref"), ("a/(1)", "c", "uses_term"), ("z", "b", "note")]
