@@ -33,8 +33,8 @@ def get_provision(spark: SparkSession, d: str, anchor: str) -> DataFrame:
 
 
 def get_context(spark: SparkSession, d: str, anchor: str) -> DataFrame:
-    """The budgeted context bundle of an article as Markdown."""
-    return graph.bundle_markdown(spark, d).where(F.col("article") == _key(anchor))
+    """The budgeted context bundle of any node as Markdown."""
+    return graph.bundle_markdown_whole(spark, d, _key(anchor))
 
 
 def neighbors(spark: SparkSession, d: str, anchor: str) -> DataFrame:

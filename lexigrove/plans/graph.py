@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lexigrove.functions.ids import id_key
 from lexigrove.operators import graph as op
 from lexigrove.operators.hierarchy import closure_pairs, hierarchy
+from lexigrove.plans.aggregates import table_text
 from lexigrove.plans.registry import Registry
 from lexigrove.plans.views import C, D, E, G, N, cells, definitions, edges, key_sql, links, nodes, sql
 from lexigrove.sources.tables import table
@@ -517,3 +519,104 @@ def bundle_completeness(spark: SparkSession, d: str) -> DataFrame:
     return both.withColumn("share", F.round(F.col("delivered") / F.col("wanted"), 6))
 
 
+# The whole bundle, of every live node: all eleven sections and the rows of the tables. Lines up to MUST are never dropped; of an
+# anchor's own tables these are the first OWN_ROWS rows. What can be dropped goes from the end: cited_by, standards, cites, notes, more rows.
+SECTIONS = ["anchor", "ancestors", "text", "terms", "cites", "notes", "tables", "standards", "amendments", "cited_by", "unresolved"]
+MUST, OWN_ROWS = 7, 15
+MARK = r"O[.] Reg[.](?: [0-9]+/[0-9]+)?"
+ROW_TEXT = """tr AS (SELECT key, r, line, row_number() OVER (PARTITION BY key ORDER BY r, line) AS nth FROM (SELECT """ + key_sql("table_id") + """ AS key, r, string_agg(trim(regexp_replace(coalesce(text, ''), '[ \\n\\r\\t]+', ' ', 'g')), ' | ' ORDER BY c) AS line FROM g GROUP BY table_id, r))"""
+BUNDLE_WHOLE = f"""sc AS (SELECT ancestor AS anchor, descendant AS src, depth FROM c WHERE ancestor IN (SELECT key FROM n)),
+og AS (SELECT DISTINCT sc.anchor, e.kind, e.dst FROM sc JOIN e ON e.src = sc.src WHERE e.dst IS NOT NULL),
+ot AS (SELECT o.owner AS anchor, n.key, n.rid, n.id FROM owned o JOIN n ON n.key = o.bound WHERE o.owner IN (SELECT key FROM n)),
+ln AS (SELECT n.key AS anchor, 1 AS priority, 'anchor' AS section, n.rid AS ord, coalesce(n.heading, n.id) AS line FROM n
+ UNION ALL SELECT c.descendant, 2, 'ancestors', -c.depth, concat_ws(' ', coalesce(n.designator, n.id), n.heading) FROM c JOIN n ON n.key = c.ancestor WHERE c.depth > 0 AND c.descendant IN (SELECT key FROM n)
+ UNION ALL SELECT sc.anchor, 3, 'text', n.rid, n.body FROM sc JOIN n ON n.key = sc.src WHERE n.body IS NOT NULL
+ UNION ALL SELECT og.anchor, 4, 'terms', k, d.body FROM (SELECT anchor, dst, row_number() OVER (PARTITION BY anchor ORDER BY dst) AS k FROM og WHERE kind = 'term') og JOIN d ON d.key = og.dst
+ UNION ALL SELECT anchor, 5, 'tables', rid * 1000000, id FROM ot
+ UNION ALL SELECT ot.anchor, CASE WHEN tr.nth <= {OWN_ROWS} THEN 5 ELSE 8 END, 'tables', ot.rid * 1000000 + 1 + tr.r, tr.line FROM ot JOIN tr USING (key)
+ UNION ALL SELECT x.anchor, 6, 'amendments', x.rid, x.id || ': ' || x.mark FROM (SELECT sc.anchor, n.rid, n.id, unnest(regexp_extract_all(n.body, '{MARK}')) AS mark FROM sc JOIN n ON n.key = sc.src WHERE n.body LIKE '%O. Reg.%') x
+ UNION ALL SELECT sc.anchor, 7, 'unresolved', e.ref_id, '"' || coalesce(e.text, '') || '" (' || coalesce(e.kind, '') || ') - ' || coalesce(e.reason, '') FROM sc JOIN e ON e.src = sc.src WHERE e.dst IS NULL
+ UNION ALL SELECT og.anchor, 9, 'notes', n.rid, coalesce(left(n.body, 400), n.heading, n.id) FROM og JOIN n ON n.key = og.dst WHERE og.kind = 'note'
+ UNION ALL SELECT og.anchor, 10, 'cites', n.rid, coalesce(n.heading, left(n.body, 400), n.id) FROM og JOIN n ON n.key = og.dst WHERE og.kind IN ('code_ref', 'act_ref', 'short')
+ UNION ALL SELECT sc.anchor, 11, 'standards', n.rid, coalesce(nullif(trim(e.text), ''), n.designator, n.id) FROM sc JOIN e ON e.src = sc.src JOIN n ON n.key = e.dst WHERE e.kind = 'supp'
+ UNION ALL SELECT x.anchor, 12, 'cited_by', n.rid, n.id FROM (SELECT DISTINCT sc.anchor, e.src FROM sc JOIN e ON e.dst = sc.src) x JOIN n ON n.key = x.src),
+bl AS (SELECT anchor, priority, section, ord, line, 1 + length(line) // 4 AS size FROM (SELECT DISTINCT * FROM ln))"""
+KEPT_WHOLE = f"kept AS (SELECT * FROM (SELECT *, sum(size) OVER (PARTITION BY anchor ORDER BY priority, ord, line ROWS UNBOUNDED PRECEDING) AS running FROM bl) WHERE running <= {BUDGET} OR priority <= {MUST})"
+
+
+def bundle_lines_whole(spark: SparkSession, d: str, anchor: Column | None = None) -> DataFrame:
+    """(anchor, priority, section, ord, line, size) of the bundles of all live nodes, or of one anchor."""
+    n, e, c = nodes(spark, d), edges(spark, d), links(spark, d)
+    only = lambda df, name: df if anchor is None else df.where(F.col(name) == anchor)
+    a = only(n.select("key", "rid", "id", "heading").withColumn("anchor", F.col("key")), "anchor")
+    keys = a.select("anchor")
+    scope = only(c, "ancestor").select(F.col("ancestor").alias("anchor"), F.col("descendant").alias("src")).join(keys, "anchor", "left_semi")
+    out = scope.join(e.where("dst is not null").select("src", "kind", "dst").distinct(), "src").select("anchor", "kind", "dst").distinct()
+    own = only(owned_tables(spark, d), "owner").select(F.col("owner").alias("anchor"), F.col("bound").alias("key")).join(keys, "anchor", "left_semi").join(n.select("key", "rid", "id"), "key")
+    text = table_text(spark, d).select(id_key("table_id").alias("key"), "r", F.col("line").alias("cells")).withColumn("nth", F.row_number().over(Window.partitionBy("key").orderBy("r", "cells")))
+
+    def part(priority: Column | int, section: str, rows: DataFrame, line, order: Column | str = "rid") -> DataFrame:
+        order = F.col(order) if isinstance(order, str) else order
+        return rows.select("anchor", (F.lit(priority) if isinstance(priority, int) else priority).alias("priority"), F.lit(section).alias("section"), order.cast("bigint").alias("ord"), line.alias("line"))
+
+    hit = out.join(n.select(F.col("key").alias("dst"), "rid", "heading", "body", "id"), "dst")
+    above = only(c.where("depth > 0"), "descendant").select(F.col("descendant").alias("anchor"), F.col("ancestor").alias("key"), "depth").join(keys, "anchor", "left_semi").join(n.select("key", "id", "designator", "heading"), "key")
+    bodies = scope.join(n.where("body is not null").select(F.col("key").alias("src"), "rid", "id", "body"), "src")
+    marks = bodies.where(F.col("body").contains("O. Reg.")).select("anchor", "rid", "id", F.explode(F.regexp_extract_all("body", F.lit(MARK), F.lit(0))).alias("mark"))
+    terms = out.where("kind = 'term'").withColumn("rid", F.row_number().over(Window.partitionBy("anchor").orderBy("dst"))).join(definitions(spark, d).select(F.col("key").alias("dst"), "body"), "dst")
+    supp = scope.join(e.where("kind = 'supp'").select("src", "dst", "text"), "src").join(n.select(F.col("key").alias("dst"), "rid", "designator", "id"), "dst")
+    open_ = scope.join(e.where("dst is null").select("src", "ref_id", "kind", "reason", "text"), "src")
+    into = scope.withColumnRenamed("src", "dst").join(e.select("src", "dst").distinct(), "dst").select("anchor", "src").distinct().join(n.select(F.col("key").alias("src"), "rid", "id"), "src")
+    short, blank = F.left("body", F.lit(400)), F.lit("")
+    million = F.col("rid") * 1_000_000
+    parts = [
+        part(1, "anchor", a, F.coalesce("heading", "id")),
+        part(2, "ancestors", above, F.concat_ws(" ", F.coalesce("designator", "id"), "heading"), -F.col("depth")),
+        part(3, "text", bodies, F.col("body")),
+        part(4, "terms", terms, F.col("body")),
+        part(5, "tables", own, F.col("id"), million),
+        part(F.when(F.col("nth") <= OWN_ROWS, 5).otherwise(8), "tables", own.join(text, "key"), F.col("cells"), million + 1 + F.col("r")),
+        part(6, "amendments", marks, F.concat("id", F.lit(": "), "mark")),
+        part(7, "unresolved", open_, F.concat(F.lit('"'), F.coalesce("text", blank), F.lit('" ('), F.coalesce("kind", blank), F.lit(") - "), F.coalesce("reason", blank)), "ref_id"),
+        part(9, "notes", hit.where("kind = 'note'"), F.coalesce(short, "heading", "id")),
+        part(10, "cites", hit.where("kind in ('code_ref', 'act_ref', 'short')"), F.coalesce("heading", short, "id")),
+        part(11, "standards", supp, F.coalesce(F.nullif(F.trim("text"), blank), "designator", "id")),
+        part(12, "cited_by", into, F.col("id")),
+    ]
+    lines = parts[0]
+    for p in parts[1:]:
+        lines = lines.unionByName(p)
+    return lines.distinct().withColumn("size", (1 + F.floor(F.length("line") / 4)).cast("bigint"))
+
+
+def _kept_whole(spark: SparkSession, d: str, anchor: Column | None = None) -> DataFrame:
+    return op.within_budget(bundle_lines_whole(spark, d, anchor), "anchor", ["priority", "ord", "line"], BUDGET, MUST)
+
+
+WHOLE = (N, C, E, D, G, OWNED, ROW_TEXT, BUNDLE_WHOLE)
+
+
+@query(sql(*WHOLE) + "SELECT anchor, section, count(*) AS lines, sum(size) AS tokens FROM bl GROUP BY 1, 2")
+def context_bundle_whole(spark: SparkSession, d: str) -> DataFrame:
+    return bundle_lines_whole(spark, d).groupBy("anchor", "section").agg(F.count(F.lit(1)).alias("lines"), F.sum("size").alias("tokens"))
+
+
+@query(sql(*WHOLE, KEPT_WHOLE) + "SELECT anchor, priority, ord, line, running FROM kept")
+def bundle_trim_whole(spark: SparkSession, d: str) -> DataFrame:
+    return _kept_whole(spark, d).select("anchor", "priority", "ord", "line", "running")
+
+
+@query(sql(*WHOLE, KEPT_WHOLE) + f"SELECT anchor, string_agg('[' || section || '] ' || line, chr(10) ORDER BY list_position({SECTIONS}, section), ord, line) AS markdown FROM kept GROUP BY 1")
+def bundle_markdown_whole(spark: SparkSession, d: str, anchor: Column | None = None) -> DataFrame:
+    """The rendered bundle of each node, or of one anchor, in the order of SECTIONS."""
+    place = F.array_position(F.array(*[F.lit(x) for x in SECTIONS]), F.col("section"))
+    lines = F.sort_array(F.collect_list(F.struct(place.alias("place"), "ord", "line", "section")))
+    return _kept_whole(spark, d, anchor).groupBy("anchor").agg(F.array_join(F.transform(lines, lambda x: F.concat(F.lit("["), x["section"], F.lit("] "), x["line"])), "\n").alias("markdown"))
+
+
+@query(sql(*WHOLE, KEPT_WHOLE) + "SELECT section, wanted, coalesce(delivered, 0) AS delivered, round(coalesce(delivered, 0) * 1.0 / wanted, 6) AS share FROM (SELECT section, count(*) AS wanted FROM bl GROUP BY 1) LEFT JOIN (SELECT section, count(*) AS delivered FROM kept GROUP BY 1) USING (section)")
+def bundle_completeness_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Per section of the whole bundle the share of wanted lines that the budget delivers."""
+    count = lambda df, name: df.groupBy("section").agg(F.count("*").alias(name))
+    both = count(bundle_lines_whole(spark, d), "wanted").join(count(_kept_whole(spark, d), "delivered"), "section", "left").fillna(0, ["delivered"])
+    return both.withColumn("share", F.round(F.col("delivered") / F.col("wanted"), 6))

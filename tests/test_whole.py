@@ -49,3 +49,18 @@ def test_what_cites_looks_at_the_subtree(spark, small):
     )
     assert rows(api.what_cites(spark, d, " A").select("src", "kind")) == [("b", "code_ref"), ("c", "uses_term")]
     assert rows(graph.what_cites_whole(spark, d)) == [("a", "b", "code_ref"), ("a", "c", "uses_term"), ("a/(1)", "b", "code_ref"), ("a/(1)", "c", "uses_term"), ("z", "b", "note")]
+
+
+def test_bundle_has_all_sections_and_table_rows(spark, small):
+    refs = [("cap_ref", "t", None), ("supp", "sb-2", "SB-2"), ("note", "x", None), ("code_ref", "b", None), ("term", "def", None), ("code_ref", None, "9.9.9")]
+    d = small(
+        node=[node(1, "s", "section", heading="Scope"), node(2, "a", "article", "s", heading="Art"), node(3, "a/(1)", "sentence", "a", body="As O. Reg. 88/21 requires."), node(4, "t", "table"), node(5, "sb-2", "supplementary_standard"), node(6, "x", "note", body="why"), node(7, "b", "article", heading="B")],
+        closure=closure(("s", "s", 0), ("s", "a", 1), ("s", "a/(1)", 2), ("a", "a", 0), ("a", "a/(1)", 1), ("a/(1)", "a/(1)", 0)),
+        ref=[{"ref_id": i, "src": "a/(1)", "dst": t, "kind": k, "text": x, "reason": None if t else "nowhere"} for i, (k, t, x) in enumerate(refs)] + [{"ref_id": 9, "src": "b", "dst": "a", "kind": "code_ref"}],
+        cell=[{"table_id": "T", "r": i, "c": k, "text": f"{i}.{k}"} for i in range(20) for k in range(2)],
+        definition=[{"id": "def", "body": "meaning"}],
+    )
+    text = api.get_context(spark, d, "A").first().markdown.split("\n")
+    rows_ = [f"[tables] {i}.0 | {i}.1" for i in range(20)]
+    assert text == ["[anchor] Art", "[ancestors] s Scope", "[text] As O. Reg. 88/21 requires.", "[terms] meaning", "[cites] B", "[notes] why", "[tables] t", *rows_, "[standards] SB-2", "[amendments] a/(1): O. Reg. 88/21", "[cited_by] b", '[unresolved] "9.9.9" (code_ref) - nowhere']
+    assert {r.section for r in graph.bundle_completeness_whole(spark, d).collect()} == set(graph.SECTIONS)
