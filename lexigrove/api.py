@@ -18,6 +18,10 @@ def _key(anchor: str) -> Column:
     return id_key(F.lit(anchor))
 
 
+def _one(spark: SparkSession, anchor: str) -> DataFrame:
+    return spark.range(1).select(_key(anchor).alias("key"))
+
+
 def search(spark: SparkSession, d: str, query: str, limit: int = 10) -> DataFrame:
     """The best nodes for a text by BM25, with a snippet."""
     n = nodes(spark, d)
@@ -28,8 +32,8 @@ def search(spark: SparkSession, d: str, query: str, limit: int = 10) -> DataFram
 
 
 def get_provision(spark: SparkSession, d: str, anchor: str) -> DataFrame:
-    """The text leaves of an article with their modality, in document order."""
-    return graph.get_provision(spark, d).where(F.col("article") == _key(anchor)).orderBy("rid")
+    """The text leaves of any node with their modality, in document order."""
+    return graph.get_provision_whole(spark, d, _one(spark, anchor)).orderBy("rid")
 
 
 def get_context(spark: SparkSession, d: str, anchor: str) -> DataFrame:
@@ -38,7 +42,7 @@ def get_context(spark: SparkSession, d: str, anchor: str) -> DataFrame:
 
 
 def neighbors(spark: SparkSession, d: str, anchor: str) -> DataFrame:
-    return graph.neighbors(spark, d).where(F.col("key") == _key(anchor)).orderBy("rel", "other")
+    return graph.neighbors_whole(spark, d, _one(spark, anchor)).orderBy("rel", "other")
 
 
 def what_cites(spark: SparkSession, d: str, anchor: str) -> DataFrame:

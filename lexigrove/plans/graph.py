@@ -24,6 +24,11 @@ LEAF_TYPES = ("sentence", "clause", "subclause")
 ANCHOR = "article"
 
 
+def _anchors(n: DataFrame, anchors: DataFrame | None) -> DataFrame:
+    """Live nodes, of the given anchors (key) where there are any."""
+    return n if anchors is None else n.join(anchors.select("key").distinct(), "key", "left_semi")
+
+
 @query(sql(TREE, recursive=True) + "SELECT ancestor, descendant, depth FROM pairs")
 def closure(spark: SparkSession, d: str) -> DataFrame:
     return closure_pairs(hierarchy(table(spark, d, "node")))
@@ -48,6 +53,14 @@ def subtree(spark: SparkSession, d: str) -> DataFrame:
     return op.subtree(links(spark, d), n, n.where("node_type = 'section'"))
 
 
+@query(sql(N, C) + """SELECT c.ancestor AS anchor, n.key, c.depth, n.page, n.rid, row_number() OVER (PARTITION BY c.ancestor ORDER BY c.depth, n.page, n.rid) AS ord
+FROM c JOIN n ON n.key = c.descendant WHERE c.ancestor IN (SELECT key FROM n)""")
+def subtree_whole(spark: SparkSession, d: str, anchors: DataFrame | None = None) -> DataFrame:
+    """The subtree of every live node, or of the given anchors (key)."""
+    n = nodes(spark, d)
+    return op.subtree(links(spark, d), n, _anchors(n, anchors))
+
+
 @query(sql(C) + "SELECT ancestor, count(*) AS descendants, max(depth) AS height FROM c GROUP BY 1")
 def subtree_size(spark: SparkSession, d: str) -> DataFrame:
     return links(spark, d).groupBy("ancestor").agg(F.count(F.lit(1)).alias("descendants"), F.max("depth").alias("height"))
@@ -63,7 +76,18 @@ def closure_rollup(spark: SparkSession, d: str) -> DataFrame:
 @query(sql(N, C) + """SELECT c.descendant AS key, c.ancestor, row_number() OVER (PARTITION BY c.descendant ORDER BY c.depth DESC, c.ancestor) AS pos
 FROM c JOIN n ON n.key = c.descendant WHERE n.node_type = 'article'""")
 def ancestors(spark: SparkSession, d: str) -> DataFrame:
-    n = nodes(spark, d).where("node_type = 'article'").select(F.col("key").alias("descendant"))
+    return _ancestors(spark, d, nodes(spark, d).where("node_type = 'article'"))
+
+
+@query(sql(N, C) + """SELECT c.descendant AS key, c.ancestor, row_number() OVER (PARTITION BY c.descendant ORDER BY c.depth DESC, c.ancestor) AS pos
+FROM c WHERE c.descendant IN (SELECT key FROM n)""")
+def ancestors_whole(spark: SparkSession, d: str, anchors: DataFrame | None = None) -> DataFrame:
+    """The ancestors of every live node, or of the given anchors (key)."""
+    return _ancestors(spark, d, _anchors(nodes(spark, d), anchors))
+
+
+def _ancestors(spark: SparkSession, d: str, a: DataFrame) -> DataFrame:
+    n = a.select(F.col("key").alias("descendant"))
     return links(spark, d).join(n, "descendant", "left_semi").select(F.col("descendant").alias("key"), "ancestor", F.row_number().over(Window.partitionBy("descendant").orderBy(F.desc("depth"), "ancestor")).alias("pos"))
 
 
@@ -75,8 +99,22 @@ UNION ALL SELECT DISTINCT src, CASE WHEN kind = 'term' THEN 'term' ELSE 'out' EN
 UNION ALL SELECT key, 'in', src FROM i WHERE k <= 50""")
 def neighbors(spark: SparkSession, d: str) -> DataFrame:
     """Parent, children, outgoing, term and the first 50 incoming neighbours of each article."""
+    return _neighbors(spark, d, nodes(spark, d).where("node_type = 'article'"))
+
+
+@query(sql(N, E) + """, i AS (SELECT dst AS key, src, row_number() OVER (PARTITION BY dst ORDER BY src) AS k FROM (SELECT DISTINCT dst, src FROM e WHERE dst IN (SELECT key FROM n)))
+SELECT key, 'parent' AS rel, up AS other FROM n WHERE up IS NOT NULL
+UNION ALL SELECT up, 'child', key FROM n WHERE up IN (SELECT key FROM n)
+UNION ALL SELECT DISTINCT src, CASE WHEN kind = 'term' THEN 'term' ELSE 'out' END, dst FROM e WHERE dst IS NOT NULL AND src IN (SELECT key FROM n)
+UNION ALL SELECT key, 'in', src FROM i WHERE k <= 50""")
+def neighbors_whole(spark: SparkSession, d: str, anchors: DataFrame | None = None) -> DataFrame:
+    """The neighbours of every live node, or of the given anchors (key)."""
+    return _neighbors(spark, d, _anchors(nodes(spark, d), anchors))
+
+
+def _neighbors(spark: SparkSession, d: str, anchors: DataFrame) -> DataFrame:
     n, e = nodes(spark, d), edges(spark, d)
-    a = n.where("node_type = 'article'").select("key", "up")
+    a = anchors.select("key", "up")
     keys = a.select("key")
     parent = a.where("up is not null").select("key", F.lit("parent").alias("rel"), F.col("up").alias("other"))
     child = n.select(F.col("key").alias("other"), F.col("up").alias("key")).join(keys, "key", "left_semi").select("key", F.lit("child").alias("rel"), "other")
@@ -101,6 +139,18 @@ def hub_nodes(spark: SparkSession, d: str) -> DataFrame:
     return op.dependencies(links(spark, d), edges(spark, d), n).groupBy("anchor").agg(F.count(F.lit(1)).alias("deps")).where("deps > 50")
 
 
+@query(sql(N, C, E, DEPS) + "SELECT anchor, count(*) AS deps FROM deps WHERE anchor IN (SELECT key FROM n) GROUP BY 1")
+def dep_count_whole(spark: SparkSession, d: str, anchors: DataFrame | None = None) -> DataFrame:
+    """The dependencies of every live node that has any, or of the given anchors (key)."""
+    return op.dependencies(links(spark, d), edges(spark, d), _anchors(nodes(spark, d), anchors)).groupBy("anchor").agg(F.count(F.lit(1)).alias("deps"))
+
+
+@query(sql(N, C, E, DEPS) + "SELECT anchor, count(*) AS deps FROM deps WHERE anchor IN (SELECT key FROM n) GROUP BY 1 HAVING count(*) > 50")
+def hub_nodes_whole(spark: SparkSession, d: str, anchors: DataFrame | None = None) -> DataFrame:
+    """Nodes of any type with more than 50 dependencies."""
+    return dep_count_whole(spark, d, anchors).where("deps > 50")
+
+
 HUBS = "hubs AS (SELECT dst AS key FROM (SELECT DISTINCT src, dst FROM e WHERE dst IS NOT NULL) GROUP BY 1 HAVING count(*) > 50)"
 
 
@@ -384,9 +434,9 @@ def resolve_anchor(spark: SparkSession, d: str) -> DataFrame:
 LEAVES = """lv AS (SELECT c.ancestor AS article, n.rid, n.designator, n.body, n.modality FROM c JOIN n ON n.key = c.descendant WHERE n.body IS NOT NULL AND c.ancestor IN (SELECT key FROM n WHERE node_type = 'article'))"""
 
 
-def _leaves(spark: SparkSession, d: str) -> DataFrame:
+def _leaves(spark: SparkSession, d: str, anchors: DataFrame | None = None) -> DataFrame:
     n = nodes(spark, d)
-    a = n.where("node_type = 'article'").select(F.col("key").alias("ancestor"))
+    a = (n.where("node_type = 'article'") if anchors is None else anchors).select(F.col("key").alias("ancestor"))
     text = n.where("body is not null").select(F.col("key").alias("descendant"), "rid", "designator", "body", "modality")
     return links(spark, d).join(a, "ancestor", "left_semi").join(text, "descendant").select(F.col("ancestor").alias("article"), "rid", "designator", "body", "modality")
 
@@ -397,6 +447,12 @@ def get_provision(spark: SparkSession, d: str) -> DataFrame:
     return _leaves(spark, d)
 
 
+@query(sql(N, C) + "SELECT c.ancestor AS anchor, n.rid, n.designator, n.body, n.modality FROM c JOIN n ON n.key = c.descendant WHERE n.body IS NOT NULL AND c.ancestor IN (SELECT key FROM n)")
+def get_provision_whole(spark: SparkSession, d: str, anchors: DataFrame | None = None) -> DataFrame:
+    """The text leaves of every live node, or of the given anchors (key), with their modality."""
+    return _leaves(spark, d, _anchors(nodes(spark, d), anchors)).withColumnRenamed("article", "anchor")
+
+
 @query(sql(N, C, LEAVES) + """, t AS (SELECT c.descendant AS key, string_agg(p.heading, ' > ' ORDER BY c.depth DESC, p.rid) AS trail FROM c JOIN n p ON p.key = c.ancestor WHERE c.depth > 0 AND p.heading IS NOT NULL GROUP BY 1),
 b AS (SELECT article, string_agg(body, chr(10) ORDER BY rid) AS body FROM lv GROUP BY 1)
 SELECT n.key AS article, left(coalesce(t.trail, '') || chr(10) || coalesce(b.body, ''), 1400) AS text FROM n LEFT JOIN t ON t.key = n.key LEFT JOIN b ON b.article = n.key WHERE n.node_type = 'article'""")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 import pytest
 
 from lexigrove import api
@@ -64,3 +66,16 @@ def test_bundle_has_all_sections_and_table_rows(spark, small):
     rows_ = [f"[tables] {i}.0 | {i}.1" for i in range(20)]
     assert text == ["[anchor] Art", "[ancestors] s Scope", "[text] As O. Reg. 88/21 requires.", "[terms] meaning", "[cites] B", "[notes] why", "[tables] t", *rows_, "[standards] SB-2", "[amendments] a/(1): O. Reg. 88/21", "[cited_by] b", '[unresolved] "9.9.9" (code_ref) - nowhere']
     assert {r.section for r in graph.bundle_completeness_whole(spark, d).collect()} == set(graph.SECTIONS)
+
+
+def test_tools_take_any_node(spark, small):
+    d = small(
+        node=[node(1, "s", "section"), node(2, "n", "note", "s", body="text"), node(3, "x", "act_section"), node(4, "gone", "note", body="old", deleted_at=datetime.datetime(2024, 1, 1))],
+        closure=closure(("s", "s", 0), ("s", "n", 1), ("n", "n", 0), ("gone", "gone", 0)),
+        ref=[{"ref_id": 1, "src": "n", "dst": "x", "kind": "act_ref"}],
+    )
+    assert [rows(api.get_provision(spark, d, a).select("anchor", "body")) for a in ("S", "n", "gone")] == [[("s", "text")], [("n", "text")], []]
+    assert rows(api.neighbors(spark, d, "n")) == [("n", "out", "x"), ("n", "parent", "s")] and rows(api.neighbors(spark, d, "x")) == [("x", "in", "n")]
+    assert rows(graph.ancestors_whole(spark, d)) == [("n", "n", 2), ("n", "s", 1), ("s", "s", 1)]
+    assert rows(graph.subtree_whole(spark, d).select("anchor", "key")) == [("n", "n"), ("s", "n"), ("s", "s")]
+    assert rows(graph.dep_count_whole(spark, d)) == [("n", 1), ("s", 1)] and rows(graph.hub_nodes_whole(spark, d)) == []
