@@ -7,7 +7,7 @@ import datetime
 import pytest
 
 from lexigrove import api
-from lexigrove.plans import graph, texts
+from lexigrove.plans import graph, pipeline, texts
 from tests.util import rows
 
 
@@ -79,3 +79,19 @@ def test_tools_take_any_node(spark, small):
     assert rows(graph.ancestors_whole(spark, d)) == [("n", "n", 2), ("n", "s", 1), ("s", "s", 1)]
     assert rows(graph.subtree_whole(spark, d).select("anchor", "key")) == [("n", "n"), ("s", "n"), ("s", "s")]
     assert rows(graph.dep_count_whole(spark, d)) == [("n", 1), ("s", 1)] and rows(graph.hub_nodes_whole(spark, d)) == []
+
+
+def test_manifest_verify_remembers_the_files(spark, tmp_path):
+    d = tmp_path / "tables"
+    for name in ("node", "ref", "part", "cell"):
+        spark.range(9).coalesce(1).write.parquet(str(d / f"{name}.parquet"))
+    files = {p.parent.stem: p for p in d.glob("*/*.parquet")}
+    assert {r.status for r in pipeline.manifest_verify(spark, str(d)).collect()} == {"ok"}
+    files["node"].write_bytes(files["node"].read_bytes()[::-1])
+    files["ref"].write_text("version https://git-lfs.github.com/spec/v1\nsize 9\n")
+    files["part"].unlink()
+    spark.range(9).coalesce(1).write.parquet(str(d / "new.parquet"))
+    for crc in d.glob("*/.*.crc"):
+        crc.unlink()
+    got = {r.path.split(".")[0]: r.status for r in pipeline.manifest_verify(spark, str(d)).collect()}
+    assert got == {"node": "digest", "ref": "stub", "part": "missing", "cell": "ok", "new": "undeclared"}
