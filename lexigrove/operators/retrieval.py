@@ -43,11 +43,18 @@ def bm25(docs: DataFrame, queries: DataFrame, id_col: str, text_col: str, stop:
     return total.withColumn("rank", rank).where(F.col("rank") <= top)
 
 
+def _first_k(sim: np.ndarray, k: int) -> np.ndarray:
+    """A mask of the k largest values of each row; of equal ones the first."""
+    kth = np.partition(sim, -k, axis=1)[:, [-k]]
+    above, level = sim > kth, sim == kth
+    return above | level & (np.cumsum(level, axis=1) <= k - above.sum(axis=1, keepdims=True))
+
+
 def knn(vectors: DataFrame, queries: DataFrame, id_col: str, vec_col: str, top: int, block: int = QUERY_BLOCK) -> DataFrame:
     """(qid, id, sim, rank): the `top` nearest vectors of each query by inner product, itself included, exactly.
 
-    The query set is broadcast in blocks of bounded size; each batch of vectors keeps its best `top` per query, so what
-    is shuffled is bounded by queries * top per batch.
+    The query set is broadcast in blocks of bounded size; each batch of vectors keeps its best `top` per query by the
+    final order (rounded similarity, then id), so what is shuffled is bounded by queries * top per batch.
     """
     found = None
     rows = queries.select(F.col(id_col).alias("qid"), F.col(vec_col).alias("v")).where("v is not null").toLocalIterator()
@@ -68,12 +75,14 @@ def knn(vectors: DataFrame, queries: DataFrame, id_col: str, vec_col: str, top:
                 width = q.shape[1]
                 v = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
                 keys = batch.column(0).to_numpy()
+                by_id = np.argsort(keys, kind="stable")
+                v, keys = v[by_id], keys[by_id]
                 for lo in range(0, len(qids), 256):
                     sim = q[lo : lo + 256] @ v.T
+                    sim = np.copysign(np.floor(np.abs(sim) * 1e6 + 0.5) / 1e6, sim)
                     k = min(top, sim.shape[1])
-                    best = np.argpartition(-sim, k - 1, axis=1)[:, :k]
-                    n = sim.shape[0]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(qids[lo : lo + n], k)), pa.array(keys[best].ravel()), pa.array(np.take_along_axis(sim, best, axis=1).ravel())], names=["qid", "id", "sim"])
+                    row, col = np.nonzero(_first_k(np.where(np.isnan(sim), np.inf, sim), k))
+                    yield pa.RecordBatch.from_arrays([pa.array(qids[lo + row]), pa.array(keys[col]), pa.array(sim[row, col])], names=["qid", "id", "sim"])
 
         one = vectors.select(id_col, vec_col).where(F.col(vec_col).isNotNull()).mapInArrow(run, "qid bigint, id bigint, sim double")
         found = one if found is None else found.unionByName(one)

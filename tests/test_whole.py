@@ -7,6 +7,7 @@ import datetime
 import pytest
 
 from lexigrove import api
+from lexigrove.operators import retrieval
 from lexigrove.plans import graph, pipeline, texts
 from tests.util import rows
 
@@ -95,3 +96,13 @@ def test_manifest_verify_remembers_the_files(spark, tmp_path):
         crc.unlink()
     got = {r.path.split(".")[0]: r.status for r in pipeline.manifest_verify(spark, str(d)).collect()}
     assert got == {"node": "digest", "ref": "stub", "part": "missing", "cell": "ok", "new": "undeclared"}
+
+
+def test_knn_of_equal_vectors_takes_the_smallest_ids(spark):
+    ids = [(i * 37) % 200 for i in range(200)]
+    v = spark.createDataFrame([(i, [1.0, 0.0] if i % 4 else [0.5, 0.5]) for i in ids], "vec_id bigint, embedding array<float>")
+    q = v.where("vec_id in (0, 1)")
+    want = [i for i in range(200) if i % 4][:5]
+    for parts in (1, 3):
+        got = retrieval.knn(v.repartition(parts), q, "vec_id", "embedding", 5).orderBy("qid", "rank").collect()
+        assert [r.id for r in got if r.qid == 1] == want and [r.id for r in got if r.qid == 0] == list(range(5))
