@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexigrove.functions import text as T
-from lexigrove.functions.ids import trimmed
+from lexigrove.functions.ids import id_key, trimmed
 from lexigrove.functions.rules import MODALITY, MODALITY_RENDERED, ROLES, first_match, first_match_sql
 from lexigrove.plans.graph import OWNED, owned_tables
 from lexigrove.plans.registry import Registry
-from lexigrove.plans.views import C, D, E, G, N, WS, cells, definitions, edges, nodes, sql
+from lexigrove.plans.views import C, D, E, G, N, WS, cells, definitions, edges, key_sql, links, nodes, sql
 from lexigrove.plans.windows import LINES, lines
 from lexigrove.sources.tables import table
 
@@ -218,8 +218,11 @@ def project_body(spark: SparkSession, d: str) -> DataFrame:
     return nodes(spark, d).where("body is not null").select("key", F.when(long, F.rtrim(F.left("body", F.lit(600)))).otherwise(F.col("body")).alias("body"))
 
 
-@query(sql(N, C, E, OWNED) + f"""SELECT key, CASE WHEN length(s) > 600 AND node_type IN ('article', 'sentence') AND key IN (SELECT owner FROM owned) THEN trim(left(s, 600), {WS}) ELSE s END AS body
-FROM (SELECT key, node_type, trim(body, {WS}) AS s FROM n WHERE body IS NOT NULL)""")
+PROJECTED = f"""pb AS (SELECT key, CASE WHEN length(s) > 600 AND node_type IN ('article', 'sentence') AND key IN (SELECT owner FROM owned) THEN trim(left(s, 600), {WS}) ELSE s END AS body
+FROM (SELECT key, node_type, trim(body, {WS}) AS s FROM n WHERE body IS NOT NULL))"""
+
+
+@query(sql(N, C, E, OWNED, PROJECTED) + "SELECT key, body FROM pb")
 def project_body_whole(spark: SparkSession, d: str) -> DataFrame:
     """Bodies, of which only those of an article or sentence that owns a table are cut: its cells stand for the tail."""
     owners = owned_tables(spark, d).select(F.col("owner").alias("key")).distinct().withColumn("owns", F.lit(True))
@@ -228,6 +231,40 @@ def project_body_whole(spark: SparkSession, d: str) -> DataFrame:
     return b.select("key", F.when(long, trimmed(F.left("s", F.lit(600)))).otherwise(F.col("s")).alias("body"))
 
 
+# Types of node that a trail names, and the length of an article's text after its trail.
+TRAIL = ("division", "part", "section", "subsection", "appendix", "supplementary_standard", "act")
+ARTICLE_CHARS = 1400
+
+
+@query(sql(N, C, E, G, OWNED, PROJECTED) + f""", a AS (SELECT key FROM n WHERE node_type = 'article'),
+tr AS (SELECT c.descendant AS key, string_agg(h.line, ' > ' ORDER BY c.depth DESC, h.rid) AS trail FROM c JOIN (SELECT key, rid, trim(concat_ws(' ', nullif(designator, ''), nullif(heading, '')), {WS}) AS line FROM n WHERE node_type IN {TRAIL}) h ON h.key = c.ancestor WHERE c.depth > 0 AND h.line <> '' GROUP BY 1),
+sg AS (SELECT c.ancestor AS key, string_agg(s.seg, ' ' ORDER BY c.depth, s.rid) AS own FROM c JOIN (SELECT n.key, n.rid, trim(concat_ws(' ', nullif(n.designator, ''), nullif(n.heading, ''), nullif(pb.body, '')), {WS}) AS seg FROM n LEFT JOIN pb USING (key)) s ON s.key = c.descendant WHERE s.seg <> '' GROUP BY 1),
+ce AS (SELECT o.owner AS key, string_agg(x.t, ' ' ORDER BY x.key, x.r, x.c, x.t) AS cells FROM owned o JOIN (SELECT {key_sql("table_id")} AS key, r, c, trim(text, {WS}) AS t FROM g) x ON x.key = o.bound WHERE x.t <> '' GROUP BY 1)
+SELECT a.key AS article, coalesce(tr.trail || chr(10), '') || left(concat_ws(' ', sg.own, ce.cells), {ARTICLE_CHARS}) AS text FROM a LEFT JOIN tr USING (key) LEFT JOIN sg USING (key) LEFT JOIN ce USING (key)""")
+def article_text_whole(spark: SparkSession, d: str) -> DataFrame:
+    """The text by which an article is found: its trail, and up to 1,400 characters of designators, headings and projected bodies of its subtree, then the cells of its tables."""
+    n, c = nodes(spark, d), links(spark, d)
+    a = n.where("node_type = 'article'").select("key")
+    filled = lambda *cs: trimmed(F.concat_ws(" ", *[F.nullif(x, F.lit("")) for x in cs]))
+    longest = F.lit(ARTICLE_CHARS)
+
+    def gathered(rows: DataFrame, order: list[str], name: str) -> DataFrame:
+        # Each piece has a character and a space, so more than half as many pieces as characters are never seen.
+        nth = F.row_number().over(Window.partitionBy("key").orderBy(*order))
+        few = rows.withColumn("line", F.left("line", longest)).withColumn("nth", nth).where(F.col("nth") <= ARTICLE_CHARS // 2 + 1)
+        return few.groupBy("key").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("nth", "line"))), lambda x: x["line"]), " ").alias(name))
+
+    heads = n.where(F.col("node_type").isin(*TRAIL)).select(F.col("key").alias("ancestor"), "rid", filled("designator", "heading").alias("line")).where("line <> ''")
+    up = c.where("depth > 0").select(F.col("descendant").alias("key"), "ancestor", "depth").join(a, "key", "left_semi").join(heads, "ancestor")
+    trail = up.groupBy("key").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct((-F.col("depth")).alias("up"), "rid", "line"))), lambda x: x["line"]), " > ").alias("trail"))
+    pieces = n.join(project_body_whole(spark, d).select("key", F.col("body").alias("safe")), "key", "left").select(F.col("key").alias("descendant"), "rid", filled("designator", "heading", "safe").alias("line")).where("line <> ''")
+    own = gathered(c.withColumnRenamed("ancestor", "key").join(a, "key", "left_semi").join(pieces, "descendant"), ["depth", "rid"], "own")
+    filling = cells(spark, d).select(id_key("table_id").alias("bound"), "r", "c", trimmed("text").alias("line")).where("line <> ''")
+    inside = gathered(owned_tables(spark, d).withColumnRenamed("owner", "key").join(a, "key", "left_semi").join(filling, "bound"), ["bound", "r", "c", "line"], "cells")
+    text = F.concat(F.coalesce(F.concat("trail", F.lit("\n")), F.lit("")), F.left(F.concat_ws(" ", "own", "cells"), longest))
+    return a.join(trail, "key", "left").join(own, "key", "left").join(inside, "key", "left").select(F.col("key").alias("article"), text.alias("text"))
+
+
 @query(sql(N) + "SELECT node_type, CAST(sum(length(body) // 4) AS BIGINT) AS tokens FROM n WHERE body IS NOT NULL GROUP BY 1")
 def token_budget(spark: SparkSession, d: str) -> DataFrame:
     return nodes(spark, d).where("body is not null").groupBy("node_type").agg(F.sum(F.floor(F.length("body") / 4)).alias("tokens"))

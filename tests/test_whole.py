@@ -106,3 +106,15 @@ def test_knn_of_equal_vectors_takes_the_smallest_ids(spark):
     for parts in (1, 3):
         got = retrieval.knn(v.repartition(parts), q, "vec_id", "embedding", 5).orderBy("qid", "rank").collect()
         assert [r.id for r in got if r.qid == 1] == want and [r.id for r in got if r.qid == 0] == list(range(5))
+
+
+def test_article_text_has_headings_designators_and_cells(spark, small):
+    d = small(
+        node=[node(1, "s", "section", designator="3.1.", heading="Scope"), node(2, "a", "article", "s", designator="3.1.1.", heading="Art"), node(3, "a/(1)", "sentence", "a", designator="(1)", body="word " * 200), node(4, "a/(2)", "sentence", "a", designator="(2)", body="Short.")]
+        + [node(5, "t", "table"), node(6, "b", "article", body="x" * 2000)],
+        closure=closure(("s", "a", 1), ("a", "a", 0), ("a", "a/(1)", 1), ("a", "a/(2)", 1), ("a/(1)", "a/(1)", 0), ("b", "b", 0)),
+        ref=[{"ref_id": 1, "src": "a/(1)", "dst": "t", "kind": "cap_ref"}],
+        cell=[{"table_id": "T", "r": r, "c": k, "text": x} for r, k, x in ((0, 0, "Span"), (0, 1, " "), (1, 0, "4.2 m"))],
+    )
+    body = ("word " * 120).strip()
+    assert rows(texts.article_text_whole(spark, d)) == [("a", f"3.1. Scope\n3.1.1. Art (1) {body} (2) Short. Span 4.2 m"), ("b", "x" * 1400)]
