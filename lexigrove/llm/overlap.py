@@ -22,8 +22,6 @@ SHARD_ROWS, BLOCK_ROWS = 20_000, 40_000
 SLIP_RATIO = 8
 #: A word in fewer records than this that was not recognised as a slip counts as unknown.
 KNOWN_ROWS = 3
-#: Share of an evaluation passage that must be covered by matched pieces before the pair is checked word by word.
-LEAST_COVERAGE = 0.4
 
 # Number words, spelling variants and abbreviations, and words that don't tell questions apart.
 UNITS = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen".split()
@@ -108,9 +106,13 @@ def same_question(a: list[str], b: list[str]) -> bool:
 
 
 def _pieces(words: list[str]) -> list[tuple[int, int]]:
-    """The passage's pieces as (first word, end): halves, or the whole of a short one."""
+    """The pieces of a passage's known words as (first word, end): three, so that two differing words leave one whole; none if it has fewer words."""
     n = len(words)
-    return [(0, n)] if n < 4 else [(0, n // 2), (n // 2, n)]
+    return [] if n < 3 else [(0, n // 3), (n // 3, 2 * n // 3), (2 * n // 3, n)]
+
+
+def _known(words: list[str]) -> list[str]:
+    return [w for w in words if w[0] != "~"]
 
 
 def scan(train: list[tuple], held: list[tuple]) -> list[tuple[int, int, float]]:
@@ -118,21 +120,25 @@ def scan(train: list[tuple], held: list[tuple]) -> list[tuple[int, int, float]]:
     automaton = ahocorasick.Automaton()
     places: list[dict[str | None, list[tuple[int, int, int]]]] = []
     number: dict[str, int] = {}
+    few: dict[int, dict[str | None, list[int]]] = defaultdict(lambda: defaultdict(list))  # by number of words: without pieces
     for h, (_, article, words) in enumerate(held):
-        for first, end in _pieces(words):
-            text = " " + " ".join(words[first:end]) + " "
+        known = _known(words)
+        pieces = _pieces(known)
+        if not pieces:
+            few[len(words)][article].append(h)
+        for first, end in pieces:
+            text = " " + " ".join(known[first:end]) + " "
             if text not in number:
                 number[text] = len(places)
                 places.append(defaultdict(list))
                 automaton.add_word(text, number[text])
             places[number[text]][article].append((h, first, end))
-    if not places:
-        return []
-    automaton.make_automaton()
+    if places:
+        automaton.make_automaton()
     found: list[tuple[int, int, float]] = []
     for key, article, words in train:
         intervals: dict[int, set[tuple[int, int]]] = defaultdict(set)
-        for _, piece in automaton.iter(" " + " ".join(words) + " "):
+        for _, piece in automaton.iter(" " + " ".join(_known(words)) + " ") if places else ():
             by = places[piece]
             for rows in by.values() if article is None else (by.get(article, ()), by.get(None, ())):
                 for h, first, end in rows:
@@ -142,9 +148,14 @@ def scan(train: list[tuple], held: list[tuple]) -> list[tuple[int, int, float]]:
             for first, end in sorted(parts):
                 covered += max(0, end - max(first, reach))
                 reach = max(reach, end)
-            coverage = covered / len(held[h][2])
-            if coverage >= LEAST_COVERAGE and same_question(words, held[h][2]):
-                found.append((key, held[h][0], coverage))
+            if len(words) == len(held[h][2]) and same_question(words, held[h][2]):
+                found.append((key, held[h][0], covered / len(_known(held[h][2]))))
+        by_article = few.get(len(words), {})
+        for rows in by_article.values() if article is None else (by_article.get(article, ()), by_article.get(None, ())):
+            for h in rows:
+                if same_question(words, held[h][2]):
+                    theirs = held[h][2]
+                    found.append((key, held[h][0], sum((Counter(theirs) & Counter(words)).values()) / len(theirs)))
     return found
 
 
@@ -221,7 +232,8 @@ def overlaps(records: DataFrame, id_col: str = "qid", shard_rows: int = SHARD_RO
     phrases; slips of the pen are corrected. Their targets must name the same article, or one is null. coverage is the
     share of the held-out passage that the automaton found in the train text.
 
-    Method: the canonical dev and test passages are cut into pieces, sharded, and compiled into one Aho-Corasick automaton
+    Method: the known words of the canonical dev and test passages are cut into three pieces (two differing words leave one
+    whole; passages of fewer known words meet by their number of words), sharded, and compiled into one Aho-Corasick automaton
     a shard, which scans all canonical training texts; matched intervals are merged into a coverage for each evaluation
     record, and covered records are checked word by word.
 

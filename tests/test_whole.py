@@ -7,6 +7,7 @@ import datetime
 import pytest
 
 from lexigrove import api
+from lexigrove.llm import overlap
 from lexigrove.operators import retrieval
 from lexigrove.plans import graph, pipeline, texts
 from tests.util import rows
@@ -118,3 +119,11 @@ def test_article_text_has_headings_designators_and_cells(spark, small):
     )
     body = ("word " * 120).strip()
     assert rows(texts.article_text_whole(spark, d)) == [("a", f"3.1. Scope\n3.1.1. Art (1) {body} (2) Short. Span 4.2 m"), ("b", "x" * 1400)]
+
+
+def test_p1_found_survives_two_slips():
+    held = [(1, "a", sorted(["ceiling", "height", "stair", "width", "~landng", "~zinc"])), (2, "a", ["~dooor", "~silll"]), (3, None, ["~dooor", "~silll"]), (4, "b", ["door", "sill"])]
+    train = [(10, "a", sorted(["height", "stair", "width", "~ceilin", "landing", "~zinc"])), (11, "a", ["door", "sill"]), (12, "a", ["other", "words"])]
+    assert sorted(f[:2] for f in overlap.scan(train, held)) == [(10, 1), (11, 2), (11, 3)]
+    for _, _, words in train[:2]:
+        assert overlap.same_question(words, held[0 if len(words) > 2 else 1][2])
