@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexigrove.functions.ids import id_key
-from lexigrove.session import cut
+from lexigrove.session import remove, scratch
 
 
 @dataclass(frozen=True)
@@ -48,6 +49,64 @@ def _ends(df: DataFrame, keys: Sequence[ForeignKey]) -> DataFrame:
     return df.select(F.explode(F.array_compact(F.array(*[end(k) for k in keys]))).alias("e")).select("e.*").where("key is not null or blank")
 
 
+def _uncovered(ends: DataFrame, alive: DataFrame) -> DataFrame:
+    """The ends that no life of their parent covers at their time."""
+    a, e = alive.alias("a"), ends.alias("e")
+    in_time = (F.col("a.born") <= F.col("e.at")) & (F.col("a.died").isNull() | (F.col("a.died") > F.col("e.at")))
+    there = (F.col("e.parent") == F.col("a.parent")) & (F.col("e.key") == F.col("a.key")) & (F.col("e.ever") | in_time)
+    return e.join(a, there, "left_anti")
+
+
+class _Cascade:
+    """The fixpoint over the tables that are referred to by others, held as parquet in one folder of the shared folder.
+
+    `levels` has the orphan ends of each round, `keys` the ids by which their records are referred to, each once, with the round
+    that reached them; `open` has the ends that aren't direct orphans. A round reads `open` and the keys of the last round
+    only, so its plan is the same in every round.
+    """
+
+    LEVEL = "`table` string, record string, field string, parent string, key string, at timestamp, how string, round int, own string"
+    KEYS = "parent string, key string, from_round int"
+
+    def __init__(self, ends: DataFrame, alive: DataFrame, max_rounds: int):
+        self.spark = ends.sparkSession
+        self.folder = scratch(self.spark, "orphans")
+        ends.write.parquet(f"{self.folder}/ends")
+        ends = self.spark.read.schema(ends.schema).parquet(f"{self.folder}/ends")
+        self._add(_uncovered(ends, alive), "direct", 0)
+        if not self._keys_of(0).isEmpty():
+            at = ["table", "record", "field"]
+            ends.join(self._level(0).select(*at), at, "left_anti").write.parquet(f"{self.folder}/open")
+            self._run(self.spark.read.schema(ends.schema).parquet(f"{self.folder}/open"), max_rounds)
+        for name in ("ends", "open"):
+            remove(self.spark, f"{self.folder}/{name}")
+
+    def _run(self, open_: DataFrame, max_rounds: int) -> None:
+        for n in range(1, max_rounds + 1):
+            self._add(open_.join(self._keys_of(n - 1).select("parent", "key"), ["parent", "key"], "left_semi"), "inherited", n)
+            if self._keys_of(n).isEmpty():
+                return
+        raise RuntimeError(f"the cascade of orphans goes on after {max_rounds} rounds; raise max_rounds")
+
+    def _add(self, ends: DataFrame, how: str, n: int) -> None:
+        ends.select("table", "record", "field", "parent", "key", "at", F.lit(how).alias("how"), F.lit(n).alias("round"), "own").write.parquet(f"{self.folder}/levels/n={n}")
+        own = self._level(n).where("own is not null").select(F.col("table").alias("parent"), F.col("own").alias("key")).distinct()
+        new = own.join(self.keys().select("parent", "key"), ["parent", "key"], "left_anti") if n else own
+        new.withColumn("from_round", F.lit(n)).write.parquet(f"{self.folder}/keys/n={n}")
+
+    def _level(self, n: int) -> DataFrame:
+        return self.spark.read.schema(self.LEVEL).parquet(f"{self.folder}/levels/n={n}")
+
+    def _keys_of(self, n: int) -> DataFrame:
+        return self.spark.read.schema(self.KEYS).parquet(f"{self.folder}/keys/n={n}")
+
+    def levels(self) -> DataFrame:
+        return self.spark.read.schema(self.LEVEL).parquet(f"{self.folder}/levels").drop("n")
+
+    def keys(self) -> DataFrame:
+        return self.spark.read.schema(self.KEYS).parquet(f"{self.folder}/keys").drop("n")
+
+
 def orphans(tables: Mapping[str, DataFrame], keys: Sequence[ForeignKey], cascade: bool = True, max_rounds: int = 10_000) -> DataFrame:
     """Every orphan reference end: (table, record, field, parent, key, at, how, round).
 
@@ -58,12 +117,15 @@ def orphans(tables: Mapping[str, DataFrame], keys: Sequence[ForeignKey], cascade
 
     Method: fixpoint cascade. Round 0 is an anti-join of all ends with the lives of their parents; round n semi-joins
     the ends of the next children with the keys found orphan in round n-1, until no new key turns up. A key already
-    seen is never expanded again, so loops end.
+    seen is never expanded again, so loops end. A cascade of more than `max_rounds` rounds raises RuntimeError; a result is
+    never cut short.
 
     Scale: one pass over each child table; the anti-join shuffles the ends once on (parent, key), and a hot key is
     split by adaptive execution since the parent side holds few rows a key. The loop runs only over tables that are
-    referred to by others; the others (the large fact tables) join once with the final set. With cascade=False only
-    round 0 is computed.
+    referred to by others; the others (the large fact tables) join once with the final set. Each round reads the same
+    table of ends and the keys of the round before from the shared folder and adds its level and its keys to folders
+    there, so plan and driver memory of a round don't grow with the rounds before it. The keys of a round are a table of known size,
+    which the planner broadcasts only while it is small. With cascade=False only round 0 is computed.
 
     Defined cases: keys compare without outer white space and case; a null or blank reference gives a row only where
     `blank_is_orphan`; a null time (where the key has one) is never covered by a life, so such an end is direct; repeated rows give one row
@@ -73,53 +135,26 @@ def orphans(tables: Mapping[str, DataFrame], keys: Sequence[ForeignKey], cascade
     by_child: dict[str, list[ForeignKey]] = {}
     for k in keys:
         by_child.setdefault(k.child, []).append(k)
-    parents = sorted({k.parent for k in keys})
-    alive = None
-    for p in parents:
-        one = lives(tables[p]).withColumn("parent", F.lit(p))
-        alive = one if alive is None else alive.unionByName(one)
-    inner = [c for c, ks in by_child.items() if any(k.child_id for k in ks)]
-
-    def direct(ends: DataFrame) -> DataFrame:
-        a = alive.alias("a")
-        e = ends.alias("e")
-        there = (F.col("e.parent") == F.col("a.parent")) & (F.col("e.key") == F.col("a.key")) & (F.col("e.ever") | ((F.col("a.born") <= F.col("e.at")) & (F.col("a.died").isNull() | (F.col("a.died") > F.col("e.at")))))
-        return e.join(a, there, "left_anti").withColumns({"how": F.lit("direct"), "round": F.lit(0)})
-
+    alive = _union([lives(tables[p]).withColumn("parent", F.lit(p)) for p in sorted({k.parent for k in keys})])
+    looped = [c for c, ks in by_child.items() if cascade and any(k.child_id for k in ks)]
     columns = ["table", "record", "field", "parent", "key", "at", "how", "round"]
-    found = seen = None
-    looped = inner if cascade else []
+    parts, seen = [], None
     if looped:
-        ends = None
-        for c in looped:
-            one = _ends(tables[c], by_child[c])
-            ends = one if ends is None else ends.unionByName(one)
-        ends = cut(ends.distinct())
-        level = cut(direct(ends).select(*columns, "own"))
-        found = level.select(*columns)
-        seen = frontier = _owners(level)
-        for n in range(1, max_rounds):
-            known = found.select("table", "record", "field")
-            level = ends.join(frontier.select("parent", "key"), ["parent", "key"], "left_semi").join(known, ["table", "record", "field"], "left_anti")
-            level = cut(level.withColumns({"how": F.lit("inherited"), "round": F.lit(n)}).select(*columns, "own"))
-            if level.isEmpty():
-                break
-            found = found.unionByName(level.select(*columns))
-            frontier = cut(_owners(level).join(seen.select("parent", "key"), ["parent", "key"], "left_anti"))
-            seen = seen.unionByName(frontier)
-    for c in [x for x in by_child if x not in looped]:
-        ends = _ends(tables[c], by_child[c])
-        one = direct(ends).select(*columns)
+        inner = _Cascade(_union([_ends(tables[c], by_child[c]) for c in looped]).distinct(), alive, max_rounds)
+        parts, seen = [inner.levels().select(*columns)], inner.keys()
+    rest = [_ends(tables[c], by_child[c]) for c in by_child if c not in looped]
+    if rest:
+        ends = _union(rest)
+        one = _uncovered(ends, alive).withColumns({"how": F.lit("direct"), "round": F.lit(0)}).select(*columns)
         if seen is not None:
             below = ends.join(seen, ["parent", "key"]).withColumns({"how": F.lit("inherited"), "round": F.col("from_round") + 1}).select(*columns)
             one = one.unionByName(below.join(one.select("table", "record", "field"), ["table", "record", "field"], "left_anti").select(*columns))
-        found = one if found is None else found.unionByName(one)
-    return found.distinct()
+        parts.append(one)
+    return _union(parts).distinct()
 
 
-def _owners(level: DataFrame) -> DataFrame:
-    """The ids under which the records of a level are referred to, once each."""
-    return level.where("own is not null").groupBy(F.col("table").alias("parent"), F.col("own").alias("key")).agg(F.min("round").alias("from_round"))
+def _union(parts: Sequence[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
 
 
 def orphan_report(found: DataFrame) -> DataFrame:

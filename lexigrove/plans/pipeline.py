@@ -10,6 +10,7 @@ from lexigrove.functions.text import permalink as permalink_of
 from lexigrove.operators.windows import carry_forward
 from lexigrove.plans.registry import Registry
 from lexigrove.plans.views import D, E, G, N, cells, definitions, edges, nodes, sql
+from lexigrove.session import scratch
 from lexigrove.sources import jsonl, manifest, sinks
 from lexigrove.sources.tables import table
 from lexigrove.streaming import maintain
@@ -130,7 +131,7 @@ def emit_html(spark: SparkSession, d: str) -> DataFrame:
 @query(sql(N, E, G, D) + "SELECT 'node' AS name, count(*) AS rows FROM n UNION ALL SELECT 'ref', count(*) FROM e UNION ALL SELECT 'cell', count(*) FROM g UNION ALL SELECT 'definition', count(*) FROM d")
 def emit_tables(spark: SparkSession, d: str) -> DataFrame:
     """The clean tables written to the shared folder and counted as read back."""
-    folder = sinks.scratch(spark, "tables")
+    folder = scratch(spark, "tables")
     sinks.write_tables({"node": nodes(spark, d).withColumn("link", permalink_of("id")), "ref": edges(spark, d), "cell": cells(spark, d), "definition": definitions(spark, d)}, folder, {"node": ["volume"]})
     found = None
     for name in ("node", "ref", "cell", "definition"):
@@ -142,7 +143,7 @@ def emit_tables(spark: SparkSession, d: str) -> DataFrame:
 @query(sql(D) + "SELECT id, term, blob, body_offset FROM d")
 def scan_jsonl_meta(spark: SparkSession, d: str) -> DataFrame:
     """Definitions written as JSON lines with a header, and read without it."""
-    folder = sinks.scratch(spark, "jsonl")
+    folder = scratch(spark, "jsonl")
     jsonl.write_jsonl(definitions(spark, d).select("id", "term", "blob", "body_offset"), folder, ["id"], {"generated": "definitions"})
     return jsonl.read_jsonl(spark, f"{folder}/*", "generated string, id string, term string, blob string, body_offset int").drop("generated")
 
@@ -156,7 +157,7 @@ def manifest_verify(spark: SparkSession, d: str, declared: DataFrame | None = No
 @query("SELECT term, count(*) AS docs FROM (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM documents) GROUP BY 1")
 def stream_index_maintenance(spark: SparkSession, d: str) -> DataFrame:
     """The index that a stream over the documents keeps, batch by batch."""
-    folder = sinks.scratch(spark, "index")
+    folder = scratch(spark, "index")
     schema = table(spark, d, "documents").schema
     maintain.maintain_index(spark, f"{d}/documents.parquet*", schema, folder, "doc_id", "text")
     return maintain.current_index(spark, folder)

@@ -4,15 +4,9 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from lexigrove.session import shared_dir
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder name in the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def write_tables(tables: dict[str, DataFrame], folder: str, partition_by: dict[str, list[str]] | None = None) -> None:

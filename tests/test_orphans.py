@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
+
 from lexigrove.operators.orphans import ForeignKey, orphan_report, orphans
 
 T = [dt.datetime(2024, 1, d) for d in range(1, 20)]
@@ -60,3 +62,26 @@ def test_report(spark):
 def test_very_long_ids(spark):
     long = "x/" * 100_000
     assert set(found(spark, [(1, long, None, T[0], None)], [(1, f" {long.upper()}\n", long + "y", "code", T[2])])) == {("ref", "1", "dst")}
+
+
+def test_plan_does_not_grow_with_the_rounds(spark):
+    def chain(n):
+        node = [(i, f"n{i}", f"n{i - 1}" if i else "gone", T[0], None) for i in range(n)]
+        return orphans(tables(spark, node, [(1, f"n{n - 1}", f"n{n - 1}", "code", T[2])]), KEYS)
+
+    short, long = chain(4), chain(40)
+    assert {r.round for r in long.collect()} == set(range(41))
+    size = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("\n")
+    assert size(short) == size(long)
+
+
+def test_too_many_rounds_raise(spark):
+    node = [(i, f"n{i}", f"n{i - 1}" if i else "gone", T[0], None) for i in range(6)]
+    with pytest.raises(RuntimeError, match="max_rounds"):
+        orphans(tables(spark, node, []), KEYS, max_rounds=3)
+
+
+def test_two_states_and_a_loop_below_an_orphan(spark):
+    # b has a state under the orphan a and one under d, which is below b: a loop that hangs on an orphan.
+    node = [(1, "a", "gone", T[0], None), (2, "b", "a", T[0], T[1]), (3, "b", "d", T[1], None), (4, "d", "b", T[0], None)]
+    assert found(spark, node, []) == {("node", "1", "parent"): ("direct", 0), ("node", "2", "parent"): ("inherited", 1), ("node", "4", "parent"): ("inherited", 2), ("node", "3", "parent"): ("inherited", 3)}
