@@ -5,7 +5,7 @@ from decimal import Decimal
 
 import pytest
 
-from lexigrove.operators.wide import head_forms, head_keys, parse_value, wide_rows, wide_values
+from lexigrove.operators.wide import head_forms, head_keys, long_values, parse_value, wide_rows, wide_values
 
 T = [dt.datetime(2024, 1, d) for d in range(1, 9)]
 CATALOG = [("width", "Width", "Wd.", "integer", "mm"), ("load", "Design load", "Load", "decimal", "kPa"), ("comb", "Combustible", "Comb.", "boolean", None), ("eff", "Effective date", "Eff.", "date", None), ("mat", "Material", "Mat.", "text", None)]
@@ -22,7 +22,9 @@ def cells(spark, rows):
 
 def values(spark, rows, **kw):
     cat = catalog(spark)
-    return {tuple(r) for r in wide_values(wide_rows(cells(spark, rows), cat, **kw), cat).collect()}
+    got = {tuple(r) for r in wide_values(wide_rows(cells(spark, rows), cat, **kw), cat).collect()}
+    assert got == {tuple(r) for r in long_values(cells(spark, rows), cat, **kw).collect()}
+    return got
 
 
 def grid(t, lines, at=T[0]):
@@ -86,10 +88,36 @@ def test_long_table_over_many_blocks_and_batches(spark):
 
 def test_typed_columns(spark):
     kinds = dict(wide_rows(cells(spark, []), catalog(spark)).dtypes)
-    assert kinds == {"table_id": "string", "r": "int", "width": "bigint", "load": "decimal(20,2)", "comb": "boolean", "eff": "date", "mat": "string"}
+    assert kinds == {"table_id": "string", "r": "int", "width": "bigint", "load": "decimal(20,2)", "comb": "boolean", "eff": "date", "mat": "string", "more": "map<string,string>"}
 
 
 def test_very_long_texts(spark):
     long = "1" * 200_000
     rows = grid("t", [["Item", "Width", "Mat.", "Load"], ["a", long, "x " * 100_000, " " * 200_000], ["b", "(1)" * 50_000, "y", "- " * 100_000]])
-    assert values(spark, rows) == {("t", 1, "mat", "x " * 99_999 + "x"), ("t", 2, "mat", "y")}
+    assert values(spark, rows) == {("t", 1, "width", long), ("t", 1, "mat", "x " * 99_999 + "x"), ("t", 2, "mat", "y")}
+
+
+def test_words_are_values_of_type_text(spark):
+    words = ["Varies", "TBD", "NP", "By test", "None stated"]
+    got = values(spark, grid("t", [["Item", "Mat.", "Width"], *[[f"i{k}", w, w] for k, w in enumerate(words)]]))
+    assert got == {("t", k + 1, "mat", w) for k, w in enumerate(words)}
+
+
+@pytest.mark.parametrize("attr, text, want", [
+    ("Width", "9223372036854775807", "9223372036854775807"), ("Width", "-9,223,372,036,854,775,808 mm", "-9223372036854775808"), ("Width", "9223372036854775808", "9223372036854775808"), ("Width", "-" + "7" * 201 + " (2)", "-" + "7" * 201),
+    ("Load", "123456789012345678,5 kPa", "123456789012345678.50"), ("Load", "-999999999999999999.994", "-999999999999999999.99"), ("Load", "1000000000000000000", "1000000000000000000.00"), ("Load", "3" * 5_000 + ".125", "3" * 5_000 + ".13"),
+])
+def test_large_figures_are_kept(spark, attr, text, want):
+    assert {v for *_, v in values(spark, grid("t", [["Item", attr], ["a", text]]))} == {want}
+
+
+def test_long_head(spark):
+    assert values(spark, grid("t", [["Item", "Width" + " (2)" * 60 + " *"], ["a", "5"]])) == {("t", 1, "width", "5")}
+
+
+def test_catalog_beyond_the_bound(spark):
+    rows = [(f"a{k}", f"Label {k}", None, "integer", None) for k in range(4_001)]
+    c = cells(spark, grid("t", [["Item", "label 4000"], ["a", "5"]]))
+    with pytest.raises(ValueError, match="long_values"):
+        wide_rows(c, catalog(spark, rows))
+    assert [tuple(r) for r in long_values(c, catalog(spark, rows)).collect()] == [("t", 1, "a4000", "5")]
