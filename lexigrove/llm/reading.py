@@ -16,14 +16,16 @@ from lexigrove.llm.flat import FlatMemo, slices
 from lexigrove.session import cut
 
 LEAST_WORDS = 60
-#: A word is familiar when it stands in at least this share of the English documents; at most MOST_FAMILIAR words are.
-FAMILIAR_SHARE, MOST_FAMILIAR = 1 / 6, 5_000
+#: A word is familiar when it stands in at least this share of the English documents. So there are at most 1 / share times
+#: as many familiar words as a document has different words on average; the list needs no cap.
+FAMILIAR_SHARE = 1 / 6
+#: The average sentence length leaves out the shortest sentences, up to this share of the words (headings, list items, fragments),
+#: and the longest, this share of the sentences (run-on text without marks), in documents of more than three.
+TRIM_SHORT, TRIM_LONG = 0.3, 0.1
 #: Labelled documents that the band model is fitted on, chosen by a hash of the id; the only bounded sample here.
 MOST_LABELLED = 20_000
 #: Words a task counts before it hands its counts on.
 HELD_WORDS = 500_000
-#: Upper limits of bands 1 to 3 in words a sentence, where there are no labels to fit.
-DEFAULT_LIMITS = (12.0, 20.0, 32.0)
 
 # Function words by which the main language is told.
 FUNCTION_WORDS = {
@@ -116,20 +118,35 @@ def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
     yield out()
 
 
-def familiar_words(documents: DataFrame, text_col: str = "text", share: float = FAMILIAR_SHARE, most: int = MOST_FAMILIAR) -> list[str]:
-    """Words that stand in at least `share` of all English documents, the `most` most frequent of them (ties by word)."""
-    counts = documents.select(text_col).mapInArrow(_document_frequencies, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    # The row without a word holds the number of documents, which no word exceeds.
-    rows = counts.orderBy(F.desc("n"), F.asc_nulls_first("word")).limit(most + 1).collect()
-    total = next((r["n"] for r in rows if r["word"] is None), 0)
-    return [r["word"] for r in rows if r["word"] is not None and r["n"] >= share * total and total]
+def familiar_words(documents: DataFrame, text_col: str = "text", share: float = FAMILIAR_SHARE) -> list[str]:
+    """Words that stand in at least `share` of all English documents, in order of letters."""
+    counts = cut(documents.select(text_col).mapInArrow(_document_frequencies, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")))
+    # The row without a word holds the number of documents.
+    total = sum(r["n"] for r in counts.where("word is null").collect())
+    return sorted(r["word"] for r in counts.where(F.col("word").isNotNull() & (F.col("n") >= max(1, share * total))).collect())
+
+
+def sentence_lengths(sentence: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
+    """The average sentence length of each of n documents without its outer sentences; from sentence and document of each word, both ascending."""
+    first = np.flatnonzero(np.diff(sentence, prepend=-1))
+    length, owner = np.diff(np.append(first, len(sentence))), doc[first]
+    order = np.lexsort((length, owner))
+    length, count = length[order], np.bincount(owner, minlength=n)
+    ends = np.cumsum(count)
+    left = np.where(count > 3, count - np.ceil(count * TRIM_LONG).astype(np.int64), count)
+    inner = np.arange(len(length)) < (ends - count + left)[owner]
+    words = np.cumsum(length * inner)
+    before = np.concatenate([[0], words])[ends - count]
+    total = np.concatenate([[0], words])[ends] - before
+    inner &= words - before[owner] > TRIM_SHORT * total[owner]
+    return np.bincount(owner[inner], weights=length[inner], minlength=n) / np.maximum(np.bincount(owner[inner], minlength=n), 1)
 
 
 def features(documents: DataFrame, familiar: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, words, unfamiliar, sentence) of each English document with at least LEAST_WORDS words.
 
-    unfamiliar: share of words outside the familiar list. sentence: the average sentence length in words, as the
-    median over words of the length of their sentence, which headings, fragments and a few other sentences don't move.
+    unfamiliar: share of words outside the familiar list. sentence: the average sentence length in words without the outer
+    sentences (TRIM_SHORT, TRIM_LONG), so that headings, fragments and a few other sentences don't move it.
     """
     shared = documents.sparkSession.sparkContext.broadcast(familiar)
 
@@ -152,14 +169,10 @@ def features(documents: DataFrame, familiar: list[str], id_col: str = "doc_id",
                 flag = np.ones(len(table.number) + 1, dtype=bool)
                 flag[[table.number[w] for w in known if w in table.number]] = False
                 unfamiliar = np.bincount(doc, weights=flag[words], minlength=n) / np.maximum(counts, 1)
-                length = np.bincount(sentence)[sentence] if len(sentence) else np.zeros(0, np.int64)
-                order = np.lexsort((length, doc))
-                ends = np.cumsum(counts)
-                middle = np.minimum(ends - counts + counts // 2, max(len(order) - 1, 0))
-                typical = length[order][middle] if len(order) else np.zeros(n, np.int64)
+                typical = sentence_lengths(sentence, doc, n)
                 good = np.flatnonzero((language == 0) & (counts >= LEAST_WORDS))
                 ids = batch.column(0).slice(first, n).take(pa.array(good, pa.int64()))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(counts[good], pa.int64()), pa.array(unfamiliar[good]), pa.array(typical[good].astype(np.float64))], names=[id_col, "words", "unfamiliar", "sentence"])
+                yield pa.RecordBatch.from_arrays([ids, pa.array(counts[good], pa.int64()), pa.array(unfamiliar[good]), pa.array(typical[good])], names=[id_col, "words", "unfamiliar", "sentence"])
                 if len(table.number) > HELD_WORDS:
                     table.clear()
 
@@ -186,10 +199,9 @@ def fit_bands(rows: list[tuple[int, float, float]]) -> dict[int, tuple[float, fl
 
 
 def band_column(model: dict[int, tuple[float, float, float, float]]) -> Column:
-    """The band nearest in both parts of the formula, as an expression over unfamiliar and sentence."""
+    """The band nearest in both parts of the formula, as an expression over unfamiliar and sentence; null without a fitted band."""
     if not model:
-        s, limits = F.col("sentence"), DEFAULT_LIMITS
-        return F.when(s < limits[0], 1).when(s < limits[1], 2).when(s < limits[2], 3).otherwise(4)
+        return F.lit(None)
     log = F.log(F.greatest("sentence", F.lit(1.0)))
     far = [F.struct((F.pow((F.col("unfamiliar") - F.lit(u)) / su, 2) + F.pow((log - F.lit(s)) / ss, 2) + 2 * float(np.log(su * ss))).alias("d"), F.lit(b).alias("band")) for b, (u, su, s, ss) in model.items()]
     return F.array_min(F.array(*far))["band"]
@@ -207,11 +219,11 @@ def reading_levels(documents: DataFrame, labels: DataFrame, id_col: str = "doc_i
     raters).
 
     Scale: two passes over the text without any shuffle of it; the first sends word counts, combined a task, the second
-    leaves four numbers a document, written once to the shared folder. The driver holds the familiar list and the
-    labelled rows, both bounded.
+    leaves four numbers a document, written once to the shared folder. The driver holds the familiar list (bounded by its share)
+    and the labelled rows.
 
-    Defined cases: null, empty and short texts give no rows; without usable labels fixed limits on the sentence length
-    decide; a label row with null band or for an unknown document is ignored, as is a document whose raters' median
+    Defined cases: null, empty and short texts give no rows; without usable labels the band is null and the parts of the formula
+    stand beside it; a label row with null band or for an unknown document is ignored, as is a document whose raters' median
     lies between two bands; repeated rows give one row; other columns are ignored.
     """
     found = cut(features(documents, familiar_words(documents, text_col), id_col, text_col).distinct())

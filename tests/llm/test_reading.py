@@ -1,8 +1,12 @@
 from __future__ import annotations
 
+import math
 import random
 
-from lexigrove.llm.reading import WordTable, band_column, familiar_words, features, fit_bands, reading_levels
+import numpy as np
+import pytest
+
+from lexigrove.llm.reading import TRIM_LONG, TRIM_SHORT, WordTable, band_column, familiar_words, features, fit_bands, reading_levels, sentence_lengths
 
 EASY, HARD = "the door is shut and the room can be warm at night".split(), "whenever the probabilistic quantification of the combustibility that authorities scrutinize is attributable to the interdependent verification which practitioners disregard it presupposes reconciliation".split()
 FRENCH = "la porte est fermée et le mur doit être droit dans chaque salle pour les voisins".split()
@@ -48,7 +52,7 @@ def test_language_and_length(spark):
 
 def test_without_labels_and_documents(spark):
     got = bands(spark, CORPUS, [])
-    assert got[0] == 2 and got[100] == 3
+    assert len(got) == 24 and set(got.values()) == {None}
     assert bands(spark, [], LABELS) == {} and bands(spark, [], []) == {}
 
 
@@ -60,7 +64,33 @@ def test_familiar_words_count_every_document(spark):
     df = docs(spark, CORPUS + [(500, text(FRENCH, 20))])
     got = familiar_words(df)
     assert set(EASY) <= set(got) and "porte" not in got
-    assert len(familiar_words(df, most=3)) == 3 and familiar_words(df.where("false")) == []
+    assert familiar_words(df, share=0.9) == ["is", "the"] and familiar_words(df.where("false")) == []
+
+
+def test_familiar_list_has_no_cap(spark):
+    letters = "abcdefghij"
+    long = " ".join(f"{a}{b}{c}{d}" for a in letters for b in letters for c in letters for d in letters[:6])
+    assert len(familiar_words(docs(spark, [(i, f"the door is open. {long}") for i in range(3)]))) == 6_004
+
+
+def lengths_by_hand(sizes):
+    inner = sorted(sizes)
+    inner = inner[: len(inner) - math.ceil(len(inner) * TRIM_LONG)] if len(inner) > 3 else inner
+    kept, words = [], 0
+    for n in inner:
+        words += n
+        if words > TRIM_SHORT * sum(inner):
+            kept.append(n)
+    return sum(kept) / len(kept)
+
+
+def test_sentence_lengths_against_a_loop():
+    random.seed(8)
+    documents = [[random.randint(1, 60) for _ in range(random.randint(1, 40))] for _ in range(200)]
+    sentence = np.repeat(np.arange(sum(map(len, documents))), [n for d in documents for n in d])
+    doc = np.repeat(np.arange(200), [sum(d) for d in documents])
+    assert sentence_lengths(sentence, doc, 200).tolist() == pytest.approx([lengths_by_hand(d) for d in documents])
+    assert sentence_lengths(np.zeros(0, np.int64), np.zeros(0, np.int64), 2).tolist() == [0, 0]
 
 
 def test_features(spark):
