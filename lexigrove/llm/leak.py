@@ -5,24 +5,33 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from lexigrove.llm.flat import FlatMemo, slices
+from lexigrove.session import scratch
 
 #: Words of a template window, least words of a passage, and how many words of it may hold one change.
 WINDOW, LEAST, ONE_IN = 5, 15, 8
+#: Least words of a template window that are no placeholder; a window with fewer is joined by its very words.
+LITERALS = 2
 #: Items whose index one task holds at a time, and their characters; more items are taken in blocks of this size.
-BLOCK_ITEMS, BLOCK_CHARS = 20_000, 64_000_000
+BLOCK_ITEMS, BLOCK_CHARS = 20_000, 16_000_000
+#: Window hits that are checked at a time; more are taken a few documents at a time.
+HELD_HITS = 2_000_000
 
 # Units that a template leaves open.
 UNITS = ("mm", "cm", "m", "km", "m2", "m3", "kpa", "pa", "mpa", "kn", "n", "kg", "g", "min", "h", "s", "c", "k", "w", "kw", "l", "db", "lx", "percent")
 
 NAME, NUMBER, UNIT = 0, 1, 2
-UNKNOWN_NAME, UNKNOWN_NUMBER, UNKNOWN_UNIT, EDGE = -1, -2, -3, -4
+#: Number of the place between two texts; words that no item has get the numbers below it, by place in the task's list and kind.
+EDGE = -1
 
 _RAW_WORD = re.compile(r"\w+(?:(?:[-\u2010\u2011\u00ad'\u2019\u02bc]|(?<=\d)[.,](?=\d))\w+)*")
 _LINE_HYPHEN = re.compile(r"(?<=\w)[-\u2010\u2011\u00ad]\s*[\r\n]+[\s>|]*(?=\w)")
@@ -52,8 +61,31 @@ def plain_word(word: str) -> str:
     return re.sub(r"[\W_]+", "", unicodedata.normalize("NFKC", word).lower())
 
 
+class Windows:
+    """Sorted keys of windows of the items' words, with the places behind each key."""
+
+    def __init__(self, keys: np.ndarray, at: np.ndarray):
+        order = np.argsort(keys, kind="stable")
+        self.at = at[order]
+        self.keys, self.first = np.unique(keys[order], return_index=True)
+        self.counts = np.diff(np.append(self.first, len(order)))
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place among keys, slot here) of the keys that are here."""
+        if not len(self.keys) or not len(keys):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        slot = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        place = np.flatnonzero(self.keys[slot] == keys)
+        return place, slot[place]
+
+    def places(self, slot: np.ndarray) -> np.ndarray:
+        """The places behind each slot, one after another."""
+        n = self.counts[slot]
+        return self.at[np.repeat(self.first[slot] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+
+
 class ItemIndex:
-    """The template windows of a block of items: sorted 64-bit keys, and the words behind them for the slot check."""
+    """The template windows of a block of items, and the words behind them for the slot check. Items of the same words are held once."""
 
     def __init__(self, items: list[tuple[int, str]]):
         texts = [(i, raw_words(t)) for i, t in items]
@@ -66,53 +98,123 @@ class ItemIndex:
                 if p and p not in self.number:
                     self.number[p] = len(self.number) + 3
                     kinds.append(NUMBER if p[0].isdigit() else UNIT if p in UNITS else NAME if w not in lower and w.lower() not in lower else self.number[p])
-        #: The template word of each word number; the last four entries stand for the negative numbers of unknown words.
-        self.template = np.array([NAME, NUMBER, UNIT, *kinds, -9, UNIT, NUMBER, NAME], dtype=np.int64)
-        self.ids = np.array([i for i, _ in items])
-        words = [np.array([self.number[p] for w in ws if (p := plain_word(w))], dtype=np.int32) for _, ws in texts]
+        self.template = np.array([NAME, NUMBER, UNIT, *kinds], dtype=np.int64)
+        once: dict[bytes, list] = {}
+        words = []
+        for i, ws in texts:
+            numbers = np.array([self.number[p] for w in ws if (p := plain_word(w))], dtype=np.int32)
+            if numbers.tobytes() not in once:
+                words.append(numbers)
+            once.setdefault(numbers.tobytes(), []).append(i)
+        #: The ids of each item held.
+        self.ids = list(once.values())
         self.lengths = np.array([len(w) for w in words], dtype=np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.words = np.concatenate([*words, np.zeros(0, np.int32)]).astype(np.int32)
-        at = np.concatenate([np.arange(max(0, n - WINDOW + 1)) + s for n, s in zip(self.lengths.tolist(), self.starts.tolist(), strict=True)] or [np.zeros(0, np.int64)]).astype(np.int64)
-        owner = np.repeat(np.arange(len(words)), np.maximum(0, self.lengths - WINDOW + 1))
-        keys = window_keys(self.template[self.words])[at] if len(at) else np.zeros(0, np.uint64)
-        order = np.argsort(keys, kind="stable")
-        self.at, self.owner = at[order], owner[order]
-        self.keys, self.first = np.unique(keys[order], return_index=True)
-        self.counts = np.diff(np.append(self.first, len(order)))
+        self.owner = np.repeat(np.arange(len(words)), self.lengths)
+        templates = self.templates(self.words)
+        at = self._starts_of(WINDOW)
+        keys, exact = window_keys(templates, self.words, WINDOW)
+        self.short, self.exact = Windows(keys[at], at), Windows(exact[at], at)
+        at = self._starts_of(LEAST)
+        at = at[literals(templates, LEAST)[at] >= LITERALS * (LEAST // WINDOW)]
+        self.long = Windows(rolling(templates, LEAST)[at], at)
+
+    def _starts_of(self, size: int) -> np.ndarray:
+        return np.concatenate([np.arange(max(0, n - size + 1)) + s for n, s in zip(self.lengths.tolist(), self.starts.tolist(), strict=True)] or [np.zeros(0)]).astype(np.int64)
+
+    def templates(self, words: np.ndarray) -> np.ndarray:
+        """The template word of each word: its kind for a number, name or unit, else itself."""
+        return np.where(words >= 0, self.template[np.maximum(words, 0)], np.where(words == EDGE, -9, (-words.astype(np.int64) - 2) % 3))
 
     def memo(self) -> FlatMemo:
-        """Printed piece between white space to the numbers of its words; unknown words get the negative number of their kind."""
+        """Printed piece between white space to the numbers of its words; words that no item has get a number below EDGE each."""
+        unknown: dict[str, int] = {}
 
         def of(word: str) -> int:
             p = plain_word(word)
-            return self.number.get(p, UNKNOWN_NUMBER if p[:1].isdigit() else UNKNOWN_UNIT if p in UNITS else UNKNOWN_NAME)
+            known = self.number.get(p)
+            if known is None:
+                kind = NUMBER if p[:1].isdigit() else UNIT if p in UNITS else NAME
+                known = unknown.setdefault(p, -(2 + 3 * len(unknown) + kind))
+            return known
+
+        def resolve(pieces: list[str]) -> list[list[int]]:
+            if not memo.number:  # emptied: no text holds the old numbers any more
+                unknown.clear()
+            return [[of(w) for w in _RAW_WORD.findall(x) if plain_word(w)] for x in pieces]
 
-        return FlatMemo(lambda pieces: [[of(w) for w in _RAW_WORD.findall(x) if plain_word(w)] for x in pieces])
+        memo = FlatMemo(resolve)
+        return memo
 
 
-def window_keys(templates: np.ndarray) -> np.ndarray:
-    """A 64-bit key of the WINDOW template words from each position on; the last ones run over the end and are not for use."""
-    n = len(templates)
-    padded = np.concatenate([templates, np.zeros(WINDOW, np.int64)]).astype(np.uint64)
+def rolling(values: np.ndarray, size: int) -> np.ndarray:
+    """A 64-bit key of the `size` values from each place on; the last ones run over the end and are not for use."""
+    n = len(values)
+    padded = np.concatenate([values, np.zeros(size, np.int64)]).astype(np.uint64)
     key = np.zeros(n, dtype=np.uint64)
-    for k in range(WINDOW):
+    for k in range(size):
         key = key * np.uint64(0x9E3779B97F4A7C15) + (padded[k : k + n] + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
         key ^= key >> np.uint64(29)
     return key
 
 
-def template_hits(index: ItemIndex, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(place in words, place in the items' words, item) of every template window that text and items share."""
-    if len(words) < WINDOW or not len(index.keys):
-        return (np.zeros(0, np.int64),) * 3
-    keys = window_keys(index.template[words])[: len(words) - WINDOW + 1]
-    slot = np.minimum(np.searchsorted(index.keys, keys), len(index.keys) - 1)
-    place = np.flatnonzero(index.keys[slot] == keys)
-    slot = slot[place]
-    n = index.counts[slot]
-    rows = np.repeat(index.first[slot] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-    return np.repeat(place, n), index.at[rows], index.owner[rows]
+def literals(templates: np.ndarray, size: int) -> np.ndarray:
+    """The words that are no placeholder in the `size` words from each place on."""
+    total = np.concatenate([[0], np.cumsum(templates > UNIT), np.full(size, int((templates > UNIT).sum()))])
+    return total[size : size + len(templates)] - total[: len(templates)]
+
+
+def window_keys(templates: np.ndarray, words: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(template key, key of the very words) of each window; a window of too few literal words has its very words for a template."""
+    exact = rolling(words.astype(np.int64), size)
+    return np.where(literals(templates, size) >= LITERALS, rolling(templates, size), exact), exact
+
+
+def template_hits(index: ItemIndex, words: np.ndarray, templates: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, slot of index.exact) of every template window that text and items share and whose slots hold the same values.
+
+    The windows meet by template first; only those whose slots are filled the same way are spread over the items' places, so a page of
+    figures or of unknown names, whose template is everywhere, gives nothing to spread.
+    """
+    keys, exact = window_keys(templates, words, WINDOW)
+    place, _ = index.short.find(keys[: max(0, len(words) - WINDOW + 1)])
+    inner, slot = index.exact.find(exact[place])
+    return place[inner], slot
+
+
+def bound_slots(text: np.ndarray, item: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    """For rows of template-equal words whether the item's slots are bound to the text's values one to one.
+
+    Each value of a slot in the item must stand for one value in the text wherever it recurs, and different values for different ones.
+    """
+    good = np.ones(len(text), dtype=bool)
+    for a in range(text.shape[1]):
+        for b in range(a + 1, text.shape[1]):
+            both = slots[:, a] & slots[:, b]
+            good &= ~both | ((text[:, a] == text[:, b]) == (item[:, a] == item[:, b]))
+    return good
+
+
+def variants(index: ItemIndex, words: np.ndarray, templates: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, item) of every run of LEAST words that is an item's up to numbers, names and units bound one to one."""
+    place, slot = index.long.find(rolling(templates, LEAST)[: max(0, len(words) - LEAST + 1)])
+    out_place, out_item = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for some in np.split(np.arange(len(place)), _cuts(index.long.counts[slot])):
+        p, q = np.repeat(place[some], index.long.counts[slot[some]]), index.long.places(slot[some])
+        run = np.arange(LEAST)
+        t = templates[p[:, None] + run]
+        same = (t == index.templates(index.words[q[:, None] + run])).all(axis=1)
+        good = same & bound_slots(words[p[:, None] + run], index.words[q[:, None] + run], t <= UNIT)
+        out_place.append(p[good])
+        out_item.append(index.owner[q[good]])
+    return np.concatenate(out_place), np.concatenate(out_item)
+
+
+def _cuts(sizes: np.ndarray, most: int = HELD_HITS // 10) -> np.ndarray:
+    """Where to cut a row of sizes so that the parts sum to about `most`."""
+    group = np.cumsum(sizes) // most
+    return np.flatnonzero(np.diff(group)) + 1
 
 
 def _runs(p: np.ndarray, q: np.ndarray, doc: np.ndarray, item: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -162,37 +264,42 @@ def passages(words: np.ndarray, index: ItemIndex, item: np.ndarray, p: np.ndarra
     return found
 
 
-def find_leaks(index: ItemIndex, memo: FlatMemo, texts: list[str | None]) -> list[tuple[int, int, str]]:
-    """(number of the text, number of the item, how) of each leak; see `leaks`."""
+def _passages_of(index: ItemIndex, words: np.ndarray, p: np.ndarray, q: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Number of the text times the number of items, plus the item, of each passage that the equal windows (p, q) lead to."""
+    item = index.owner[q]
+    d, i, rp, rq, n = _runs(p, q, doc, item)
+    key = d * len(index.ids) + i
+    sure = np.unique(key[n >= LEAST])
+    # A passage holds a run of 5 words, and its runs of that length have 6 words together at least.
+    pairs, at = np.unique(key, return_inverse=True)
+    open_ = (np.bincount(at, weights=n)[at] > WINDOW) & ~np.isin(key, sure)
+    hit = passages(words, index, i[open_], rp[open_], rq[open_]) if open_.any() else np.zeros(0, bool)
+    return np.concatenate([sure, key[open_][hit]])
+
+
+def find_leaks(index: ItemIndex, memo: FlatMemo, texts: list[str | None]) -> list[tuple[int, object, str]]:
+    """(number of the text, id of the item, how) of each leak; see `leaks`."""
     numbers, bounds = memo.numbers([printed(t).split() for t in texts])
     counts = np.diff(bounds)
     starts = bounds[:-1] + WINDOW * np.arange(len(texts))
     words = np.full(len(numbers) + WINDOW * len(texts), EDGE, dtype=np.int32)
     words[np.arange(len(numbers)) + WINDOW * np.repeat(np.arange(len(texts)), counts)] = numbers
-    p, q, item = template_hits(index, words)
-    if not len(p):
-        return []
-    doc = np.searchsorted(starts, p, "right") - 1
-    same = np.ones(len(p), dtype=bool)
-    for k in range(WINDOW):
-        same &= words[p + k] == index.words[q + k]
-    out: set[tuple[int, int, str]] = set()
-    d, i, _, _, n = _runs(p, q, doc, item)
-    far = n >= LEAST
-    variants = set(zip(d[far].tolist(), i[far].tolist(), strict=True))
-    if same.any():
-        d, i, rp, rq, n = _runs(p[same], q[same], doc[same], item[same])
-        clean = n >= LEAST
-        sure = np.unique((d * len(index.ids) + i)[clean])
-        # A passage holds a run of 5 words, and its runs of that length have 6 words together at least.
-        key = d * len(index.ids) + i
-        pairs, at = np.unique(key, return_inverse=True)
-        total = np.bincount(at, weights=n)
-        open_ = (total[at] > WINDOW) & ~np.isin(key, sure)
-        hit = passages(words, index, i[open_], rp[open_], rq[open_]) if open_.any() else np.zeros(0, bool)
-        for k in np.unique(np.concatenate([sure, key[open_][hit]])).tolist():
-            out.add((k // len(index.ids), k % len(index.ids), "passage"))
-    return sorted(out | {(a, b, "variant") for a, b in variants if (a, b, "passage") not in out})
+    templates = index.templates(words)
+    place, slot = template_hits(index, words, templates)
+    doc = np.searchsorted(starts, place, "right") - 1
+    found = [np.zeros(0, np.int64)]
+    # Hits are spread over the items' places a few documents at a time.
+    per_doc = np.bincount(doc, weights=index.exact.counts[slot], minlength=len(texts))
+    edges = np.searchsorted(doc, np.concatenate([[0], _cuts(per_doc, HELD_HITS), [len(texts)]]))
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        if b > a:
+            n = index.exact.counts[slot[a:b]]
+            found.append(_passages_of(index, words, np.repeat(place[a:b], n), index.exact.places(slot[a:b]), np.repeat(doc[a:b], n)))
+    sure = np.unique(np.concatenate(found))
+    p, item = variants(index, words, templates)
+    other = np.setdiff1d((np.searchsorted(starts, p, "right") - 1) * len(index.ids) + item, sure)
+    out = {(k // len(index.ids), i, how) for keys, how in ((sure, "passage"), (other, "variant")) for k in keys.tolist() for i in index.ids[k % len(index.ids)]}
+    return sorted(out, key=lambda x: (x[0], str(x[1]), x[2]))
 
 
 def item_blocks(items: DataFrame, id_col: str, text_col: str, rows: int = BLOCK_ITEMS, chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str]]]:
@@ -212,17 +319,19 @@ def leaks(documents: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     """(doc_id, item_id, how): documents that hold a passage of an item.
 
     how 'passage': at least 15 running words of the item, the first and last the same, with at most one word in eight
-    changed, left out or added. how 'variant': no passage, but at least 15 running words of the same template, that is
-    equal up to numbers, names and units: a re-parameterised item.
+    changed, left out or added. how 'variant': no passage, but at least 15 running words that are the item's up to numbers,
+    names and units, each value of which stands for one other value of its kind wherever it recurs: a re-parameterised item.
 
     Method: words are canonicalised into templates with typed placeholders for numbers, names and units (a name is a
     word that the items never print in lower case, and in a document any word that no item has); windows of five
-    template words are joined by hash with those of the items; the slots behind the placeholders are then checked,
-    consistent windows seed an exact banded check of the passage, inconsistent long ones make a variant.
+    template words are joined by hash with those of the items (a window of fewer than two literal words by its very words); the slots behind
+    the placeholders are then checked: windows whose slots hold the same values seed an exact banded check of the passage, windows of 15 template words
+    whose slots are bound one to one make a variant.
 
     Scale: the items are the query set: they are taken in blocks of bounded rows and characters, each block's index is
-    broadcast and all documents are streamed past it, without any shuffle of text. Memory follows slices of some
-    million characters, except that one text is held whole.
+    broadcast and all documents are streamed past it, without any shuffle of text. With several blocks one index is alive at a time, and each block's result is
+    written to the shared folder. Items of the same words are held once. Memory follows slices of some million characters
+    and bounded numbers of window hits, except that one text is held whole.
 
     Defined cases: case, punctuation, spacing, line breaks, quoting marks, hyphens (also at line ends), invisible
     characters and compatibility forms don't matter; null or empty texts and items of fewer than 15 words give no rows;
@@ -231,19 +340,33 @@ def leaks(documents: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     """
     spark: SparkSession = documents.sparkSession
     kinds = documents.schema[id_col].dataType.simpleString(), items.schema[item_col].dataType.simpleString()
+    item_type = to_arrow_type(items.schema[item_col].dataType)
     schema = f"`{id_col}` {kinds[0]}, `{item_col}` {kinds[1]}, how string"
-    found = spark.createDataFrame([], schema)
-    for block in item_blocks(items, item_col, item_text, block_items):
+
+    def against(block: list[tuple[int, str]]) -> tuple[DataFrame, Broadcast]:
         shared = spark.sparkContext.broadcast(ItemIndex(block))
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = shared.value
             memo = index.memo()
             for batch in batches:
                 for first, texts in slices(batch.column(1)):
                     rows = find_leaks(index, memo, texts)
                     ids = batch.column(0).slice(first, len(texts))
-                    yield pa.RecordBatch.from_arrays([ids.take(pa.array([a for a, _, _ in rows], pa.int64())), pa.array(index.ids[[b for _, b, _ in rows]]), pa.array([h for _, _, h in rows], pa.string())], names=[id_col, item_col, "how"])
-
-        found = found.unionByName(documents.select(id_col, text_col).where(F.col(text_col).isNotNull()).mapInArrow(run, schema))
-    return found.distinct()
+                    yield pa.RecordBatch.from_arrays([ids.take(pa.array([a for a, _, _ in rows], pa.int64())), pa.array([b for _, b, _ in rows], item_type), pa.array([h for _, _, h in rows], pa.string())], names=[id_col, item_col, "how"])
+
+        return documents.select(id_col, text_col).where(F.col(text_col).isNotNull()).mapInArrow(run, schema), shared
+
+    blocks = item_blocks(items, item_col, item_text, block_items)
+    first = next(blocks, None)
+    if first is None:
+        return spark.createDataFrame([], schema)
+    second = next(blocks, None)
+    if second is None:
+        return against(first)[0].distinct()
+    folder = scratch(spark, "leaks")
+    for block in chain([first, second], blocks):
+        found, shared = against(block)
+        found.write.mode("append").parquet(folder)
+        shared.destroy()
+    return spark.read.schema(schema).parquet(folder).distinct()

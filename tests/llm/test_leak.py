@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from lexigrove.llm.leak import ItemIndex, find_leaks, leaks, plain_word, raw_words
+from lexigrove.llm.leak import ItemIndex, find_leaks, leaks, plain_word, raw_words, template_hits
 
 random.seed(11)
 VOCAB = [f"{a}{b}" for a in ("ka", "lo", "mi", "nu", "pe", "ri") for b in ("ban", "dor", "fel", "gus", "hin", "jok", "lam", "mur")]
@@ -84,6 +84,27 @@ def test_variant():
     assert found([other, base], [base, again], "variant") == {(0, 0)} and found([other, base], [base, again]) == {(1, 0)}
 
 
+def test_slots_are_bound_one_to_one():
+    item = "the beam spans 7 bays and carries 7 slabs over 7 walls with 7 bolts in 7 rows of 7 holes and 7 plates"
+    items = [item, "the and spans bays carries slabs over walls with bolts in rows of holes plates beam"]
+    same, other = item.replace("7", "9"), item
+    for n in range(7):
+        other = other.replace("7", str(20 + n), 1)
+    assert found([same, other], items, "variant") == {(0, 0)}
+    two = item.replace("7", "8", 3)
+    assert found([two.replace("7", "5").replace("8", "4"), two.replace("7", "5").replace("8", "5")], [two, items[1]], "variant") == {(0, 0)}
+
+
+def test_a_page_of_figures_is_not_multiplied():
+    figures = " ".join(str(n) for n in range(400))
+    index = ItemIndex([(0, figures), (1, ITEM)])
+    page = " ".join(str(random.randint(1_000, 9_000)) for _ in range(2_000))
+    words, _ = index.memo().numbers([page.split()])
+    assert [len(x) for x in template_hits(index, words, index.templates(words))] == [0, 0]
+    assert found([page, page + " " + " ".join(str(n) for n in range(100, 120))], [figures, ITEM]) == {(1, 0)}
+    assert found([page], [figures, ITEM], "variant") == set()
+
+
 def test_words():
     assert [plain_word(w) for w in raw_words("Fire-rated, 42.7 mm; it’s\nA-1 pre-\n  > fab")] == ["firerated", "427", "mm", "its", "a1", "prefab"]
     assert raw_words(None) == [] and raw_words("") == []
