@@ -6,9 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexigrove.operators.blocks import over_blocks
+
 K1, B = 1.2, 0.75
 #: Query vectors that a task holds at once.
 QUERY_BLOCK = 50_000
@@ -56,24 +59,19 @@ def knn(vectors: DataFrame, queries: DataFrame, id_col: str, vec_col: str, top:
     The query set is broadcast in blocks of bounded size; each batch of vectors keeps its best `top` per query by the
     final order (rounded similarity, then id), so what is shuffled is bounded by queries * top per batch.
     """
-    found = None
     rows = queries.select(F.col(id_col).alias("qid"), F.col(vec_col).alias("v")).where("v is not null").toLocalIterator()
-    while True:
-        held = [r for _, r in zip(range(block), rows, strict=False)]
-        if not held and found is not None:
-            break
-        ids = np.array([r[0] for r in held], dtype=np.int64)
-        matrix = np.array([r[1] for r in held], dtype=np.float64) if held else np.zeros((0, 1))
-        shared = vectors.sparkSession.sparkContext.broadcast((ids, matrix))
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+
+    def blocks() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        while held := [r for _, r in zip(range(block), rows, strict=False)]:
+            yield np.array([r[0] for r in held], dtype=np.int64), np.array([r[1] for r in held], dtype=np.float64)
+
+    def against(shared: Broadcast) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             qids, q = shared.value
             for batch in batches:
-                if not len(qids) or not batch.num_rows:
+                if not batch.num_rows:
                     continue
-                column = batch.column(1)
-                width = q.shape[1]
-                v = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
+                v = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, q.shape[1])
                 keys = batch.column(0).to_numpy()
                 by_id = np.argsort(keys, kind="stable")
                 v, keys = v[by_id], keys[by_id]
@@ -84,10 +82,10 @@ def knn(vectors: DataFrame, queries: DataFrame, id_col: str, vec_col: str, top:
                     row, col = np.nonzero(_first_k(np.where(np.isnan(sim), np.inf, sim), k))
                     yield pa.RecordBatch.from_arrays([pa.array(qids[lo + row]), pa.array(keys[col]), pa.array(sim[row, col])], names=["qid", "id", "sim"])
 
-        one = vectors.select(id_col, vec_col).where(F.col(vec_col).isNotNull()).mapInArrow(run, "qid bigint, id bigint, sim double")
-        found = one if found is None else found.unionByName(one)
-        if len(held) < block:
-            break
+        return vectors.select(id_col, vec_col).where(F.col(vec_col).isNotNull()).mapInArrow(run, schema)
+
+    schema = "qid bigint, id bigint, sim double"
+    found = over_blocks(vectors.sparkSession, blocks(), against, schema, "knn")
     rank = F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("sim"), "id"))
     return found.withColumn("sim", F.round("sim", 6)).withColumn("rank", rank).where(F.col("rank") <= top)
 
