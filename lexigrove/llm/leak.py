@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from lexigrove.llm.flat import FlatMemo, slices
-from lexigrove.session import scratch
+from lexigrove.operators.blocks import over_blocks
 
 #: Words of a template window, least words of a passage, and how many words of it may hold one change.
 WINDOW, LEAST, ONE_IN = 5, 15, 8
@@ -343,9 +342,7 @@ def leaks(documents: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     item_type = to_arrow_type(items.schema[item_col].dataType)
     schema = f"`{id_col}` {kinds[0]}, `{item_col}` {kinds[1]}, how string"
 
-    def against(block: list[tuple[int, str]]) -> tuple[DataFrame, Broadcast]:
-        shared = spark.sparkContext.broadcast(ItemIndex(block))
-
+    def against(shared: Broadcast) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = shared.value
             memo = index.memo()
@@ -355,18 +352,6 @@ def leaks(documents: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
                     ids = batch.column(0).slice(first, len(texts))
                     yield pa.RecordBatch.from_arrays([ids.take(pa.array([a for a, _, _ in rows], pa.int64())), pa.array([b for _, b, _ in rows], item_type), pa.array([h for _, _, h in rows], pa.string())], names=[id_col, item_col, "how"])
 
-        return documents.select(id_col, text_col).where(F.col(text_col).isNotNull()).mapInArrow(run, schema), shared
-
-    blocks = item_blocks(items, item_col, item_text, block_items)
-    first = next(blocks, None)
-    if first is None:
-        return spark.createDataFrame([], schema)
-    second = next(blocks, None)
-    if second is None:
-        return against(first)[0].distinct()
-    folder = scratch(spark, "leaks")
-    for block in chain([first, second], blocks):
-        found, shared = against(block)
-        found.write.mode("append").parquet(folder)
-        shared.destroy()
-    return spark.read.schema(schema).parquet(folder).distinct()
+        return documents.select(id_col, text_col).where(F.col(text_col).isNotNull()).mapInArrow(run, schema)
+
+    return over_blocks(spark, map(ItemIndex, item_blocks(items, item_col, item_text, block_items)), against, schema, "leaks").distinct()

@@ -5,25 +5,29 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 
 import ahocorasick
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from lexigrove.functions.ids import id_key, trimmed
+from lexigrove.operators.blocks import over_blocks
 from lexigrove.session import cut
 
 #: Evaluation passages an automaton holds, and training texts that one task scans with it.
-SHARD_ROWS, BLOCK_ROWS = 20_000, 40_000
+SHARD_ROWS, BLOCK_ROWS = 50_000, 40_000
+#: Words that are looked up within the tasks, the most frequent ones; all others are looked up by a join. No influence on the result.
+COMMON_WORDS = 20_000
 #: A word is a slip of another that is one letter away and at least this many times as frequent.
 SLIP_RATIO = 8
 #: A word in fewer records than this that was not recognised as a slip counts as unknown.
 KNOWN_ROWS = 3
 
-# Number words, spelling variants and abbreviations, and words that don't tell questions apart.
+# Number words; spelling variants and abbreviations, and words that don't tell questions apart (both are parameters).
 UNITS = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen".split()
 TENS = "twenty thirty forty fifty sixty seventy eighty ninety".split()
 VARIANTS = {
@@ -62,12 +66,12 @@ def question_words(text: str | None) -> list[str]:
     return words
 
 
-def settled(word: str) -> str:
+def settled(word: str, variants: Mapping[str, str] = VARIANTS) -> str:
     """A word without spelling variants, abbreviation and plural."""
-    word = VARIANTS.get(word, word)
+    word = variants.get(word, word)
     if len(word) > 3 and word[-1] == "s" and word[-2] not in "sui":
         word = word[:-1]
-    return VARIANTS.get(word, word)
+    return variants.get(word, word)
 
 
 def one_slip(a: str, b: str) -> bool:
@@ -111,52 +115,110 @@ def _pieces(words: list[str]) -> list[tuple[int, int]]:
     return [] if n < 3 else [(0, n // 3), (n // 3, 2 * n // 3), (2 * n // 3, n)]
 
 
-def _known(words: list[str]) -> list[str]:
+def _known(words: Sequence[str]) -> list[str]:
     return [w for w in words if w[0] != "~"]
 
 
-def scan(train: list[tuple], held: list[tuple]) -> list[tuple[int, int, float]]:
-    """(train id, held-out id, coverage) of the same questions among (id, article, words) rows of one block and one shard."""
-    automaton = ahocorasick.Automaton()
-    places: list[dict[str | None, list[tuple[int, int, int]]]] = []
-    number: dict[str, int] = {}
-    few: dict[int, dict[str | None, list[int]]] = defaultdict(lambda: defaultdict(list))  # by number of words: without pieces
-    for h, (_, article, words) in enumerate(held):
-        known = _known(words)
-        pieces = _pieces(known)
-        if not pieces:
-            few[len(words)][article].append(h)
-        for first, end in pieces:
-            text = " " + " ".join(known[first:end]) + " "
-            if text not in number:
-                number[text] = len(places)
-                places.append(defaultdict(list))
-                automaton.add_word(text, number[text])
-            places[number[text]][article].append((h, first, end))
-    if places:
-        automaton.make_automaton()
-    found: list[tuple[int, int, float]] = []
+class Shard:
+    """One shard of held-out passages, compiled into automata when a task first asks for them.
+
+    rows: (id, article, words). Passages of the same words and article are held once, so a question that many rows copy is met once.
+    """
+
+    def __init__(self, rows: list[tuple]):
+        self.rows = rows
+        self.ready = False
+
+    def compile(self) -> None:
+        once: dict[tuple, list] = {}
+        for key, article, words in self.rows:
+            once.setdefault((tuple(words), article), []).append(key)
+        self.groups = [(words, article, ids) for (words, article), ids in once.items()]
+        #: Every passage as a whole, by its words; and the pieces of those with unknown words, and of those without.
+        self.whole, self.rough, self.clean = _Patterns(), _Patterns(), _Patterns()
+        self.few: dict[tuple[int, str | None], list[int]] = defaultdict(list)  # of too few known words for pieces
+        for g, (words, article, _) in enumerate(self.groups):
+            self.whole.add(_whole(words), article, (g, 0, len(words)))
+            known = _known(words)
+            pieces = _pieces(known)
+            if not pieces:
+                self.few[len(words), article].append(g)
+            for first, end in pieces:
+                part = self.clean if len(known) == len(words) else self.rough
+                part.add(_text(known[first:end]), (len(words), article), (g, first, end))
+        self.few_articles = {a for _, a in self.few}
+        for part in (self.whole, self.rough, self.clean):
+            part.make()
+        self.ready = True
+
+
+class _Patterns:
+    """An automaton whose patterns lead to lists by a second key."""
+
+    def __init__(self) -> None:
+        self.automaton, self.number, self.lists = ahocorasick.Automaton(), {}, []
+
+    def add(self, pattern: str, key, value) -> None:
+        if pattern not in self.number:
+            self.number[pattern] = len(self.lists)
+            self.lists.append({})
+            self.automaton.add_word(pattern, self.number[pattern])
+        self.lists[self.number[pattern]].setdefault(key, []).append(value)
+
+    def make(self) -> None:
+        if self.lists:
+            self.automaton.make_automaton()
+
+    def matches(self, text: str) -> Iterator[dict]:
+        if self.lists:
+            for _, n in self.automaton.iter(text):
+                yield self.lists[n]
+
+
+def _text(words: Sequence[str]) -> str:
+    return " " + " ".join(words) + " "
+
+
+def _whole(words: Sequence[str]) -> str:
+    return "^" + _text(words) + "$"
+
+
+def scan(train: Iterable[tuple], shard: Shard) -> Iterator[tuple[object, object, float]]:
+    """(train id, held-out id, coverage) of the same questions among (id, article, words) training rows and a shard.
+
+    The automaton of whole passages finds equal ones. Passages that differ differ in unknown words, on one side at least; so the pieces
+    of passages without unknown words are looked for only in training rows that have some.
+    """
+    if not shard.ready:
+        shard.compile()
+    groups = shard.groups
     for key, article, words in train:
+        for by in shard.whole.matches(_whole(words)):
+            for a in by if article is None else {article, None}:
+                for g, _, _ in by.get(a, ()):
+                    yield from ((key, h, 1.0) for h in groups[g][2])
+        known = _known(words)
+        rough = len(known) < len(words)
+        n = len(words)
         intervals: dict[int, set[tuple[int, int]]] = defaultdict(set)
-        for _, piece in automaton.iter(" " + " ".join(_known(words)) + " ") if places else ():
-            by = places[piece]
-            for rows in by.values() if article is None else (by.get(article, ()), by.get(None, ())):
-                for h, first, end in rows:
-                    intervals[h].add((first, end))
-        for h, parts in intervals.items():
-            covered, reach = 0, 0
-            for first, end in sorted(parts):
-                covered += max(0, end - max(first, reach))
-                reach = max(reach, end)
-            if len(words) == len(held[h][2]) and same_question(words, held[h][2]):
-                found.append((key, held[h][0], covered / len(_known(held[h][2]))))
-        by_article = few.get(len(words), {})
-        for rows in by_article.values() if article is None else (by_article.get(article, ()), by_article.get(None, ())):
-            for h in rows:
-                if same_question(words, held[h][2]):
-                    theirs = held[h][2]
-                    found.append((key, held[h][0], sum((Counter(theirs) & Counter(words)).values()) / len(theirs)))
-    return found
+        for part in (shard.rough, shard.clean) if rough else (shard.rough,):
+            for by in part.matches(_text(known)):
+                for k in [k for k in by if k[0] == n] if article is None else ((n, article), (n, None)):
+                    for g, first, end in by.get(k, ()):
+                        intervals[g].add((first, end))
+        for g, parts in intervals.items():
+            theirs = groups[g][0]
+            if theirs != tuple(words) and same_question(words, list(theirs)):
+                covered, reach = 0, 0
+                for first, end in sorted(parts):
+                    covered += max(0, end - max(first, reach))
+                    reach = max(reach, end)
+                yield from ((key, h, covered / len(_known(theirs))) for h in groups[g][2])
+        for a in shard.few_articles if article is None else {article, None}:
+            for g in shard.few.get((n, a), ()):
+                theirs = groups[g][0]
+                if theirs != tuple(words) and (rough or any(w[0] == "~" for w in theirs)) and same_question(words, list(theirs)):
+                    yield from ((key, h, sum((Counter(theirs) & Counter(words)).values()) / len(theirs)) for h in groups[g][2])
 
 
 def article_key(target: str) -> Column:
@@ -180,7 +242,7 @@ def _folded(records: DataFrame, id_col: str) -> DataFrame:
 
 
 def slips(words: DataFrame) -> DataFrame:
-    """(word, meant) for each word that is one letter away from a much more frequent one; from (word, n) counts.
+    """(word, meant) for each word that is one letter away from a much more frequent one, meant: all such; from (word, n) counts.
 
     Words meet by the forms they have with one letter left out, so no word is compared with all others.
     """
@@ -191,81 +253,116 @@ def slips(words: DataFrame) -> DataFrame:
     letters = lambda c: F.sort_array(F.split(F.col(c), ""))
     near = (F.levenshtein("word", "meant") == 1) | ((F.levenshtein("word", "meant") == 2) & (letters("word") == letters("meant")))
     pairs = a.join(b, "form").where((F.col("word") != F.col("meant")) & (F.col("m") >= SLIP_RATIO * F.col("n")) & near)
-    return pairs.groupBy("word").agg(F.max(F.struct("m", "meant")).alias("s")).select("word", "s.meant")
-
-
-def passages(records: DataFrame, id_col: str = "qid") -> DataFrame:
+    return pairs.groupBy("word").agg(F.collect_set("meant").alias("meant"))
+
+
+class Canon:
+    """Printed words to canonical ones: what a word of a slip's meanings or none comes to."""
+
+    def __init__(self, variants: Mapping[str, str], small: Iterable[str]):
+        self.variants, self.small = variants, frozenset(small)
+        self.long_small = [s for s in self.small if len(s) > 3]
+        self.numbers = {w: i for i, w in enumerate(UNITS)} | {w: 20 + 10 * i for i, w in enumerate(TENS)}
+
+    def of(self, word: str, meant: list[str] | None, unknown: bool) -> str | None:
+        """The canonical word, marked ~ where it is unknown or a slip of several words; None for a small word."""
+        meanings = {settled(m, self.variants) for m in meant or [word]}
+        if word in self.small or any(m in self.small for m in meant or ()) or meanings & self.small:
+            return None
+        if len(meanings) > 1:
+            return "~" + word
+        (one,) = meanings
+        if not unknown:
+            return one
+        if any(one_slip(one, s) for s in self.long_small):
+            return None
+        numbers = {n for w, n in self.numbers.items() if len(w) > 3 and len(one) > 3 and one_slip(one, w)}
+        return str(*numbers) if len(numbers) == 1 else "~" + one
+
+
+def passages(records: DataFrame, id_col: str = "qid", variants: Mapping[str, str] = VARIANTS, small: Iterable[str] = SMALL, common_words: int = COMMON_WORDS) -> DataFrame:
     """(id, split, article, words): the canonical passage of each usable record, its content words in order of letters.
 
-    Slips are corrected by the records' own vocabulary; a word that stays unknown is marked ~ and so sorts last.
+    Slips are corrected by the records' own vocabulary; a word that stays unknown, or may be a slip of several words, is marked ~ and so sorts
+    last. Only the counts of words and the rare words of records are shuffled; the most frequent words are looked up in place.
     """
+    spark = records.sparkSession
+    canon = Canon(variants, small)
     folded = cut(_folded(records, id_col))
-    tokens = folded.select("id", "split", "article", F.explode("words").alias("word"))
-    counts = tokens.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    small = folded.sparkSession.createDataFrame([(w, 0) for w in sorted(SMALL | set(VARIANTS))], "word string, n bigint")
-    table = counts.join(slips(counts), "word", "left").join(small.select("word", F.lit(True).alias("listed")), "word", "left")
-    table = table.select("word", F.coalesce("meant", "word").alias("meant"), (F.col("meant").isNull() & (F.col("n") < KNOWN_ROWS) & F.col("listed").isNull() & ~F.col("word").rlike("[0-9]")).alias("unknown"))
-    bags = tokens.join(table, "word").groupBy("id", "split", "article").agg(F.collect_list(F.struct("meant", "unknown")).alias("bag"))
+    counts = cut(folded.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+    listed = spark.createDataFrame([(w,) for w in sorted(canon.small | set(variants))] or [("",)], "word string").withColumn("listed", F.lit(True))
+    unknown = F.col("meant").isNull() & (F.col("n") < KNOWN_ROWS) & F.col("listed").isNull() & ~F.col("word").rlike("[0-9]")
+    table = cut(counts.join(slips(counts), "word", "left").join(listed, "word", "left").select("word", "n", "meant", unknown.alias("unknown")))
+    common = {r["word"]: canon.of(r["word"], r["meant"], r["unknown"]) for r in table.orderBy(F.desc("n"), "word").limit(common_words).collect()}
+    shared = spark.sparkContext.broadcast(common)
+    kind = records.schema[id_col].dataType.simpleString()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for batch in batches:
+            texts = batch.column(3).to_pylist()
+            words = [sorted(x for w in ws if (x := known.get(w))) for ws in texts]
+            rest = [[w for w in ws if w not in known] for ws in texts]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(words, pa.list_(pa.string())), pa.array(rest, pa.list_(pa.string()))], names=["id", "split", "article", "words", "rest"])
+
+    def complete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for bag in batch.column(3).to_pylist():
-                words = []
-                for t in bag:
-                    w = settled(t["meant"])
-                    if w in SMALL or t["meant"] in SMALL or t["unknown"] and any(one_slip(w, s) for s in SMALL if len(s) > 3):
-                        continue
-                    words.append("~" + w if t["unknown"] else w)
-                rows.append(sorted(words))
+            words, bags = batch.column(3).to_pylist(), batch.column(4).to_pylist()
+            rows = [sorted(ws + [x for t in bag if (x := canon.of(t["word"], t["meant"], t["unknown"]))]) for ws, bag in zip(words, bags, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(rows, pa.list_(pa.string()))], names=["id", "split", "article", "words"])
 
-    kind = records.schema[id_col].dataType.simpleString()
-    return bags.mapInArrow(run, f"id {kind}, split string, article string, words array<string>").where(F.size("words") > 0)
+    columns = f"id {kind}, split string, article string, words array<string>"
+    seen = folded.mapInArrow(look_up, columns + ", rest array<string>")
+    rare = seen.where(F.size("rest") > 0).select("id", "split", "article", "words", F.explode("rest").alias("word")).join(table.drop("n"), "word")
+    bags = rare.groupBy("id", "split", "article", "words").agg(F.collect_list(F.struct("word", "meant", "unknown")).alias("bag"))
+    done = seen.where(F.size("rest") == 0).select("id", "split", "article", "words")
+    return done.unionByName(bags.mapInArrow(complete, columns)).where(F.size("words") > 0)
 
 
-def overlaps(records: DataFrame, id_col: str = "qid", shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def overlaps(records: DataFrame, id_col: str = "qid", shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS, variants: Mapping[str, str] = VARIANTS, small: Iterable[str] = SMALL) -> DataFrame:
     """(train_id, held_id, coverage): pairs of a train and a dev or test record that put the same question.
 
     Two questions are the same when their content words are the same after folding case, punctuation, spacing, forms of
     characters, spelling variants, abbreviations, ways of writing numbers, openings and small words, and the order of
     phrases; slips of the pen are corrected. Their targets must name the same article, or one is null. coverage is the
-    share of the held-out passage that the automaton found in the train text.
+    share of the held-out passage that the automaton found in the train text. `variants` and `small` are the lists of spellings and of small words.
 
-    Method: the known words of the canonical dev and test passages are cut into three pieces (two differing words leave one
-    whole; passages of fewer known words meet by their number of words), sharded, and compiled into one Aho-Corasick automaton
-    a shard, which scans all canonical training texts; matched intervals are merged into a coverage for each evaluation
-    record, and covered records are checked word by word.
+    Method: the canonical dev and test passages are sharded and compiled, a shard at a time, into Aho-Corasick automata: of whole passages, and
+    of the three pieces of their known words (two differing words leave one whole; passages of fewer known words meet by their
+    number of words). They scan all canonical training texts; matched intervals are merged into a coverage for each evaluation record, and covered
+    records are checked word by word.
 
-    Scale: shards and blocks of training texts have bounded size; training texts are repeated once a shard, shards once a
-    block. An automaton keeps its records by article, so a scan only touches records that can match. Nothing is collected.
+    Scale: training texts are spread once and stay in place; shards of bounded size are broadcast, one alive at a time. Equal
+    passages are held once and by article, so copies and hot articles are met once a text. Whole texts are never shuffled by word.
 
     Defined cases: null and blank questions, null ids and other splits give no rows; splits and targets compare trimmed and
     without case; a blank target counts as null; repeated rows count once; an id in several splits may meet itself and then
     gives no row; a question of small words only gives no row; empty tables give no rows; other columns are ignored.
     """
-    ready = cut(passages(records, id_col))
-    sizes = {r[0]: r[1] for r in ready.groupBy(F.col("split") == "train").count().collect()}
-    shards, blocks = (max(1, -(-sizes.get(k, 0) // n)) for k, n in ((False, shard_rows), (True, block_rows)))
+    spark = records.sparkSession
+    ready = cut(passages(records, id_col, variants, small))
     kind = records.schema[id_col].dataType.simpleString()
     arrow = to_arrow_type(records.schema[id_col].dataType)
+    sizes = {r[0]: r[1] for r in ready.groupBy(F.col("split") == "train").count().collect()}
+    rows = ready.select("id", "article", "words")
+    parts = max(spark.sparkContext.defaultParallelism, -(-sizes.get(True, 0) // block_rows))
+    train = rows.where(ready["split"] == "train").repartition(parts)
+    held = rows.where(ready["split"] != "train").toLocalIterator()
+
+    def shards() -> Iterator[Shard]:
+        while block := [tuple(r) for _, r in zip(range(shard_rows), held, strict=False)]:
+            yield Shard(block)
+
+    def against(shared: Broadcast) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = list(scan(zip(*(c.to_pylist() for c in batch.columns), strict=True), shared.value))
+                yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], arrow), pa.array([f[1] for f in found], arrow), pa.array([f[2] for f in found], pa.float64())], names=["train_id", "held_id", "coverage"])
+
+        return train.mapInArrow(run, schema)
 
-    def side(train: bool) -> DataFrame:
-        own, other = (blocks, shards) if train else (shards, blocks)
-        mine = F.pmod(F.xxhash64("id"), F.lit(own)).cast("int")
-        all_ = F.explode(F.sequence(F.lit(0), F.lit(other - 1)))
-        rows = ready.where((F.col("split") == "train") == train)
-        # Own names on either side: the cogroup tells columns of one origin apart by them.
-        mark = "t" if train else "h"
-        return rows.select(*((mine.alias("t_block"), all_.alias("t_shard")) if train else (all_.alias("h_block"), mine.alias("h_shard"))), *(F.col(c).alias(f"{mark}_{c}") for c in ("id", "article", "words")))
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        rows = lambda t: list(zip(*(t.column(c).to_pylist() for c in range(2, 5)), strict=True))
-        # A side without rows comes without columns.
-        found = scan(rows(left), rows(right)) if left.num_rows and right.num_rows else []
-        return pa.table({"train_id": pa.array([f[0] for f in found], arrow), "held_id": pa.array([f[1] for f in found], arrow), "coverage": pa.array([f[2] for f in found], pa.float64())})
-
-    met = side(True).groupBy("t_block", "t_shard").cogroup(side(False).groupBy("h_block", "h_shard")).applyInArrow(run, f"train_id {kind}, held_id {kind}, coverage double")
+    schema = f"train_id {kind}, held_id {kind}, coverage double"
+    met = over_blocks(spark, shards() if sizes.get(True) else (), against, schema, "overlaps")
     return met.where("train_id <> held_id").groupBy("train_id", "held_id").agg(F.max("coverage").alias("coverage"))
 
 

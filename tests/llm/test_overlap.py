@@ -1,10 +1,11 @@
 from __future__ import annotations
 
 import itertools
+import random
 
 import pytest
 
-from lexigrove.llm.overlap import one_slip, overlap_report, overlaps, passages, question_words, same_question, scan, settled
+from lexigrove.llm.overlap import SMALL, Shard, one_slip, overlap_report, overlaps, passages, question_words, same_question, scan, settled
 
 FIELDS = "qid bigint, q string, target string, kind string, split string, source string, id string, words string"
 BASE = "what is the guard height of a wood deck near a gas meter in a school of 12 storeys"
@@ -91,8 +92,43 @@ def test_scan_against_all_pairs():
     train = [(i, a, w) for i, (w, a) in enumerate(itertools.product(words, [None, "t", "u"]))]
     held = [(100 + i, a, w) for i, (w, a) in enumerate(itertools.product(words, [None, "t"]))]
     want = {(t[0], h[0]) for t in train for h in held if t[2] == h[2] and (t[1] is None or h[1] is None or t[1] == h[1])}
-    assert {(a, b) for a, b, _ in scan(train, held)} == want
-    assert scan([], held) == [] and scan(train, []) == []
+    assert {(a, b) for a, b, _ in scan(train, Shard(held))} == want
+    assert list(scan([], Shard(held))) == [] and list(scan(train, Shard([]))) == []
+
+
+def test_scan_against_all_pairs_with_slips_on_either_side():
+    random.seed(4)
+    vocabulary = ["alpha", "bark", "cedar", "delta", "echo", "frost", "grain", "12", "13"]
+
+    def row(i):
+        words = random.sample(vocabulary, random.choice([1, 2, 3, 4, 5, 8]))
+        for _ in range(random.choice([0, 0, 0, 1, 2, 3])):
+            k = random.randrange(len(words))
+            if words[k].isalpha():
+                c = random.randrange(len(words[k]))
+                words[k] = "~" + words[k][:c] + words[k][c + 1 :]
+        return i, random.choice([None, "t", "u"]), sorted(words)
+
+    train, held = [row(i) for i in range(700)], [row(1000 + i) for i in range(700)]
+    want = {(t[0], h[0]) for t in train for h in held if same_question(t[2], h[2]) and (t[1] is None or h[1] is None or t[1] == h[1])}
+    found = list(scan(train, Shard(held)))
+    assert {(a, b) for a, b, _ in found} == want and len(found) == len(want) > 500
+    assert all(0 <= c <= 1 for *_, c in found)
+    a, b = ["alpha", "bark", "cedar", "delta", "echo"], ["alpha", "cedar", "delta", "echo", "~bork"]
+    assert [x[:2] for x in scan([(1, None, a)], Shard([(2, None, b)]))] == [x[:2] for x in scan([(1, None, b)], Shard([(2, None, a)]))] == [(1, 2)]
+
+
+def test_slip_of_two_words_and_of_a_number(spark):
+    rows = corpus() + [(2000 + i, f"what is the {p} of a {t} near a gas meter in a school of {3 + i % 15} storeys", None, "train", "bulk") for i, (p, t) in enumerate(itertools.product(["floating depth", "footing depth"], [f"item{'abcdefgh'[k]}" for k in range(8)]))]
+    q = "what is the {} depth of a wood deck near a gas meter in a school of {} storeys"
+    rows += [(1, q.format("floating", 12), None, "train", "s"), (2, q.format("footing", 12), None, "train", "s"), (3, q.format("floting", "twleve"), None, "dev", "s"), (4, q.format("floating", "thrteen"), None, "dev", "s")]
+    assert pairs(spark, rows) == {(1, 3), (2, 3)}
+
+
+def test_word_lists_are_parameters(spark):
+    rows = corpus() + [(1, BASE, None, "train", "s"), (2, BASE.replace("deck", "veranda"), None, "dev", "s"), (3, BASE + " zum", None, "dev", "s")]
+    assert pairs(spark, rows) == set()
+    assert pairs(spark, rows, variants={"veranda": "deck"}, small=[*SMALL, "zum"]) == {(1, 2), (1, 3)}
 
 
 def test_passages_mark_unknown_words(spark):
