@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import base64
+import hashlib
 import re
-import uuid
 from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from lexigrove.llm.flat import MEMO_PIECES, FlatMemo, slices
 from lexigrove.llm.transducer import Transducer
-from lexigrove.session import shared_dir
+from lexigrove.session import exists, shared_dir
 
 TOKENIZERS = "/opt/tokenizers"
 #: Words of the lexicon. It is only a short cut: words outside it are merged exactly, so the result doesn't depend on it.
@@ -143,10 +143,14 @@ def encode(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     spark: SparkSession = documents.sparkSession
     words = frequent_words(documents, text_col, lexicon_words)
-    name = f"lexicon-{uuid.uuid4().hex}.bin"  # Spark takes each name once
+    lexicon = Lexicon.compile(words, encoder(vocabulary).encode_ordinary)
+    # Named by its content, so the same lexicon is written and handed to Spark once, however often it is asked for.
+    name = f"lexicon-{hashlib.sha256(lexicon).hexdigest()[:32]}.bin"
     path = f"{shared_dir(spark)}/{name}"
-    write_shared(spark, path, Lexicon.compile(words, encoder(vocabulary).encode_ordinary))
-    spark.sparkContext.addFile(path)
+    if not exists(spark, path):
+        write_shared(spark, path, lexicon)
+    if not any(f.endswith(name) for f in spark.sparkContext.listFiles):
+        spark.sparkContext.addFile(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if name not in _lexicons:

@@ -92,3 +92,10 @@ def test_nulls_repeats_clashes_and_empty(spark):
 def test_frequent_words_break_ties_by_word(spark):
     df = spark.createDataFrame([("b a c",), ("x b a c",), (None,)], "text string")
     assert frequent_words(df, limit=2) == [" a", " c"]
+
+
+def test_same_lexicon_is_kept_once(spark):
+    rows = spark.createDataFrame([(1, "the same words, the same lexicon")], "doc_id bigint, text string")
+    once = [r.ids for r in encode(rows).collect()]
+    before = len(spark.sparkContext.listFiles)
+    assert [r.ids for r in encode(rows).collect()] == once and len(spark.sparkContext.listFiles) == before
