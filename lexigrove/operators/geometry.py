@@ -42,7 +42,8 @@ def candidate_pairs(boxes: DataFrame, pad: float = 0.0) -> DataFrame:
 def components(keys: DataFrame, pairs: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(key, component): connected components, named by their smallest key.
 
-    keys: (key); pairs: (a, b). Smallest-label propagation with pointer jumping, so long chains take few rounds.
+    keys: (key); pairs: (a, b). Smallest-label propagation with pointer jumping, so long chains take few rounds; more than
+    `max_rounds` raise RuntimeError.
     """
     both = cut(pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     state = cut(keys.select("key", F.col("key").alias("component")))
@@ -51,11 +52,10 @@ def components(keys: DataFrame, pairs: DataFrame, max_rounds: int = 60) -> DataF
         step = state.join(near, "key", "left").select("key", "component", F.least("component", F.coalesce("m", "component")).alias("new"))
         jump = step.alias("s").join(step.select(F.col("key").alias("new"), F.col("new").alias("far")), "new", "left").select("key", "component", F.least("new", F.coalesce("far", "new")).alias("next"))
         jump = cut(jump)
-        changed = not jump.where("next <> component").isEmpty()
+        if jump.where("next <> component").isEmpty():
+            return jump.select("key", F.col("next").alias("component"))
         state = jump.select("key", F.col("next").alias("component"))
-        if not changed:
-            break
-    return state
+    raise RuntimeError(f"components are still growing together after {max_rounds} rounds; raise max_rounds")
 
 
 def suppress_overlaps(boxes: DataFrame, share: float = 0.5) -> DataFrame:

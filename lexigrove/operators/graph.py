@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexigrove.session import cut
+from lexigrove.session import cut, scratch
 
 
 def subtree(links: DataFrame, nodes: DataFrame, anchors: DataFrame) -> DataFrame:
@@ -35,17 +35,20 @@ def k_hop(links: DataFrame, edges: DataFrame, anchors: DataFrame, hops: int, hub
     """(anchor, key, hop): nodes reached from the subtree of each anchor in at most `hops` steps, at their first hop.
 
     The visited set begins with the whole subtree; a hub is reached but not expanded. Each hop is one join and one
-    anti-join; the frontier is written to the shared folder, so the plan doesn't grow with the hops.
+    anti-join; each hop is added to one folder of the shared folder, so the plan doesn't grow with the hops.
     """
+    spark, schema = links.sparkSession, "anchor string, key string, hop int"
+    folder = scratch(spark, "hops")
     steps = edges.where("dst is not null").select("src", "dst").distinct()
-    seen = cut(links.join(anchors.select(F.col("key").alias("ancestor")), "ancestor", "left_semi").select(F.col("ancestor").alias("anchor"), F.col("descendant").alias("key"), F.lit(0).alias("hop")))
-    frontier = seen
+    start = links.join(anchors.select(F.col("key").alias("ancestor")), "ancestor", "left_semi").select(F.col("ancestor").alias("anchor"), F.col("descendant").alias("key"), F.lit(0).alias("hop"))
+    start.write.parquet(f"{folder}/n=0")
     for hop in range(1, hops + 1):
+        frontier = spark.read.schema(schema).parquet(f"{folder}/n={hop - 1}")
+        seen = spark.read.schema(schema).parquet(folder)
         open_ = frontier if hubs is None else frontier.join(hubs.select("key"), "key", "left_anti")
         reached = open_.select("anchor", F.col("key").alias("src")).join(steps, "src").select("anchor", F.col("dst").alias("key")).distinct()
-        frontier = cut(reached.join(seen.select("anchor", "key"), ["anchor", "key"], "left_anti").withColumn("hop", F.lit(hop)))
-        seen = seen.unionByName(frontier)
-    return seen.where("hop > 0")
+        reached.join(seen.select("anchor", "key"), ["anchor", "key"], "left_anti").withColumn("hop", F.lit(hop)).write.parquet(f"{folder}/n={hop}")
+    return spark.read.schema(schema).parquet(folder).where("hop > 0").select("anchor", "key", "hop")
 
 
 def leaf_chain(links: DataFrame, nodes: DataFrame, marked: DataFrame, leaf_types: Sequence[str]) -> DataFrame:
@@ -59,18 +62,18 @@ def leaf_chain(links: DataFrame, nodes: DataFrame, marked: DataFrame, leaf_types
 def longest_paths(tracks: DataFrame, steps: DataFrame) -> DataFrame:
     """(key, weeks): the longest sum of weeks of a path of the DAG that ends at each track.
 
-    tracks: (key, weeks); steps: (src, dst), acyclic. Relaxes one edge a round until nothing changes.
+    tracks: (key, weeks); steps: (src, dst). Relaxes one edge a round until nothing changes; steps that run in a loop raise ValueError.
     """
     steps = cut(steps.select("src", "dst"))
     state = cut(tracks.select("key", "weeks", F.col("weeks").alias("total")))
     rounds = state.count()
-    for _ in range(rounds):
+    for _ in range(rounds + 1):
         best = steps.join(state.select(F.col("key").alias("src"), "total"), "src").groupBy(F.col("dst").alias("key")).agg(F.max("total").alias("before"))
         new = cut(state.join(best, "key", "left").select("key", "weeks", (F.col("weeks") + F.coalesce("before", F.lit(0))).alias("new"), "total"))
         if new.where("new <> total").isEmpty():
-            break
+            return state.select("key", F.col("total").alias("weeks"))
         state = new.select("key", "weeks", F.col("new").alias("total"))
-    return state.select("key", F.col("total").alias("weeks"))
+    raise ValueError("the steps run in a loop, so no path is the longest")
 
 
 def within_budget(lines: DataFrame, group: str, order: Sequence[str], budget: int, always: int) -> DataFrame:

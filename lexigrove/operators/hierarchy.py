@@ -3,12 +3,40 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lexigrove.functions.ids import id_key
-from lexigrove.session import cut
+from lexigrove.session import exists, scratch
+
+
+class _Rounds:
+    """The state of the nodes over the rounds: each round's folder has the nodes it settled and those still open."""
+
+    STATE = "key string, ptr string, path array<string>, fault string"
+
+    def __init__(self, spark: SparkSession, first: DataFrame):
+        self.spark, self.folder, self.n = spark, scratch(spark, "hierarchy"), -1
+        observed = Observation()
+        self.add(first.observe(observed, F.count(F.lit(1)).alias("n")))
+        self.rows = observed.get["n"]
+
+    def add(self, state: DataFrame) -> None:
+        self.n += 1
+        state.withColumn("settled", F.col("ptr").isNull() | F.col("fault").isNotNull()).write.partitionBy("settled").parquet(f"{self.folder}/{self.n}")
+
+    def _read(self, rounds: Iterable[int], settled: bool) -> DataFrame:
+        # A folder is missing where a round left no such node.
+        paths = [p for n in rounds if exists(self.spark, p := f"{self.folder}/{n}/settled={str(settled).lower()}")]
+        return self.spark.read.schema(self.STATE).parquet(*paths) if paths else self.spark.createDataFrame([], self.STATE)
+
+    def open(self) -> DataFrame:
+        return self._read([self.n], False)
+
+    def all(self) -> DataFrame:
+        return self._read(range(self.n + 1), True).unionByName(self.open())
 
 
 def hierarchy(nodes: DataFrame, id_col: str = "id", parent_col: str = "parent") -> DataFrame:
@@ -24,8 +52,9 @@ def hierarchy(nodes: DataFrame, id_col: str = "id", parent_col: str = "parent")
     take part in the join. A node that meets itself on its own path is on a loop; a node whose path meets a loop is
     below it; what is still open after log2(n) rounds can only be such a node.
 
-    Scale: one row per node travels per round. The pointer side of each join holds one row per key, so a parent
-    with very many children only skews the probe side, which adaptive execution splits.
+    Scale: a round moves the open nodes only and writes each settled one once; the spellings of the ids stay out of the rounds and
+    are joined at the end. The pointer side of each join holds one row per key, so a parent
+    with very many children only skews the probe side, which adaptive execution splits. The rounds' tables stand in the shared folder.
 
     Defined cases: ids compare without outer white space and case; null or blank ids give no row; a null, blank or
     unknown parent makes a root; repeated rows count once; an id with several different parents keeps the smallest
@@ -36,30 +65,28 @@ def hierarchy(nodes: DataFrame, id_col: str = "id", parent_col: str = "parent")
     links = base.where("up is not null").select("key", "up").distinct()
     known = named.select(F.col("key").alias("up"))
     parent = links.join(known, "up", "left_semi").groupBy("key").agg(F.min("up").alias("up"))
-    state = cut(
-        named.join(parent, "key", "left").select(
-            "key", "labels", F.col("up").alias("ptr"), F.when(F.col("up").isNull(), F.array().cast("array<string>")).otherwise(F.array("up")).alias("path"), F.when(F.col("up") == F.col("key"), "cycle").alias("fault")
-        )
+    first = named.select("key").join(parent, "key", "left").select(
+        "key", F.col("up").alias("ptr"), F.when(F.col("up").isNull(), F.array().cast("array<string>")).otherwise(F.array("up")).alias("path"), F.when(F.col("up") == F.col("key"), "cycle").alias("fault")
     )
-    total = state.count()
-    for _ in range(max(1, math.ceil(math.log2(total + 1)) + 1) if total else 0):
-        open_ = F.col("ptr").isNotNull() & F.col("fault").isNull()
-        if state.where(open_).isEmpty():
+    rounds = _Rounds(nodes.sparkSession, first)
+    for _ in range(max(1, math.ceil(math.log2(rounds.rows + 1)) + 1) if rounds.rows else 0):
+        if rounds.open().isEmpty():
             break
-        jump = state.select(F.col("key").alias("ptr"), F.col("ptr").alias("next"), F.col("path").alias("tail"), F.col("fault").alias("above"))
-        joined = state.where(open_).join(jump, "ptr", "inner")
+        jump = rounds.all().select(F.col("key").alias("ptr"), F.col("ptr").alias("next"), F.col("path").alias("tail"), F.col("fault").alias("above"))
+        joined = rounds.open().join(jump, "ptr", "inner")
         path = F.concat("path", "tail")
         # A path is cut where it meets the node again, so it never grows along a loop.
         on_loop = F.array_contains(path, F.col("key"))
         meets = F.size(F.array_distinct(path)) < F.size(path)
-        moved = joined.select(
-            "key",
-            "labels",
-            F.when(F.col("above").isNull(), F.col("next")).alias("ptr"),
-            F.when(on_loop, F.slice(path, 1, F.array_position(path, F.col("key")).cast("int"))).when(F.col("above").isNotNull() | meets, F.array().cast("array<string>")).otherwise(path).alias("path"),
-            F.when(on_loop, "cycle").when(F.col("above").isNotNull() | meets, "below").alias("fault"),
+        rounds.add(
+            joined.select(
+                "key",
+                F.when(F.col("above").isNull(), F.col("next")).alias("ptr"),
+                F.when(on_loop, F.slice(path, 1, F.array_position(path, F.col("key")).cast("int"))).when(F.col("above").isNotNull() | meets, F.array().cast("array<string>")).otherwise(path).alias("path"),
+                F.when(on_loop, "cycle").when(F.col("above").isNotNull() | meets, "below").alias("fault"),
+            )
         )
-        state = cut(moved.unionByName(state.where(~open_)))
+    state = rounds.all().join(named, "key")
     fault = F.coalesce(F.col("fault"), F.when(F.col("ptr").isNotNull(), "below"))
     in_tree = fault.isNull()
     return state.select(

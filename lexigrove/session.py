@@ -60,6 +60,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is such a file or folder."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a file or folder, if it is there."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -97,6 +97,19 @@ def test_lattice(spark):
     assert got == {0: (0, 0, 1, 1), 1: (0, 1, 1, 1), 2: (1, 0, 1, 2), 3: (2, 0, 2, 1), 4: (2, 1, 1, 1), 5: (3, 1, 1, 1)}
 
 
+def test_components_raise_at_the_bound(spark):
+    keys = spark.createDataFrame([(i,) for i in range(200)], "key int")
+    chain = spark.createDataFrame([(i, i + 1) for i in range(199)], "a int, b int")
+    assert {r.component for r in geometry.components(keys, chain).collect()} == {0}
+    with pytest.raises(RuntimeError, match="max_rounds"):
+        geometry.components(keys, chain, max_rounds=3)
+
+
+def test_longest_paths_of_a_loop_raise(spark):
+    with pytest.raises(ValueError, match="loop"):
+        graph.longest_paths(spark.createDataFrame([("a", 1), ("b", 1)], "key string, weeks int"), spark.createDataFrame([("a", "b"), ("b", "a")], "src string, dst string"))
+
+
 def test_longest_paths(spark):
     tracks = spark.createDataFrame([("a", 2), ("b", 3), ("c", 1), ("z", 5)], "key string, weeks bigint")
     steps = spark.createDataFrame([("a", "b"), ("b", "c"), ("a", "c")], "src string, dst string")
