@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -63,19 +64,26 @@ def plain_word(word: str) -> str:
 class Windows:
     """Sorted keys of windows of the items' words, with the places behind each key."""
 
+    BITS = 20
+
     def __init__(self, keys: np.ndarray, at: np.ndarray):
         order = np.argsort(keys, kind="stable")
         self.at = at[order]
         self.keys, self.first = np.unique(keys[order], return_index=True)
         self.counts = np.diff(np.append(self.first, len(order)))
+        #: Which leading bits some key has; most keys of a text fail here already.
+        self.leading = np.zeros(1 << self.BITS, dtype=bool)
+        self.leading[self.keys >> np.uint64(64 - self.BITS)] = True
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place among keys, slot here) of the keys that are here."""
         if not len(self.keys) or not len(keys):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        place = np.flatnonzero(self.leading[keys >> np.uint64(64 - self.BITS)])
+        keys = keys[place]
         slot = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        place = np.flatnonzero(self.keys[slot] == keys)
-        return place, slot[place]
+        same = self.keys[slot] == keys
+        return place[same], slot[same]
 
     def places(self, slot: np.ndarray) -> np.ndarray:
         """The places behind each slot, one after another."""
@@ -147,15 +155,32 @@ class ItemIndex:
         return memo
 
 
+_BASE, _MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
+
+
+@lru_cache(maxsize=4)
+def _powers(base: int, n: int) -> np.ndarray:
+    """base ** 0, 1, ... of n places, modulo 2 ** 64."""
+    steps = np.full(n, base, dtype=np.uint64)
+    steps[:1] = 1
+    return np.cumprod(steps, dtype=np.uint64)
+
+
 def rolling(values: np.ndarray, size: int) -> np.ndarray:
-    """A 64-bit key of the `size` values from each place on; the last ones run over the end and are not for use."""
+    """A 64-bit key of the `size` values from each place on; the last ones run over the end and are not for use.
+
+    Differences of one running sum: the key of values v[i], v[i + 1], ... is the sum of their mixed forms times the base's inverse to the power of
+    their distance. Keys only select; what they select is compared word by word.
+    """
     n = len(values)
-    padded = np.concatenate([values, np.zeros(size, np.int64)]).astype(np.uint64)
-    key = np.zeros(n, dtype=np.uint64)
-    for k in range(size):
-        key = key * np.uint64(0x9E3779B97F4A7C15) + (padded[k : k + n] + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
-        key ^= key >> np.uint64(29)
-    return key
+    mixed = (values.astype(np.uint64) + np.uint64(1)) * np.uint64(_MIX)
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(_MIX)
+    mixed ^= mixed >> np.uint64(32)
+    room = 1 << max(10, (n - 1).bit_length())  # so that few sets of powers are kept
+    total = np.zeros(n + size + 1, dtype=np.uint64)
+    np.cumsum(mixed * _powers(pow(_BASE, -1, 1 << 64), room)[:n], out=total[1 : n + 1])
+    total[n + 1 :] = total[n]
+    return (total[size : n + size] - total[:n]) * _powers(_BASE, room)[:n]
 
 
 def literals(templates: np.ndarray, size: int) -> np.ndarray:
@@ -166,7 +191,7 @@ def literals(templates: np.ndarray, size: int) -> np.ndarray:
 
 def window_keys(templates: np.ndarray, words: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(template key, key of the very words) of each window; a window of too few literal words has its very words for a template."""
-    exact = rolling(words.astype(np.int64), size)
+    exact = rolling(words, size)
     return np.where(literals(templates, size) >= LITERALS, rolling(templates, size), exact), exact
 
 
@@ -179,7 +204,12 @@ def template_hits(index: ItemIndex, words: np.ndarray, templates: np.ndarray) ->
     keys, exact = window_keys(templates, words, WINDOW)
     place, _ = index.short.find(keys[: max(0, len(words) - WINDOW + 1)])
     inner, slot = index.exact.find(exact[place])
-    return place[inner], slot
+    place = place[inner]
+    # All places of a slot hold the same words, so one of them tells whether the slots are filled the same way.
+    at = index.exact.at[index.exact.first[slot]]
+    run = np.arange(WINDOW)
+    same = (words[place[:, None] + run] == index.words[at[:, None] + run]).all(axis=1)
+    return place[same], slot[same]
 
 
 def bound_slots(text: np.ndarray, item: np.ndarray, slots: np.ndarray) -> np.ndarray:
