@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lexigrove.functions.ids import id_key
 from lexigrove.functions.text import STOP
 from lexigrove.operators import retrieval as op
-from lexigrove.plans import graph
+from lexigrove.plans import bundle, graph
 from lexigrove.plans.views import nodes
 
 
@@ -33,21 +33,21 @@ def search(spark: SparkSession, d: str, query: str, limit: int = 10) -> DataFram
 
 def get_provision(spark: SparkSession, d: str, anchor: str) -> DataFrame:
     """The text leaves of any node with their modality, in document order."""
-    return graph.get_provision_whole(spark, d, _one(spark, anchor)).orderBy("rid")
+    return graph.get_provision(spark, d, _one(spark, anchor)).orderBy("rid")
 
 
-def get_context(spark: SparkSession, d: str, anchor: str) -> DataFrame:
-    """The budgeted context bundle of any node as Markdown."""
-    return graph.bundle_markdown_whole(spark, d, _key(anchor))
+def get_context(spark: SparkSession, d: str, anchor: str, budget: int = 8_000, hops: int = 1) -> DataFrame:
+    """The context bundle of any node as Markdown, cut to a budget of approximate tokens."""
+    return bundle.bundle_markdown(spark, d, _key(anchor), budget, hops)
 
 
 def neighbors(spark: SparkSession, d: str, anchor: str) -> DataFrame:
-    return graph.neighbors_whole(spark, d, _one(spark, anchor)).orderBy("rel", "other")
+    return graph.neighbors(spark, d, _one(spark, anchor)).orderBy("rel", "other")
 
 
 def what_cites(spark: SparkSession, d: str, anchor: str) -> DataFrame:
     """What cites a node or anything in its subtree."""
-    return graph.what_cites_whole(spark, d, _key(anchor)).orderBy("src", "kind")
+    return graph.what_cites(spark, d, _key(anchor)).orderBy("src", "kind")
 
 
 def capabilities(spark: SparkSession, d: str) -> DataFrame:

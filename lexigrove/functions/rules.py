@@ -9,12 +9,17 @@ from pyspark.sql import functions as F
 
 # What marks each modality, in order; the second table is the one used when text is rendered.
 MODALITY = [
-    ("prohibition", r"\b(shall|may|must) not\b|\bis prohibited\b|\bare not permitted\b"),
-    ("obligation", r"\b(shall|must)\b"),
-    ("permission", r"\b(may|is permitted|are permitted)\b"),
-    ("exemption", r"\b(need not|does not apply|is exempt)\b"),
+    ("prohibition", r"\bshall\s+not\b|\bshall\s+in\s+no\s+case\b|\b(is|are)\s+not\s+permitted\b|\bmay\s+not\b"),
+    ("obligation", r"\b(shall|must)\b|\b(is|are)\s+required\s+to\b"),
+    ("permission", r"\b(is|are)\s+permitted\b|\bmay\b"),
+    ("exemption", r"\bneed\s+not\b|\b(is|are)\s+not\s+required\b|\bexcept\b"),
+]
+MODALITY_RENDERED = [
+    ("prohibition", r"\bshall not\b|\bshall in no case\b|\bis not permitted\b"),
+    ("obligation", r"\b(shall|must)\b|\bis required to\b"),
+    ("permission", r"\b(is|are) permitted\b|\bmay\b"),
+    ("exemption", r"\bneed not\b|\bis not required\b|\bexcept\b"),
 ]
-MODALITY_RENDERED = [("prohibition", r"\b(shall|must) not\b"), ("obligation", r"\b(shall|must)\b"), ("permission", r"\bmay\b"), ("exemption", r"\b(need not|does not apply)\b")]
 ROLES = [
     ("blank", r"^[ \t\r]*$"),
     ("list", r"^[ \t]*([-\x{2022}*]|\([0-9a-z]{1,4}\)|[0-9]{1,3}\.) "),

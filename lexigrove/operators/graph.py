@@ -76,15 +76,15 @@ def longest_paths(tracks: DataFrame, steps: DataFrame) -> DataFrame:
     raise ValueError("the steps run in a loop, so no path is the longest")
 
 
-def within_budget(lines: DataFrame, group: str, order: Sequence[str], budget: int, always: int) -> DataFrame:
+def within_budget(lines: DataFrame, group: str, order: Sequence[str], budget: int, always: int, priority: str = "priority") -> DataFrame:
     """Rows of each group that stay when the last in order are dropped until the sizes fit the budget.
 
-    Rows with `priority` up to `always` stay in any case but count. Closed form of dropping one after the other.
+    Rows with a `priority` up to `always` stay in any case but count. Closed form of dropping one after the other.
     Each row has a size of at least 1, so no more than `budget` rows of one priority can stay: the rest is left out
     before a group comes together in one task (up to 1,000 the planner does so before the shuffle).
     """
-    nth = F.row_number().over(Window.partitionBy(group, "priority").orderBy(*order))
-    few = lines.where(F.col("priority") > always).withColumn("_nth", nth).where(F.col("_nth") <= budget).drop("_nth")
-    lines = lines.where(F.col("priority") <= always).unionByName(few)
+    nth = F.row_number().over(Window.partitionBy(group, priority).orderBy(*order))
+    few = lines.where(F.col(priority) > always).withColumn("_nth", nth).where(F.col("_nth") <= budget).drop("_nth")
+    lines = lines.where(F.col(priority) <= always).unionByName(few)
     running = F.sum("size").over(Window.partitionBy(group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    return lines.withColumn("running", running).where((F.col("running") <= budget) | (F.col("priority") <= always))
+    return lines.withColumn("running", running).where((F.col("running") <= budget) | (F.col(priority) <= always))

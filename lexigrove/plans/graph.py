@@ -46,16 +46,9 @@ def mr_closure(spark: SparkSession, d: str) -> DataFrame:
     return closure_pairs(forest).agg(F.count(F.lit(1)).alias("pairs")).crossJoin(forest.where("state = 'tree'").agg(F.sum(F.col("depth") + 1).alias("walked")))
 
 
-@query(sql(N, C) + """SELECT c.ancestor AS anchor, n.key, c.depth, n.page, n.rid, row_number() OVER (PARTITION BY c.ancestor ORDER BY c.depth, n.page, n.rid) AS ord
-FROM c JOIN n ON n.key = c.descendant WHERE c.ancestor IN (SELECT key FROM n WHERE node_type = 'section')""")
-def subtree(spark: SparkSession, d: str) -> DataFrame:
-    n = nodes(spark, d)
-    return op.subtree(links(spark, d), n, n.where("node_type = 'section'"))
-
-
 @query(sql(N, C) + """SELECT c.ancestor AS anchor, n.key, c.depth, n.page, n.rid, row_number() OVER (PARTITION BY c.ancestor ORDER BY c.depth, n.page, n.rid) AS ord
 FROM c JOIN n ON n.key = c.descendant WHERE c.ancestor IN (SELECT key FROM n)""")
-def subtree_whole(spark: SparkSession, d: str, anchors: DataFrame | None = None) -> DataFrame:
+def subtree(spark: SparkSession, d: str, anchors: DataFrame | None = None) -> DataFrame:
     """The subtree of every live node, or of the given anchors (key)."""
     n = nodes(spark, d)
     return op.subtree(links(spark, d), n, _anchors(n, anchors))
@@ -73,15 +66,9 @@ def closure_rollup(spark: SparkSession, d: str) -> DataFrame:
     return links(spark, d).join(per.withColumnRenamed("src", "descendant"), "descendant").groupBy("ancestor").agg(F.sum("n").alias("refs"), F.countDistinct("kind").alias("kinds"))
 
 
-@query(sql(N, C) + """SELECT c.descendant AS key, c.ancestor, row_number() OVER (PARTITION BY c.descendant ORDER BY c.depth DESC, c.ancestor) AS pos
-FROM c JOIN n ON n.key = c.descendant WHERE n.node_type = 'article'""")
-def ancestors(spark: SparkSession, d: str) -> DataFrame:
-    return _ancestors(spark, d, nodes(spark, d).where("node_type = 'article'"))
-
-
 @query(sql(N, C) + """SELECT c.descendant AS key, c.ancestor, row_number() OVER (PARTITION BY c.descendant ORDER BY c.depth DESC, c.ancestor) AS pos
 FROM c WHERE c.descendant IN (SELECT key FROM n)""")
-def ancestors_whole(spark: SparkSession, d: str, anchors: DataFrame | None = None) -> DataFrame:
+def ancestors(spark: SparkSession, d: str, anchors: DataFrame | None = None) -> DataFrame:
     """The ancestors of every live node, or of the given anchors (key)."""
     return _ancestors(spark, d, _anchors(nodes(spark, d), anchors))
 
@@ -91,23 +78,12 @@ def _ancestors(spark: SparkSession, d: str, a: DataFrame) -> DataFrame:
     return links(spark, d).join(n, "descendant", "left_semi").select(F.col("descendant").alias("key"), "ancestor", F.row_number().over(Window.partitionBy("descendant").orderBy(F.desc("depth"), "ancestor")).alias("pos"))
 
 
-@query(sql(N, E) + """, a AS (SELECT key, up FROM n WHERE node_type = 'article'),
-i AS (SELECT dst AS key, src, row_number() OVER (PARTITION BY dst ORDER BY src) AS k FROM (SELECT DISTINCT dst, src FROM e WHERE dst IN (SELECT key FROM a)))
-SELECT key, 'parent' AS rel, up AS other FROM a WHERE up IS NOT NULL
-UNION ALL SELECT n.up, 'child', n.key FROM n WHERE n.up IN (SELECT key FROM a)
-UNION ALL SELECT DISTINCT src, CASE WHEN kind = 'term' THEN 'term' ELSE 'out' END, dst FROM e WHERE dst IS NOT NULL AND src IN (SELECT key FROM a)
-UNION ALL SELECT key, 'in', src FROM i WHERE k <= 50""")
-def neighbors(spark: SparkSession, d: str) -> DataFrame:
-    """Parent, children, outgoing, term and the first 50 incoming neighbours of each article."""
-    return _neighbors(spark, d, nodes(spark, d).where("node_type = 'article'"))
-
-
 @query(sql(N, E) + """, i AS (SELECT dst AS key, src, row_number() OVER (PARTITION BY dst ORDER BY src) AS k FROM (SELECT DISTINCT dst, src FROM e WHERE dst IN (SELECT key FROM n)))
 SELECT key, 'parent' AS rel, up AS other FROM n WHERE up IS NOT NULL
 UNION ALL SELECT up, 'child', key FROM n WHERE up IN (SELECT key FROM n)
 UNION ALL SELECT DISTINCT src, CASE WHEN kind = 'term' THEN 'term' ELSE 'out' END, dst FROM e WHERE dst IS NOT NULL AND src IN (SELECT key FROM n)
 UNION ALL SELECT key, 'in', src FROM i WHERE k <= 50""")
-def neighbors_whole(spark: SparkSession, d: str, anchors: DataFrame | None = None) -> DataFrame:
+def neighbors(spark: SparkSession, d: str, anchors: DataFrame | None = None) -> DataFrame:
     """The neighbours of every live node, or of the given anchors (key)."""
     return _neighbors(spark, d, _anchors(nodes(spark, d), anchors))
 
@@ -127,28 +103,16 @@ def _neighbors(spark: SparkSession, d: str, anchors: DataFrame) -> DataFrame:
 DEPS = """deps AS (SELECT DISTINCT c.ancestor AS anchor, e.dst FROM c JOIN e ON e.src = c.descendant WHERE e.dst IS NOT NULL AND NOT EXISTS (SELECT 1 FROM c x WHERE x.ancestor = c.ancestor AND x.descendant = e.dst))"""
 
 
-@query(sql(N, C, E, DEPS) + "SELECT anchor, count(*) AS deps FROM deps WHERE anchor IN (SELECT key FROM n WHERE node_type = 'article') GROUP BY 1")
-def dep_count(spark: SparkSession, d: str) -> DataFrame:
-    return op.dependencies(links(spark, d), edges(spark, d), nodes(spark, d).where("node_type = 'article'")).groupBy("anchor").agg(F.count(F.lit(1)).alias("deps"))
-
-
-@query(sql(N, C, E, DEPS) + "SELECT anchor, count(*) AS deps FROM deps WHERE anchor IN (SELECT key FROM n WHERE node_type IN ('section', 'part')) GROUP BY 1 HAVING count(*) > 50")
-def hub_nodes(spark: SparkSession, d: str) -> DataFrame:
-    """Anchors with more than 50 dependencies, which a bundle takes by reference."""
-    n = nodes(spark, d).where("node_type in ('section', 'part')")
-    return op.dependencies(links(spark, d), edges(spark, d), n).groupBy("anchor").agg(F.count(F.lit(1)).alias("deps")).where("deps > 50")
-
-
 @query(sql(N, C, E, DEPS) + "SELECT anchor, count(*) AS deps FROM deps WHERE anchor IN (SELECT key FROM n) GROUP BY 1")
-def dep_count_whole(spark: SparkSession, d: str, anchors: DataFrame | None = None) -> DataFrame:
+def dep_count(spark: SparkSession, d: str, anchors: DataFrame | None = None) -> DataFrame:
     """The dependencies of every live node that has any, or of the given anchors (key)."""
     return op.dependencies(links(spark, d), edges(spark, d), _anchors(nodes(spark, d), anchors)).groupBy("anchor").agg(F.count(F.lit(1)).alias("deps"))
 
 
 @query(sql(N, C, E, DEPS) + "SELECT anchor, count(*) AS deps FROM deps WHERE anchor IN (SELECT key FROM n) GROUP BY 1 HAVING count(*) > 50")
-def hub_nodes_whole(spark: SparkSession, d: str, anchors: DataFrame | None = None) -> DataFrame:
+def hub_nodes(spark: SparkSession, d: str, anchors: DataFrame | None = None) -> DataFrame:
     """Nodes of any type with more than 50 dependencies."""
-    return dep_count_whole(spark, d, anchors).where("deps > 50")
+    return dep_count(spark, d, anchors).where("deps > 50")
 
 
 HUBS = "hubs AS (SELECT dst AS key FROM (SELECT DISTINCT src, dst FROM e WHERE dst IS NOT NULL) GROUP BY 1 HAVING count(*) > 50)"
@@ -173,18 +137,16 @@ def cited_by(spark: SparkSession, d: str) -> DataFrame:
     return edges(spark, d).where("dst is not null").join(n, "src").select(F.col("dst").alias("key"), "ref_id", "citing_rid", "citing_type")
 
 
-@query(sql(E) + """SELECT dst, src, kind FROM e WHERE dst IS NOT NULL AND coalesce(kind, '') <> 'term' UNION SELECT dst, src, 'uses_term' FROM e WHERE dst IS NOT NULL AND kind = 'term'""")
-def what_cites(spark: SparkSession, d: str) -> DataFrame:
+def _citing(spark: SparkSession, d: str) -> DataFrame:
     e = edges(spark, d).where("dst is not null")
-    refs = e.where("coalesce(kind, '') <> 'term'").select("dst", "src", "kind")
-    return refs.union(e.where("kind = 'term'").select("dst", "src", F.lit("uses_term"))).distinct()
+    return e.select("dst", "src", F.when(F.col("kind") == "term", "uses_term").otherwise(F.col("kind")).alias("kind")).distinct()
 
 
 @query(sql(C, E) + """, w AS (SELECT dst, src, CASE WHEN kind = 'term' THEN 'uses_term' ELSE kind END AS kind FROM e WHERE dst IS NOT NULL), p AS (SELECT ancestor, descendant FROM c UNION SELECT dst, dst FROM w)
 SELECT DISTINCT p.ancestor, w.src, w.kind FROM p JOIN w ON w.dst = p.descendant""")
-def what_cites_whole(spark: SparkSession, d: str, anchor: Column | None = None) -> DataFrame:
+def what_cites(spark: SparkSession, d: str, anchor: Column | None = None) -> DataFrame:
     """(ancestor, src, kind): what cites a node or anything in its subtree, for all nodes or one anchor; a target outside of the closure stands for itself."""
-    w = what_cites(spark, d)
+    w = _citing(spark, d)
     pairs = links(spark, d).select("ancestor", F.col("descendant").alias("dst")).unionByName(w.select(F.col("dst").alias("ancestor"), "dst")).distinct()
     if anchor is not None:
         pairs = pairs.where(F.col("ancestor") == anchor)
@@ -316,43 +278,37 @@ def amendment_inherit(spark: SparkSession, d: str) -> DataFrame:
     return op.leaf_chain(links(spark, d), n, n.where(F.col("body").contains("O. Reg.")), LEAF_TYPES).groupBy("key").agg(F.count(F.lit(1)).alias("marks"))
 
 
-@query(sql(N, C, E) + """, a AS (SELECT key, up, number FROM n WHERE node_type = 'article'), t AS (SELECT key, up, regexp_replace(number, '[.]$', '') AS number FROM n WHERE node_type = 'table'),
-b AS (SELECT DISTINCT c.ancestor AS article, e.dst AS bound FROM c JOIN e ON e.src = c.descendant WHERE e.kind = 'cap_ref' AND e.dst IN (SELECT key FROM t) AND c.ancestor IN (SELECT key FROM a))
-SELECT article, bound, 'edge' AS how FROM b
-UNION ALL SELECT a.key, t.key, 'number' FROM a JOIN t ON t.number = a.number AND split_part(t.key, '/', 1) = split_part(a.key, '/', 1) AND split_part(t.key, '/', 2) = split_part(a.key, '/', 2) WHERE a.key NOT IN (SELECT article FROM b)""")
-def bound_tables(spark: SparkSession, d: str) -> DataFrame:
-    """Tables of an article: those its subtree cites, else the one with its number in the same division."""
-    n = nodes(spark, d)
-    a, t = n.where("node_type = 'article'").select("key", "number"), n.where("node_type = 'table'").select("key", F.regexp_replace("number", "[.]$", "").alias("number"))
-    cites = edges(spark, d).where("kind = 'cap_ref'").join(t.select(F.col("key").alias("dst")), "dst", "left_semi").select(F.col("src").alias("descendant"), F.col("dst").alias("bound"))
-    by_edge = links(spark, d).join(a.select(F.col("key").alias("ancestor")), "ancestor", "left_semi").join(cites, "descendant").select(F.col("ancestor").alias("article"), "bound").distinct()
-    place = lambda c: F.slice(F.split(c, "/"), 1, 2)
-    left = a.join(by_edge.select(F.col("article").alias("key")), "key", "left_anti").select(F.col("key").alias("article"), "number", place("key").alias("place"))
-    by_number = left.join(t.select(F.col("key").alias("bound"), "number", place("key").alias("place")), ["number", "place"]).select("article", "bound", F.lit("number").alias("how"))
-    return by_edge.withColumn("how", F.lit("edge")).unionByName(by_number)
+OWNED = """ta AS (SELECT key, up FROM n WHERE node_type IN ('table', 'figure')),
+be AS (SELECT src AS prov, dst AS bound FROM e WHERE kind = 'cap_ref' UNION SELECT dst, src FROM e WHERE kind = 'forms_part_of'),
+ow AS (SELECT DISTINCT c.ancestor AS owner, be.bound FROM c JOIN be ON be.prov = c.descendant WHERE be.bound IN (SELECT key FROM ta)),
+owned AS (SELECT owner, bound, 'edge' AS how FROM ow UNION ALL SELECT DISTINCT c.ancestor, ta.key, 'parent' FROM c JOIN ta ON ta.up = c.descendant WHERE c.ancestor NOT IN (SELECT owner FROM ow))"""
 
 
-OWNED = """ta AS (SELECT key, regexp_replace(number, '[.]$', '') AS number FROM n WHERE node_type = 'table'),
-ow AS (SELECT DISTINCT c.ancestor AS owner, e.dst AS bound FROM c JOIN e ON e.src = c.descendant WHERE e.kind = 'cap_ref' AND e.dst IN (SELECT key FROM ta)),
-owned AS (SELECT owner, bound FROM ow UNION ALL SELECT a.key, t.key FROM n a JOIN ta t ON t.number = a.number AND split_part(t.key, '/', 1) = split_part(a.key, '/', 1) AND split_part(t.key, '/', 2) = split_part(a.key, '/', 2)
-  WHERE a.node_type = 'article' AND a.key NOT IN (SELECT owner FROM ow))"""
+def owned_tables(spark: SparkSession, d: str) -> DataFrame:
+    """(owner, bound, how): the tables and figures of every node: those bound by an edge to its subtree, else those whose parent stands in it."""
+    t = nodes(spark, d).where("node_type in ('table', 'figure')").select(F.col("key").alias("bound"), "up")
+    e = edges(spark, d)
+    bound = e.where("kind = 'cap_ref'").select(F.col("src").alias("descendant"), F.col("dst").alias("bound")).union(e.where("kind = 'forms_part_of'").select("dst", "src"))
+    c = links(spark, d).select(F.col("ancestor").alias("owner"), "descendant")
+    by_edge = c.join(bound.join(t, "bound", "left_semi"), "descendant").select("owner", "bound").distinct()
+    by_parent = c.join(t.select(F.col("up").alias("descendant"), "bound"), "descendant").select("owner", "bound").distinct().join(by_edge.select("owner"), "owner", "left_anti")
+    return by_edge.withColumn("how", F.lit("edge")).unionByName(by_parent.withColumn("how", F.lit("parent")))
 
 
-def owned_tables(spark: SparkSession, d: str) -> DataFrame:
-    """(owner, bound): the tables of every node, not only of articles: those its subtree cites, for an article else the one with its number."""
-    t = nodes(spark, d).where("node_type = 'table'").select(F.col("key").alias("dst"))
-    cites = edges(spark, d).where("kind = 'cap_ref'").join(t, "dst", "left_semi").select(F.col("src").alias("descendant"), F.col("dst").alias("bound"))
-    by_edge = links(spark, d).join(cites, "descendant").select(F.col("ancestor").alias("owner"), "bound").distinct()
-    return by_edge.unionByName(bound_tables(spark, d).where("how = 'number'").select(F.col("article").alias("owner"), "bound"))
+@query(sql(N, C, E, OWNED) + "SELECT owner, bound, how FROM owned WHERE owner IN (SELECT key FROM n)")
+def bound_tables(spark: SparkSession, d: str) -> DataFrame:
+    """Tables and figures of every live node."""
+    return owned_tables(spark, d).join(nodes(spark, d).select(F.col("key").alias("owner")), "owner", "left_semi")
 
 
-@query(sql(D, C) + """, x AS (SELECT key, 'v1/' || lower(blob) AS home FROM d WHERE blob IS NOT NULL)
-SELECT key AS ancestor, key AS descendant, 0 AS depth FROM x UNION ALL SELECT c.ancestor, x.key, c.depth + 1 FROM x JOIN c ON c.descendant = x.home""")
+@query(sql(N, D, C) + """, x AS (SELECT d.key, n.key AS home FROM d JOIN n ON starts_with(n.key, 'v' || n.volume || '/') AND substr(n.key, length('v' || n.volume || '/') + 1) = lower(trim(d.blob)))
+SELECT home, key AS ancestor, key AS descendant, 0 AS depth FROM x UNION ALL SELECT x.home, c.ancestor, x.key, c.depth + 1 FROM x JOIN c ON c.descendant = x.home""")
 def closure_extend(spark: SparkSession, d: str) -> DataFrame:
-    """Closure rows of definitions hung under the text they come from: its ancestors one deeper, and themselves."""
-    x = definitions(spark, d).where("blob is not null").select("key", F.concat(F.lit("v1/"), F.lower("blob")).alias("descendant"))
-    own = x.select(F.col("key").alias("ancestor"), F.col("key").alias("descendant"), F.lit(0).alias("depth"))
-    return own.unionByName(links(spark, d).join(x, "descendant").select("ancestor", F.col("key").alias("descendant"), (F.col("depth") + 1).alias("depth")))
+    """Closure rows of definitions hung under the text they come from, in every volume that has it: its ancestors one deeper, and themselves."""
+    homes = nodes(spark, d).select(F.col("key").alias("home"), F.concat(F.lit("v"), F.col("volume").cast("string"), F.lit("/")).alias("volume")).where(F.col("home").startswith(F.col("volume")))
+    x = definitions(spark, d).where("blob is not null").select("key", F.lower(F.trim("blob")).alias("local")).join(homes.select("home", F.expr("substr(home, length(volume) + 1)").alias("local")), "local")
+    own = x.select("home", F.col("key").alias("ancestor"), F.col("key").alias("descendant"), F.lit(0).alias("depth"))
+    return own.unionByName(links(spark, d).join(x.withColumn("descendant", F.col("home")), "descendant").select("home", "ancestor", F.col("key").alias("descendant"), (F.col("depth") + 1).alias("depth")))
 
 
 @query(sql(N) + "SELECT volume, count(*) AS nodes, count(*) - count(DISTINCT key) AS clashes, min(rid) AS first_rid FROM n GROUP BY 1")
@@ -431,9 +387,6 @@ def resolve_anchor(spark: SparkSession, d: str) -> DataFrame:
     return found.groupBy("text").agg(F.min(F.struct("tier", "volume", "page", "rid", "key")).alias("m")).select("text", "m.tier", "m.key")
 
 
-LEAVES = """lv AS (SELECT c.ancestor AS article, n.rid, n.designator, n.body, n.modality FROM c JOIN n ON n.key = c.descendant WHERE n.body IS NOT NULL AND c.ancestor IN (SELECT key FROM n WHERE node_type = 'article'))"""
-
-
 def _leaves(spark: SparkSession, d: str, anchors: DataFrame | None = None) -> DataFrame:
     n = nodes(spark, d)
     a = (n.where("node_type = 'article'") if anchors is None else anchors).select(F.col("key").alias("ancestor"))
@@ -441,29 +394,12 @@ def _leaves(spark: SparkSession, d: str, anchors: DataFrame | None = None) -> Da
     return links(spark, d).join(a, "ancestor", "left_semi").join(text, "descendant").select(F.col("ancestor").alias("article"), "rid", "designator", "body", "modality")
 
 
-@query(sql(N, C, LEAVES) + "SELECT article, rid, designator, body, modality FROM lv")
-def get_provision(spark: SparkSession, d: str) -> DataFrame:
-    """The text leaves of each article with their modality."""
-    return _leaves(spark, d)
-
-
 @query(sql(N, C) + "SELECT c.ancestor AS anchor, n.rid, n.designator, n.body, n.modality FROM c JOIN n ON n.key = c.descendant WHERE n.body IS NOT NULL AND c.ancestor IN (SELECT key FROM n)")
-def get_provision_whole(spark: SparkSession, d: str, anchors: DataFrame | None = None) -> DataFrame:
+def get_provision(spark: SparkSession, d: str, anchors: DataFrame | None = None) -> DataFrame:
     """The text leaves of every live node, or of the given anchors (key), with their modality."""
     return _leaves(spark, d, _anchors(nodes(spark, d), anchors)).withColumnRenamed("article", "anchor")
 
 
-@query(sql(N, C, LEAVES) + """, t AS (SELECT c.descendant AS key, string_agg(p.heading, ' > ' ORDER BY c.depth DESC, p.rid) AS trail FROM c JOIN n p ON p.key = c.ancestor WHERE c.depth > 0 AND p.heading IS NOT NULL GROUP BY 1),
-b AS (SELECT article, string_agg(body, chr(10) ORDER BY rid) AS body FROM lv GROUP BY 1)
-SELECT n.key AS article, left(coalesce(t.trail, '') || chr(10) || coalesce(b.body, ''), 1400) AS text FROM n LEFT JOIN t ON t.key = n.key LEFT JOIN b ON b.article = n.key WHERE n.node_type = 'article'""")
-def article_text(spark: SparkSession, d: str) -> DataFrame:
-    """The text by which an article is found: its trail, a line break and its subtree's text, cut at 1,400 characters."""
-    body = _leaves(spark, d).groupBy("article").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rid", "body"))), lambda x: x["body"]), "\n").alias("body"))
-    a = nodes(spark, d).where("node_type = 'article'").select(F.col("key").alias("article"))
-    trail = scope_trail(spark, d).withColumnRenamed("key", "article")
-    return a.join(trail, "article", "left").join(body, "article", "left").select("article", F.left(F.concat(F.coalesce("trail", F.lit("")), F.lit("\n"), F.coalesce("body", F.lit(""))), F.lit(1400)).alias("text"))
-
-
 @query(sql(N) + "SELECT up AS key, string_agg(body, ' ' ORDER BY rid) AS text FROM n WHERE up IS NOT NULL AND body IS NOT NULL GROUP BY 1")
 def node_text(spark: SparkSession, d: str) -> DataFrame:
     """The bodies of each node's children in document order."""
@@ -496,183 +432,3 @@ def capability_stats(spark: SparkSession, d: str) -> DataFrame:
     for one in rest:
         n = n.crossJoin(one)  # one row each
     return n
-
-
-# The context bundle in long form: one line per row, by priority of its section.
-BUNDLE = """a AS (SELECT key FROM n WHERE node_type = 'article'),
-sc AS (SELECT ancestor AS article, descendant AS src FROM c WHERE ancestor IN (SELECT key FROM a)),
-og AS (SELECT DISTINCT sc.article, e.kind, e.dst FROM sc JOIN e ON e.src = sc.src WHERE e.dst IS NOT NULL),
-ln AS (SELECT n.key AS article, 1 AS priority, 'anchor' AS section, n.rid AS ord, coalesce(n.heading, n.id) AS line FROM n WHERE n.node_type = 'article'
- UNION ALL SELECT sc.article, 2, 'text', n.rid, n.body FROM sc JOIN n ON n.key = sc.src WHERE n.body IS NOT NULL
- UNION ALL SELECT og.article, 3, 'terms', hash_rank, d.body FROM (SELECT og.article, og.dst, row_number() OVER (PARTITION BY og.article ORDER BY og.dst) AS hash_rank FROM og WHERE og.kind = 'term') og JOIN d ON d.key = og.dst
- UNION ALL SELECT og.article, 4, 'cites', n.rid, coalesce(n.heading, left(n.body, 400), n.id) FROM og JOIN n ON n.key = og.dst WHERE og.kind IN ('code_ref', 'act_ref', 'short')
- UNION ALL SELECT og.article, 5, 'notes', n.rid, coalesce(left(n.body, 400), n.heading, n.id) FROM og JOIN n ON n.key = og.dst WHERE og.kind = 'note'
- UNION ALL SELECT og.article, 6, 'tables', n.rid, n.id FROM og JOIN n ON n.key = og.dst WHERE og.kind = 'cap_ref'
- UNION ALL SELECT x.article, 7, 'cited_by', n.rid, n.id FROM (SELECT DISTINCT sc.article, e.src FROM sc JOIN e ON e.dst = sc.src) x JOIN n ON n.key = x.src),
-bl AS (SELECT article, priority, section, ord, line, 1 + length(line) // 4 AS size FROM (SELECT DISTINCT * FROM ln))"""
-
-
-def bundle_lines(spark: SparkSession, d: str) -> DataFrame:
-    """(article, priority, section, ord, line, size) of the bundles of all articles; size in approximate tokens."""
-    n, e, c = nodes(spark, d), edges(spark, d), links(spark, d)
-    a = n.where("node_type = 'article'")
-    scope = c.join(a.select(F.col("key").alias("ancestor")), "ancestor", "left_semi").select(F.col("ancestor").alias("article"), F.col("descendant").alias("src"))
-    out = scope.join(e.where("dst is not null").select("src", "kind", "dst").distinct(), "src").select("article", "kind", "dst").distinct()
-
-    def part(priority: int, section: str, rows: DataFrame, line) -> DataFrame:
-        return rows.select("article", F.lit(priority).alias("priority"), F.lit(section).alias("section"), F.col("rid").cast("bigint").alias("ord"), line.alias("line"))
-
-    target = n.select(F.col("key").alias("dst"), "rid", "heading", "body", "id")
-    hit = out.join(target, "dst")
-    terms = out.where("kind = 'term'").withColumn("rid", F.row_number().over(Window.partitionBy("article").orderBy("dst"))).join(definitions(spark, d).select(F.col("key").alias("dst"), "body"), "dst")
-    into = scope.withColumnRenamed("src", "dst").join(e.select("src", "dst").distinct(), "dst").select("article", "src").distinct().join(n.select(F.col("key").alias("src"), "rid", "id"), "src")
-    short = F.left("body", F.lit(400))
-    parts = [
-        part(1, "anchor", a.withColumn("article", F.col("key")), F.coalesce("heading", "id")),
-        part(2, "text", scope.join(n.where("body is not null").select(F.col("key").alias("src"), "rid", "body"), "src"), F.col("body")),
-        part(3, "terms", terms, F.col("body")),
-        part(4, "cites", hit.where("kind in ('code_ref', 'act_ref', 'short')"), F.coalesce("heading", short, "id")),
-        part(5, "notes", hit.where("kind = 'note'"), F.coalesce(short, "heading", "id")),
-        part(6, "tables", hit.where("kind = 'cap_ref'"), F.col("id")),
-        part(7, "cited_by", into, F.col("id")),
-    ]
-    lines = parts[0]
-    for p in parts[1:]:
-        lines = lines.unionByName(p)
-    return lines.distinct().withColumn("size", (1 + F.floor(F.length("line") / 4)).cast("bigint"))
-
-
-BUDGET = 1_000
-KEPT = f"kept AS (SELECT * FROM (SELECT *, sum(size) OVER (PARTITION BY article ORDER BY priority, ord, line ROWS UNBOUNDED PRECEDING) AS running FROM bl) WHERE running <= {BUDGET} OR priority <= 2)"
-
-
-def _kept(spark: SparkSession, d: str) -> DataFrame:
-    return op.within_budget(bundle_lines(spark, d), "article", ["priority", "ord", "line"], BUDGET, 2)
-
-
-@query(sql(N, C, E, D, BUNDLE) + "SELECT article, section, count(*) AS lines, sum(size) AS tokens FROM bl GROUP BY 1, 2")
-def context_bundle(spark: SparkSession, d: str) -> DataFrame:
-    return bundle_lines(spark, d).groupBy("article", "section").agg(F.count(F.lit(1)).alias("lines"), F.sum("size").alias("tokens"))
-
-
-@query(sql(N, C, E, D, BUNDLE, KEPT) + "SELECT article, priority, ord, line, running FROM kept")
-def bundle_trim(spark: SparkSession, d: str) -> DataFrame:
-    return _kept(spark, d).select("article", "priority", "ord", "line", "running")
-
-
-@query(sql(N, C, E, D, BUNDLE, KEPT) + "SELECT article, string_agg('[' || section || '] ' || line, chr(10) ORDER BY priority, ord, line) AS markdown FROM kept GROUP BY 1")
-def bundle_markdown(spark: SparkSession, d: str) -> DataFrame:
-    """The rendered bundle of each article; bounded by the budget and its own text."""
-    lines = F.sort_array(F.collect_list(F.struct("priority", "ord", "line", "section")))
-    return _kept(spark, d).groupBy("article").agg(F.array_join(F.transform(lines, lambda x: F.concat(F.lit("["), x["section"], F.lit("] "), x["line"])), "\n").alias("markdown"))
-
-
-@query(sql(N, C, E, D, BUNDLE, KEPT) + "SELECT b.section, count(*) AS wanted, count(k.article) AS delivered, round(count(k.article) * 1.0 / count(*), 6) AS share FROM bl b LEFT JOIN kept k USING (article, priority, ord, line) GROUP BY 1")
-def bundle_completeness(spark: SparkSession, d: str) -> DataFrame:
-    """Per section the share of wanted lines that the budget delivers."""
-    count = lambda df, name: df.groupBy("section").agg(F.count("*").alias(name))
-    both = count(bundle_lines(spark, d), "wanted").join(count(_kept(spark, d), "delivered"), "section", "left").fillna(0, ["delivered"])
-    return both.withColumn("share", F.round(F.col("delivered") / F.col("wanted"), 6))
-
-
-# The whole bundle, of every live node: all eleven sections and the rows of the tables. Lines up to MUST are never dropped; of an
-# anchor's own tables these are the first OWN_ROWS rows. What can be dropped goes from the end: cited_by, standards, cites, notes, more rows.
-SECTIONS = ["anchor", "ancestors", "text", "terms", "cites", "notes", "tables", "standards", "amendments", "cited_by", "unresolved"]
-MUST, OWN_ROWS = 7, 15
-MARK = r"O[.] Reg[.](?: [0-9]+/[0-9]+)?"
-ROW_TEXT = """tr AS (SELECT key, r, line, row_number() OVER (PARTITION BY key ORDER BY r, line) AS nth FROM (SELECT """ + key_sql("table_id") + """ AS key, r, string_agg(trim(regexp_replace(coalesce(text, ''), '[ \\n\\r\\t]+', ' ', 'g')), ' | ' ORDER BY c) AS line FROM g GROUP BY table_id, r))"""
-BUNDLE_WHOLE = f"""sc AS (SELECT ancestor AS anchor, descendant AS src, depth FROM c WHERE ancestor IN (SELECT key FROM n)),
-og AS (SELECT DISTINCT sc.anchor, e.kind, e.dst FROM sc JOIN e ON e.src = sc.src WHERE e.dst IS NOT NULL),
-ot AS (SELECT o.owner AS anchor, n.key, n.rid, n.id FROM owned o JOIN n ON n.key = o.bound WHERE o.owner IN (SELECT key FROM n)),
-ln AS (SELECT n.key AS anchor, 1 AS priority, 'anchor' AS section, n.rid AS ord, coalesce(n.heading, n.id) AS line FROM n
- UNION ALL SELECT c.descendant, 2, 'ancestors', -c.depth, concat_ws(' ', coalesce(n.designator, n.id), n.heading) FROM c JOIN n ON n.key = c.ancestor WHERE c.depth > 0 AND c.descendant IN (SELECT key FROM n)
- UNION ALL SELECT sc.anchor, 3, 'text', n.rid, n.body FROM sc JOIN n ON n.key = sc.src WHERE n.body IS NOT NULL
- UNION ALL SELECT og.anchor, 4, 'terms', k, d.body FROM (SELECT anchor, dst, row_number() OVER (PARTITION BY anchor ORDER BY dst) AS k FROM og WHERE kind = 'term') og JOIN d ON d.key = og.dst
- UNION ALL SELECT anchor, 5, 'tables', rid * 1000000, id FROM ot
- UNION ALL SELECT ot.anchor, CASE WHEN tr.nth <= {OWN_ROWS} THEN 5 ELSE 8 END, 'tables', ot.rid * 1000000 + 1 + tr.r, tr.line FROM ot JOIN tr USING (key)
- UNION ALL SELECT x.anchor, 6, 'amendments', x.rid, x.id || ': ' || x.mark FROM (SELECT sc.anchor, n.rid, n.id, unnest(regexp_extract_all(n.body, '{MARK}')) AS mark FROM sc JOIN n ON n.key = sc.src WHERE n.body LIKE '%O. Reg.%') x
- UNION ALL SELECT sc.anchor, 7, 'unresolved', e.ref_id, '"' || coalesce(e.text, '') || '" (' || coalesce(e.kind, '') || ') - ' || coalesce(e.reason, '') FROM sc JOIN e ON e.src = sc.src WHERE e.dst IS NULL
- UNION ALL SELECT og.anchor, 9, 'notes', n.rid, coalesce(left(n.body, 400), n.heading, n.id) FROM og JOIN n ON n.key = og.dst WHERE og.kind = 'note'
- UNION ALL SELECT og.anchor, 10, 'cites', n.rid, coalesce(n.heading, left(n.body, 400), n.id) FROM og JOIN n ON n.key = og.dst WHERE og.kind IN ('code_ref', 'act_ref', 'short')
- UNION ALL SELECT sc.anchor, 11, 'standards', n.rid, coalesce(nullif(trim(e.text), ''), n.designator, n.id) FROM sc JOIN e ON e.src = sc.src JOIN n ON n.key = e.dst WHERE e.kind = 'supp'
- UNION ALL SELECT x.anchor, 12, 'cited_by', n.rid, n.id FROM (SELECT DISTINCT sc.anchor, e.src FROM sc JOIN e ON e.dst = sc.src) x JOIN n ON n.key = x.src),
-bl AS (SELECT anchor, priority, section, ord, line, 1 + length(line) // 4 AS size FROM (SELECT DISTINCT * FROM ln))"""
-KEPT_WHOLE = f"kept AS (SELECT * FROM (SELECT *, sum(size) OVER (PARTITION BY anchor ORDER BY priority, ord, line ROWS UNBOUNDED PRECEDING) AS running FROM bl) WHERE running <= {BUDGET} OR priority <= {MUST})"
-
-
-def bundle_lines_whole(spark: SparkSession, d: str, anchor: Column | None = None) -> DataFrame:
-    """(anchor, priority, section, ord, line, size) of the bundles of all live nodes, or of one anchor."""
-    n, e, c = nodes(spark, d), edges(spark, d), links(spark, d)
-    only = lambda df, name: df if anchor is None else df.where(F.col(name) == anchor)
-    a = only(n.select("key", "rid", "id", "heading").withColumn("anchor", F.col("key")), "anchor")
-    keys = a.select("anchor")
-    scope = only(c, "ancestor").select(F.col("ancestor").alias("anchor"), F.col("descendant").alias("src")).join(keys, "anchor", "left_semi")
-    out = scope.join(e.where("dst is not null").select("src", "kind", "dst").distinct(), "src").select("anchor", "kind", "dst").distinct()
-    own = only(owned_tables(spark, d), "owner").select(F.col("owner").alias("anchor"), F.col("bound").alias("key")).join(keys, "anchor", "left_semi").join(n.select("key", "rid", "id"), "key")
-    text = table_text(spark, d).select(id_key("table_id").alias("key"), "r", F.col("line").alias("cells")).withColumn("nth", F.row_number().over(Window.partitionBy("key").orderBy("r", "cells")))
-
-    def part(priority: Column | int, section: str, rows: DataFrame, line, order: Column | str = "rid") -> DataFrame:
-        order = F.col(order) if isinstance(order, str) else order
-        return rows.select("anchor", (F.lit(priority) if isinstance(priority, int) else priority).alias("priority"), F.lit(section).alias("section"), order.cast("bigint").alias("ord"), line.alias("line"))
-
-    hit = out.join(n.select(F.col("key").alias("dst"), "rid", "heading", "body", "id"), "dst")
-    above = only(c.where("depth > 0"), "descendant").select(F.col("descendant").alias("anchor"), F.col("ancestor").alias("key"), "depth").join(keys, "anchor", "left_semi").join(n.select("key", "id", "designator", "heading"), "key")
-    bodies = scope.join(n.where("body is not null").select(F.col("key").alias("src"), "rid", "id", "body"), "src")
-    marks = bodies.where(F.col("body").contains("O. Reg.")).select("anchor", "rid", "id", F.explode(F.regexp_extract_all("body", F.lit(MARK), F.lit(0))).alias("mark"))
-    terms = out.where("kind = 'term'").withColumn("rid", F.row_number().over(Window.partitionBy("anchor").orderBy("dst"))).join(definitions(spark, d).select(F.col("key").alias("dst"), "body"), "dst")
-    supp = scope.join(e.where("kind = 'supp'").select("src", "dst", "text"), "src").join(n.select(F.col("key").alias("dst"), "rid", "designator", "id"), "dst")
-    open_ = scope.join(e.where("dst is null").select("src", "ref_id", "kind", "reason", "text"), "src")
-    into = scope.withColumnRenamed("src", "dst").join(e.select("src", "dst").distinct(), "dst").select("anchor", "src").distinct().join(n.select(F.col("key").alias("src"), "rid", "id"), "src")
-    short, blank = F.left("body", F.lit(400)), F.lit("")
-    million = F.col("rid") * 1_000_000
-    parts = [
-        part(1, "anchor", a, F.coalesce("heading", "id")),
-        part(2, "ancestors", above, F.concat_ws(" ", F.coalesce("designator", "id"), "heading"), -F.col("depth")),
-        part(3, "text", bodies, F.col("body")),
-        part(4, "terms", terms, F.col("body")),
-        part(5, "tables", own, F.col("id"), million),
-        part(F.when(F.col("nth") <= OWN_ROWS, 5).otherwise(8), "tables", own.join(text, "key"), F.col("cells"), million + 1 + F.col("r")),
-        part(6, "amendments", marks, F.concat("id", F.lit(": "), "mark")),
-        part(7, "unresolved", open_, F.concat(F.lit('"'), F.coalesce("text", blank), F.lit('" ('), F.coalesce("kind", blank), F.lit(") - "), F.coalesce("reason", blank)), "ref_id"),
-        part(9, "notes", hit.where("kind = 'note'"), F.coalesce(short, "heading", "id")),
-        part(10, "cites", hit.where("kind in ('code_ref', 'act_ref', 'short')"), F.coalesce("heading", short, "id")),
-        part(11, "standards", supp, F.coalesce(F.nullif(F.trim("text"), blank), "designator", "id")),
-        part(12, "cited_by", into, F.col("id")),
-    ]
-    lines = parts[0]
-    for p in parts[1:]:
-        lines = lines.unionByName(p)
-    return lines.distinct().withColumn("size", (1 + F.floor(F.length("line") / 4)).cast("bigint"))
-
-
-def _kept_whole(spark: SparkSession, d: str, anchor: Column | None = None) -> DataFrame:
-    return op.within_budget(bundle_lines_whole(spark, d, anchor), "anchor", ["priority", "ord", "line"], BUDGET, MUST)
-
-
-WHOLE = (N, C, E, D, G, OWNED, ROW_TEXT, BUNDLE_WHOLE)
-
-
-@query(sql(*WHOLE) + "SELECT anchor, section, count(*) AS lines, sum(size) AS tokens FROM bl GROUP BY 1, 2")
-def context_bundle_whole(spark: SparkSession, d: str) -> DataFrame:
-    return bundle_lines_whole(spark, d).groupBy("anchor", "section").agg(F.count(F.lit(1)).alias("lines"), F.sum("size").alias("tokens"))
-
-
-@query(sql(*WHOLE, KEPT_WHOLE) + "SELECT anchor, priority, ord, line, running FROM kept")
-def bundle_trim_whole(spark: SparkSession, d: str) -> DataFrame:
-    return _kept_whole(spark, d).select("anchor", "priority", "ord", "line", "running")
-
-
-@query(sql(*WHOLE, KEPT_WHOLE) + f"SELECT anchor, string_agg('[' || section || '] ' || line, chr(10) ORDER BY list_position({SECTIONS}, section), ord, line) AS markdown FROM kept GROUP BY 1")
-def bundle_markdown_whole(spark: SparkSession, d: str, anchor: Column | None = None) -> DataFrame:
-    """The rendered bundle of each node, or of one anchor, in the order of SECTIONS."""
-    place = F.array_position(F.array(*[F.lit(x) for x in SECTIONS]), F.col("section"))
-    lines = F.sort_array(F.collect_list(F.struct(place.alias("place"), "ord", "line", "section")))
-    return _kept_whole(spark, d, anchor).groupBy("anchor").agg(F.array_join(F.transform(lines, lambda x: F.concat(F.lit("["), x["section"], F.lit("] "), x["line"])), "\n").alias("markdown"))
-
-
-@query(sql(*WHOLE, KEPT_WHOLE) + "SELECT section, wanted, coalesce(delivered, 0) AS delivered, round(coalesce(delivered, 0) * 1.0 / wanted, 6) AS share FROM (SELECT section, count(*) AS wanted FROM bl GROUP BY 1) LEFT JOIN (SELECT section, count(*) AS delivered FROM kept GROUP BY 1) USING (section)")
-def bundle_completeness_whole(spark: SparkSession, d: str) -> DataFrame:
-    """Per section of the whole bundle the share of wanted lines that the budget delivers."""
-    count = lambda df, name: df.groupBy("section").agg(F.count("*").alias(name))
-    both = count(bundle_lines_whole(spark, d), "wanted").join(count(_kept_whole(spark, d), "delivered"), "section", "left").fillna(0, ["delivered"])
-    return both.withColumn("share", F.round(F.col("delivered") / F.col("wanted"), 6))

@@ -212,20 +212,14 @@ def infer_heading(spark: SparkSession, d: str) -> DataFrame:
     return nodes(spark, d).withColumn("s", s).select("key", F.when(F.col("heading").isNotNull() & (F.trim("heading") != ""), F.col("heading")).when(good, F.col("s")).alias("heading"))
 
 
-@query(sql(N) + "SELECT key, CASE WHEN length(body) > 600 AND node_type IN ('article', 'sentence') THEN rtrim(left(body, 600)) ELSE body END AS body FROM n WHERE body IS NOT NULL")
-def project_body(spark: SparkSession, d: str) -> DataFrame:
-    long = (F.length("body") > 600) & F.col("node_type").isin("article", "sentence")
-    return nodes(spark, d).where("body is not null").select("key", F.when(long, F.rtrim(F.left("body", F.lit(600)))).otherwise(F.col("body")).alias("body"))
-
-
-PROJECTED = f"""pb AS (SELECT key, CASE WHEN length(s) > 600 AND node_type IN ('article', 'sentence') AND key IN (SELECT owner FROM owned) THEN trim(left(s, 600), {WS}) ELSE s END AS body
+PROJECTED = f"""pb AS (SELECT key, CASE WHEN length(s) > 600 AND node_type IN ('article', 'sentence') AND key IN (SELECT owner FROM owned WHERE how = 'edge') THEN trim(left(s, 600), {WS}) ELSE s END AS body
 FROM (SELECT key, node_type, trim(body, {WS}) AS s FROM n WHERE body IS NOT NULL))"""
 
 
 @query(sql(N, C, E, OWNED, PROJECTED) + "SELECT key, body FROM pb")
-def project_body_whole(spark: SparkSession, d: str) -> DataFrame:
+def project_body(spark: SparkSession, d: str) -> DataFrame:
     """Bodies, of which only those of an article or sentence that owns a table are cut: its cells stand for the tail."""
-    owners = owned_tables(spark, d).select(F.col("owner").alias("key")).distinct().withColumn("owns", F.lit(True))
+    owners = owned_tables(spark, d).where("how = 'edge'").select(F.col("owner").alias("key")).distinct().withColumn("owns", F.lit(True))
     b = nodes(spark, d).where("body is not null").select("key", "node_type", trimmed("body").alias("s")).join(owners, "key", "left")
     long = (F.length("s") > 600) & F.col("node_type").isin("article", "sentence") & F.col("owns")
     return b.select("key", F.when(long, trimmed(F.left("s", F.lit(600)))).otherwise(F.col("s")).alias("body"))
@@ -241,7 +235,7 @@ tr AS (SELECT c.descendant AS key, string_agg(h.line, ' > ' ORDER BY c.depth DES
 sg AS (SELECT c.ancestor AS key, string_agg(s.seg, ' ' ORDER BY c.depth, s.rid) AS own FROM c JOIN (SELECT n.key, n.rid, trim(concat_ws(' ', nullif(n.designator, ''), nullif(n.heading, ''), nullif(pb.body, '')), {WS}) AS seg FROM n LEFT JOIN pb USING (key)) s ON s.key = c.descendant WHERE s.seg <> '' GROUP BY 1),
 ce AS (SELECT o.owner AS key, string_agg(x.t, ' ' ORDER BY x.key, x.r, x.c, x.t) AS cells FROM owned o JOIN (SELECT {key_sql("table_id")} AS key, r, c, trim(text, {WS}) AS t FROM g) x ON x.key = o.bound WHERE x.t <> '' GROUP BY 1)
 SELECT a.key AS article, coalesce(tr.trail || chr(10), '') || left(concat_ws(' ', sg.own, ce.cells), {ARTICLE_CHARS}) AS text FROM a LEFT JOIN tr USING (key) LEFT JOIN sg USING (key) LEFT JOIN ce USING (key)""")
-def article_text_whole(spark: SparkSession, d: str) -> DataFrame:
+def article_text(spark: SparkSession, d: str) -> DataFrame:
     """The text by which an article is found: its trail, and up to 1,400 characters of designators, headings and projected bodies of its subtree, then the cells of its tables."""
     n, c = nodes(spark, d), links(spark, d)
     a = n.where("node_type = 'article'").select("key")
@@ -257,7 +251,7 @@ def article_text_whole(spark: SparkSession, d: str) -> DataFrame:
     heads = n.where(F.col("node_type").isin(*TRAIL)).select(F.col("key").alias("ancestor"), "rid", filled("designator", "heading").alias("line")).where("line <> ''")
     up = c.where("depth > 0").select(F.col("descendant").alias("key"), "ancestor", "depth").join(a, "key", "left_semi").join(heads, "ancestor")
     trail = up.groupBy("key").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct((-F.col("depth")).alias("up"), "rid", "line"))), lambda x: x["line"]), " > ").alias("trail"))
-    pieces = n.join(project_body_whole(spark, d).select("key", F.col("body").alias("safe")), "key", "left").select(F.col("key").alias("descendant"), "rid", filled("designator", "heading", "safe").alias("line")).where("line <> ''")
+    pieces = n.join(project_body(spark, d).select("key", F.col("body").alias("safe")), "key", "left").select(F.col("key").alias("descendant"), "rid", filled("designator", "heading", "safe").alias("line")).where("line <> ''")
     own = gathered(c.withColumnRenamed("ancestor", "key").join(a, "key", "left_semi").join(pieces, "descendant"), ["depth", "rid"], "own")
     filling = cells(spark, d).select(id_key("table_id").alias("bound"), "r", "c", trimmed("text").alias("line")).where("line <> ''")
     inside = gathered(owned_tables(spark, d).withColumnRenamed("owner", "key").join(a, "key", "left_semi").join(filling, "bound"), ["bound", "r", "c", "line"], "cells")

@@ -1,4 +1,4 @@
-"""Queries that do the whole job where the query of the shorter name, by its SQL, does less."""
+"""Queries over the graph and the tools on small tables with known results."""
 
 from __future__ import annotations
 
@@ -7,9 +7,8 @@ import datetime
 import pytest
 
 from lexigrove import api
-from lexigrove.llm import overlap
 from lexigrove.operators import retrieval
-from lexigrove.plans import graph, pipeline, texts
+from lexigrove.plans import bundle, graph, pipeline, texts
 from tests.util import rows
 
 
@@ -42,7 +41,7 @@ def test_project_body_cuts_only_owners_of_tables(spark, small):
         closure=closure(("a", "a", 0), ("a", "a/(1)", 1), ("a", "a/(2)", 1), ("a/(1)", "a/(1)", 0), ("a/(2)", "a/(2)", 0)),
         ref=[{"ref_id": 1, "src": "a/(1)", "dst": "t", "kind": "cap_ref"}],
     )
-    assert {r.key: len(r.body) for r in texts.project_body_whole(spark, d).collect()} == {"a/(1)": 599, "a/(2)": 999, "t": 999}
+    assert {r.key: len(r.body) for r in texts.project_body(spark, d).collect()} == {"a/(1)": 599, "a/(2)": 999, "t": 999}
 
 
 def test_what_cites_looks_at_the_subtree(spark, small):
@@ -52,7 +51,7 @@ def test_what_cites_looks_at_the_subtree(spark, small):
         ref=[{"ref_id": i, "src": s, "dst": t, "kind": k} for i, (s, t, k) in enumerate([("b", "a/(1)", "code_ref"), ("b", "a", "code_ref"), ("c", "A/(1) ", "term"), ("b", "z", "note")])],
     )
     assert rows(api.what_cites(spark, d, " A").select("src", "kind")) == [("b", "code_ref"), ("c", "uses_term")]
-    assert rows(graph.what_cites_whole(spark, d)) == [("a", "b", "code_ref"), ("a", "c", "uses_term"), ("a/(1)", "b", "code_ref"), ("a/(1)", "c", "uses_term"), ("z", "b", "note")]
+    assert rows(graph.what_cites(spark, d)) == [("a", "b", "code_ref"), ("a", "c", "uses_term"), ("a/(1)", "b", "code_ref"), ("a/(1)", "c", "uses_term"), ("z", "b", "note")]
 
 
 def test_bundle_has_all_sections_and_table_rows(spark, small):
@@ -62,12 +61,33 @@ def test_bundle_has_all_sections_and_table_rows(spark, small):
         closure=closure(("s", "s", 0), ("s", "a", 1), ("s", "a/(1)", 2), ("a", "a", 0), ("a", "a/(1)", 1), ("a/(1)", "a/(1)", 0)),
         ref=[{"ref_id": i, "src": "a/(1)", "dst": t, "kind": k, "text": x, "reason": None if t else "nowhere"} for i, (k, t, x) in enumerate(refs)] + [{"ref_id": 9, "src": "b", "dst": "a", "kind": "code_ref"}],
         cell=[{"table_id": "T", "r": i, "c": k, "text": f"{i}.{k}"} for i in range(20) for k in range(2)],
-        definition=[{"id": "def", "body": "meaning"}],
+        definition=[{"id": "def", "term": "defined", "body": "meaning"}],
     )
-    text = api.get_context(spark, d, "A").first().markdown.split("\n")
-    rows_ = [f"[tables] {i}.0 | {i}.1" for i in range(20)]
-    assert text == ["[anchor] Art", "[ancestors] s Scope", "[text] As O. Reg. 88/21 requires.", "[terms] meaning", "[cites] B", "[notes] why", "[tables] t", *rows_, "[standards] SB-2", "[amendments] a/(1): O. Reg. 88/21", "[cited_by] b", '[unresolved] "9.9.9" (code_ref) - nowhere']
-    assert {r.section for r in graph.bundle_completeness_whole(spark, d).collect()} == set(graph.SECTIONS)
+    text = api.get_context(spark, d, "A").first().markdown
+    shown = "\n".join(f"{i}.0 | {i}.1" for i in range(15)), "\n".join(f"{i}.0 | {i}.1" for i in range(15, 20))
+    assert text == "\n".join(["[anchor] a Art", "[ancestors] s Scope", "[text] Art", "[text] As O. Reg. 88/21 requires.", "[terms] defined: meaning", "[cites] b B (cites): ", "[notes] x: why", "[tables] t", shown[0], f"[tables] {shown[1]}", "[standards] SB-2", "[amendments] a/(1): O. Reg. 88/21", "[cited_by] b B", '[unresolved] "9.9.9" (code_ref) - nowhere'])
+    assert {r.section for r in bundle.context_bundle(spark, d).where("anchor = 'a'").collect()} == set(bundle.SECTIONS)
+    least = api.get_context(spark, d, "A", budget=1).first().markdown
+    assert "[cited_by]" not in least and "[cites]" not in least and shown[1] not in least and shown[0] in least and "[unresolved]" in least
+    assert [tuple(r) for r in bundle.bundle_completeness(spark, d).collect()] == [(1, 0, 5, 5, 5, 1, 1)]
+    assert "[cites]" not in api.get_context(spark, d, "A", hops=0).first().markdown
+
+
+def test_hub_is_delivered_by_reference(spark, small):
+    others = [node(100 + i, f"o{i}", "article", heading=f"O{i}") for i in range(51)]
+    d = small(node=[node(1, "h", "article", heading="Hub"), *others], closure=closure(("h", "h", 0)), ref=[{"ref_id": i, "src": "h", "dst": f"o{i}", "kind": "code_ref"} for i in range(51)])
+    assert api.get_context(spark, d, "h").first().markdown.split("\n") == ["[anchor] h Hub", "[anchor] delivered by reference: more than 50 dependencies", "[text] Hub"]
+
+
+def test_bundle_marks_modality_and_caps_rows(spark, small):
+    d = small(
+        node=[node(1, "a", "article"), node(2, "a/(1)", "sentence", "a", body="It shall not burn."), node(3, "a/(2)", "sentence", "a", body="word " * 200), node(4, "t", "table", "a")],
+        closure=closure(("a", "a", 0), ("a", "a/(1)", 1), ("a", "a/(2)", 1), ("a", "t", 1), ("a/(2)", "a/(2)", 0)),
+        ref=[{"ref_id": 1, "src": "t", "dst": "a/(2)", "kind": "forms_part_of"}],
+        cell=[{"table_id": "t", "r": i, "c": 0, "text": f"row{i}"} for i in range(30)],
+    )
+    text = api.get_context(spark, d, "a").first().markdown
+    assert "[text] It shall not burn. [prohibition]" in text and "[further characters: the table below]" in text and "row24\n... 5 further rows" in text and "row25" not in text
 
 
 def test_tools_take_any_node(spark, small):
@@ -78,9 +98,9 @@ def test_tools_take_any_node(spark, small):
     )
     assert [rows(api.get_provision(spark, d, a).select("anchor", "body")) for a in ("S", "n", "gone")] == [[("s", "text")], [("n", "text")], []]
     assert rows(api.neighbors(spark, d, "n")) == [("n", "out", "x"), ("n", "parent", "s")] and rows(api.neighbors(spark, d, "x")) == [("x", "in", "n")]
-    assert rows(graph.ancestors_whole(spark, d)) == [("n", "n", 2), ("n", "s", 1), ("s", "s", 1)]
-    assert rows(graph.subtree_whole(spark, d).select("anchor", "key")) == [("n", "n"), ("s", "n"), ("s", "s")]
-    assert rows(graph.dep_count_whole(spark, d)) == [("n", 1), ("s", 1)] and rows(graph.hub_nodes_whole(spark, d)) == []
+    assert rows(graph.ancestors(spark, d)) == [("n", "n", 2), ("n", "s", 1), ("s", "s", 1)]
+    assert rows(graph.subtree(spark, d).select("anchor", "key")) == [("n", "n"), ("s", "n"), ("s", "s")]
+    assert rows(graph.dep_count(spark, d)) == [("n", 1), ("s", 1)] and rows(graph.hub_nodes(spark, d)) == []
 
 
 def test_manifest_verify_remembers_the_files(spark, tmp_path):
@@ -118,12 +138,4 @@ def test_article_text_has_headings_designators_and_cells(spark, small):
         cell=[{"table_id": "T", "r": r, "c": k, "text": x} for r, k, x in ((0, 0, "Span"), (0, 1, " "), (1, 0, "4.2 m"))],
     )
     body = ("word " * 120).strip()
-    assert rows(texts.article_text_whole(spark, d)) == [("a", f"3.1. Scope\n3.1.1. Art (1) {body} (2) Short. Span 4.2 m"), ("b", "x" * 1400)]
-
-
-def test_p1_found_survives_two_slips():
-    held = [(1, "a", sorted(["ceiling", "height", "stair", "width", "~landng", "~zinc"])), (2, "a", ["~dooor", "~silll"]), (3, None, ["~dooor", "~silll"]), (4, "b", ["door", "sill"])]
-    train = [(10, "a", sorted(["height", "stair", "width", "~ceilin", "landing", "~zinc"])), (11, "a", ["door", "sill"]), (12, "a", ["other", "words"])]
-    assert sorted(f[:2] for f in overlap.scan(train, held)) == [(10, 1), (11, 2), (11, 3)]
-    for _, _, words in train[:2]:
-        assert overlap.same_question(words, held[0 if len(words) > 2 else 1][2])
+    assert rows(texts.article_text(spark, d)) == [("a", f"3.1. Scope\n3.1.1. Art (1) {body} (2) Short. Span 4.2 m"), ("b", "x" * 1400)]
