@@ -90,6 +90,39 @@ def knn(vectors: DataFrame, queries: DataFrame, id_col: str, vec_col: str, top:
     return found.withColumn("sim", F.round("sim", 6)).withColumn("rank", rank).where(F.col("rank") <= top)
 
 
+def phrase_hits(docs: DataFrame, queries: DataFrame) -> DataFrame:
+    """(qid, doc, tf, len, demoted): documents (doc, text, demoted) that hold the tokens of a query (qid, text) next to each other, and how often.
+
+    A document meets a query by the query's rarest token only, then the whole phrase is looked for; no runs of tokens are built.
+    """
+    d = docs.select("doc", "demoted", tokens("text").alias("a")).where(F.size("a") > 0)
+    q = queries.select("qid", tokens("text").alias("q")).where(F.size("q") > 0)
+    wanted = q.select("qid", F.explode(F.array_distinct("q")).alias("term"))
+    used = d.select("doc", F.explode(F.array_distinct("a")).alias("term")).join(wanted.select("term").distinct(), "term", "left_semi")
+    df = used.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # A token that no document has makes its query empty.
+    rarest = wanted.join(df, "term", "left").groupBy("qid").agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "term")).alias("m")).where("m.df > 0").select("qid", "m.term")
+    padded = lambda c: F.concat(F.lit(" "), F.array_join(c, " "), F.lit(" "))
+    pairs = rarest.join(q, "qid").join(used, "term").join(d, "doc").select("qid", "doc", "demoted", F.size("a").alias("len"), padded("a").alias("hay"), padded("q").alias("needle"))
+    times = (F.length("hay") - F.length(F.replace("hay", F.col("needle")))) / F.length("needle")
+    return pairs.where(F.col("hay").contains(F.col("needle"))).select("qid", "doc", times.cast("int").alias("tf"), "len", "demoted")
+
+
+def substring_hits(docs: DataFrame, queries: DataFrame) -> DataFrame:
+    """(qid, doc): documents (doc, text) that hold a query (qid, text) of three characters or more; candidates by the query's rarest trigram, then checked."""
+
+    def grams(c: str) -> Column:
+        return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - 2), lambda i: F.col(c).substr(i, F.lit(3))))
+
+    q = queries.where("length(text) >= 3").select("qid", F.col("text").alias("p"))
+    asked = q.select("qid", "p", F.explode(grams("p")).alias("g"))
+    index = docs.where("length(text) >= 3").select("doc", "text", F.explode(grams("text")).alias("g")).join(asked.select("g").distinct(), "g", "left_semi")
+    df = index.groupBy("g").agg(F.count(F.lit(1)).alias("df"))
+    # A gram that no text has makes its query empty.
+    rare = asked.join(df, "g", "left").groupBy("qid", "p").agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "g")).alias("m")).where("m.df > 0").select("qid", "p", F.col("m.g").alias("g"))
+    return rare.join(index, "g").where(F.col("text").contains(F.col("p"))).select("qid", "doc")
+
+
 def fuse_ranks(lists: list[tuple[DataFrame, float]], k: int = 60) -> DataFrame:
     """(qid, id, score, rank): reciprocal rank fusion of ranked lists (qid, id, rank) with weights."""
     rows = None

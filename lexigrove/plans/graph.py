@@ -370,23 +370,6 @@ def render_order(spark: SparkSession, d: str) -> DataFrame:
     return n.where("node_type = 'table'").join(first, "key", "left").select("key", F.coalesce("after", "rid").alias("sort_rid"), F.when(F.col("after").isNull(), 0).otherwise(1).alias("placed"), "rid")
 
 
-@query(sql(N, E) + """, q AS (SELECT DISTINCT text, lower(trim(text)) AS k FROM e WHERE text IS NOT NULL AND trim(text) <> ''),
-t AS (SELECT q.text, 1 AS tier, n.key, n.volume, n.page, n.rid FROM q JOIN n ON n.key = 'v1/' || q.k
-  UNION ALL SELECT q.text, 2, n.key, n.volume, n.page, n.rid FROM q JOIN n ON n.number IS NOT NULL AND lower(rtrim(n.number, '.')) = rtrim(q.k, '.')
-  UNION ALL SELECT q.text, 3, n.key, n.volume, n.page, n.rid FROM q JOIN n ON lower(trim(n.heading)) = q.k)
-SELECT text, tier, key FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY tier, volume, page, rid) AS k FROM t) WHERE k = 1""")
-def resolve_anchor(spark: SparkSession, d: str) -> DataFrame:
-    """Every printed anchor to a node: by id, else by number, else by heading; the first in document order."""
-    n = nodes(spark, d).select("key", "volume", "page", "rid", "number", "heading")
-    q = edges(spark, d).where("text is not null and trim(text) <> ''").select("text", F.lower(F.trim("text")).alias("k")).distinct()
-    tiers = [(F.regexp_replace("key", "^v1/", ""), F.col("key").startswith("v1/"), F.col("k")), (F.lower(F.rtrim("number", F.lit("."))), F.col("number").isNotNull(), F.rtrim("k", F.lit("."))), (F.lower(F.trim("heading")), F.col("heading").isNotNull(), F.col("k"))]
-    found = None
-    for i, (mine, ok, theirs) in enumerate(tiers, 1):
-        one = q.withColumn("m", theirs).join(n.where(ok).withColumn("m", mine).select("m", "key", "volume", "page", "rid"), "m").withColumn("tier", F.lit(i)).drop("m", "k")
-        found = one if found is None else found.unionByName(one)
-    return found.groupBy("text").agg(F.min(F.struct("tier", "volume", "page", "rid", "key")).alias("m")).select("text", "m.tier", "m.key")
-
-
 def _leaves(spark: SparkSession, d: str, anchors: DataFrame | None = None) -> DataFrame:
     n = nodes(spark, d)
     a = (n.where("node_type = 'article'") if anchors is None else anchors).select(F.col("key").alias("ancestor"))

@@ -230,11 +230,14 @@ TRAIL = ("division", "part", "section", "subsection", "appendix", "supplementary
 ARTICLE_CHARS = 1400
 
 
-@query(sql(N, C, E, G, OWNED, PROJECTED) + f""", a AS (SELECT key FROM n WHERE node_type = 'article'),
+ARTICLES = f"""a AS (SELECT key FROM n WHERE node_type = 'article'),
 tr AS (SELECT c.descendant AS key, string_agg(h.line, ' > ' ORDER BY c.depth DESC, h.rid) AS trail FROM c JOIN (SELECT key, rid, trim(concat_ws(' ', nullif(designator, ''), nullif(heading, '')), {WS}) AS line FROM n WHERE node_type IN {TRAIL}) h ON h.key = c.ancestor WHERE c.depth > 0 AND h.line <> '' GROUP BY 1),
 sg AS (SELECT c.ancestor AS key, string_agg(s.seg, ' ' ORDER BY c.depth, s.rid) AS own FROM c JOIN (SELECT n.key, n.rid, trim(concat_ws(' ', nullif(n.designator, ''), nullif(n.heading, ''), nullif(pb.body, '')), {WS}) AS seg FROM n LEFT JOIN pb USING (key)) s ON s.key = c.descendant WHERE s.seg <> '' GROUP BY 1),
-ce AS (SELECT o.owner AS key, string_agg(x.t, ' ' ORDER BY x.key, x.r, x.c, x.t) AS cells FROM owned o JOIN (SELECT {key_sql("table_id")} AS key, r, c, trim(text, {WS}) AS t FROM g) x ON x.key = o.bound WHERE x.t <> '' GROUP BY 1)
-SELECT a.key AS article, coalesce(tr.trail || chr(10), '') || left(concat_ws(' ', sg.own, ce.cells), {ARTICLE_CHARS}) AS text FROM a LEFT JOIN tr USING (key) LEFT JOIN sg USING (key) LEFT JOIN ce USING (key)""")
+ce AS (SELECT o.owner AS key, string_agg(x.t, ' ' ORDER BY x.key, x.r, x.c, x.t) AS cells FROM owned o JOIN (SELECT {key_sql("table_id")} AS key, r, c, trim(text, {WS}) AS t FROM g) x ON x.key = o.bound WHERE x.t <> '' GROUP BY 1),
+atx AS (SELECT a.key AS article, coalesce(tr.trail || chr(10), '') || left(concat_ws(' ', sg.own, ce.cells), {ARTICLE_CHARS}) AS text FROM a LEFT JOIN tr USING (key) LEFT JOIN sg USING (key) LEFT JOIN ce USING (key))"""
+
+
+@query(sql(N, C, E, G, OWNED, PROJECTED, ARTICLES) + "SELECT article, text FROM atx")
 def article_text(spark: SparkSession, d: str) -> DataFrame:
     """The text by which an article is found: its trail, and up to 1,400 characters of designators, headings and projected bodies of its subtree, then the cells of its tables."""
     n, c = nodes(spark, d), links(spark, d)
