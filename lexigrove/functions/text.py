@@ -11,20 +11,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
-# Roman numerals, words without content, characters of print and their plain forms, citation patterns.
+# Roman numerals, words without content, characters of print and their plain forms.
 ROMAN = "i ii iii iv v vi vii viii ix x xi xii xiii xiv xv xvi xvii xviii xix xx xxi xxii xxiii xxiv xxv xxvi xxvii xxviii xxix xxx".split()
 STOP = "the and for are with that this from what which who how does can must may not any all its was were has have had into over under where when why you your".split()
 PRINT_FORMS = {"‘": "'", "’": "'", "“": '"', "”": '"', "‐": "-", "‑": "-", "‒": "-", "–": "-", "—": "-", "−": "-", " ": " ", "ﬁ": "fi", "ﬂ": "fl"}
-CITATIONS = [
-    ("cap_ref", r"Tables? [0-9][0-9.]*[0-9]"),
-    ("note", r"Notes? A-[0-9.]*[0-9]"),
-    ("supp", r"SB-[0-9]+"),
-    ("reg", r"O\. Reg\. [0-9]+/[0-9]+"),
-    ("code_ref", r"(?:Article|Subsection|Section|Part) [0-9][0-9.]*[0-9]"),
-    ("short", r"(?:Sentence|Clause|Subclause) \([0-9]+\)(?:\([a-z]+\))*"),
-    ("division", r"Division [A-C]"),
-]
-CITATION = "|".join(p for _, p in CITATIONS)
 
 
 def normdes(c: str) -> Column:
@@ -79,18 +69,6 @@ def singulars(c: str) -> Column:
     return F.array_distinct(F.filter(rules, lambda x: x != F.col(c)))
 
 
-def citations(c: str) -> Column:
-    """array<struct<kind,text>> of the references in a text, leftmost first, the earliest pattern of equals."""
-
-    def kind(x: Column) -> Column:
-        out = F.when(F.lit(False), "")
-        for name, pattern in CITATIONS:
-            out = out.when(x.rlike(f"^(?:{pattern})$"), name)
-        return out
-
-    return F.transform(F.regexp_extract_all(c, F.lit(CITATION), F.lit(0)), lambda x: F.struct(kind(x).alias("kind"), x.alias("text")))
-
-
 @F.pandas_udf(StringType())
 def canon_text(text: pd.Series) -> pd.Series:
     """Entities resolved, NFC, printed forms of quotes, dashes, blanks and ligatures made plain, white space folded."""

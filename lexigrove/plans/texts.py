@@ -35,28 +35,6 @@ def role_classify(spark: SparkSession, d: str) -> DataFrame:
     return lines(spark, d).groupBy("doc_id", first_match(F.col("t"), ROLES, "text", "").alias("role")).agg(F.count("*").alias("n"))
 
 
-CITED = f"x AS (SELECT key, unnest(range(len(a))) AS ord, unnest(a) AS text FROM (SELECT key, regexp_extract_all(body, '{T.CITATION}') AS a FROM n WHERE body IS NOT NULL))"
-
-
-@query(sql(N, CITED) + "SELECT key, ord, CASE " + " ".join(f"WHEN regexp_full_match(text, '{p}') THEN '{n}'" for n, p in T.CITATIONS) + " END AS kind, text FROM x")
-def extract_citations(spark: SparkSession, d: str) -> DataFrame:
-    """All references that bodies make, in order, with their kind."""
-    return nodes(spark, d).where("body is not null").select("key", F.posexplode(T.citations("body")).alias("ord", "c")).select("key", "ord", "c.kind", "c.text")
-
-
-@query(sql(N) + """SELECT volume, len(regexp_extract_all(coalesce(string_agg(body, chr(10)), ''), '[A-Za-z](?:Article|Section) [0-9]')) AS glued, len(regexp_extract_all(coalesce(string_agg(body, chr(10)), ''), '(?:Article|Section) [0-9][0-9.]* of the [A-Z][a-z]+')) AS other_act FROM n WHERE body IS NOT NULL GROUP BY 1""")
-def citation_skip_reasons(spark: SparkSession, d: str) -> DataFrame:
-    """References that the grammar must skip, by reason."""
-    count = lambda p: F.sum(F.size(F.regexp_extract_all("body", F.lit(p), F.lit(0))))
-    return nodes(spark, d).where("body is not null").groupBy("volume").agg(count("[A-Za-z](?:Article|Section) [0-9]").alias("glued"), count("(?:Article|Section) [0-9][0-9.]* of the [A-Z][a-z]+").alias("other_act"))
-
-
-@query("SELECT division, count(*) AS n, count(DISTINCT doc_id) AS docs FROM (SELECT doc_id, unnest(regexp_extract_all(text, 'of Division ([A-C])', 1)) AS division FROM documents) GROUP BY 1")
-def division_qualifier(spark: SparkSession, d: str) -> DataFrame:
-    x = table(spark, d, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit("of Division ([A-C])"), F.lit(1))).alias("division"))
-    return x.groupBy("division").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("docs"))
-
-
 @query(sql(N) + "SELECT key, upper(regexp_replace(designator, '[-.\\s]', '', 'g')) AS norm FROM n WHERE designator IS NOT NULL")
 def normdes(spark: SparkSession, d: str) -> DataFrame:
     return nodes(spark, d).where("designator is not null").select("key", T.normdes("designator").alias("norm"))
