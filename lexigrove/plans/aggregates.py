@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lexigrove.functions.ids import id_key
 from lexigrove.plans.registry import Registry
-from lexigrove.plans.views import C, D, E, G, N, cells, definitions, edges, links, nodes, sql
+from lexigrove.plans.views import C, D, E, G, N, cells, definitions, edges, key_sql, links, nodes, sql
 from lexigrove.plans.windows import LINES, lines
 from lexigrove.sources.tables import table
 
@@ -51,12 +54,12 @@ def band_edges(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(sql(N) + """, k AS (SELECT volume, x0, count(*) AS n, sum(count(*)) OVER (PARTITION BY volume) AS total, row_number() OVER (PARTITION BY volume ORDER BY count(*) DESC, x0) AS rn FROM n WHERE x0 IS NOT NULL GROUP BY 1, 2)
-SELECT volume, x0, n FROM k WHERE rn = 1 AND n * 5 > total""")
+SELECT volume, x0, n, n * 2 > total AS holds FROM k WHERE rn = 1""")
 def mode_threshold(spark: SparkSession, d: str) -> DataFrame:
-    """The most common left edge of each volume, if more than a fifth of its boxes have it."""
+    """The most common left edge of each volume; it holds for the volume if more than half of its boxes have it."""
     k = nodes(spark, d).where("x0 is not null").groupBy("volume", "x0").agg(F.count("*").alias("n"))
     w = Window.partitionBy("volume")
-    return k.withColumns({"total": F.sum("n").over(w), "rn": F.row_number().over(w.orderBy(F.desc("n"), "x0"))}).where("rn = 1 and n * 5 > total").select("volume", "x0", "n")
+    return k.withColumns({"total": F.sum("n").over(w), "rn": F.row_number().over(w.orderBy(F.desc("n"), "x0"))}).where("rn = 1").select("volume", "x0", "n", (F.col("n") * 2 > F.col("total")).alias("holds"))
 
 
 @query(sql(N) + "SELECT volume, page, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1 FROM n WHERE x0 IS NOT NULL GROUP BY 1, 2")
@@ -64,18 +67,26 @@ def bbox_agg(spark: SparkSession, d: str) -> DataFrame:
     return nodes(spark, d).where("x0 is not null").groupBy("volume", "page").agg(F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"))
 
 
-@query(sql(N) + """, k AS (SELECT volume, page, count(*) AS n, count(DISTINCT floor(y0 / 50)) AS ys, count(DISTINCT x0) AS xs, max(x1) - min(x0) AS w, max(y1) - min(y0) AS h FROM n WHERE x0 IS NOT NULL GROUP BY 1, 2)
-SELECT volume, page, CASE WHEN ys >= 3 AND xs >= 3 AND w > 60 AND h > 25 THEN 'table' WHEN n >= 10 AND w > 80 AND h > 60 THEN 'figure' ELSE 'none' END AS kind FROM k""")
+LATTICE = "CASE WHEN ys >= 3 AND xs >= 2 AND w > 60 AND h > 25 THEN 'table' WHEN n >= 25 AND w > 80 AND h > 60 THEN 'figure' ELSE 'none' END"
+
+
+@query(sql(N) + f"""SELECT volume, page, node_type, {LATTICE} AS kind FROM (SELECT volume, page, node_type, count(*) AS n, count(DISTINCT round(y0)) AS ys, count(DISTINCT round(x0)) AS xs, max(x1) - min(x0) AS w, max(y1) - min(y0) AS h FROM n WHERE x0 IS NOT NULL GROUP BY 1, 2, 3)""")
 def lattice_classify(spark: SparkSession, d: str) -> DataFrame:
-    k = nodes(spark, d).where("x0 is not null").groupBy("volume", "page").agg(F.count("*").alias("n"), F.countDistinct(F.floor(F.col("y0") / 50)).alias("ys"), F.countDistinct("x0").alias("xs"), (F.max("x1") - F.min("x0")).alias("w"), (F.max("y1") - F.min("y0")).alias("h"))
-    return k.select("volume", "page", F.expr("CASE WHEN ys >= 3 AND xs >= 3 AND w > 60 AND h > 25 THEN 'table' WHEN n >= 10 AND w > 80 AND h > 60 THEN 'figure' ELSE 'none' END").alias("kind"))
+    """What the boxes of one type make up on a page: a table (three levels and two columns), a figure (25 boxes), or neither."""
+    k = nodes(spark, d).where("x0 is not null").groupBy("volume", "page", "node_type").agg(F.count("*").alias("n"), F.countDistinct(F.round("y0")).alias("ys"), F.countDistinct(F.round("x0")).alias("xs"), (F.max("x1") - F.min("x0")).alias("w"), (F.max("y1") - F.min("y0")).alias("h"))
+    return k.select("volume", "page", "node_type", F.expr(LATTICE).alias("kind"))
 
 
-@query(sql(N) + "SELECT node_type, modality, heading IS NULL AS bare, count(*) AS n, min(rid) AS sample_a, max(rid) AS sample_b FROM n GROUP BY 1, 2, 3 ORDER BY n DESC, node_type, modality, bare LIMIT 24")
+@query(sql(N) + """, k AS (SELECT node_type, modality, heading IS NULL AS bare, rid, row_number() OVER (PARTITION BY node_type, modality, heading IS NULL ORDER BY rid) AS k FROM n)
+SELECT node_type, modality, bare, count(*) AS n, min(rid) AS sample_a, min(rid) FILTER (WHERE k = 2) AS sample_b FROM k GROUP BY 1, 2, 3 ORDER BY n DESC, node_type, modality, bare LIMIT 24""")
 def signature_profile(spark: SparkSession, d: str) -> DataFrame:
-    """The 24 most frequent signatures of nodes with two samples."""
-    k = nodes(spark, d).groupBy("node_type", "modality", F.col("heading").isNull().alias("bare")).agg(F.count("*").alias("n"), F.min("rid").alias("sample_a"), F.max("rid").alias("sample_b"))
-    return k.orderBy(F.desc("n"), "node_type", F.asc_nulls_last("modality"), "bare").limit(24)
+    """The 24 most frequent signatures of nodes with their first two samples."""
+    sign = ["node_type", "modality", "bare"]
+    k = nodes(spark, d).select("node_type", "modality", F.col("heading").isNull().alias("bare"), "rid")
+    counts = k.groupBy(*sign).agg(F.count("*").alias("n"), F.min("rid").alias("sample_a"))
+    second = k.withColumn("k", F.row_number().over(Window.partitionBy(*sign).orderBy("rid"))).where("k = 2").select(*(F.col(c).alias(f"s_{c}") for c in sign), F.col("rid").alias("sample_b"))
+    both = counts.join(second, F.expr(" and ".join(f"{c} <=> s_{c}" for c in sign)), "left")
+    return both.select(*sign, "n", "sample_a", "sample_b").orderBy(F.desc("n"), "node_type", F.asc_nulls_last("modality"), "bare").limit(24)
 
 
 FLAT = "trim(regexp_replace(coalesce(text, ''), '[ \\n\\r\\t]+', ' ', 'g'))"
@@ -92,16 +103,24 @@ def table_text(spark: SparkSession, d: str) -> DataFrame:
     return cells(spark, d).groupBy("table_id", "r").agg(F.array_join(F.transform(row, lambda x: x["t"]), " | ").alias("line"))
 
 
-@query(sql(G) + f""", w AS (SELECT table_id, max(c + colspan) AS ncols FROM g GROUP BY 1), rw AS (SELECT DISTINCT table_id, r FROM g),
-f AS (SELECT rw.table_id, rw.r, unnest(range(ncols)) AS c FROM rw JOIN w USING (table_id))
-SELECT f.table_id, f.r, '| ' || string_agg(coalesce({FLAT}, ''), ' | ' ORDER BY f.c) || ' |' AS line FROM f LEFT JOIN g ON g.table_id = f.table_id AND g.r = f.r AND g.c = f.c GROUP BY 1, 2""")
+#: Rows of a table that are shown.
+MOST_ROWS = 25
+
+
+@query(sql(G) + f""", w AS (SELECT table_id, max(c + colspan) AS ncols, count(DISTINCT r) AS total FROM g GROUP BY 1), rw AS (SELECT table_id, r, row_number() OVER (PARTITION BY table_id ORDER BY r) AS nth FROM (SELECT DISTINCT table_id, r FROM g)),
+f AS (SELECT rw.table_id, rw.r, rw.nth, unnest(range(ncols)) AS c FROM rw JOIN w USING (table_id) WHERE nth <= {MOST_ROWS})
+SELECT f.table_id, 2 * f.nth AS ord, '| ' || string_agg(coalesce({FLAT}, ''), ' | ' ORDER BY f.c) || ' |' AS line FROM f LEFT JOIN g ON g.table_id = f.table_id AND g.r = f.r AND g.c = f.c GROUP BY 1, 2
+UNION ALL SELECT table_id, 3, '|' || repeat('---|', CAST(ncols AS BIGINT)) FROM w UNION ALL SELECT table_id, 1000, '... ' || (total - {MOST_ROWS}) || ' further rows' FROM w WHERE total > {MOST_ROWS}""")
 def render_table(spark: SparkSession, d: str) -> DataFrame:
-    """Markdown rows of every table, absent cells blank."""
+    """The Markdown lines of every table in order of `ord`: absent cells blank, a rule under the first row, at most MOST_ROWS rows and then how many more there are."""
     g = cells(spark, d)
-    width = g.groupBy("table_id").agg(F.max(F.col("c") + F.col("colspan")).alias("ncols"))
-    rows = g.groupBy("table_id", "r").agg(F.map_from_entries(F.collect_list(F.struct("c", _flat().alias("t")))).alias("m"))
+    shape = g.groupBy("table_id").agg(F.max(F.col("c") + F.col("colspan")).alias("ncols"), F.countDistinct("r").alias("total"))
+    rows = g.groupBy("table_id", "r").agg(F.map_from_entries(F.collect_list(F.struct("c", _flat().alias("t")))).alias("m")).withColumn("nth", F.row_number().over(Window.partitionBy("table_id").orderBy("r"))).where(F.col("nth") <= MOST_ROWS)
     line = F.array_join(F.transform(F.sequence(F.lit(0), F.col("ncols") - 1), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(""))), " | ")
-    return rows.join(width, "table_id").select("table_id", "r", F.concat(F.lit("| "), line, F.lit(" |")).alias("line"))
+    shown = rows.join(shape, "table_id").select("table_id", (2 * F.col("nth")).cast("bigint").alias("ord"), F.concat(F.lit("| "), line, F.lit(" |")).alias("line"))
+    rule = shape.select("table_id", F.lit(3).cast("bigint").alias("ord"), F.concat(F.lit("|"), F.expr("repeat('---|', ncols)")).alias("line"))
+    more = shape.where(F.col("total") > MOST_ROWS).select("table_id", F.lit(1000).cast("bigint").alias("ord"), F.concat(F.lit("... "), (F.col("total") - MOST_ROWS).cast("string"), F.lit(" further rows")).alias("line"))
+    return shown.unionByName(rule).unionByName(more)
 
 
 @query(sql(G) + "SELECT regexp_replace(table_id, '#[0-9]+$', '') AS base, count(DISTINCT table_id) AS parts, count(*) AS cells, count(DISTINCT (table_id, r)) AS nrows FROM g GROUP BY 1")
@@ -136,11 +155,15 @@ def char_coverage(spark: SparkSession, d: str) -> DataFrame:
     return y.groupBy("key").agg(F.sum(F.greatest(F.col("a") - F.col("b"), F.lit(0))).alias("lost"), F.sum("a").alias("total"))
 
 
-@query(sql(N) + "SELECT node_type, count(*) AS n, CAST(sum(CAST('0x' || substr(md5(key || '|' || coalesce(heading, '') || '|' || coalesce(body, '')), 1, 8) AS BIGINT)) AS BIGINT) AS digest FROM n GROUP BY 1")
+PRINTED = "concat(length(key), ':', key, ',', coalesce(length(heading), -1), ':', coalesce(heading, ''), ',', coalesce(length(body), -1), ':', coalesce(body, ''))"
+
+
+@query(sql(N) + f""", h AS (SELECT node_type, sha256({PRINTED}) AS h FROM n) SELECT node_type, count(*) AS n, {" || '-' || ".join(f"CAST(sum(CAST('0x' || substr(h, {i}, 15) AS BIGINT)) AS VARCHAR)" for i in (1, 16, 31, 46))} AS digest FROM h GROUP BY 1""")
 def content_digest(spark: SparkSession, d: str) -> DataFrame:
-    """A digest of each type's content that doesn't depend on the order of rows."""
-    part = F.conv(F.substring(F.md5(F.concat_ws("|", "key", F.coalesce("heading", F.lit("")), F.coalesce("body", F.lit("")))), 1, 8), 16, 10).cast("bigint")
-    return nodes(spark, d).groupBy("node_type").agg(F.count("*").alias("n"), F.sum(part).alias("digest"))
+    """A digest of each type's content that doesn't depend on the order of rows: the sums of four 60-bit parts of each row's SHA-256, whose fields are printed with their lengths."""
+    h = nodes(spark, d).select("node_type", F.sha2(F.expr(PRINTED), 256).alias("h"))
+    parts = [F.sum(F.conv(F.substring("h", i, 15), 16, 10).cast("decimal(20,0)")).cast("string") for i in (1, 16, 31, 46)]
+    return h.groupBy("node_type").agg(F.count("*").alias("n"), F.concat_ws("-", *parts).alias("digest"))
 
 
 @query(sql(N, E, C) + """SELECT (SELECT count(*) FROM n) AS nodes, (SELECT max(page) FROM n) AS pages, (SELECT count(*) FROM e) AS refs, (SELECT count(*) FROM e WHERE dst IS NULL) AS unresolved,
@@ -248,42 +271,87 @@ def legend_page(spark: SparkSession, d: str) -> DataFrame:
     return nodes(spark, d).where("x0 < 40").groupBy("volume", "page").agg(F.count("*").alias("n")).where("n >= 3").groupBy("volume").agg(F.min("page").alias("page"))
 
 
-@query("""WITH m AS (SELECT DISTINCT unnest(regexp_extract_all(body, '[0-9]{3,}')) AS num FROM node), w AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[0-9]{3,}')) AS num FROM documents)
-SELECT num FROM w WHERE num NOT IN (SELECT num FROM m)""")
+#: Numbers that prose may hold without a fact behind them, besides years.
+ALLOWED_NUMBERS = ("100", "1000")
+
+
+@query(f"""WITH m AS (SELECT DISTINCT unnest(regexp_extract_all(t, '[0-9]{{3,}}')) AS num FROM (SELECT body AS t FROM node UNION ALL SELECT heading FROM node UNION ALL SELECT text FROM cell)), w AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[0-9]{{3,}}')) AS num FROM documents)
+SELECT num FROM w WHERE num NOT IN (SELECT num FROM m) AND num NOT IN {ALLOWED_NUMBERS} AND NOT regexp_full_match(num, '(19|20)[0-9]{{2}}')""")
 def doc_number_drift(spark: SparkSession, d: str) -> DataFrame:
-    """Numbers of three and more digits in the documents that no node has."""
+    """Numbers of three and more digits in the documents that stand in no node or cell and aren't allowed: years, and ALLOWED_NUMBERS."""
     nums = lambda t, c: table(spark, d, t).select(F.explode(F.regexp_extract_all(c, F.lit("[0-9]{3,}"), F.lit(0))).alias("num")).distinct()
-    return nums("documents", "text").join(nums("node", "body"), "num", "left_anti")
+    facts = nums("node", "body").unionByName(nums("node", "heading")).unionByName(nums("cell", "text"))
+    return nums("documents", "text").join(facts, "num", "left_anti").where(~F.col("num").isin(*ALLOWED_NUMBERS) & ~F.col("num").rlike("^(19|20)[0-9]{2}$"))
+
 
+MANIFEST = """fd AS (SELECT DISTINCT lower(trim(node_id)) AS path FROM documents WHERE node_id IS NOT NULL), mf AS (SELECT key AS path, 'sha256' AS alg FROM n UNION ALL SELECT key, 'sha512' FROM n WHERE coalesce(body, heading, '') <> '')"""
 
-@query(sql(N) + "SELECT doc_id, node_id FROM documents WHERE node_id IS NOT NULL AND lower(trim(node_id)) NOT IN (SELECT key FROM n)")
+
+@query(sql(N, MANIFEST) + "SELECT path, (SELECT count(*) FROM mf WHERE mf.path = fd.path) AS other_rows FROM fd WHERE (path, 'sha512') NOT IN (SELECT path, alg FROM mf)")
 def fetch_unhashed(spark: SparkSession, d: str) -> DataFrame:
-    """Fetched documents whose node isn't in the graph."""
-    docs = table(spark, d, "documents").where("node_id is not null").select("doc_id", "node_id", F.lower(F.trim("node_id")).alias("key"))
-    return docs.join(nodes(spark, d).select("key"), "key", "left_anti").select("doc_id", "node_id")
+    """Fetched paths (the node ids of documents) without a sha512 row in the manifest, and how many rows of another digest they have.
+
+    The manifest has a sha256 row for each live node, and a sha512 row where the node has content.
+    """
+    fetched = table(spark, d, "documents").where("node_id is not null").select(F.lower(F.trim("node_id")).alias("path")).distinct()
+    n = nodes(spark, d).select(F.col("key").alias("path"), F.coalesce("body", "heading", F.lit("")).alias("t"))
+    missing = fetched.join(n.where("t <> ''"), "path", "left_anti")
+    return missing.join(n.withColumn("row", F.lit(1)), "path", "left").groupBy("path").agg(F.count("row").alias("other_rows"))
 
 
-@query(sql(N, D) + "SELECT d.key, d.blob FROM d WHERE d.blob IS NOT NULL AND 'v1/' || lower(d.blob) NOT IN (SELECT key FROM n)")
+@query(sql(N, D, E) + """, vo AS (SELECT DISTINCT volume FROM n) SELECT 'object' AS side, d.key, 'v' || vo.volume || '/' || lower(trim(d.blob)) AS missing FROM d, vo WHERE d.blob IS NOT NULL AND 'v' || vo.volume || '/' || lower(trim(d.blob)) NOT IN (SELECT key FROM n)
+UNION ALL SELECT 'result', src, dst FROM (SELECT DISTINCT src, dst FROM e WHERE kind = 'term' AND dst IS NOT NULL) WHERE dst NOT IN (SELECT key FROM d)""")
 def provenance_refs(spark: SparkSession, d: str) -> DataFrame:
-    """Definitions whose source text isn't in the graph."""
-    x = definitions(spark, d).where("blob is not null").select(F.col("key").alias("id"), "blob", F.concat(F.lit("v1/"), F.lower("blob")).alias("key"))
-    return x.join(nodes(spark, d).select("key"), "key", "left_anti").select(F.col("id").alias("key"), "blob")
+    """Both ends of derivations that don't exist: source texts of definitions missing in a volume, and definitions that term edges lead to."""
+    volumes = nodes(spark, d).select("volume").distinct()
+    homes = definitions(spark, d).where("blob is not null").select("key", F.lower(F.trim("blob")).alias("home")).distinct().withColumn("one", F.lit(1)).join(volumes.withColumn("one", F.lit(1)), "one")
+    objects = homes.select("key", F.concat(F.lit("v"), F.col("volume").cast("string"), F.lit("/"), "home").alias("missing")).join(nodes(spark, d).select(F.col("key").alias("missing")), "missing", "left_anti")
+    results = edges(spark, d).where("kind = 'term' and dst is not null").select(F.col("src").alias("key"), F.col("dst").alias("missing")).distinct().join(definitions(spark, d).select(F.col("key").alias("missing")), "missing", "left_anti")
+    return objects.select(F.lit("object").alias("side"), "key", "missing").unionByName(results.select(F.lit("result").alias("side"), "key", "missing"))
 
 
-@query("""SELECT source, count(*) AS n, regexp_matches(lower(source), '^(code|guide|bulletin)/[^/]*$') AS declared FROM documents WHERE source IS NOT NULL AND regexp_matches(lower(source), '^(code|ruling|minutes|guide|bulletin)/.*$') GROUP BY 1""")
+#: Patterns of sources that may be ignored, and those that are declared nevertheless; ** crosses slashes, * and ? don't.
+IGNORED, DECLARED = ("code/**", "bulletin/*", "minutes/**", "ruling/20??-*"), ("code/volume-?", "guide/*")
+
+
+def glob_pattern(glob: str) -> str:
+    """A glob as a regular expression for the whole path."""
+    out = ""
+    for part in re.split(r"(\*\*|\*|\?)", glob):
+        out += {"**": ".*", "*": "[^/]*", "?": "[^/]"}.get(part, re.sub(r"([.\\+^$()\[\]{}|])", r"\\\1", part))
+    return f"^{out}$"
+
+
+def _any_glob(globs: tuple[str, ...]) -> str:
+    return "|".join(f"(?:{glob_pattern(g)})" for g in globs)
+
+
+@query(f"SELECT source, count(*) AS n, regexp_matches(lower(source), '{_any_glob(IGNORED)}') AS ignored, regexp_matches(lower(source), '{_any_glob(DECLARED)}') AS declared FROM documents WHERE source IS NOT NULL GROUP BY 1")
 def glob_coverage(spark: SparkSession, d: str) -> DataFrame:
-    """Sources that match a glob of known kinds, and whether they are declared."""
+    """Sources with whether a pattern ignores them and whether one declares them; those ignored and not declared are the unknown ones."""
     s = F.lower("source")
-    return table(spark, d, "documents").where(s.rlike("^(code|ruling|minutes|guide|bulletin)/.*$")).groupBy("source").agg(F.count("*").alias("n")).withColumn("declared", F.lower("source").rlike("^(code|guide|bulletin)/[^/]*$"))
+    counts = table(spark, d, "documents").where("source is not null").groupBy("source").agg(F.count("*").alias("n"))
+    return counts.select("source", "n", s.rlike(_any_glob(IGNORED)).alias("ignored"), s.rlike(_any_glob(DECLARED)).alias("declared"))
 
 
 ACTIONS = "CASE WHEN text IS NULL THEN 'none' WHEN text LIKE 'INDEX/%' THEN 'launch' WHEN text LIKE 'Table %' THEN 'table' WHEN text LIKE 'Note %' THEN 'note' WHEN regexp_like(text, '^[0-9]') THEN 'goto' ELSE 'word' END"
 
 
-@query(sql(E) + f"SELECT action, count(*) AS n, count(*) FILTER (WHERE dst IS NULL) AS dead FROM (SELECT {ACTIONS.replace('regexp_like', 'regexp_matches')} AS action, dst FROM e) GROUP BY 1")
+#: Volumes that links may lead out of their own into.
+LINKABLE = (1, 2)
+
+
+@query(sql(N, E) + f"""SELECT action, allowed, count(*) AS n FROM (SELECT CASE WHEN e.dst IS NULL AND regexp_matches(coalesce(e.text, ''), '(?i)^file:|[.](pdf|docx?)$') THEN 'file' WHEN e.dst IS NULL THEN 'none' WHEN t.key IS NULL THEN 'launch' WHEN t.volume <> s.volume THEN 'remote' ELSE 'goto' END AS action,
+  CASE WHEN e.dst IS NULL THEN NOT regexp_matches(coalesce(e.text, ''), '(?i)^file:|[.](pdf|docx?)$') WHEN t.key IS NULL THEN false WHEN t.volume <> s.volume THEN t.volume IN {LINKABLE} ELSE true END AS allowed FROM e JOIN n s ON s.key = e.src LEFT JOIN n t ON t.key = e.dst) GROUP BY 1, 2""")
 def dead_file_links(spark: SparkSession, d: str) -> DataFrame:
-    """Links by what they would do, and how many lead nowhere."""
-    return edges(spark, d).withColumn("action", F.expr(ACTIONS)).groupBy("action").agg(F.count("*").alias("n"), F.count_if(F.col("dst").isNull()).alias("dead"))
+    """Links by what they do when followed, and whether that is allowed: goto inside the volume, remote into a volume of the allow-list, no target at all; not to files, and not launch (a target outside of the graph)."""
+    n = nodes(spark, d)
+    e = edges(spark, d).join(n.select(F.col("key").alias("src"), F.col("volume").alias("sv")), "src").join(n.select(F.col("key").alias("dst"), F.col("volume").alias("tv")), "dst", "left")
+    file = F.coalesce("text", F.lit("")).rlike("(?i)^file:|[.](pdf|docx?)$")
+    none = F.col("dst").isNull()
+    action = F.when(none & file, "file").when(none, "none").when(F.col("tv").isNull(), "launch").when(F.col("tv") != F.col("sv"), "remote").otherwise("goto")
+    allowed = F.when(none, ~file).when(F.col("tv").isNull(), False).when(F.col("tv") != F.col("sv"), F.col("tv").isin(*LINKABLE)).otherwise(True)
+    return e.select(action.alias("action"), allowed.alias("allowed")).groupBy("action", "allowed").agg(F.count("*").alias("n"))
 
 
 FOLDED = "regexp_replace(lower({}), '[^0-9a-z]+', '', 'g')"
@@ -318,10 +386,22 @@ def cell_lookup(spark: SparkSession, d: str) -> DataFrame:
     return e.join(g, ["dst", "r", "c"]).select("ref_id", F.col("cell_text").alias("text"))
 
 
-@query("SELECT sha256(text) AS digest, count(*) AS n, min(doc_id) AS first FROM documents WHERE text IS NOT NULL GROUP BY 1 HAVING count(*) > 1")
+@query(sql(N) + """SELECT 'digest' AS fault, sha256(text) AS item, count(*) AS n FROM documents WHERE text IS NOT NULL GROUP BY 2 HAVING count(*) > 1
+UNION ALL SELECT 'path', permalink, count(*) FROM n WHERE permalink IS NOT NULL GROUP BY 2 HAVING count(*) > 1
+UNION ALL SELECT 'unsafe', permalink, count(*) FROM n WHERE regexp_matches(permalink, '^/|(^|/)[.][.](/|$)|^$') GROUP BY 2
+UNION ALL SELECT 'field', CASE WHEN text IS NULL THEN 'text' WHEN source IS NULL THEN 'source' WHEN n_chars IS NULL THEN 'n_chars' ELSE 'length' END, count(*) FROM documents WHERE text IS NULL OR source IS NULL OR n_chars IS NULL OR n_chars <> length(text) GROUP BY 2""")
 def manifest_duplicates(spark: SparkSession, d: str) -> DataFrame:
-    """Contents that occur under several ids, by digest."""
-    return table(spark, d, "documents").where("text is not null").groupBy(F.sha2("text", 256).alias("digest")).agg(F.count("*").alias("n"), F.min("doc_id").alias("first")).where("n > 1")
+    """Faults for which a release is refused: a digest or a path that occurs more than once, an unsafe path, a required field that is missing or doesn't fit its content."""
+    docs, paths = table(spark, d, "documents"), nodes(spark, d).where("permalink is not null").groupBy(F.col("permalink").alias("item")).agg(F.count("*").alias("n"))
+    digests = docs.where("text is not null").groupBy(F.sha2("text", 256).alias("item")).agg(F.count("*").alias("n")).where("n > 1")
+    bad = F.when(F.col("text").isNull(), "text").when(F.col("source").isNull(), "source").when(F.col("n_chars").isNull(), "n_chars").when(F.col("n_chars") != F.length("text"), "length")
+    fields = docs.select(bad.alias("item")).where("item is not null").groupBy("item").agg(F.count("*").alias("n"))
+    unsafe = paths.where(F.col("item").rlike("^/|(^|/)[.][.](/|$)|^$"))
+    out = None
+    for fault, rows in (("digest", digests), ("path", paths.where("n > 1")), ("unsafe", unsafe), ("field", fields)):
+        one = rows.select(F.lit(fault).alias("fault"), "item", "n")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @query(sql(N) + "SELECT permalink, regexp_matches(permalink, '^/|(^|/)[.][.](/|$)|^$|[^A-Za-z0-9._/#~-]') AS unsafe, count(*) AS n FROM n GROUP BY 1, 2")
@@ -333,3 +413,19 @@ def manifest_paths(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT event_type, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, count(*) AS n FROM events GROUP BY 1, 2")
 def events_props(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").groupBy("event_type", F.from_json("props", "k int")["k"].alias("k")).agg(F.count("*").alias("n"))
+
+
+BASE = f"""hs AS (SELECT *, {key_sql("id")} AS key, sha256(coalesce(heading, '') || chr(1) || coalesce(body, '')) AS h, row_number() OVER (PARTITION BY {key_sql("id")} ORDER BY loaded_at, rid, heading NULLS FIRST, body NULLS FIRST) AS first FROM node WHERE {key_sql("id")} IS NOT NULL)"""
+
+
+@query(sql(N, BASE) + """, b AS (SELECT key, h, node_type FROM hs WHERE first = 1), w AS (SELECT key, sha256(coalesce(heading, '') || chr(1) || coalesce(body, '')) AS h, node_type FROM n)
+SELECT coalesce(w.key, b.key) AS key, CASE WHEN b.key IS NULL THEN 'untracked' WHEN w.key IS NULL THEN 'removed' ELSE 'modified' END AS drift FROM b FULL JOIN w ON w.key = b.key WHERE coalesce(w.node_type, b.node_type) IN ('article', 'sentence', 'clause', 'subclause', 'table') AND w.h IS DISTINCT FROM b.h""")
+def baseline_drift(spark: SparkSession, d: str) -> DataFrame:
+    """Live nodes of protected types whose content differs from their first state by hash, is new, or is gone."""
+    h = F.sha2(F.concat(F.coalesce("heading", F.lit("")), F.lit("\x01"), F.coalesce("body", F.lit(""))), 256)
+    rows = table(spark, d, "node").withColumn("key", id_key("id")).where("key is not null")
+    order = F.row_number().over(Window.partitionBy("key").orderBy("loaded_at", "rid", "heading", "body"))
+    base = rows.withColumn("first", order).where("first = 1").select("key", h.alias("bh"), F.col("node_type").alias("bt"))
+    now = nodes(spark, d).select("key", h.alias("wh"), F.col("node_type").alias("wt"))
+    both = now.join(base, "key", "full").where(F.coalesce("wt", "bt").isin("article", "sentence", "clause", "subclause", "table") & ~F.col("wh").eqNullSafe(F.col("bh")))
+    return both.select("key", F.when(F.col("bh").isNull(), "untracked").when(F.col("wh").isNull(), "removed").otherwise("modified").alias("drift"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from lexigrove.operators.hierarchy import closure_pairs, hierarchy
 from lexigrove.plans.aggregates import table_text
 from lexigrove.plans.registry import Registry
 from lexigrove.plans.views import C, D, E, G, N, cells, definitions, edges, key_sql, links, nodes, sql
+from lexigrove.session import exists
 from lexigrove.sources.tables import table
 
 R = Registry()
@@ -218,16 +221,17 @@ def invalid_binding(spark: SparkSession, d: str) -> DataFrame:
     return both.where(F.col("src_type").isNull() | ~F.col("dst_type").eqNullSafe("table")).select("ref_id", "src_type", "dst_type")
 
 
-@query(sql(N) + "SELECT count(*) FILTER (WHERE heading ILIKE '%smoke%') AS headed, count(*) FILTER (WHERE modality = 'prohibition' AND body NOT LIKE '%not%') AS unfounded FROM n")
+@query(sql(N) + "SELECT count(*) FILTER (WHERE heading ILIKE '%See Note%') AS headed, count(*) FILTER (WHERE modality = 'prohibition' AND body NOT ILIKE '%not%') AS unfounded, count(heading) AS headings FROM n")
 def heading_notes_probe(spark: SparkSession, d: str) -> DataFrame:
-    return nodes(spark, d).agg(F.count_if(F.col("heading").ilike("%smoke%")).alias("headed"), F.count_if((F.col("modality") == "prohibition") & ~F.col("body").contains("not")).alias("unfounded"))
+    """Headings that send the reader to a note, and prohibitions without a negation."""
+    return nodes(spark, d).agg(F.count_if(F.col("heading").ilike("%See Note%")).alias("headed"), F.count_if((F.col("modality") == "prohibition") & ~F.col("body").ilike("%not%")).alias("unfounded"), F.count("heading").alias("headings"))
 
 
-@query(sql(N, C, E) + """SELECT key, heading FROM n WHERE heading ILIKE '%wall%' AND NOT EXISTS (SELECT 1 FROM c JOIN e ON e.src = c.descendant WHERE c.ancestor = n.key AND e.kind = 'note' AND e.dst IS NOT NULL)""")
+@query(sql(N, C, E) + """SELECT key, heading, heading ILIKE '%See Note%' AS promised FROM n WHERE heading <> '' AND NOT EXISTS (SELECT 1 FROM c JOIN e ON e.src = c.descendant WHERE c.ancestor = n.key AND e.kind = 'note' AND e.dst IS NOT NULL)""")
 def heading_notes_unlinked(spark: SparkSession, d: str) -> DataFrame:
-    """Headings of a topic without a note edge anywhere in their subtree."""
+    """Headings without a note edge anywhere in their subtree; promised where the heading says "See Note"."""
     noted = links(spark, d).join(edges(spark, d).where("kind = 'note' and dst is not null").select(F.col("src").alias("descendant")), "descendant", "left_semi").select(F.col("ancestor").alias("key"))
-    return nodes(spark, d).where(F.col("heading").ilike("%wall%")).join(noted, "key", "left_anti").select("key", "heading")
+    return nodes(spark, d).where("heading <> ''").join(noted, "key", "left_anti").select("key", "heading", F.col("heading").ilike("%See Note%").alias("promised"))
 
 
 @query(sql(N) + "SELECT modality, count(*) AS n FROM n WHERE modality IS DISTINCT FROM 'statement' GROUP BY 1")
@@ -311,10 +315,21 @@ def closure_extend(spark: SparkSession, d: str) -> DataFrame:
     return own.unionByName(links(spark, d).join(x.withColumn("descendant", F.col("home")), "descendant").select("home", "ancestor", F.col("key").alias("descendant"), (F.col("depth") + 1).alias("depth")))
 
 
-@query(sql(N) + "SELECT volume, count(*) AS nodes, count(*) - count(DISTINCT key) AS clashes, min(rid) AS first_rid FROM n GROUP BY 1")
+def merged(volumes: list[DataFrame], id_col: str = "key") -> DataFrame:
+    """Volumes put together by column name; an id that occurs twice raises ValueError with the first of them, in place of a silent choice."""
+    whole = reduce(DataFrame.unionByName, volumes)
+    clashes = [r[0] for r in whole.groupBy(id_col).count().where("count > 1").orderBy(id_col).limit(5).collect()]
+    if clashes:
+        raise ValueError(f"ids that occur more than once: {', '.join(map(str, clashes))}")
+    return whole
+
+
+@query(sql(N) + "SELECT volume, key, rid, dense_rank() OVER (ORDER BY volume) AS place FROM n WHERE volume IS NOT NULL")
 def merge_volumes(spark: SparkSession, d: str) -> DataFrame:
-    """Volumes put together by name, with the number of ids that clash inside them."""
-    return nodes(spark, d).groupBy("volume").agg(F.count(F.lit(1)).alias("nodes"), (F.count(F.lit(1)) - F.countDistinct("key")).alias("clashes"), F.min("rid").alias("first_rid"))
+    """All volumes, each with its place, in one table of unique ids."""
+    n = nodes(spark, d).select("volume", "key", "rid")
+    volumes = sorted(r[0] for r in n.where("volume is not null").select("volume").distinct().collect())  # a library has some tens of volumes
+    return merged([n.where(F.col("volume") == v).withColumn("place", F.lit(i).cast("bigint")) for i, v in enumerate(volumes, 1)])
 
 
 PARTS = """p AS (SELECT key, rid, 1 + rid % 3 AS weeks FROM n WHERE node_type = 'part'),
@@ -343,14 +358,25 @@ def critical_path(spark: SparkSession, d: str) -> DataFrame:
     return op.longest_paths(tracks.select("key", "weeks"), steps)
 
 
-@query(sql(N, C, E, PARTS) + """, open AS (SELECT own.part AS key, count(*) AS n FROM e JOIN own ON own.descendant = e.src WHERE e.dst IS NULL GROUP BY 1)
-SELECT p.key, CASE WHEN p.key NOT IN (SELECT key FROM open) THEN 'done' WHEN p.key IN (SELECT st.dst FROM st WHERE st.src IN (SELECT key FROM open)) THEN 'blocked' ELSE 'ready' END AS status FROM p""")
+STATUS = """open AS (SELECT DISTINCT own.part AS key FROM e JOIN own ON own.descendant = e.src WHERE e.dst IS NULL),
+typed AS (SELECT p.key, CASE WHEN p.key NOT IN (SELECT key FROM open) THEN 'done' WHEN p.rid % 5 = 0 THEN 'conditional' WHEN p.rid % 2 = 0 THEN 'ready' ELSE 'blocked' END AS typed FROM p),
+wait AS (SELECT DISTINCT st.dst AS key FROM st JOIN typed t ON t.key = st.src WHERE t.typed <> 'done')"""
+
+
+@query(sql(N, C, E, PARTS, STATUS) + """SELECT key, typed, CASE WHEN typed = 'done' THEN CASE WHEN waits THEN 'error' ELSE 'done' END WHEN typed = 'conditional' THEN 'conditional' WHEN waits THEN CASE WHEN typed = 'ready' THEN 'error' ELSE 'blocked' END ELSE 'ready' END AS status FROM (SELECT *, key IN (SELECT key FROM wait) AS waits FROM typed)""")
 def dag_status(spark: SparkSession, d: str) -> DataFrame:
-    """A part is done when its subtree has no unresolved ref, else blocked while a part before it isn't done."""
+    """The status of each part derived from the typed ones: done or ready over unfinished parts is an error, a condition stays, else it is blocked or ready.
+
+    The typed status comes from the data: done without unresolved refs, the others by their place.
+    """
     tracks, own, steps = _parts(spark, d)
     todo = edges(spark, d).where("dst is null").select(F.col("src").alias("descendant")).join(own, "descendant").select(F.col("part").alias("key")).distinct()
-    after = steps.join(todo.select(F.col("key").alias("src")), "src", "left_semi").select(F.col("dst").alias("key"), F.lit(True).alias("waits")).distinct()
-    return tracks.join(todo.withColumn("todo", F.lit(True)), "key", "left").join(after, "key", "left").select("key", F.when(F.col("todo").isNull(), "done").when(F.col("waits"), "blocked").otherwise("ready").alias("status"))
+    typed = F.when(F.col("todo").isNull(), "done").when(F.col("rid") % 5 == 0, "conditional").when(F.col("rid") % 2 == 0, "ready").otherwise("blocked")
+    t = tracks.join(todo.withColumn("todo", F.lit(True)), "key", "left").select("key", typed.alias("typed"))
+    wait = steps.join(t.where("typed <> 'done'").select(F.col("key").alias("src")), "src", "left_semi").select(F.col("dst").alias("key"), F.lit(True).alias("waits")).distinct()
+    waits = F.coalesce("waits", F.lit(False))
+    status = F.when((F.col("typed") == "done") & waits, "error").when(F.col("typed") == "done", "done").when(F.col("typed") == "conditional", "conditional").when(waits & (F.col("typed") == "ready"), "error").when(waits, "blocked").otherwise("ready")
+    return t.join(wait, "key", "left").select("key", "typed", status.alias("status"))
 
 
 @query(sql(N, C) + """SELECT n.rid, repeat('  ', CAST(x.level AS INTEGER)) || coalesce(n.heading, n.key) AS entry FROM n JOIN (SELECT descendant AS key, max(depth) AS level FROM c GROUP BY 1) x USING (key)
@@ -390,21 +416,23 @@ def node_text(spark: SparkSession, d: str) -> DataFrame:
     return kids.groupBy(F.col("up").alias("key")).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rid", "body"))), lambda x: x["body"]), " ").alias("text"))
 
 
-PROBES = {
-    "prohibition without not": "modality = 'prohibition' AND body NOT LIKE '%not%'",
-    "article without heading": "node_type = 'article' AND (heading IS NULL OR heading = '')",
-    "clause without body": "node_type = 'clause' AND body IS NULL",
-    "node without box": "bbox IS NULL",
-    "leaf without modality": "node_type IN ('sentence', 'clause', 'subclause') AND body IS NOT NULL AND modality IS NULL",
-}
-
-
-@query(sql(N) + " UNION ALL ".join(f"SELECT '{k}' AS probe, count(*) AS n, count(*) > 0 AS fires FROM n WHERE {v}" for k, v in PROBES.items()))
+@query(sql(N, C, E) + """, pr AS (SELECT 'applicability' AS probe, (SELECT count(*) FROM n WHERE node_type IN ('occupancy', 'applicability_predicate')) AS n, true AS if_none UNION ALL SELECT 'objectives', (SELECT count(*) FROM n WHERE node_type IN ('objective', 'functional_statement')), true
+ UNION ALL SELECT 'temporal', 0, true UNION ALL SELECT 'rules', 0, true UNION ALL SELECT 'semantic', 1, true UNION ALL SELECT 'heading_notes', (SELECT count(*) FROM n WHERE heading ILIKE '%See Note%' AND NOT EXISTS (SELECT 1 FROM c JOIN e ON e.src = c.descendant WHERE c.ancestor = n.key AND e.kind = 'note')), false)
+SELECT probe, n, CASE WHEN if_none THEN n = 0 ELSE n > 0 END AS cannot FROM pr UNION ALL SELECT 'official', NULL, true""")
 def capability_probes(spark: SparkSession, d: str) -> DataFrame:
-    """Each probe's number of rows and whether it fires, from one pass."""
-    counts = nodes(spark, d).agg(*[F.count_if(F.expr(v)).alias(f"p{i}") for i, v in enumerate(PROBES.values())])
-    rows = F.explode(F.array(*[F.struct(F.lit(k).alias("probe"), F.col(f"p{i}").alias("n")) for i, k in enumerate(PROBES)]))
-    return counts.select(rows.alias("r")).select("r.probe", "r.n", (F.col("r.n") > 0).alias("fires"))
+    """What the graph cannot answer, by measuring it: types and tables that aren't there (an absent table counts 0), notes that no heading links to; an official reading never."""
+    typed = nodes(spark, d).agg(F.count_if(F.col("node_type").isin("occupancy", "applicability_predicate")).alias("a"), F.count_if(F.col("node_type").isin("objective", "functional_statement")).alias("b"))
+    linked = links(spark, d).join(edges(spark, d).where("kind = 'note'").select(F.col("src").alias("descendant")), "descendant", "left_semi").select(F.col("ancestor").alias("key"))
+    notes = nodes(spark, d).where(F.col("heading").ilike("%See Note%")).join(linked, "key", "left_anti").agg(F.count(F.lit(1)).alias("c"))
+    there = lambda *names: sum(_has_table(spark, d, name) for name in names)
+    probe = lambda name, n, cannot: F.struct(F.lit(name).alias("probe"), n.cast("bigint").alias("n"), cannot.alias("cannot"))
+    none = [("applicability", F.col("a")), ("objectives", F.col("b")), ("temporal", F.lit(there("in_force", "edition"))), ("rules", F.lit(there("rule"))), ("semantic", F.lit(1))]  # search uses vectors
+    rows = [probe(name, n, n == 0) for name, n in none] + [probe("heading_notes", F.col("c"), F.col("c") > 0), probe("official", F.lit(None), F.lit(True))]
+    return typed.crossJoin(notes).select(F.explode(F.array(*rows)).alias("r")).select("r.*")  # one row each
+
+
+def _has_table(spark: SparkSession, d: str, name: str) -> bool:
+    return exists(spark, f"{d.rstrip('/')}/{name}.parquet")
 
 
 @query(sql(N, E, D, G) + """SELECT (SELECT count(*) FROM n) AS nodes, (SELECT count(*) FROM n WHERE node_type = 'article') AS articles, (SELECT count(*) FROM d) AS definitions,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lexigrove.functions.text import html_escape
 from lexigrove.functions.text import permalink as permalink_of
+from lexigrove.operators import walks
 from lexigrove.operators.windows import carry_forward
 from lexigrove.plans.registry import Registry
 from lexigrove.plans.views import D, E, G, N, cells, definitions, edges, nodes, sql
@@ -18,52 +19,52 @@ from lexigrove.streaming import maintain
 R = Registry()
 query = R.query
 
-# The levels of a division from the outside in; a node stands under the last one seen of the level above it.
-LEVELS = ("division", "part", "section", "subsection", "article", "sentence", "clause", "subclause")
+OPENERS = ("act", "appendix", "supplementary_standard", "index")
 
 
-def _walk(n: DataFrame, levels: tuple[str, ...], by: list[str]) -> DataFrame:
-    """Parents derived by walking the nodes in document order, carrying the current node of each level forward."""
-    seen = {f"_{lv}": carry_forward(F.when(F.col("node_type") == lv, F.col("key")), by, ["rid"]) for lv in levels}
-    parent = F.lit(None).cast("string")
-    for above, lv in zip(levels, levels[1:], strict=False):
-        parent = F.when(F.col("node_type") == lv, F.col(f"_{above}")).otherwise(parent)
-    return n.where(F.col("node_type").isin(*levels)).withColumns(seen).select("key", parent.alias("derived"), (parent.eqNullSafe(F.col("up"))).alias("agrees"))
+def printed_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Nodes as printed lines: the marker, the indent, the heading, whether a part of the volume opens there, whether it is inside a table; not their parent, and their type only for the last two."""
+    opens = F.col("node_type").isin(*OPENERS)
+    prefix = F.when(F.col("node_type") == "appendix", "a-").when(F.col("node_type").isin("act", "supplementary_standard"), "")
+    return nodes(spark, d).where("volume is not null").select(
+        "volume", "rid", "key", F.concat(F.lit("v"), F.col("volume").cast("string")).alias("volume_key"), F.col("designator").alias("marker"), F.nullif("heading", F.lit("")).alias("label"), "x0", "page",
+        opens.alias("opens"), F.when(opens, prefix).alias("prefix"), F.col("node_type").isin("table", "figure").alias("region"), (F.size(F.split("key", "/s")) - 1).alias("level"), F.col("node_type").startswith("index").alias("indexed"), F.split_part("key", F.lit("/"), F.lit(2)).alias("home"),
+    )
 
 
-def _walk_sql(levels: tuple[str, ...]) -> str:
-    seen = ", ".join(f"last_value(CASE WHEN node_type = '{lv}' THEN key END IGNORE NULLS) OVER (PARTITION BY volume ORDER BY rid ROWS UNBOUNDED PRECEDING) AS s_{lv}" for lv in levels)
-    case = "CASE node_type " + " ".join(f"WHEN '{lv}' THEN s_{above}" for above, lv in zip(levels, levels[1:], strict=False)) + " END"
-    return f"SELECT key, derived, derived IS NOT DISTINCT FROM up AS agrees FROM (SELECT key, up, {case} AS derived FROM (SELECT *, {seen} FROM n WHERE node_type IN ({', '.join(map(repr, levels))})))"
+def _agreed(walked: DataFrame) -> DataFrame:
+    return walked.withColumn("agrees", F.col("derived").eqNullSafe(F.col("key")))
 
 
-@query(sql(N) + _walk_sql(LEVELS))
+@query()
 def tree_walk(spark: SparkSession, d: str) -> DataFrame:
-    return _walk(nodes(spark, d), LEVELS, ["volume"])
+    """The division tree of every volume from its lines alone, against the stored ids; a state machine, so without SQL."""
+    lines = printed_lines(spark, d).where("not indexed or opens")
+    return _agreed(walks.ordered_fold(lines, "volume", ["rid"], walks.division_walk, "key string, derived string, level string, host string").where("derived is not null"))
 
 
-ACT = ("act", "act_section", "act_subsection", "act_clause")
+def _rooted(spark: SparkSession, d: str) -> DataFrame:
+    return walks.ordered_fold(printed_lines(spark, d).where("not indexed or opens"), "volume", ["rid"], walks.rooted_walk, "key string, derived string, level string, heading string")
 
 
-@query(sql(N) + _walk_sql(ACT))
+@query()
 def tree_walk_v2(spark: SparkSession, d: str) -> DataFrame:
-    """The walk with the grammar of Acts."""
-    return _walk(nodes(spark, d), ACT, ["volume"])
+    """The same for appendices and supplementary standards, whose heads are notes and numbers."""
+    own = nodes(spark, d).where("node_type in ('appendix', 'supplementary_standard')").select(F.col("key").alias("root"))
+    return _agreed(_rooted(spark, d).where("derived is not null").withColumn("root", F.substring_index("derived", "/", 2)).join(own, "root", "left_semi").drop("heading"))
 
 
-INDEX = ("index", "index_entry", "index_subentry")
+@query()
+def pending_label(spark: SparkSession, d: str) -> DataFrame:
+    """The walk of the Acts: sections, subsections and clauses with the marginal note that became their heading."""
+    own = nodes(spark, d).where("node_type = 'act'").select(F.col("key").alias("root"))
+    return _agreed(_rooted(spark, d).where("derived is not null").withColumn("root", F.substring_index("derived", "/", 2)).join(own, "root", "left_semi"))
 
 
-@query(sql(N) + _walk_sql(INDEX))
+@query()
 def index_tree(spark: SparkSession, d: str) -> DataFrame:
-    return _walk(nodes(spark, d), INDEX, ["volume"])
-
-
-@query(sql(N) + """SELECT key, last_value(heading IGNORE NULLS) OVER (PARTITION BY volume ORDER BY rid ROWS UNBOUNDED PRECEDING) AS label FROM n WHERE node_type IN ('act_section', 'act_subsection')""")
-def pending_label(spark: SparkSession, d: str) -> DataFrame:
-    """The heading that is pending at each section and subsection of an Act."""
-    n = nodes(spark, d).where("node_type in ('act_section', 'act_subsection')")
-    return n.select("key", carry_forward(F.col("heading"), ["volume"], ["rid"]).alias("label"))
+    """The index tree of every volume from the levels of its entries."""
+    return _agreed(walks.ordered_fold(printed_lines(spark, d).where("indexed"), "volume", ["rid"], walks.index_walk, "key string, derived string, above string"))
 
 
 @query(sql(N) + """SELECT key, page, last_value(CASE WHEN node_type = 'division' THEN key END IGNORE NULLS) OVER (PARTITION BY volume ORDER BY rid ROWS UNBOUNDED PRECEDING) AS division FROM n WHERE node_type IN ('division', 'part', 'section')""")

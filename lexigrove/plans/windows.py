@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexigrove.functions.ids import id_key
+from lexigrove.functions.text import ROMAN
+from lexigrove.operators import walks
 from lexigrove.operators import windows as op
 from lexigrove.plans.registry import Registry
 from lexigrove.plans.views import C, D, E, N, definitions, edges, key_sql, links, nodes, sql
@@ -55,11 +57,16 @@ def outline_levels(spark: SparkSession, d: str) -> DataFrame:
     return nodes(spark, d).join(raw, "key").select("key", op.clamped_levels(F.col("raw"), F.col("rid"), F.col("volume")).cast("bigint").alias("level"))
 
 
-@query(sql(N) + """, p AS (SELECT DISTINCT volume, node_type, page FROM n), r AS (SELECT *, page - row_number() OVER (PARTITION BY volume, node_type ORDER BY page) AS run FROM p)
-SELECT volume, node_type, min(page) AS first, max(page) AS last, count(*) AS n FROM r GROUP BY volume, node_type, run""")
+@query(sql(N) + """, f AS (SELECT volume, page, arg_min(number, rid) AS number FROM n WHERE page IS NOT NULL AND regexp_full_match(number, '[0-9A-Z.]*[0-9]{1,6}') GROUP BY 1, 2),
+l AS (SELECT volume, page, regexp_extract(number, '^(.*?)[0-9]+$', 1) AS prefix, CAST(regexp_extract(number, '([0-9]+)$', 1) AS INTEGER) AS num FROM f),
+r AS (SELECT *, page - num AS shift, page - row_number() OVER (PARTITION BY volume, prefix, page - num ORDER BY page) AS run FROM l)
+SELECT volume, prefix, min(page) AS first, max(page) AS last, min(num) AS from_num, count(*) AS n FROM r GROUP BY volume, prefix, shift, run""")
 def label_runs(spark: SparkSession, d: str) -> DataFrame:
-    """Runs of pages, one after the other, that carry the same type of node."""
-    return op.islands(nodes(spark, d).where("page is not null"), ["volume", "node_type"], "page")
+    """Runs of page labels: pages one after the other whose first number has the same prefix and goes up by one."""
+    first = nodes(spark, d).where("page is not null and number rlike '^[0-9A-Z.]*[0-9]{1,6}$'").groupBy("volume", "page").agg(F.min_by("number", "rid").alias("number"))
+    label = first.select("volume", "page", F.regexp_extract("number", "^(.*?)[0-9]+$", 1).alias("prefix"), F.regexp_extract("number", "([0-9]+)$", 1).cast("int").alias("num")).withColumn("shift", F.col("page") - F.col("num"))
+    run = F.col("page") - F.row_number().over(Window.partitionBy("volume", "prefix", "shift").orderBy("page"))
+    return label.withColumn("run", run).groupBy("volume", "prefix", "shift", "run").agg(F.min("page").alias("first"), F.max("page").alias("last"), F.min("num").alias("from_num"), F.count("*").alias("n")).drop("shift", "run")
 
 
 @query(sql(N) + """, p AS (SELECT volume, page, arg_min(key, rid) FILTER (WHERE node_type = 'part') AS own FROM n GROUP BY 1, 2),
@@ -104,14 +111,20 @@ def lookahead_context(spark: SparkSession, d: str) -> DataFrame:
     return x.where("t rlike '[A-Za-z]' and length(t) < 60").groupBy("doc_id").agg(F.count_if(F.col("ahead").contains("shall")).alias("valid"), F.count(F.lit(1)).alias("lines"))
 
 
-@query(sql(N) + """, k AS (SELECT up, CAST(number AS INTEGER) AS k FROM n WHERE node_type = 'sentence' AND regexp_full_match(number, '[0-9]{1,6}') AND up IS NOT NULL),
-m AS (SELECT up, max(k) AS top FROM k GROUP BY 1)
-SELECT up, want FROM (SELECT up, unnest(range(1, top + 1)) AS want FROM m) w WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.up = w.up AND k.k = w.want)""")
+PLACE = f"""CASE WHEN node_type IN ('section', 'subsection', 'article') AND regexp_matches(number, '[0-9]{{1,6}}$') THEN CAST(regexp_extract(number, '([0-9]{{1,6}})$', 1) AS INTEGER) WHEN node_type = 'sentence' AND regexp_matches(number, '^[0-9]{{1,6}}([.][0-9]+)?$') THEN CAST(regexp_extract(number, '^([0-9]{{1,6}})', 1) AS INTEGER)
+  WHEN node_type = 'clause' AND regexp_matches(number, '^[a-z]([.][0-9]+)?$') THEN CAST(ascii(number) - 96 AS INTEGER) WHEN node_type = 'subclause' THEN CAST(nullif({{roman}}, 0) AS INTEGER) END"""
+
+
+@query(sql(N) + f""", k AS (SELECT up, node_type, {PLACE.replace("{roman}", "list_position([" + ", ".join(f"'{r}'" for r in ROMAN) + "], number)")} AS k, body FROM n WHERE up IS NOT NULL),
+one AS (SELECT up, any_value(node_type) AS node_type, max(k) AS top, bool_or(coalesce(regexp_matches(body, 'Reserved|REPEALED|Repealed'), false)) AS excused FROM k GROUP BY 1 HAVING count(*) >= 2 AND count(DISTINCT node_type) = 1 AND max(k) IS NOT NULL)
+SELECT up, node_type, want, excused FROM (SELECT up, node_type, excused, unnest(range(1, top + 1)) AS want FROM one) w WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.up = w.up AND k.k = w.want)""")
 def numbering_gaps(spark: SparkSession, d: str) -> DataFrame:
-    """Sentence numbers missing from 1 to the largest under each parent."""
-    k = nodes(spark, d).where("node_type = 'sentence' and number rlike '^[0-9]{1,6}$' and up is not null").select("up", F.col("number").cast("int").alias("want")).distinct()
-    top = k.groupBy("up").agg(F.max("want").alias("top"))
-    return top.select("up", F.explode(F.sequence(F.lit(1), "top")).alias("want")).join(k, ["up", "want"], "left_anti")
+    """Numbers missing from 1 to the largest under each parent whose children are of one kind; excused where a child says reserved or repealed."""
+    place = F.expr(PLACE.replace("{roman}", f"array_position(array({', '.join(repr(r) for r in ROMAN)}), number)").replace("regexp_matches(", "regexp_like("))
+    k = nodes(spark, d).where("up is not null").select("up", "node_type", place.alias("want"), "body")
+    excused = F.bool_or(F.coalesce(F.col("body").rlike("Reserved|REPEALED|Repealed"), F.lit(False)))
+    one = k.groupBy("up").agg(F.count("*").alias("n"), F.countDistinct("node_type").alias("kinds"), F.min("node_type").alias("node_type"), F.max("want").alias("top"), excused.alias("excused")).where("n >= 2 and kinds = 1 and top is not null")
+    return one.select("up", "node_type", "excused", F.explode(F.sequence(F.lit(1), "top")).alias("want")).join(k.select("up", "want"), ["up", "want"], "left_anti")
 
 
 FOLD = "regexp_replace(lower(coalesce(heading, '')), '[^a-z0-9]', '', 'g')"
@@ -141,33 +154,39 @@ def lnds_boundaries(spark: SparkSession, d: str) -> DataFrame:
 
 
 BLOB = "b AS (SELECT blob, string_agg(body, ' ' ORDER BY body_offset, id) AS t FROM d WHERE blob IS NOT NULL AND body IS NOT NULL GROUP BY 1)"
-MEANS = "[A-Z][a-z -]{1,60} means "
+# How a definition begins, in codes (a capitalised term of up to six words, a qualifier in brackets) and in acts (a quoted term), and its least length.
+CODE_BOUNDARY = r"[A-Z][A-Za-z0-9\x{2019}-]*(?:[ -][A-Za-z0-9\x{2019}-]+){0,5}?(?:[ \n]*\([^)]{1,40}\))?[ \n]+means\b"
+ACT_BOUNDARY = r"[\x{201c}\"][^\x{201d}\"]{2,60}[\x{201d}\"][ \n]*,?[ \n]*means\b"
+BOUNDARY = f"(?:{CODE_BOUNDARY}|{ACT_BOUNDARY})"
+LEAST = 12
 
 
-def _pieces(spark: SparkSession, d: str) -> DataFrame:
+def _pieces(spark: SparkSession, d: str, before: str) -> DataFrame:
+    """(blob, a): the pieces of each blob's text, cut at the boundaries with `before` in front."""
     texts = definitions(spark, d).where("blob is not null and body is not null").groupBy("blob").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("body_offset", "id", "body"))), lambda x: x["body"]), " ").alias("t"))
-    return texts.select("blob", F.posexplode(F.split("t", rf"(?<=\.) (?={MEANS})")).alias("ord", "piece"))
+    pieces = F.split(F.regexp_replace("t", f"{before}({BOUNDARY})", "$1\x01$2"), "\x01")
+    return texts.select("blob", F.filter(F.transform(pieces, lambda x: F.trim(x)), lambda x: F.length(x) >= LEAST).alias("a"))
 
 
-@query(sql(D, BLOB) + f""", a AS (SELECT blob, string_split(regexp_replace(t, '[.] ({MEANS})', '.' || chr(1) || '\\1', 'g'), chr(1)) AS a FROM b)
-SELECT blob, unnest(range(len(a))) AS ord, unnest(a) AS piece FROM a""")
+@query(sql(D, BLOB) + f""", a AS (SELECT blob, list_filter(string_split(regexp_replace(t, '(^|[^A-Za-z])({BOUNDARY})', '\\1' || chr(1) || '\\2', 'g'), chr(1)), lambda x: length(trim(x)) >= {LEAST}) AS a FROM b)
+SELECT blob, unnest(range(len(a))) AS ord, trim(unnest(a)) AS piece FROM a""")
 def split_definitions(spark: SparkSession, d: str) -> DataFrame:
     """The text of each blob cut where the next definition begins."""
-    return _pieces(spark, d)
+    return _pieces(spark, d, "(^|[^A-Za-z])").select("blob", F.posexplode("a").alias("ord", "piece"))
 
 
-@query(sql(D, BLOB) + f""", a AS (SELECT blob, string_split(regexp_replace(t, '[.] ({MEANS})', '.' || chr(1) || '\\1', 'g'), chr(1)) AS a FROM b), p AS (SELECT blob, unnest(range(len(a))) AS ord, unnest(a) AS piece FROM a),
-q AS (SELECT blob, ord, string_split(regexp_replace(piece, '([;)]) ([A-Za-z ]{{2,40}} means )', '\\1' || chr(1) || '\\2', 'g'), chr(1)) AS s FROM p)
-SELECT blob, ord, unnest(range(len(s))) AS sub, unnest(s) AS piece FROM q""")
+@query(sql(D, BLOB) + f""", a AS (SELECT blob, list_filter(string_split(regexp_replace(t, '([.;)][ \\n\\t]{{1,5}})({BOUNDARY})', '\\1' || chr(1) || '\\2', 'g'), chr(1)), lambda x: length(trim(x)) >= {LEAST}) AS a FROM b)
+SELECT blob, unnest(range(len(a))) AS ord, trim(unnest(a)) AS piece FROM a""")
 def resplit(spark: SparkSession, d: str) -> DataFrame:
-    """Second pass: an inner boundary counts only after a semicolon or closing bracket."""
-    return _pieces(spark, d).select("blob", "ord", F.posexplode(F.split("piece", r"(?<=[;)]) (?=[A-Za-z ]{2,40} means )")).alias("sub", "piece"))
+    """The second pass: a boundary counts only where a full stop, semicolon or closing bracket stands within six characters before it."""
+    return _pieces(spark, d, r"([.;)][ \n\t]{1,5})").select("blob", F.posexplode("a").alias("ord", "piece"))
 
 
-@query(sql(D) + "SELECT key, len(regexp_extract_all(body, ' means ')) AS n FROM d WHERE len(regexp_extract_all(body, ' means ')) <> 1")
+@query(sql(D) + f"SELECT marks, count(*) AS definitions, marks <= 1 AS holds, min(key) AS sample FROM (SELECT key, len(regexp_extract_all(body, '(?:^|[^A-Za-z]){BOUNDARY}')) AS marks FROM d WHERE body IS NOT NULL) GROUP BY 1")
 def definition_multi(spark: SparkSession, d: str) -> DataFrame:
-    n = F.size(F.regexp_extract_all("body", F.lit(" means "), F.lit(0)))
-    return definitions(spark, d).where("body is not null").select("key", n.alias("n")).where("n <> 1")
+    """How many boundaries definitions hold; more than one means that a definition holds another."""
+    n = F.size(F.regexp_extract_all("body", F.lit(f"(?:^|[^A-Za-z]){BOUNDARY}"), F.lit(0)))
+    return definitions(spark, d).where("body is not null").select("key", n.alias("marks")).groupBy("marks").agg(F.count("*").alias("definitions"), F.min("key").alias("sample")).withColumn("holds", F.col("marks") <= 1)
 
 
 @query("SELECT qid, lower(trim(q)) AS k FROM (SELECT *, row_number() OVER (PARTITION BY lower(trim(q)) ORDER BY qid, added_at) AS rn FROM evalset WHERE q IS NOT NULL) WHERE rn = 1")
@@ -202,21 +221,22 @@ def page_label_lookup(spark: SparkSession, d: str) -> DataFrame:
     return edges(spark, d).select("ref_id", F.rtrim("text", F.lit(".")).alias("number")).join(first, "number").select("ref_id", "page")
 
 
-@query(sql(N) + """, k AS (SELECT key, CAST(number AS INTEGER) AS num, row_number() OVER (PARTITION BY up ORDER BY rid) AS expected FROM n WHERE node_type = 'sentence' AND regexp_full_match(number, '[0-9]{1,6}') AND up IS NOT NULL)
-SELECT key, num, expected, num = expected AS ok FROM k""")
+@query(sql(N, """k AS (SELECT up, key, number, row_number() OVER (PARTITION BY up ORDER BY rid, key) AS i, regexp_full_match(number, '[0-9]+[.][0-9]+') AS ins FROM n WHERE node_type = 'sentence' AND regexp_full_match(number, '[0-9]{1,6}([.][0-9]+)?') AND up IS NOT NULL),
+w AS (SELECT up, i, key, number, 1 AS expected, ins OR number = '1' AS ok, CASE WHEN NOT ins AND number = '1' THEN 2 ELSE 1 END AS next FROM k WHERE i = 1
+ UNION ALL SELECT k.up, k.i, k.key, k.number, w.next, k.ins OR k.number = CAST(w.next AS VARCHAR), CASE WHEN NOT k.ins AND k.number = CAST(w.next AS VARCHAR) THEN w.next + 1 ELSE w.next END FROM w JOIN k ON k.up = w.up AND k.i = w.i + 1)""", recursive=True)
+ + "SELECT key, number, expected, ok FROM w")
 def marker_sequence(spark: SparkSession, d: str) -> DataFrame:
-    """A marker holds where it is the next number expected under its parent."""
-    w = Window.partitionBy("up").orderBy("rid")
-    k = nodes(spark, d).where("node_type = 'sentence' and number rlike '^[0-9]{1,6}$' and up is not null")
-    return k.select("key", F.col("number").cast("int").alias("num"), F.row_number().over(w).alias("expected")).withColumn("ok", F.col("num") == F.col("expected"))
+    """A marker holds where it is the next number under its parent or a decimal insertion; one that doesn't hold leaves the next number as it is."""
+    k = nodes(spark, d).where("node_type = 'sentence' and number rlike '^[0-9]{1,6}([.][0-9]+)?$' and up is not null").select("up", "rid", "key", "number")
+    return walks.ordered_fold(k, "up", ["rid", "key"], walks.accepted_markers, "key string, number string, expected int, ok boolean")
 
 
-@query(sql(N) + "SELECT key, number FROM n WHERE node_type = 'article' AND split_part(key, '/', 2) IN ('a', 'b', 'c') AND split_part(number, '.', 1) <> split_part(key, '/', 3)")
+@query(sql(N) + "SELECT key, number, split_part(number, '.', 1) = split_part(key, '/', 3) AS own FROM n WHERE node_type IN ('section', 'subsection', 'article') AND number IS NOT NULL AND split_part(key, '/', 2) IN ('a', 'b', 'c')")
 def part_guard(spark: SparkSession, d: str) -> DataFrame:
-    """Articles whose number doesn't begin with the number of their part."""
-    n = nodes(spark, d).where("node_type = 'article' and number is not null")
+    """Whether the number of a head begins with the number of its part; one that doesn't is text, no head."""
+    n = nodes(spark, d).where("node_type in ('section', 'subsection', 'article') and number is not null")
     step = lambda i: F.split_part("key", F.lit("/"), F.lit(i))
-    return n.where(step(2).isin("a", "b", "c") & (F.split_part("number", F.lit("."), F.lit(1)) != step(3))).select("key", "number")
+    return n.where(step(2).isin("a", "b", "c")).select("key", "number", (F.split_part("number", F.lit("."), F.lit(1)) == step(3)).alias("own"))
 
 
 @query(f"SELECT {key_sql('dst')} AS dst, count(*) AS n, epoch_us(min(seen_at)) AS first_us, epoch_us(max(seen_at)) AS last_us FROM (SELECT DISTINCT ref_id, dst, seen_at FROM ref) GROUP BY 1")

@@ -73,7 +73,7 @@ def test_tools(spark, data):
     assert api.call(spark, data, "neighbors", anchor=article).where("rel = 'parent'").count() == 1
     hits = api.call(spark, data, "search", query="fire separation of the floor assembly", limit=5, mode="nodes").collect()
     assert [h["rank"] for h in hits] == list(range(1, len(hits) + 1))
-    assert api.call(spark, data, "capabilities").count() == 5 and api.call(spark, data, "what_cites", anchor="nowhere").count() == 0
+    assert api.call(spark, data, "capabilities").count() == 7 and api.call(spark, data, "what_cites", anchor="nowhere").count() == 0
     with pytest.raises(KeyError):
         api.call(spark, data, "nothing")
 
