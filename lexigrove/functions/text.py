@@ -56,6 +56,36 @@ def html_escape(c: str) -> Column:
     return out
 
 
+@F.pandas_udf(StringType())
+def html_unescape(text: pd.Series) -> pd.Series:
+    """text with named and numbered entities resolved."""
+    return text.map(lambda t: None if t is None else html.unescape(t))
+
+
+def repaired_designator(c: str) -> Column:
+    """A designator without its last full stop, with point and hyphen before its suffix in the right order: 4.1.7.6-.G and 4.1.7.6..-G as 4.1.7.6.-G."""
+    plain = F.rtrim(F.trim(c), F.lit("."))
+    return F.regexp_replace(F.regexp_replace(plain, "([0-9])-[.]([A-Za-z0-9/]+)$", "$1.-$2"), "([0-9])[.][.]-([A-Za-z0-9/]+)$", "$1.-$2")
+
+
+def links(c: str) -> Column:
+    """The links and addresses in a text, without punctuation at their end and with the scheme they lack."""
+    hits = F.regexp_extract_all(c, F.lit(r"(?:https?://|www[.])[^\s<>\"]+|[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:[.][A-Za-z0-9-]+)+"), F.lit(0))
+
+    def whole(x: Column) -> Column:
+        bare = F.rtrim(x, F.lit(".,;:)"))
+        return F.when(bare.contains("@") & ~bare.contains("/"), F.concat(F.lit("mailto:"), bare)).when(bare.startswith("www."), F.concat(F.lit("https://"), bare)).otherwise(bare)
+
+    return F.transform(hits, whole)
+
+
+def weeks(c: str) -> Column:
+    """A printed effort in weeks: the figures of its first word, 1 without any; five days to a week."""
+    low = F.lower(c)
+    figure = F.regexp_replace(F.split_part(low, F.lit(" "), F.lit(1)), "[^0-9.]", "")
+    return F.coalesce(F.nullif(figure, F.lit("")).try_cast("double"), F.lit(1.0)) / F.when(low.contains("day"), 5).otherwise(1)
+
+
 def singulars(c: str) -> Column:
     """Possible singulars of a term, of its last word; not the term itself. A stem keeps at least three letters."""
 

@@ -13,7 +13,7 @@ from lexigrove.operators import graph as op
 from lexigrove.plans.aggregates import table_text
 from lexigrove.plans.graph import OWNED, owned_tables
 from lexigrove.plans.registry import Registry
-from lexigrove.plans.views import C, D, E, G, N, WS, cells, definitions, edges, key_sql, links, nodes, sql
+from lexigrove.plans.views import C, D, E, G, N, WS, definitions, edges, key_sql, links, nodes, sql
 
 R = Registry()
 query = R.query

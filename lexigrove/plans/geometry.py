@@ -13,13 +13,13 @@ from lexigrove.sources.tables import table
 R = Registry()
 query = R.query
 
-B = "b AS (SELECT rid, key, volume, page, node_type, heading, up, x0, y0, x1, y1 FROM n WHERE x0 IS NOT NULL)"
+B = "b AS (SELECT rid, key, volume, page, node_type, designator, heading, up, x0, y0, x1, y1 FROM n WHERE x0 IS NOT NULL)"
 OVER = "greatest(least(a.x1, b.x1) - greatest(a.x0, b.x0), 0) * greatest(least(a.y1, b.y1) - greatest(a.y0, b.y0), 0)"
 AREA = "(({0}.x1 - {0}.x0) * ({0}.y1 - {0}.y0))"
 
 
 def boxes(spark: SparkSession, d: str) -> DataFrame:
-    return nodes(spark, d).where("x0 is not null").select("rid", "key", "volume", "page", "node_type", "heading", "up", "x0", "y0", "x1", "y1")
+    return nodes(spark, d).where("x0 is not null").select("rid", "key", "volume", "page", "node_type", "designator", "heading", "up", "x0", "y0", "x1", "y1")
 
 
 @query(sql(N, B) + f"SELECT a.rid AS a, b.rid AS b FROM b a JOIN b ON a.volume = b.volume AND a.page = b.page AND a.rid < b.rid WHERE {OVER} > 0 AND {OVER} >= 0.55 * least({AREA.format('a')}, {AREA.format('b')})")
@@ -153,24 +153,39 @@ def region_classify(spark: SparkSession, d: str) -> DataFrame:
     return x.select("rid", F.when(F.col("y1") < 80, "header").when(F.col("y0") > 700, "footer").when((F.col("node_type") == "table") | F.col("inside"), "table").otherwise("body").alias("region"))
 
 
-@query(sql(N) + "SELECT volume, page, count(*) FILTER (WHERE node_type LIKE 'index%') AS entries, count(*) AS n FROM n GROUP BY 1, 2 HAVING count(*) FILTER (WHERE node_type LIKE 'index%') >= 2 AND count(*) >= 10 OR count(*) >= 15")
+@query(sql(N) + """, l AS (SELECT volume, page, regexp_matches(coalesce(heading, body, ''), '[.]{4,}') AS leader, node_type LIKE 'index%' AS narrow FROM n)
+SELECT volume, page, count(*) FILTER (WHERE leader) AS leaders, count(*) FILTER (WHERE narrow) AS narrow, count(*) AS n, count(*) FILTER (WHERE leader) >= 2 AND count(*) FILTER (WHERE narrow) >= 10 AS contents, count(*) FILTER (WHERE narrow) >= 10 OR count(*) >= 15 AS guarded FROM l GROUP BY 1, 2""")
 def contents_pages(spark: SparkSession, d: str) -> DataFrame:
-    """Pages that list entries: some entries on a full page, or a very full page."""
-    return nodes(spark, d).groupBy("volume", "page").agg(F.count_if(F.col("node_type").like("index%")).alias("entries"), F.count("*").alias("n")).where("entries >= 2 and n >= 10 or n >= 15")
+    """Pages with their dot leaders and entries in the narrow print of lists: contents with two leaders and ten entries; the guard takes ten entries, or fifteen lines of any kind."""
+    leader = F.coalesce("heading", "body", F.lit("")).rlike("[.]{4,}")
+    k = nodes(spark, d).groupBy("volume", "page").agg(F.count_if(leader).alias("leaders"), F.count_if(F.col("node_type").like("index%")).alias("narrow"), F.count("*").alias("n"))
+    return k.withColumns({"contents": F.expr("leaders >= 2 and narrow >= 10"), "guarded": F.expr("narrow >= 10 or n >= 15")})
 
 
-@query(sql(N, B) + "SELECT rid, (y1 - y0 <= 12 AND x1 - x0 > y1 - y0) OR (x1 - x0 <= 12 AND y1 - y0 > x1 - x0) AS thin, y1 - y0 <= 12 AND x1 - x0 > y1 - y0 AS horizontal FROM b")
+@query(sql(N, B) + "SELECT rid, (y1 - y0 <= 3 AND x1 - x0 > y1 - y0) OR (x1 - x0 <= 3 AND y1 - y0 > x1 - x0) AS thin, y1 - y0 <= 3 AND x1 - x0 > y1 - y0 AS horizontal FROM b")
 def thin_rules(spark: SparkSession, d: str) -> DataFrame:
+    """Whether a box is a rule: at most three points in one direction, and longer in the other."""
     w, h = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
-    flat = (h <= 12) & (w > h)
-    return boxes(spark, d).select("rid", (flat | ((w <= 12) & (h > w))).alias("thin"), flat.alias("horizontal"))
+    flat = (h <= 3) & (w > h)
+    return boxes(spark, d).select("rid", (flat | ((w <= 3) & (h > w))).alias("thin"), flat.alias("horizontal"))
 
 
-@query(sql(N, B) + "SELECT rid, CASE WHEN (x1 - x0) * (y1 - y0) < 1000 THEN 'micro' WHEN node_type = 'table' THEN 'table_graphic' WHEN y1 - y0 > 45 THEN 'figure' WHEN page <= 20 THEN 'front' ELSE 'inline' END AS role FROM b")
+#: Pages at the front whose images are no part of the text.
+FRONT_PAGES = 20
+MICRO = "(x1 - x0 <= 16 AND y1 - y0 <= 16) OR x1 - x0 <= 2 OR y1 - y0 <= 2"
+
+
+@query(sql(N, B) + f"""SELECT a.rid, CASE WHEN {MICRO.replace("x", "a.x").replace("y", "a.y")} THEN 'micro' WHEN bool_or(b.rid IS NOT NULL AND {OVER} >= 0.55 * {AREA.format('a')}) THEN 'table_cell_graphic' WHEN rtrim(trim(coalesce(a.designator, '')), '.') <> '' THEN 'formal_figure' WHEN a.page <= {FRONT_PAGES} THEN 'front_matter' ELSE 'inline_equation' END AS role
+FROM b a LEFT JOIN b ON b.volume = a.volume AND b.page = a.page AND b.node_type = 'table' AND b.rid <> a.rid GROUP BY a.rid, a.x0, a.x1, a.y0, a.y1, a.designator, a.page""")
 def raster_roles(spark: SparkSession, d: str) -> DataFrame:
-    """Role of each box as if it were an image: the first rule that holds."""
-    w, h = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
-    return boxes(spark, d).select("rid", F.when(w * h < 1000, "micro").when(F.col("node_type") == "table", "table_graphic").when(h > 45, "figure").when(F.col("page") <= 20, "front").otherwise("inline").alias("role"))
+    """Role of each box as if it were an image, the first rule that holds: a fragment, for more than half inside a table, with a designator, at the front, else inline."""
+    b = boxes(spark, d)
+    t = b.where("node_type = 'table'").select("volume", "page", "rid", "x0", "y0", "x1", "y1").alias("b")
+    x = b.alias("a").join(t, (F.col("a.volume") == F.col("b.volume")) & (F.col("a.page") == F.col("b.page")) & (F.col("a.rid") != F.col("b.rid")), "left")
+    inside = F.coalesce(F.bool_or(F.col("b.rid").isNotNull() & (op.overlap_area("a", "b") >= 0.55 * op.area("a"))), F.lit(False))
+    x = x.groupBy(*(F.col(f"a.{c}").alias(c) for c in ("rid", "x0", "x1", "y0", "y1", "designator", "page"))).agg(inside.alias("inside"))
+    named = F.rtrim(F.trim(F.coalesce("designator", F.lit(""))), F.lit(".")) != ""
+    return x.select("rid", F.when(F.expr(MICRO), "micro").when(F.col("inside"), "table_cell_graphic").when(named, "formal_figure").when(F.col("page") <= FRONT_PAGES, "front_matter").otherwise("inline_equation").alias("role"))
 
 
 @query("SELECT out, count(*) AS n FROM (SELECT ((l_orderkey % 256) * (l_partkey % 256) + 255 * (255 - l_partkey % 256) + 127) // 255 AS out FROM lineitem) GROUP BY 1")
@@ -191,9 +206,17 @@ def rect_buckets(spark: SparkSession, d: str) -> DataFrame:
     return op.grid(boxes(spark, d)).groupBy("bx", F.col("by").alias("by_")).agg(F.count("*").alias("n"))
 
 
-@query(sql(N, B) + "SELECT rid, CAST(least(2, greatest(0, round_even((x0 - 36) / 10.8, 0))) AS INTEGER) AS level FROM b")
+@query(sql(N, B) + """, xs AS (SELECT volume, page, list_sort(list(DISTINCT round(x0, 1))) AS xs FROM b GROUP BY 1, 2),
+cs AS (SELECT volume, page, list_reduce(list_transform(xs, lambda x: [x]), lambda a, x: CASE WHEN x[1] - a[-1] > 100 THEN list_concat(a, x) ELSE a END) AS cols FROM xs)
+SELECT rid, base, CAST(least(2, greatest(0, round_even((x0 - base) / 10.8, 0))) AS INTEGER) AS level FROM (SELECT b.rid, b.x0, coalesce(list_max(list_filter(cols, lambda c: c <= b.x0 + 2)), cols[1]) AS base FROM b JOIN cs USING (volume, page))""")
 def indent_level(spark: SparkSession, d: str) -> DataFrame:
-    return boxes(spark, d).select("rid", F.least(F.lit(2), F.greatest(F.lit(0), F.bround((F.col("x0") - 36) / 10.8).cast("int"))).alias("level"))
+    """The level of each box by its indent from the nearest column base at or left of it; a page's columns begin more than 100 points apart."""
+    b = boxes(spark, d)
+    xs = b.groupBy("volume", "page").agg(F.array_sort(F.collect_set(F.round("x0", 1))).alias("xs"))
+    cols = F.aggregate(F.slice("xs", 2, 1_000_000), F.slice("xs", 1, 1), lambda a, x: F.when(x - F.element_at(a, -1) > 100, F.concat(a, F.array(x))).otherwise(a))
+    x = b.join(xs.select("volume", "page", cols.alias("cols")), ["volume", "page"])
+    base = F.coalesce(F.array_max(F.filter("cols", lambda c: c <= F.col("x0") + 2)), F.get("cols", F.lit(0)))
+    return x.withColumn("base", base).select("rid", "base", F.least(F.lit(2), F.greatest(F.lit(0), F.bround((F.col("x0") - F.col("base")) / 10.8).cast("int"))).alias("level"))
 
 
 @query(sql(N, B) + """, e AS (SELECT * FROM b WHERE node_type IN ('index_entry', 'index_subentry')), s AS (SELECT *, CASE WHEN y0 - lag(y0) OVER (PARTITION BY volume, page ORDER BY y0, rid) < 14 THEN 0 ELSE 1 END AS new FROM e),

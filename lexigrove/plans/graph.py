@@ -7,10 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lexigrove.functions.ids import id_key
 from lexigrove.operators import graph as op
 from lexigrove.operators.hierarchy import closure_pairs, hierarchy
-from lexigrove.plans.aggregates import table_text
 from lexigrove.plans.registry import Registry
 from lexigrove.plans.views import C, D, E, G, N, cells, definitions, edges, key_sql, links, nodes, sql
 from lexigrove.session import exists

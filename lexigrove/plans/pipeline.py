@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lexigrove.functions.text import html_escape
 from lexigrove.functions.text import permalink as permalink_of
 from lexigrove.operators import walks
 from lexigrove.operators.windows import carry_forward
@@ -73,22 +72,39 @@ def master_toc(spark: SparkSession, d: str) -> DataFrame:
     return n.select("key", "page", carry_forward(F.when(F.col("node_type") == "division", F.col("key")), ["volume"], ["rid"]).alias("division"))
 
 
-@query(sql(N, E, D) + """SELECT s.volume, s.page, e.dst AS target, 'ref' AS why, s.key AS src FROM e JOIN n s ON s.key = e.src WHERE e.dst IN (SELECT key FROM n) AND coalesce(e.kind, '') <> 'term' AND e.chunk NOT LIKE 'g%'
-UNION ALL SELECT s.volume, s.page, e.dst, 'cell', s.key FROM e JOIN n s ON s.key = e.src WHERE e.dst IN (SELECT key FROM n) AND coalesce(e.kind, '') <> 'term' AND e.chunk LIKE 'g%'
+MARK = r"O[.] Reg[.] [0-9]+/[0-9]+"
+URI = "(?:https?://|www[.])[^\\s<>\"]+|[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:[.][A-Za-z0-9-]+)+"
+
+
+@query(sql(N, E, D, f"mk AS (SELECT DISTINCT volume, page, rid, key, unnest(regexp_extract_all(body, '{MARK}')) AS mark FROM n WHERE body LIKE '%O. Reg.%'), lg AS (SELECT volume, mark, arg_min(key, rid) AS target FROM mk GROUP BY 1, 2)",
+  "mt AS (SELECT volume, page, key, last_value(CASE WHEN node_type = 'division' THEN key END IGNORE NULLS) OVER (PARTITION BY volume ORDER BY rid ROWS UNBOUNDED PRECEDING) AS division FROM n WHERE node_type IN ('division', 'part', 'section'))")
+ + f"""SELECT s.volume, s.page, e.dst AS target, CASE WHEN e.chunk LIKE 'g%' THEN 'cell' WHEN e.chunk = 'h' THEN 'heading' ELSE 'ref' END AS why, s.key AS src FROM e JOIN n s ON s.key = e.src WHERE e.dst IN (SELECT key FROM n) AND coalesce(e.kind, '') <> 'term' AND e.chunk IS NOT NULL
 UNION ALL SELECT s.volume, s.page, e.dst, 'term', s.key FROM e JOIN n s ON s.key = e.src WHERE e.kind = 'term' AND e.dst IN (SELECT key FROM d)
-UNION ALL SELECT k.volume, k.page, p.key, 'toc', k.key FROM n k JOIN n p ON p.key = k.up WHERE k.node_type IN ('index_entry', 'index_subentry', 'section')""")
+UNION ALL SELECT k.volume, k.page, p.key, 'toc', k.key FROM n k JOIN n p ON p.key = k.up WHERE k.node_type IN ('index_entry', 'index_subentry', 'section')
+UNION ALL SELECT mk.volume, mk.page, lg.target, 'amendment', mk.key FROM mk JOIN lg ON lg.volume = mk.volume AND lg.mark = mk.mark WHERE lg.target <> mk.key
+UNION ALL SELECT volume, page, key, 'master', division FROM mt WHERE division IS NOT NULL AND division <> key
+UNION ALL SELECT volume, page, rtrim(unnest(regexp_extract_all(body, '{URI}')), '.,;:)'), 'uri', key FROM n WHERE body IS NOT NULL""")
 def links_all(spark: SparkSession, d: str) -> DataFrame:
-    """Link records of all origins: references in text and cells, terms, contents."""
+    """Link records of all origins: references in bodies, headings and cells, terms, contents, amendments (to the first place that names the regulation), the master contents, addresses."""
     n = nodes(spark, d)
     at = n.select(F.col("key").alias("src"), "volume", "page")
     e = edges(spark, d).join(at, "src").withColumn("target", F.col("dst"))
     keys = n.select(F.col("key").alias("dst"))
     other = e.where("coalesce(kind, '') <> 'term'").join(keys, "dst", "left_semi").where("chunk is not null")
-    cell = F.col("chunk").startswith("g")
+    origin = F.when(F.col("chunk").startswith("g"), "cell").when(F.col("chunk") == "h", "heading").otherwise("ref")
     terms = e.where("kind = 'term'").join(definitions(spark, d).select(F.col("key").alias("dst")), "dst", "left_semi")
     toc = n.where("node_type in ('index_entry', 'index_subentry', 'section')").join(n.select(F.col("key").alias("target")), F.col("up") == F.col("target"))
-    out = lambda df, why: df.select("volume", "page", "target", F.lit(why).alias("why") if isinstance(why, str) else why.alias("why"), "src")
-    return out(other, F.when(cell, "cell").otherwise("ref")).unionByName(out(terms, "term")).unionByName(out(toc.withColumn("src", F.col("key")), "toc"))
+    marks = n.where(F.col("body").contains("O. Reg.")).select("volume", "page", "rid", F.col("key").alias("src"), F.explode(F.regexp_extract_all("body", F.lit(MARK), F.lit(0))).alias("mark")).distinct()
+    legend = marks.groupBy("volume", "mark").agg(F.min_by("src", "rid").alias("target"))
+    amended = marks.join(legend, ["volume", "mark"]).where("target <> src")
+    heads = n.where("node_type in ('division', 'part', 'section')")
+    master = heads.withColumn("src", carry_forward(F.when(F.col("node_type") == "division", F.col("key")), ["volume"], ["rid"])).where("src <> key").withColumn("target", F.col("key"))
+    uris = n.where("body is not null").select("volume", "page", F.col("key").alias("src"), F.explode(F.regexp_extract_all("body", F.lit(URI), F.lit(0))).alias("hit")).withColumn("target", F.rtrim("hit", F.lit(".,;:)")))
+    found = None
+    for rows, why in ((other, origin), (terms, F.lit("term")), (toc.withColumn("src", F.col("key")), F.lit("toc")), (amended, F.lit("amendment")), (master, F.lit("master")), (uris, F.lit("uri"))):
+        one = rows.select("volume", "page", "target", why.alias("why"), "src")
+        found = one if found is None else found.unionByName(one)
+    return found
 
 
 @query(sql(N, E) + "SELECT e.ref_id, CASE WHEN t.key IS NULL THEN 'none' WHEN t.volume = s.volume THEN 'same' ELSE 'remote' END AS route FROM e JOIN n s ON s.key = e.src LEFT JOIN n t ON t.key = e.dst")
@@ -99,34 +115,64 @@ def links_crossvol(spark: SparkSession, d: str) -> DataFrame:
     return e.select("ref_id", F.when(F.col("tv").isNull(), "none").when(F.col("tv") == F.col("sv"), "same").otherwise("remote").alias("route"))
 
 
-ROOT = "split_part(id, '/', 1) || '-' || split_part(id, '/', 2)"
+# One page a part of a division, an act, an appendix and so on.
+ROOT = "CASE WHEN split_part(key, '/', 2) IN ('a', 'b', 'c') AND split_part(key, '/', 3) <> '' THEN concat_ws('-', split_part(key, '/', 1), split_part(key, '/', 2), split_part(key, '/', 3)) ELSE concat_ws('-', split_part(key, '/', 1), split_part(key, '/', 2)) END"
+LEVEL = "least(6, greatest(1, length(key) - length(replace(key, '/', ''))))"
+FRONT = "concat('id: ', key, chr(10), 'title: ', coalesce(nullif(heading, ''), key), chr(10), 'volume: ', coalesce(volume, 0), chr(10), 'page: ', coalesce(page, 0))"
+BLOCK = "CASE WHEN coalesce(heading, '') <> '' THEN concat(repeat('#', level), ' ', coalesce(nullif(designator, '') || ' ', ''), heading, CASE WHEN coalesce(body, '') <> '' THEN concat(chr(10), body) ELSE '' END) ELSE concat('- ', coalesce(nullif(designator, '') || ' ', ''), coalesce(body, '')) END"
+PAGES = f"""pg AS (SELECT *, {ROOT} AS root, CAST({LEVEL} AS INTEGER) AS level FROM n),
+fr AS (SELECT root, count(*) AS nodes, arg_min({FRONT}, (rid, key)) AS front, arg_min(coalesce(nullif(heading, ''), key), (rid, key)) AS title FROM pg GROUP BY 1)"""
+
+
+def _pages(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(nodes with the root of their page and their level, one row a page with its front matter, title and number of nodes)."""
+    pages = nodes(spark, d).withColumns({"root": F.expr(ROOT), "level": F.expr(LEVEL).cast("int")})
+    first = F.struct("rid", "key")
+    return pages, pages.groupBy("root").agg(F.count("*").alias("nodes"), F.min_by(F.expr(FRONT), first).alias("front"), F.min_by(F.coalesce(F.nullif("heading", F.lit("")), "key"), first).alias("title"))
 
 
-def _root() -> Column:
-    return F.concat_ws("-", F.split_part("id", F.lit("/"), F.lit(1)), F.split_part("id", F.lit("/"), F.lit(2)))
+def _written(spark: SparkSession, lines: DataFrame, name: str) -> DataFrame:
+    """(root, line): pages of lines (root, zone, ord, line) written a folder a page, as read back."""
+    folder = scratch(spark, name)
+    sinks.write_pages(lines, folder, "root", ["zone", "ord"], "line")
+    return spark.read.schema("value string, root string").option("lineSep", "\n").text(folder).select("root", F.col("value").alias("line"))
 
 
-@query(sql(N) + f"""SELECT {ROOT} AS root, rid, CASE WHEN node_type IN ('division', 'act', 'appendix', 'index') THEN '# ' || coalesce(heading, id) WHEN node_type = 'part' THEN '## ' || coalesce(heading, id) WHEN heading IS NOT NULL AND heading <> '' THEN '### ' || coalesce(designator || ' ', '') || heading ELSE coalesce(designator || ' ', '') || coalesce(body, '') END AS line FROM n""")
+@query(sql(N, PAGES) + f"SELECT root, unnest(string_split(line, chr(10))) AS line FROM (SELECT root, concat('---', chr(10), front, chr(10), 'nodes: ', nodes, chr(10), '---') AS line FROM fr UNION ALL SELECT root, {BLOCK} FROM pg)")
 def emit_markdown(spark: SparkSession, d: str) -> DataFrame:
-    """The lines of the Markdown page of each root; `sinks.write_pages` writes them, a folder a root."""
-    mark = F.coalesce(F.concat("designator", F.lit(" ")), F.lit(""))
-    line = (
-        F.when(F.col("node_type").isin("division", "act", "appendix", "index"), F.concat(F.lit("# "), F.coalesce("heading", "id")))
-        .when(F.col("node_type") == "part", F.concat(F.lit("## "), F.coalesce("heading", "id")))
-        .when(F.col("heading") != "", F.concat(F.lit("### "), mark, "heading"))
-        .otherwise(F.concat(mark, F.coalesce("body", F.lit(""))))
-    )
-    return nodes(spark, d).select(_root().alias("root"), "rid", line.alias("line"))
+    """A Markdown page with front matter for each part, act, appendix and index, written and read back; its order is that of zone and place."""
+    pages, front = _pages(spark, d)
+    head = front.select("root", F.lit(0).alias("zone"), F.lit(0).cast("bigint").alias("ord"), F.concat(F.lit("---\n"), "front", F.lit("\nnodes: "), F.col("nodes").cast("string"), F.lit("\n---")).alias("line"))
+    return _written(spark, head.unionByName(pages.select("root", F.lit(1).alias("zone"), F.col("rid").alias("ord"), F.expr(BLOCK).alias("line"))), "markdown")
 
 
-ESC = "replace(replace(replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;')"
+ESC = "replace(replace(replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), chr(39), '&#x27;')"
+ANCHOR = "replace(key, '/', '__')"
+SECTION = f"""concat('<section id="', {ANCHOR}, '">', CASE WHEN coalesce(heading, '') <> '' THEN concat('<h', level, '>', {ESC.format("concat_ws(' ', nullif(designator, ''), heading)")}, '</h', level, '>') ELSE '' END, CASE WHEN coalesce(body, '') <> '' THEN concat('<p>', {ESC.format("body")}, '</p>') ELSE '' END, '</section>')"""
+ENTRY = f"""concat('<li><a href="#', {ANCHOR}, '">', {ESC.format("concat_ws(' ', nullif(designator, ''), heading)")}, '</a></li>')"""
+NAV = "coalesce(heading, '') <> '' AND node_type IN ('part', 'section', 'subsection', 'act_section', 'note', 'index_entry')"
+HTML_HEAD = f"concat('<!doctype html><html lang=\"en\"><head><meta charset=\"utf-8\"><title>', {ESC.format('title')}, '</title></head><body><a href=\"index.html\">Contents</a>')"
+ITEM = f"concat('<li><a href=\"', root, '.html\">', {ESC.format('title')}, '</a> ', nodes, '</li>')"
 
 
-@query(sql(N) + f"""SELECT {ROOT} AS root, rid, CASE WHEN heading IS NOT NULL AND heading <> '' THEN '<h3>' || {ESC.format('heading')} || '</h3>' ELSE '' END || CASE WHEN body IS NOT NULL THEN '<p>' || {ESC.format('body')} || '</p>' ELSE '' END AS line FROM n""")
+@query(sql(N, PAGES) + f"""SELECT root, unnest(string_split(line, chr(10))) AS line FROM (SELECT root, {HTML_HEAD} AS line FROM fr UNION ALL SELECT root, '<nav><ul>' FROM fr UNION ALL SELECT root, {ENTRY} FROM pg WHERE {NAV} UNION ALL SELECT root, '</ul></nav><main>' FROM fr UNION ALL SELECT root, {SECTION} FROM pg UNION ALL SELECT root, '</main></body></html>' FROM fr
+ UNION ALL SELECT 'index', '<!doctype html><html lang="en"><body><main><ul>' UNION ALL SELECT 'index', {ITEM} FROM fr UNION ALL SELECT 'index', '</ul></main></body></html>')""")
 def emit_html(spark: SparkSession, d: str) -> DataFrame:
-    head = F.when(F.col("heading") != "", F.concat(F.lit("<h3>"), html_escape("heading"), F.lit("</h3>"))).otherwise("")
-    body = F.when(F.col("body").isNotNull(), F.concat(F.lit("<p>"), html_escape("body"), F.lit("</p>"))).otherwise("")
-    return nodes(spark, d).select(_root().alias("root"), "rid", F.concat(head, body).alias("line"))
+    """An HTML page for each of the same roots with a list of its headings and a section a node, and an index page of all; written and read back."""
+    pages, front = _pages(spark, d)
+
+    def part(rows: DataFrame, zone: int, line: str, order: str = "cast(0 as bigint)") -> DataFrame:
+        return rows.select("root", F.lit(zone).alias("zone"), F.expr(order).alias("ord"), F.expr(line).alias("line"))
+
+    whole = spark.range(1).select(F.lit("index").alias("root"))
+    parts = [
+        part(front, 0, HTML_HEAD), part(front, 1, "'<nav><ul>'"), part(pages.where(NAV), 2, ENTRY, "rid"), part(front, 3, "'</ul></nav><main>'"), part(pages, 4, SECTION, "rid"), part(front, 5, "'</main></body></html>'"),
+        part(whole, 0, "'<!doctype html><html lang=\"en\"><body><main><ul>'"), part(front.withColumn("line", F.expr(ITEM)).withColumn("root", F.lit("index")), 1, "line"), part(whole, 2, "'</ul></main></body></html>'"),
+    ]
+    lines = parts[0]
+    for p in parts[1:]:
+        lines = lines.unionByName(p)
+    return _written(spark, lines, "html")
 
 
 @query(sql(N, E, G, D) + "SELECT 'node' AS name, count(*) AS rows FROM n UNION ALL SELECT 'ref', count(*) FROM e UNION ALL SELECT 'cell', count(*) FROM g UNION ALL SELECT 'definition', count(*) FROM d")

@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 
 from lexigrove.functions import text as T
 from lexigrove.functions.ids import id_key, trimmed
-from lexigrove.functions.rules import MODALITY, MODALITY_RENDERED, ROLES, first_match, first_match_sql
+from lexigrove.functions.rules import LINE_ROLE_SQL, MODALITY, MODALITY_RENDERED, first_match, first_match_sql, line_role
 from lexigrove.plans.graph import OWNED, owned_tables
 from lexigrove.plans.registry import Registry
 from lexigrove.plans.views import C, D, E, G, N, WS, cells, definitions, edges, key_sql, links, nodes, sql
-from lexigrove.plans.windows import LINES, lines
 from lexigrove.sources.tables import table
 
 R = Registry()
@@ -29,10 +28,18 @@ def modality_render(spark: SparkSession, d: str) -> DataFrame:
     return nodes(spark, d).where("body is not null").groupBy(F.coalesce("modality", F.lit("none")).alias("stored"), first_match(F.col("body"), MODALITY_RENDERED, "statement").alias("rendered")).agg(F.count("*").alias("n"))
 
 
-@query(sql(LINES) + f"SELECT doc_id, {first_match_sql('t', ROLES, 'text', chr(39) + 'c' + chr(39))} AS role, count(*) AS n FROM l GROUP BY 1, 2")
+# Lines as printed: a heading is in black, the head of a section of an act in bold Times, all else plain.
+PRINTED = f"""pl AS (SELECT key, CASE WHEN node_type = 'act_section' THEN 'Times-Bold' WHEN coalesce(heading, '') <> '' THEN 'Arial-Black' ELSE 'Times' END AS font, coalesce(x0, 0) AS x, concat_ws(' ', nullif(designator, ''), coalesce(nullif(heading, ''), nullif(body, ''))) AS t FROM n)"""
+
+
+@query(sql(N, PRINTED) + f"SELECT key, {LINE_ROLE_SQL} AS role FROM pl")
 def role_classify(spark: SparkSession, d: str) -> DataFrame:
-    """Lines per document and structural role."""
-    return lines(spark, d).groupBy("doc_id", first_match(F.col("t"), ROLES, "text", "").alias("role")).agg(F.count("*").alias("n"))
+    """The role of each line by font, place and text: one of nine, by the first rule that holds."""
+    font = F.when(F.col("node_type") == "act_section", "Times-Bold").when(F.coalesce("heading", F.lit("")) != "", "Arial-Black").otherwise("Times")
+    blank = F.lit("")
+    text = F.concat_ws(" ", F.nullif("designator", blank), F.coalesce(F.nullif("heading", blank), F.nullif("body", blank)))
+    printed = nodes(spark, d).select("key", font.alias("font"), F.coalesce("x0", F.lit(0.0)).alias("x"), text.alias("t"))
+    return printed.select("key", line_role(F.col("font"), F.col("x"), F.col("t")).alias("role"))
 
 
 @query(sql(N) + "SELECT key, upper(regexp_replace(designator, '[-.\\s]', '', 'g')) AS norm FROM n WHERE designator IS NOT NULL")
@@ -40,11 +47,11 @@ def normdes(spark: SparkSession, d: str) -> DataFrame:
     return nodes(spark, d).where("designator is not null").select("key", T.normdes("designator").alias("norm"))
 
 
-@query(sql(N) + "SELECT key, regexp_replace(regexp_replace(number || '-.G', '-[.]', '.-'), '[.]+-', '.-') AS repaired FROM n WHERE number IS NOT NULL AND node_type = 'table'")
+@query(sql(E) + """SELECT ref_id, printed, regexp_replace(regexp_replace(rtrim(trim(printed), '.'), '([0-9])-[.]([A-Za-z0-9/]+)$', '\\1.-\\2'), '([0-9])[.][.]-([A-Za-z0-9/]+)$', '\\1.-\\2') AS repaired FROM (SELECT ref_id, regexp_replace(text, '^(Table|Figure) ', '') AS printed FROM e WHERE kind = 'cap_ref' AND text IS NOT NULL)""")
 def figure_designator(spark: SparkSession, d: str) -> DataFrame:
-    """A designator whose point and hyphen were printed in the wrong order, repaired."""
-    broken = F.concat("number", F.lit("-.G"))
-    return nodes(spark, d).where("number is not null and node_type = 'table'").select("key", F.regexp_replace(F.regexp_replace(broken, "-[.]", ".-"), "[.]+-", ".-").alias("repaired"))
+    """The designators of captions without their last full stop, point and hyphen in the right order."""
+    printed = edges(spark, d).where("kind = 'cap_ref' and text is not null").select("ref_id", F.regexp_replace("text", "^(Table|Figure) ", "").alias("printed"))
+    return printed.select("ref_id", "printed", T.repaired_designator("printed").alias("repaired"))
 
 
 CANON_SQL = "trim(regexp_replace(" + "replace(" * len(T.PRINT_FORMS) + "nfc_normalize({})" + "".join(f", chr({ord(k)}), '{v if v != chr(39) else chr(39) * 2}')" for k, v in T.PRINT_FORMS.items()) + ", '[ \\n\\r\\t\\x0b\\x0c]+', ' ', 'g'))"
@@ -137,16 +144,28 @@ def permalink_unique(spark: SparkSession, d: str) -> DataFrame:
     return nodes(spark, d).groupBy("permalink").agg(F.countDistinct("id").alias("ids")).where("ids > 1")
 
 
-@query("SELECT text, replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;') AS escaped FROM (SELECT DISTINCT text FROM cell WHERE text IS NOT NULL)")
+ESCAPED = "replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), chr(39), '&#x27;')"
+UNESCAPED = "replace(replace(replace(replace(replace(replace(replace(replace(text, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#x27;', chr(39)), '&#39;', chr(39)), '&nbsp;', chr(160)), '&deg;', chr(176)), '&amp;', '&')"
+
+
+@query(f"SELECT text, {ESCAPED} AS escaped, {UNESCAPED} AS plain, text AS back FROM (SELECT DISTINCT text FROM cell WHERE text IS NOT NULL)")
 def html_escape(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "cell").where("text is not null").select("text").distinct().withColumn("escaped", T.html_escape("text"))
+    """Texts of cells escaped, with their entities resolved, and escaped and resolved again."""
+    t = table(spark, d, "cell").where("text is not null").select("text").distinct().withColumn("escaped", T.html_escape("text"))
+    return t.select("text", "escaped", T.html_unescape("text").alias("plain"), T.html_unescape("escaped").alias("back"))
 
 
-@query("SELECT doc_id, rtrim(hit, '.,;:)') AS link, CASE WHEN contains(hit, '@') THEN 'mailto' ELSE 'url' END AS kind FROM (SELECT doc_id, unnest(regexp_extract_all(text, 'https?://[^\\s<>\"]+|www[.][^\\s<>\"]+|[A-Za-z0-9._-]+@[A-Za-z0-9-]+[.][A-Za-z.]+')) AS hit FROM documents)")
+LINK = "(?:https?://|www[.])[^\\s<>\"]+|[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:[.][A-Za-z0-9-]+)+"
+
+
+@query(f"""WITH t AS (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL), h AS (SELECT doc_id, rtrim(unnest(regexp_extract_all(text, '{LINK}')), '.,;:)') AS hit FROM t)
+SELECT doc_id, count(*) AS links, min(CASE WHEN contains(hit, '@') AND NOT contains(hit, '/') THEN 'mailto:' || hit WHEN starts_with(hit, 'www.') THEN 'https://' || hit ELSE hit END) AS first FROM h GROUP BY 1 UNION ALL SELECT NULL, count(*), NULL FROM h""")
 def url_links(spark: SparkSession, d: str) -> DataFrame:
-    pattern = "https?://[^\\s<>\"]+|www[.][^\\s<>\"]+|[A-Za-z0-9._-]+@[A-Za-z0-9-]+[.][A-Za-z.]+"
-    x = table(spark, d, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias("hit"))
-    return x.select("doc_id", F.rtrim("hit", F.lit(".,;:)")).alias("link"), F.when(F.col("hit").contains("@"), "mailto").otherwise("url").alias("kind"))
+    """Links and addresses in documents with the scheme they lack, per document, and in all."""
+    t = table(spark, d, "documents").where("text is not null").select("doc_id", "text").distinct()
+    h = t.select("doc_id", F.explode(T.links("text")).alias("link"))
+    per = h.groupBy("doc_id").agg(F.count("*").alias("links"), F.min("link").alias("first"))
+    return per.unionByName(h.agg(F.count("*").alias("links")).select(F.lit(None).cast("bigint").alias("doc_id"), "links", F.lit(None).cast("string").alias("first")))
 
 
 @query(sql(N) + "SELECT key, list_position([" + ", ".join(f"'{r}'" for r in T.ROMAN) + "], number) AS value FROM n WHERE node_type = 'subclause' AND number IS NOT NULL")
@@ -264,13 +283,12 @@ def build_date(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").groupBy(F.date_format(F.timestamp_seconds(seconds), "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("n"))
 
 
-@query("""WITH t AS (SELECT p_partkey, p_size || CASE WHEN p_size % 3 = 0 THEN ' weeks' WHEN p_size % 3 = 1 THEN ' days' ELSE ' months' END AS effort FROM part)
-SELECT p_partkey, effort, round(CAST(regexp_extract(effort, '^([0-9]+)', 1) AS DOUBLE) * CASE WHEN effort LIKE '%day%' THEN 0.2 WHEN effort LIKE '%month%' THEN 4.0 ELSE 1.0 END, 4) AS weeks FROM t""")
+@query("""WITH t AS (SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN p_size || ' weeks' WHEN 1 THEN p_size || ' Days' WHEN 2 THEN p_size || ' weeks+' ELSE 'soon' END AS effort FROM part), f AS (SELECT *, regexp_replace(split_part(lower(effort), ' ', 1), '[^0-9.]', '', 'g') AS n FROM t)
+SELECT p_partkey, effort, round(coalesce(TRY_CAST(nullif(n, '') AS DOUBLE), 1) / CASE WHEN contains(lower(effort), 'day') THEN 5 ELSE 1 END, 4) AS weeks FROM f""")
 def effort_weeks(spark: SparkSession, d: str) -> DataFrame:
-    """Printed spans of time in weeks."""
-    t = table(spark, d, "part").select("p_partkey", F.concat(F.col("p_size").cast("string"), F.when(F.col("p_size") % 3 == 0, " weeks").when(F.col("p_size") % 3 == 1, " days").otherwise(" months")).alias("effort"))
-    unit = F.when(F.col("effort").contains("day"), 0.2).when(F.col("effort").contains("month"), 4.0).otherwise(1.0)
-    return t.select("p_partkey", "effort", F.round(F.regexp_extract("effort", "^([0-9]+)", 1).cast("double") * unit, 4).alias("weeks"))
+    """Printed efforts in weeks: the figures of the first word (1 without any), five days to a week."""
+    effort = F.expr("CASE p_size % 4 WHEN 0 THEN concat(p_size, ' weeks') WHEN 1 THEN concat(p_size, ' Days') WHEN 2 THEN concat(p_size, ' weeks+') ELSE 'soon' END")
+    return table(spark, d, "part").select("p_partkey", effort.alias("effort")).withColumn("weeks", F.round(T.weeks("effort"), 4))
 
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey, CAST(round_even(CAST(l_quantity AS DECIMAL(18, 2)) / 4, 1) AS DOUBLE) AS q FROM lineitem")
@@ -314,20 +332,26 @@ def resolve_caption(spark: SparkSession, d: str) -> DataFrame:
     return q.join(b, ["vol", "des"], "left").groupBy("ref_id").agg(F.min(F.when(F.col("key").isNotNull(), F.struct(own.alias("o"), "key"))).alias("m")).select("ref_id", "m.key")
 
 
-@query(sql(N, E) + """, q AS (SELECT DISTINCT regexp_replace(text, '^Note ', '') AS t FROM e WHERE kind IN ('note', 'supp') AND text IS NOT NULL), b AS (SELECT split_part(id, '/', 2) || CASE WHEN split_part(id, '/', 3) <> '' THEN '/' || split_part(id, '/', 3) ELSE '' END AS s, key FROM n WHERE node_type IN ('note', 'supplementary_standard')),
-x AS (SELECT q.t, 1 AS tier, b.key FROM q JOIN b ON b.s = q.t OR ends_with(b.s, '/' || q.t) UNION ALL SELECT q.t, 2, b.key FROM q JOIN b ON starts_with(split_part(b.s, '/', 2), q.t || '.'))
-SELECT t, min(tier) AS tier, count(*) FILTER (WHERE tier = 1) AS exact_hits, count(*) FILTER (WHERE tier = 2) AS prefix_hits FROM x GROUP BY 1""")
+@query(sql(N, E) + """, b AS (SELECT split_part(id, '/', 1) AS vol, split_part(id, '/', 2) AS name, upper(regexp_replace(split_part(id, '/', 2), '[-.\\s]', '', 'g')) AS norm, key FROM n WHERE node_type = 'supplementary_standard'),
+q AS (SELECT DISTINCT split_part(upper(src), '/', 1) AS vol, text FROM e WHERE kind IN ('supp', 'std') AND text <> '' UNION SELECT vol, left(name, length(name) - 1) FROM b WHERE length(name) > 4 UNION SELECT vol, replace(name, '-', ' ') FROM b),
+h AS (SELECT q.vol, q.text, 1 AS tier, b.key FROM q JOIN b ON b.vol = q.vol AND b.name = q.text UNION ALL SELECT q.vol, q.text, 2, b.key FROM q JOIN b ON b.vol = q.vol AND b.norm = upper(regexp_replace(q.text, '[-.\\s]', '', 'g'))
+ UNION ALL SELECT q.vol, q.text, 3, min(b.key) FROM q JOIN b ON b.vol = q.vol AND starts_with(b.norm, upper(regexp_replace(q.text, '[-.\\s]', '', 'g'))) GROUP BY 1, 2 HAVING count(*) = 1)
+SELECT q.vol, q.text, min(tier) AS tier, arg_min(key, (tier, key)) AS key FROM q LEFT JOIN h USING (vol, text) GROUP BY 1, 2""")
 def resolve_std_prefix(spark: SparkSession, d: str) -> DataFrame:
-    """Notes and standards by name: exact, else by prefix at a point; prefixes of the names are exploded and joined by key."""
-    q = edges(spark, d).where("kind in ('note', 'supp') and text is not null").select(F.regexp_replace("text", "^Note ", "").alias("t")).distinct()
-    step = lambda i: F.split_part("id", F.lit("/"), F.lit(i))
-    b = nodes(spark, d).where("node_type in ('note', 'supplementary_standard')").select("key", step(2).alias("home"), step(3).alias("name"))
-    whole = F.when(F.col("name") != "", F.concat_ws("/", "home", "name")).otherwise(F.col("home"))
-    exact = b.select("key", F.explode(F.array_distinct(F.array(whole, F.when(F.col("name") != "", F.col("name")).otherwise(whole)))).alias("t")).join(q, "t").select("t", F.lit(1).alias("tier"))
-    parts = F.split("name", "[.]")
-    prefixes = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda i: F.array_join(F.slice(parts, F.lit(1), i), "."))
-    by_prefix = b.where("name like '%.%'").select(F.explode(prefixes).alias("t")).join(q, "t").select("t", F.lit(2).alias("tier"))
-    return exact.unionByName(by_prefix).groupBy("t").agg(F.min("tier").alias("tier"), F.count_if(F.col("tier") == 1).alias("exact_hits"), F.count_if(F.col("tier") == 2).alias("prefix_hits"))
+    """Standards by name: as printed, else without points, hyphens and blanks, else by a beginning that only one name has; null when none.
+
+    Asked are all printed references, and each name without its last sign and with blanks for hyphens.
+    """
+    step = lambda c, i: F.split_part(c, F.lit("/"), F.lit(i))
+    b = nodes(spark, d).where("node_type = 'supplementary_standard'").select(step("id", 1).alias("vol"), step("id", 2).alias("name"), "key").withColumn("norm", T.normdes("name"))
+    printed = edges(spark, d).where("kind in ('supp', 'std') and text <> ''").select(step(F.upper("src"), 1).alias("vol"), "text")
+    q = printed.unionByName(b.where("length(name) > 4").select("vol", F.expr("left(name, length(name) - 1)").alias("text"))).unionByName(b.select("vol", F.replace("name", F.lit("-"), F.lit(" ")).alias("text"))).distinct().withColumn("norm", T.normdes("text"))
+    exact = q.join(b.select("vol", F.col("name").alias("text"), "key"), ["vol", "text"]).select("vol", "text", F.lit(1).alias("tier"), "key")
+    same = q.join(b.select("vol", "norm", "key"), ["vol", "norm"]).select("vol", "text", F.lit(2).alias("tier"), "key")
+    starts = b.select("vol", "key", F.explode(F.transform(F.sequence(F.lit(1), F.length("norm")), lambda i: F.substring("norm", F.lit(1), i))).alias("norm"))
+    only = q.join(starts, ["vol", "norm"]).groupBy("vol", "text").agg(F.count("*").alias("n"), F.min("key").alias("key")).where("n = 1").select("vol", "text", F.lit(3).alias("tier"), "key")
+    best = exact.unionByName(same).unionByName(only).groupBy("vol", "text").agg(F.min(F.struct("tier", "key")).alias("m"))
+    return q.select("vol", "text").join(best, ["vol", "text"], "left").select("vol", "text", "m.tier", "m.key")
 
 
 @query(sql(N, E) + """, q AS (SELECT ref_id, split_part(src, '/', 1) AS vol, regexp_extract(text, '^([0-9.]*[0-9])', 1) AS num, regexp_extract(text, '\\(([0-9]+)\\)', 1) AS s, regexp_extract(text, '\\(([a-z])\\)', 1) AS c FROM e WHERE kind = 'code_ref' AND regexp_matches(text, '^[0-9.]*[0-9][.]?\\([0-9]+\\)')),
@@ -346,16 +370,37 @@ def resolve_deepen(spark: SparkSession, d: str) -> DataFrame:
     return x.select("ref_id", F.when(F.col("has_c"), F.col("clause")).when(F.col("has_s"), F.col("sentence")).otherwise(F.col("article")).alias("key"))
 
 
-@query(sql(N, E) + """, q AS (SELECT DISTINCT regexp_replace(text, '^Note A-', '') AS num FROM e WHERE kind = 'note' AND text LIKE 'Note A-%'), b AS (SELECT number, key, rid FROM n WHERE node_type = 'note' AND number IS NOT NULL),
-w AS (SELECT num, unnest(range(1, len(string_split(num, '.')) + 1)) AS k FROM q), h AS (SELECT w.num, k, b.key, b.rid FROM w JOIN b ON b.number = array_to_string(string_split(w.num, '.')[1:k], '.'))
-SELECT q.num, h.k, h.key FROM q LEFT JOIN (SELECT num, max(k) AS k, arg_min(key, (-k, rid)) AS key FROM h GROUP BY 1) h USING (num)""")
+NOTES = """nt AS (SELECT split_part(key, '/', 1) AS vol, key, upper(regexp_replace(substr(key, length(split_part(key, '/', 1)) + length(split_part(key, '/', 2)) + 3), '[-./\\s]', '', 'g')) AS name FROM n WHERE split_part(key, '/', 2) = 'appa' AND split_part(key, '/', 3) <> ''),
+nq AS (SELECT ref_id, split_part(src, '/', 1) AS vol, string_split(regexp_extract(text, 'A-([0-9.]*[0-9])', 1), '.') AS comps, regexp_extract(text, 'A-[0-9.]*[0-9][.]?((?:\\([0-9a-z]+\\))*)', 1) AS tail FROM e WHERE kind = 'note' AND regexp_matches(text, 'A-[0-9]')),
+nk AS (SELECT *, unnest(range(1, len(comps) + 1)) AS k FROM nq), ns AS (SELECT *, 'A' || array_to_string(comps[1:k], '') AS stem, len(comps) - k AS dropped FROM nk)"""
+
+
+@query(sql(N, E, NOTES) + """, h AS (SELECT ns.ref_id, dropped * 4 + 1 AS tier, min(nt.key) AS key FROM ns JOIN nt ON nt.vol = ns.vol AND nt.name = stem || CASE WHEN dropped = 0 THEN upper(tail) ELSE '' END GROUP BY 1, 2
+ UNION ALL SELECT ns.ref_id, dropped * 4 + 2, min(nt.key) FROM ns JOIN nt ON nt.vol = ns.vol AND nt.name = stem GROUP BY 1, 2
+ UNION ALL SELECT ns.ref_id, dropped * 4 + 3, min(nt.key) FROM ns JOIN nt ON nt.vol = ns.vol AND starts_with(nt.name, stem) GROUP BY 1, 2 HAVING count(*) = 1
+ UNION ALL SELECT ns.ref_id, 4, arg_min(nt.key, (length(nt.name), nt.key)) FROM ns JOIN nt ON nt.vol = ns.vol AND starts_with(nt.name, stem) WHERE dropped = 0 GROUP BY 1)
+SELECT nq.ref_id, min(tier) AS tier, arg_min(key, tier) AS key FROM nq LEFT JOIN h USING (ref_id) GROUP BY 1""")
 def resolve_note_backoff(spark: SparkSession, d: str) -> DataFrame:
-    """Note numbers backed off component by component to the longest that exists in any volume."""
-    q = edges(spark, d).where("kind = 'note' and text like 'Note A-%'").select(F.regexp_replace("text", "^Note A-", "").alias("num")).distinct()
-    b = nodes(spark, d).where("node_type = 'note' and number is not null").select("number", "key", "rid")
-    w = q.select("num", F.split("num", "[.]").alias("a")).select("num", F.explode(F.sequence(F.lit(1), F.size("a"))).alias("k"), "a").select("num", "k", F.array_join(F.expr("slice(a, 1, k)"), ".").alias("number"))
-    h = w.join(b, "number").groupBy("num").agg(F.min(F.struct((-F.col("k")).alias("k"), "rid", "key")).alias("m"))
-    return q.join(h, "num", "left").select("num", (-F.col("m.k")).alias("k"), "m.key")
+    """Cited notes to those of the volume's appendix, dropping number components from the end.
+
+    At each length: the name with its tail of brackets, the bare stem, a name that alone begins so, and at full length the shortest that does; the first that is found counts. tier: 4 for each component dropped, plus the way.
+    """
+    vol = lambda c: F.split_part(c, F.lit("/"), F.lit(1))
+    flat = lambda c: F.upper(F.regexp_replace(c, r"[-./\s]", ""))
+    names = nodes(spark, d).where("split_part(key, '/', 2) = 'appa' and split_part(key, '/', 3) <> ''").select(vol("key").alias("vol"), "key", flat(F.expr("substr(key, length(split_part(key, '/', 1)) + length(split_part(key, '/', 2)) + 3)")).alias("name"))
+    q = edges(spark, d).where("kind = 'note' and text rlike 'A-[0-9]'").select("ref_id", vol("src").alias("vol"), F.split(F.regexp_extract("text", "A-([0-9.]*[0-9])", 1), "[.]").alias("comps"), F.regexp_extract("text", r"A-[0-9.]*[0-9][.]?((?:\([0-9a-z]+\))*)", 1).alias("tail"))
+    s = q.select("*", F.explode(F.sequence(F.lit(1), F.size("comps"))).alias("k")).select("ref_id", "vol", "tail", F.concat(F.lit("A"), F.array_join(F.expr("slice(comps, 1, k)"), "")).alias("stem"), (F.size("comps") - F.col("k")).alias("dropped"))
+    tier = lambda way: (F.col("dropped") * 4 + way).cast("bigint").alias("tier")
+    whole = s.withColumn("name", F.concat("stem", F.when(F.col("dropped") == 0, F.upper("tail")).otherwise(""))).join(names, ["vol", "name"]).groupBy("ref_id", tier(1)).agg(F.min("key").alias("key"))
+    bare = s.withColumn("name", F.col("stem")).join(names, ["vol", "name"]).groupBy("ref_id", tier(2)).agg(F.min("key").alias("key"))
+    starts = names.select("vol", "key", "name", F.explode(F.transform(F.sequence(F.lit(1), F.length("name")), lambda i: F.substring("name", F.lit(1), i))).alias("stem"))
+    # Names per beginning are counted once, so a beginning that many refs ask for meets one row.
+    per = starts.groupBy("vol", "stem").agg(F.count("*").alias("n"), F.min("key").alias("key"), F.min(F.struct(F.length("name").alias("len"), "key")).alias("short"))
+    met = s.join(per, ["vol", "stem"])
+    only = met.where("n = 1").select("ref_id", tier(3), "key").distinct()
+    short = met.where("dropped = 0").select("ref_id", F.lit(4).cast("bigint").alias("tier"), F.col("short.key").alias("key")).distinct()
+    best = whole.unionByName(bare).unionByName(only).unionByName(short).groupBy("ref_id").agg(F.min(F.struct("tier", "key")).alias("m"))
+    return q.select("ref_id").join(best, "ref_id", "left").select("ref_id", "m.tier", "m.key")
 
 
 @query(sql(N, E) + """, f AS (SELECT e.dst AS tbl, e.src, s.rid, s.node_type FROM e JOIN n s ON s.key = e.src WHERE e.kind = 'cap_ref')
