@@ -13,6 +13,7 @@ from lexigrove import api
 from lexigrove.functions.vectors import dot, encoder
 from lexigrove.plans.aggregates import R as aggregates
 from lexigrove.plans.graph import R as graph
+from lexigrove.plans.views import nodes
 from tests.util import rows
 
 
@@ -67,7 +68,8 @@ def test_scans_are_pruned_and_filters_pushed(spark, data, capsys):
 
 
 def test_tools(spark, data):
-    article = graph.queries["get_provision"](spark, data).first().article
+    leaves = graph.queries["get_provision"](spark, data).select(F.col("anchor").alias("key"))
+    article = nodes(spark, data).where("node_type = 'article' and up is not null").join(leaves, "key", "left_semi").orderBy("rid").first().key
     assert api.call(spark, data, "get_provision", anchor=f" {article.upper()}").count() > 0
     assert api.call(spark, data, "get_context", anchor=article).first().markdown.startswith("[anchor]")
     assert api.call(spark, data, "neighbors", anchor=article).where("rel = 'parent'").count() == 1
