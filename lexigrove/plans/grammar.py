@@ -51,18 +51,21 @@ def citations(c: str) -> Column:
             out = out.when(x.rlike(f"^(?:{pattern})$"), name)
         return out
 
-    def one(p: Column, i: Column) -> Column:
-        return F.struct(kind(F.get(p, 2 * i - 1)).alias("kind"), F.length(F.array_join(F.slice(p, F.lit(1), 2 * i - 1), "")).alias("s"), F.get(p, 2 * i - 1).alias("text"))
+    def one(v: Column, i: Column) -> Column:
+        match, s = F.get(v["p"], 2 * i - 1), F.length(F.array_join(F.slice(v["p"], F.lit(1), 2 * i - 1), ""))
+        return F.struct(kind(match).alias("kind"), s.alias("s"), match.alias("text"))
 
-    found = F.transform(F.sequence(F.lit(1), F.floor(F.size(pieces) / 2).cast("int")), lambda i: one(pieces, i))
-    found = F.when(F.size(pieces) > 1, found).otherwise(F.array().cast("array<struct<kind:string,s:int,text:string>>"))
-
-    def with_context(x: Column) -> Column:
+    def with_context(v: Column, x: Column) -> Column:
         e = x["s"] + F.length(x["text"])
         lo = F.greatest(x["s"] - BEFORE, F.lit(0))
-        return F.struct(x["kind"], x["s"], e.alias("e"), x["text"], F.when(x["s"] > 0, F.substring(text, x["s"], F.lit(1))).alias("before"), F.substring(text, e + 1, F.lit(TAIL)).alias("tail"), F.substring(text, lo + 1, e + AFTER - lo).alias("around"))
+        return F.struct(x["kind"], x["s"], e.alias("e"), x["text"], F.when(x["s"] > 0, F.substring(v["t"], x["s"], F.lit(1))).alias("before"), F.substring(v["t"], e + 1, F.lit(TAIL)).alias("tail"), F.substring(v["t"], lo + 1, e + AFTER - lo).alias("around"))
+
+    def found(v: Column) -> Column:
+        matches = F.transform(F.filter(F.sequence(F.lit(0), F.floor(F.size(v["p"]) / 2).cast("int")), lambda i: i > 0), lambda i: one(v, i))
+        return F.transform(matches, lambda x: with_context(v, x))
 
-    return F.transform(found, with_context)
+    # An array of one makes text and pieces variables of the lambda, so that they are computed once a row.
+    return F.flatten(F.transform(F.array(F.struct(text.alias("t"), pieces.alias("p"))), found))
 
 
 def chunks(spark: SparkSession, d: str) -> DataFrame:
