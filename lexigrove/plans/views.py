@@ -17,30 +17,44 @@ def key_sql(col: str) -> str:
     return f"nullif(lower(trim({col}, {WS})), '')"
 
 
+# What decides between several states of one key after their times: every other column, so that the result doesn't depend on the order of rows.
+NODE_TIES = ["rid", "id", "permalink", "volume", "node_type", "number", "designator", "heading", "body", "parent", "page", "bbox", "modality"]
+REF_TIES = ["src", "dst", "kind", "text", "reason", "chunk", "line", "s", "e", "seen_at"]
+DEFINITION_TIES = ["id", "term", "norm", "blob", "body_offset", "body"]
+
+
+def _ties(columns: list[str]) -> str:
+    return ", ".join(f"{c} NULLS FIRST" for c in columns)
+
+
 def latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The first row of each key in the given order."""
+    """The first row of each key in the given order.
+
+    A window rather than an aggregate over whole rows: few keys have several rows, so combining before the shuffle would sort all rows once more for little.
+    """
     return df.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_rn = 1").drop("_rn")
 
 
 def nodes(spark: SparkSession, d: str) -> DataFrame:
     """Live nodes: the latest state of each id, if it isn't deleted; key and up are the comparison keys of id and parent."""
-    last = latest(table(spark, d, "node"), ["id"], [F.col("loaded_at").desc(), F.col("deleted_at").asc_nulls_first(), F.col("rid")]).where("deleted_at is null")
+    rows = table(spark, d, "node").withColumn("key", id_key("id"))
+    last = latest(rows, ["key"], [F.col("loaded_at").desc(), F.col("deleted_at").asc_nulls_first(), *map(F.asc_nulls_first, NODE_TIES)]).where("deleted_at is null")
     box = F.split(F.regexp_replace("bbox", r"[\[\] ]", ""), ",")
-    return last.withColumns({"key": id_key("id"), "up": id_key("parent")} | {c: F.get(box, F.lit(i)).cast("double") for i, c in enumerate(("x0", "y0", "x1", "y1"))})
+    return last.withColumns({"up": id_key("parent")} | {c: F.get(box, F.lit(i)).cast("double") for i, c in enumerate(("x0", "y0", "x1", "y1"))})
 
 
-N = f"""n AS (SELECT *, {key_sql("id")} AS key, {key_sql("parent")} AS up, {", ".join(f"CAST(string_split(regexp_replace(bbox, '[\\[\\] ]', '', 'g'), ',')[{i + 1}] AS DOUBLE) AS {c}" for i, c in enumerate(("x0", "y0", "x1", "y1")))}
-  FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY loaded_at DESC, deleted_at ASC NULLS FIRST, rid) AS rn FROM node) WHERE rn = 1 AND deleted_at IS NULL)"""
+N = f"""n AS (SELECT *, {key_sql("parent")} AS up, {", ".join(f"CAST(string_split(regexp_replace(bbox, '[\\[\\] ]', '', 'g'), ',')[{i + 1}] AS DOUBLE) AS {c}" for i, c in enumerate(("x0", "y0", "x1", "y1")))}
+  FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY loaded_at DESC NULLS LAST, deleted_at ASC NULLS FIRST, {_ties(NODE_TIES)}) AS rn FROM (SELECT *, {key_sql("id")} AS key FROM node)) WHERE rn = 1 AND deleted_at IS NULL)"""
 
 
 def edges(spark: SparkSession, d: str) -> DataFrame:
     """References once per ref_id with comparison keys of src, dst and kind; a blank dst is null."""
-    once = latest(table(spark, d, "ref"), ["ref_id"], [F.col("loaded_at").desc()])
+    once = latest(table(spark, d, "ref"), ["ref_id"], [F.col("loaded_at").desc(), *map(F.asc_nulls_first, REF_TIES)])
     return once.select("ref_id", id_key("src").alias("src"), id_key("dst").alias("dst"), id_key("kind").alias("kind"), "text", "reason", "chunk", "line", "s", "e", "seen_at")
 
 
 E = f"""e AS (SELECT ref_id, {key_sql("src")} AS src, {key_sql("dst")} AS dst, {key_sql("kind")} AS kind, text, reason, chunk, line, s, e, seen_at
-  FROM (SELECT *, row_number() OVER (PARTITION BY ref_id ORDER BY loaded_at DESC) AS rn FROM ref) WHERE rn = 1)"""
+  FROM (SELECT *, row_number() OVER (PARTITION BY ref_id ORDER BY loaded_at DESC NULLS LAST, {_ties(REF_TIES)}) AS rn FROM ref) WHERE rn = 1)"""
 
 
 def links(spark: SparkSession, d: str) -> DataFrame:
@@ -61,10 +75,11 @@ G = """g AS (SELECT table_id, r, c, text, greatest(coalesce(rowspan, 1), 1) AS r
 
 def definitions(spark: SparkSession, d: str) -> DataFrame:
     """Live definitions: the latest state of each id, if it isn't deleted."""
-    return latest(table(spark, d, "definition"), ["id"], [F.col("loaded_at").desc(), F.col("deleted_at").asc_nulls_first()]).where("deleted_at is null").withColumn("key", id_key("id"))
+    rows = table(spark, d, "definition").withColumn("key", id_key("id"))
+    return latest(rows, ["key"], [F.col("loaded_at").desc(), F.col("deleted_at").asc_nulls_first(), *map(F.asc_nulls_first, DEFINITION_TIES)]).where("deleted_at is null")
 
 
-D = f"""d AS (SELECT *, {key_sql("id")} AS key FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY loaded_at DESC, deleted_at ASC NULLS FIRST) AS rn FROM definition) WHERE rn = 1 AND deleted_at IS NULL)"""
+D = f"""d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY loaded_at DESC NULLS LAST, deleted_at ASC NULLS FIRST, {_ties(DEFINITION_TIES)}) AS rn FROM (SELECT *, {key_sql("id")} AS key FROM definition)) WHERE rn = 1 AND deleted_at IS NULL)"""
 
 
 def sql(*views: str, recursive: bool = False) -> str:
