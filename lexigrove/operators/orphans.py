@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lexigrove.functions.ids import id_key
 from lexigrove.session import remove, scratch
@@ -60,51 +61,110 @@ def _uncovered(ends: DataFrame, alive: DataFrame) -> DataFrame:
 class _Cascade:
     """The fixpoint over the tables that are referred to by others, held as parquet in one folder of the shared folder.
 
-    `levels` has the orphan ends of each round, `keys` the ids by which their records are referred to, each once, with the round
-    that reached them; `open` has the ends that aren't direct orphans. A round reads `open` and the keys of the last round
-    only, so its plan is the same in every round.
+    `levels` has the orphan ends, `keys` the ids by which their records are referred to, each once, with the round that reaches
+    them: the fewest steps up to a direct orphan. An id (table and key) is a source if one of its own ends is a direct orphan. Of
+    the others those whose ends name one parent only jump up, twice as far each round, until they stand on a source or on an id of several
+    parents; the jump of an id that comes to neither ends in nothing and leaves the rounds. So a chain takes log2 of its length in rounds. Ids of
+    several parents are few; over them and the jumps between them alone, shorter ways are sought step by step until there are none.
     """
 
     LEVEL = "`table` string, record string, field string, parent string, key string, at timestamp, how string, round int, own string"
     KEYS = "parent string, key string, from_round int"
+    IDS = "`table` string, own string, parent string, key string"
+    JUMPS = f"{IDS}, steps int, n int, stop string"
 
     def __init__(self, ends: DataFrame, alive: DataFrame, max_rounds: int):
-        self.spark = ends.sparkSession
+        self.spark, self.max_rounds = ends.sparkSession, max_rounds
         self.folder = scratch(self.spark, "orphans")
-        ends.write.parquet(f"{self.folder}/ends")
-        ends = self.spark.read.schema(ends.schema).parquet(f"{self.folder}/ends")
-        self._add(_uncovered(ends, alive), "direct", 0)
-        if not self._keys_of(0).isEmpty():
+        ends = self._keep("ends", ends)
+        direct = self._add(_uncovered(ends, alive), "direct", F.lit(0))
+        own = direct.where("own is not null").select(F.col("table").alias("parent"), F.col("own").alias("key")).distinct()
+        sources = self._keep("keys/of=sources", own.withColumn("from_round", F.lit(0)))
+        if not sources.isEmpty():
             at = ["table", "record", "field"]
-            ends.join(self._level(0).select(*at), at, "left_anti").write.parquet(f"{self.folder}/open")
-            self._run(self.spark.read.schema(ends.schema).parquet(f"{self.folder}/open"), max_rounds)
-        for name in ("ends", "open"):
+            open_ = self._keep("open", ends.join(direct.select(*at), at, "left_anti"))
+            below = self._keep("keys/of=below", self._below(open_, sources))
+            if (below.agg(F.max("from_round")).first()[0] or 0) >= max_rounds:
+                self._too_deep()
+            self._add(open_.join(self.keys(), ["parent", "key"]), "inherited", F.col("from_round") + 1)
+        for name in ("ends", "open", "ids", "jumps", "ways", "near"):
             remove(self.spark, f"{self.folder}/{name}")
 
-    def _run(self, open_: DataFrame, max_rounds: int) -> None:
-        for n in range(1, max_rounds + 1):
-            self._add(open_.join(self._keys_of(n - 1).select("parent", "key"), ["parent", "key"], "left_semi"), "inherited", n)
-            if self._keys_of(n).isEmpty():
-                return
-        raise RuntimeError(f"the cascade of orphans goes on after {max_rounds} rounds; raise max_rounds")
-
-    def _add(self, ends: DataFrame, how: str, n: int) -> None:
-        ends.select("table", "record", "field", "parent", "key", "at", F.lit(how).alias("how"), F.lit(n).alias("round"), "own").write.parquet(f"{self.folder}/levels/n={n}")
-        own = self._level(n).where("own is not null").select(F.col("table").alias("parent"), F.col("own").alias("key")).distinct()
-        new = own.join(self.keys().select("parent", "key"), ["parent", "key"], "left_anti") if n else own
-        new.withColumn("from_round", F.lit(n)).write.parquet(f"{self.folder}/keys/n={n}")
-
-    def _level(self, n: int) -> DataFrame:
-        return self.spark.read.schema(self.LEVEL).parquet(f"{self.folder}/levels/n={n}")
-
-    def _keys_of(self, n: int) -> DataFrame:
-        return self.spark.read.schema(self.KEYS).parquet(f"{self.folder}/keys/n={n}")
+    def _too_deep(self) -> None:
+        raise RuntimeError(f"the cascade of orphans goes on after {self.max_rounds} rounds; raise max_rounds")
+
+    def _read(self, name: str, schema: str | StructType) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(f"{self.folder}/{name}")
+
+    def _keep(self, name: str, df: DataFrame) -> DataFrame:
+        df.write.parquet(f"{self.folder}/{name}")
+        return self._read(name, df.schema)
+
+    def _add(self, ends: DataFrame, how: str, n: Column) -> DataFrame:
+        return self._keep(f"levels/of={how}", ends.select("table", "record", "field", "parent", "key", "at", F.lit(how).alias("how"), n.alias("round"), "own"))
+
+    def _below(self, open_: DataFrame, sources: DataFrame) -> DataFrame:
+        """(parent, key, from_round) of the ids below a source."""
+        links = open_.where("own is not null and not (table = parent and own = key)").select("table", "own", "parent", "key")
+        links = links.join(sources.select(F.col("parent").alias("table"), F.col("key").alias("own")), ["table", "own"], "left_anti")
+        up = F.struct("parent", "key")
+        ids = links.groupBy("table", "own").agg(F.min(up).alias("up"), F.max(up).alias("last"))
+        one = F.col("up") == F.col("last")
+        self._keep("ids", ids.select("table", "own", *[F.when(one, F.col(f"up.{x}")).alias(x) for x in ("parent", "key")]))
+        ids = self._read("ids", self.IDS)
+        stops = sources.select("parent", "key", F.lit("source").alias("stop")).unionByName(ids.select(F.col("table").alias("parent"), F.col("own").alias("key"), F.when(F.col("key").isNull(), "several").otherwise("none").alias("stop")))
+        jumps = self._jumps(ids.where("key is not null").join(stops, ["parent", "key"]).withColumn("steps", F.lit(1)))
+        found = jumps.where("stop = 'source'").select(F.col("table").alias("parent"), F.col("own").alias("key"), F.col("steps").alias("from_round"))
+        several = ids.where("key is null").select("table", "own")
+        if several.isEmpty():
+            return found
+        near = self._near(links.join(several, ["table", "own"], "left_semi"), jumps, stops.where("stop <> 'none'"))
+        under = jumps.where("stop = 'several'").join(near, ["parent", "key"]).select(F.col("table").alias("parent"), F.col("own").alias("key"), (F.col("from_round") + F.col("steps")).alias("from_round"))
+        return found.unionByName(near).unionByName(under)
+
+    def _jumps(self, first: DataFrame) -> DataFrame:
+        """The jumps of ids of one parent to the source or id of several parents where they end; stop is 'none' while they go on."""
+
+        def put(n: int, df: DataFrame) -> int:
+            df.select("table", "own", "parent", "key", "steps", "stop").write.partitionBy("stop").parquet(f"{self.folder}/jumps/n={n}")
+            return self._read("jumps", self.JUMPS).where(f"n = {n} and stop = 'none'").count()
+
+        n, left, before = 0, put(0, first), -1
+        while left not in (0, before):  # while any can still end, some end in each round; the others are on or under a loop without a source
+            jumps = self._read("jumps", self.JUMPS)
+            far = jumps.where(f"n = {n} or stop <> 'none'").select(F.col("table").alias("parent"), F.col("own").alias("key"), F.col("parent").alias("to"), F.col("key").alias("to_key"), F.col("steps").alias("more"), "stop")
+            on = jumps.where(f"n = {n} and stop = 'none'").select("table", "own", "parent", "key", "steps").join(far, ["parent", "key"])
+            n, before, left = n + 1, left, put(n + 1, on.select("table", "own", F.col("to").alias("parent"), F.col("to_key").alias("key"), (F.col("steps") + F.col("more")).alias("steps"), "stop"))
+        return self._read("jumps", self.JUMPS).where("stop <> 'none'").drop("n")
+
+    def _near(self, links: DataFrame, jumps: DataFrame, stops: DataFrame) -> DataFrame:
+        """(parent, key, from_round) of the ids of several parents that are below a source."""
+        far = jumps.select(F.col("table").alias("parent"), F.col("own").alias("key"), F.col("parent").alias("to"), F.col("key").alias("to_key"), "steps", "stop")
+        far = far.unionByName(stops.select("parent", "key", F.col("parent").alias("to"), F.col("key").alias("to_key"), F.lit(0).alias("steps"), "stop"))
+        ways = self._keep("ways", links.join(far, ["parent", "key"]).groupBy("table", "own", "to", "to_key", "stop").agg((F.min("steps") + 1).alias("steps")))
+
+        def put(n: int, df: DataFrame) -> DataFrame:
+            return self._keep(f"near/n={n}", df.groupBy(F.col("table").alias("parent"), F.col("own").alias("key")).agg(F.min("steps").alias("from_round")))
+
+        def best() -> DataFrame:
+            return self._read("near", self.KEYS).groupBy("parent", "key").agg(F.min("from_round").alias("from_round"))
+
+        new, n = put(0, ways.where("stop = 'source'")), 0
+        while not new.isEmpty():
+            n += 1
+            if n > self.max_rounds:  # each step adds one or more, so what is still getting nearer is that deep
+                self._too_deep()
+            on = ways.where("stop = 'several'").join(new.select(F.col("parent").alias("to"), F.col("key").alias("to_key"), "from_round"), ["to", "to_key"])
+            known = best().select(F.col("parent").alias("table"), F.col("key").alias("own"), F.col("from_round").alias("least"))
+            on = on.select("table", "own", (F.col("from_round") + F.col("steps")).alias("steps")).join(known, ["table", "own"], "left")
+            new = put(n, on.where("least is null or steps < least"))
+        return best()
 
     def levels(self) -> DataFrame:
-        return self.spark.read.schema(self.LEVEL).parquet(f"{self.folder}/levels").drop("n")
+        return self._read("levels", self.LEVEL).drop("of")
 
     def keys(self) -> DataFrame:
-        return self.spark.read.schema(self.KEYS).parquet(f"{self.folder}/keys").drop("n")
+        return self._read("keys", self.KEYS).drop("of")
 
 
 def orphans(tables: Mapping[str, DataFrame], keys: Sequence[ForeignKey], cascade: bool = True, max_rounds: int = 10_000) -> DataFrame:
@@ -115,17 +175,18 @@ def orphans(tables: Mapping[str, DataFrame], keys: Sequence[ForeignKey], cascade
     record, directly or through its own parent; round is 0 for direct ends and else the number of steps down.
     An end that is both is 'direct'.
 
-    Method: fixpoint cascade. Round 0 is an anti-join of all ends with the lives of their parents; round n semi-joins
-    the ends of the next children with the keys found orphan in round n-1, until no new key turns up. A key already
-    seen is never expanded again, so loops end. A cascade of more than `max_rounds` rounds raises RuntimeError; a result is
-    never cut short.
+    Method: fixpoint cascade. Round 0 is an anti-join of all ends with the lives of their parents; below it, pointer doubling finds
+    for each key the fewest steps up to a key found orphan in round 0, and an end of a key n steps down is of round n + 1. Keys of one parent take
+    log2 of the longest chain in joins, however deep the cascade; between keys with several parents (states that name different ones) it is
+    one join a step. Loops end: jumps that no longer settle are on or under a loop without an orphan. A cascade of more
+    than `max_rounds` rounds raises RuntimeError; a result is never cut short.
 
     Scale: one pass over each child table; the anti-join shuffles the ends once on (parent, key), and a hot key is
     split by adaptive execution since the parent side holds few rows a key. The loop runs only over tables that are
-    referred to by others; the others (the large fact tables) join once with the final set. Each round reads the same
-    table of ends and the keys of the round before from the shared folder and adds its level and its keys to folders
-    there, so plan and driver memory of a round don't grow with the rounds before it. The keys of a round are a table of known size,
-    which the planner broadcasts only while it is small. With cascade=False only round 0 is computed.
+    referred to by others; the others (the large fact tables) join once with the final set. Each join reads the open jumps
+    and the settled ones from the shared folder and adds its own to folders there, so plan and driver memory don't grow
+    with the joins before it; keys that come to no orphan leave, so after a few joins only long chains are left. The ends
+    themselves join the keys once. With cascade=False only round 0 is computed.
 
     Defined cases: keys compare without outer white space and case; a null or blank reference gives a row only where
     `blank_is_orphan`; a null time (where the key has one) is never covered by a life, so such an end is direct; repeated rows give one row

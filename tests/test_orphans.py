@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 import pytest
 
@@ -85,3 +86,32 @@ def test_two_states_and_a_loop_below_an_orphan(spark):
     # b has a state under the orphan a and one under d, which is below b: a loop that hangs on an orphan.
     node = [(1, "a", "gone", T[0], None), (2, "b", "a", T[0], T[1]), (3, "b", "d", T[1], None), (4, "d", "b", T[0], None)]
     assert found(spark, node, []) == {("node", "1", "parent"): ("direct", 0), ("node", "2", "parent"): ("inherited", 1), ("node", "4", "parent"): ("inherited", 2), ("node", "3", "parent"): ("inherited", 3)}
+
+
+def test_a_long_chain_takes_few_rounds(spark):
+    def jobs(n):
+        node = [(i, f"n{i}", f"n{i - 1}" if i else "gone", T[0], None) for i in range(n)]
+        t = tables(spark, node, [])
+        spark.sparkContext.setJobGroup(f"chain of {n}", "")
+        orphans(t, KEYS)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"chain of {n}"))
+
+    assert 0 < jobs(120) < 2 * jobs(12)
+
+
+@pytest.mark.parametrize("states", [1.0, 1.2, 2.0])
+def test_rounds_of_random_graphs(spark, states):
+    rng = random.Random(f"orphans {states}")
+    ids = [f"n{i}" for i in range(300)]
+    own = ids + [rng.choice(ids) for _ in range(round(300 * (states - 1)))]
+    up = lambda i: rng.choice(["gone", None, *ids[max(0, i - 3) : i] * 40, *ids[i : i + 3]]) if i % 50 else ("gone", None)[i // 50 % 2]
+    node = [(rid, key, up(int(key[1:])), T[0], None) for rid, key in enumerate(own)]
+    known, want = set(ids), {}
+    level = {rid for rid, _, p, *_ in node if p is not None and p not in known}
+    for n in range(len(node) + 1):
+        want |= {rid: n for rid in level}
+        keys = {node[rid][1] for rid in level} - {node[rid][1] for rid in want if want[rid] < n}
+        level = {rid for rid, _, p, *_ in node if p in keys and rid not in want}
+    got = {int(k[1]): r for k, (_, r) in found(spark, node, []).items()}
+    assert got == want and max(want.values()) > 9
